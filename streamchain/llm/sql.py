@@ -57,4 +57,17 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(c.n, 0) as bigin
 from doc left join covered c using (r) left join listed l using (r)
 """
 
-SQL = {"op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION}
+_WORDS = r"[x for x in string_split(regexp_replace(coalesce({0}, ''), '[\x09-\x0D\x20]+', ' ', 'g'), ' ') if x <> '']"
+
+SUBSTRINGS = f"""
+with doc as (select row_number() over () as r, doc_id, {_WORDS.format('"text"')} as w from documents),
+win as (select r, doc_id, i, array_to_string(w[i:i + 12], ' ') as s from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from doc)),
+least as (select s, min(doc_id) as m from win group by s having count(distinct doc_id) > 1),
+gone as (select distinct r, unnest(range(i, i + 13)) as j from win join least using (s) where m < doc_id),
+lost as (select r, list(j) as js, count(*) as n from gone group by r)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint) as n_removed,
+  sha256(array_to_string(case when n is null then w else [w[k] for k in range(1, len(w) + 1) if not list_contains(js, k)] end, ' ')) as kept_sha256
+from doc left join lost using (r)
+"""
+
+SQL = {"op8_substring_dedup": SUBSTRINGS, "op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION}
