@@ -70,4 +70,16 @@ select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n, 0) as bigint)
 from doc left join lost using (r)
 """
 
-SQL = {"op8_substring_dedup": SUBSTRINGS, "op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION}
+JACCARD = f"""
+with recursive doc as (select row_number() over () as r, doc_id, {_WORDS.format("translate(\"text\", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+gram as (select distinct r, doc_id, array_to_string(w[i:i + 3], ' ') as s from (select r, doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as i from doc where len(w) > 0)),
+size as (select r, doc_id, count(*) as n from gram group by 1, 2),
+link as (
+  select p.a, p.b from (select x.r as a, y.r as b, count(*) as k from gram x join gram y using (s) where x.r <> y.r group by 1, 2) p
+  join size x on x.r = p.a join size y on y.r = p.b where 100 * k >= 85 * (x.n + y.n - k)
+), reach as (select r, r as o from size union select reach.r, link.b from reach join link on link.a = reach.o)
+select doc.doc_id, cast(coalesce(any_value(size.n), 0) as bigint) as n_shingles, coalesce(min(size_o.doc_id), doc.doc_id) as component_id
+from doc left join size using (r) left join reach using (r) left join size as size_o on size_o.r = reach.o group by doc.r, doc.doc_id
+"""
+
+SQL = {"op10_ngram_jaccard": JACCARD, "op8_substring_dedup": SUBSTRINGS, "op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION}
