@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -24,6 +27,26 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``begins``, one after the other."""
+    after = np.cumsum(sizes)
+    return flat[np.repeat(begins - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)]
+
+
+def _units(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Each word without the ASCII punctuation at its end, and that: where a letter or digit of ASCII stands before it, the tokenizer cuts there.
+
+    It also puts all in lower case, so ASCII words that differ in case alone become one here.
+    Words that might spell a special token, which is matched before that, stay as they are.
+    """
+    plain = pc.invert(pc.match_substring(words, "<|"))
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    stem = pc.utf8_rtrim(words, characters=punctuation)
+    cut = pc.and_(plain, pc.match_substring_regex(stem, "[a-z0-9]$"))
+    stem = pc.if_else(cut, stem, words)
+    return stem, pc.if_else(cut, pc.replace_substring_regex(words, "^.*[^[:punct:]]", ""), "")
+
+
 def encoded(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, an end id after each; and where each text begins (one entry more than texts).
 
@@ -32,15 +55,16 @@ def encoded(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.nd
     """
     first, words = split_words(column)
     coded = words.dictionary_encode()
-    pieces = [e.ids for e in tokenizer.encode_batch_fast(coded.dictionary.to_pylist(), add_special_tokens=False)]
+    parts = pa.concat_arrays(_units(coded.dictionary)).dictionary_encode()
+    pieces = [e.ids for e in tokenizer.encode_batch_fast(parts.dictionary.to_pylist(), add_special_tokens=False)]
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    flat = np.fromiter((i for p in pieces for i in p), np.uint32, int(sizes.sum()))
-    begins = np.cumsum(sizes) - sizes
+    flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes.sum()))
+    # units -> distinct words (a stem and a tail each) -> words -> texts
+    unit = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(2, -1).T.ravel()
+    flat, sizes = _gather(flat, (np.cumsum(sizes) - sizes)[unit], sizes[unit]), sizes[unit].reshape(-1, 2).sum(1)
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    n = sizes[code]
-    after = np.concatenate(([0], np.cumsum(n)))
-    ids = flat[np.repeat(begins[code] - after[:-1], n) + np.arange(after[-1])] if len(code) else np.zeros(0, np.uint32)
-    bounds = after[first]
+    ids = _gather(flat, (np.cumsum(sizes) - sizes)[code], sizes[code])
+    bounds = np.concatenate(([0], np.cumsum(sizes[code])))[first]
     ids = np.insert(ids, bounds[1:], np.uint32(end_id))
     return ids, bounds + np.arange(len(bounds))
 
