@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, licenses, packing, substrings, tokencount
+from . import decontaminate, fingerprint, jaccard, kneserney, licenses, packing, substrings, tokencount
 from .sql import SQL
 
 
@@ -29,6 +29,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneserney.train_and_score(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
