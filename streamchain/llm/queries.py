@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, kneserney, licenses, packing, substrings, tokencount
+from . import decontaminate, fingerprint, jaccard, kneserney, langid, licenses, packing, substrings, tokencount
 from .sql import SQL
 
 
@@ -41,6 +41,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(spark, _table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(_table(spark, sf_dir, "documents"))
 
