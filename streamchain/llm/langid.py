@@ -11,10 +11,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .arrow import chunks, texts
 
-RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
+_PREDICTED = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
 #: What a text without letters gets.
 NONE = "und"
 #: Size of the hashed vectors, and documents that are counted at a time.
@@ -123,15 +124,17 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
     return Model(languages, idf.astype(np.float32), np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array(floor))
 
 
-def predict(docs: DataFrame, model: Model, held_out: Column | None = None, least_letters: int = 200) -> DataFrame:
-    """Per document row: the language of its nearest centroid, the cosine, and whether it is too far from that language.
+def predict_rows(docs: DataFrame, model: Model, least_letters: int = 200) -> DataFrame:
+    """The rows of docs (text, ...) with lang_pred, score and rejected; columns of these names give way.
 
-    A null text, or one without letters, gets ``und`` and 0, and is rejected. Only texts of
-    ``least_letters`` letters or more are rejected for their distance: shorter ones are always
-    far. Repeated rows give a row each; an empty table gives none; only doc_id and text are
-    read. Nothing is shuffled.
+    lang_pred is the language of the nearest centroid, score the cosine, and rejected tells
+    whether the text is too far from that language. A null text, or one without letters, gets
+    ``und`` and 0, and is rejected. Only texts of ``least_letters`` letters or more are
+    rejected for their distance: shorter ones are always far. Repeated rows give a row each; an
+    empty table gives none; only the text is looked at. Nothing is shuffled.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("lang_pred", "score", "rejected")
 
     def run(batches):
         fitted = sent.value
@@ -140,10 +143,11 @@ def predict(docs: DataFrame, model: Model, held_out: Column | None = None, least
             column = texts(batch.column("text")).to_pylist()
             found = [fitted.predict(column[i : i + ROWS], least_letters) for i in range(0, len(column), ROWS)]
             lang, score, far = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(names[lang], pa.string()), pa.array(score.astype(np.float64)), pa.array(far)], ["doc_id", "held_out", "lang_pred", "score", "rejected"])
+            more = [pa.array(names[lang], pa.string()), pa.array(score.astype(np.float64)), pa.array(far)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
-    held = F.lit(False) if held_out is None else held_out
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out")).mapInArrow(run, RESULT)
+    schema = T.StructType([*docs.schema.fields, *_PREDICTED])
+    return docs.mapInArrow(run, schema)
 
 
 def held_out() -> Column:
@@ -152,5 +156,7 @@ def held_out() -> Column:
 
 
 def identify(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Learn from the documents that are not held out, and predict all."""
-    return predict(docs, fit(spark, docs.filter(~held_out())), held_out())
+    """doc_id, held_out, lang_pred, score and rejected of each document row, learned from the documents that are not held out."""
+    model = fit(spark, docs.filter(~held_out()))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held_out())
+    return predict_rows(docs, model).drop("text")

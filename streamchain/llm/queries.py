@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, kneserney, langid, licenses, packing, substrings, tokencount
+from . import decontaminate, fingerprint, jaccard, kneserney, langid, licenses, packing, pii, substrings, tokencount
 from .sql import SQL
 
 
@@ -45,6 +45,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, _table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(_table(spark, sf_dir, "documents"))
 
