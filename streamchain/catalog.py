@@ -1,11 +1,621 @@
-"""All registered queries of the log operators, and their DuckDB SQL."""
+"""All registered queries of the log operators, each beside the DuckDB SQL of the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .functions import headers, msgid, shardmask
+from .operators import chain, merge, metrics, retention, scan, seek, sink, tolerance, verify
+from .operators.chain import Anchor, Bridge
+from .operators.tolerance import Tolerances
+from .operators.verify import VERIFIERS, Verifier
+from .plans import planner, programs
+from .sources import decode as decoders
+from .sources.adapters import chain_log, conv_log, doc_log, event_log, inputs, noisy_log, shard_masks
+from .sources.derived_sql import CHAIN, CLASS, CONV, DOCS, EVENT, INPUTS, LAGGED, NOISY, REASON
 
-def oracle_sql():
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+_ROW = ("stream_id", "seq", "height", "block_type", "shard_id")
+_ROWS = ", ".join(_ROW)
+
+# --- scans and lookups
+
+
+@query(f"with {CHAIN} select {_ROWS} from chain_log where seq >= 100 and seq < 400")
+def scan_range(spark, d):
+    return scan.between(chain_log(spark, d), 100, 400).select(*_ROW)
+
+
+@query(f"with {EVENT} select stream_id, seq, height from event_log e where not exists (select 1 from event_log s where s.stream_id = e.stream_id and s.seq <= e.seq and s.value >= 99)")
+def scan_until_value(spark, d):
+    log = event_log(spark, d).withColumn("ts", F.col("value"))
+    return scan.until_time(log, 99.0).select("stream_id", "seq", "height")
+
+
+@query(f"with {NOISY} select {_ROWS} from noisy_log where ts < timestamp '1996-01-01'")
+def scan_until_time(spark, d):
+    return scan.until_time(noisy_log(spark, d), "1996-01-01").select(*_ROW)
+
+
+@query(f"with {DOCS} select seq, subject, bytes from doc_log where subject = 'en.src1' or regexp_matches(subject, '^de\\.[^.]+$')")
+def scan_subjects(spark, d):
+    return scan.between(doc_log(spark, d), subjects=["en.src1", "de.*"]).select("seq", "subject", "bytes")
+
+
+@query(f"with {CHAIN} select {_ROWS} from chain_log where seq = 77")
+def point_get(spark, d):
+    return scan.get(chain_log(spark, d), 77).select(*_ROW)
+
+
+@query(f"with {DOCS} select stream_id, subject, max(seq) as seq, arg_max(bytes, seq) as bytes from doc_log group by 1, 2")
+def last_per_subject(spark, d):
+    return scan.last_per_subject(doc_log(spark, d)).select("stream_id", "subject", "seq", "bytes")
+
+
+@query(f"""with {EVENT} select stream_id, min(seq) as first_seq, max(seq) as last_seq, min(seq) - 1 as deleted_seq, count(*) as msgs, cast(sum(bytes) as bigint) as bytes,
+  epoch_us(max(ts)) as last_us from event_log group by 1""")
+def stream_state(spark, d):
+    out = scan.state(event_log(spark, d), F.col("bytes"))
+    return out.withColumn("last_us", F.unix_micros(F.col("last_ts").cast("timestamp"))).drop("last_ts")
+
+
+_MIRRORS = "('a', null, 'blocks'), ('b', 'a', ''), ('c', 'b', ''), ('d', 'c', ''), ('e', null, 'other'), ('f', 'e', ''), ('x', 'y', ''), ('y', 'x', ''), ('z', 'missing', '')"
+
+
+@query(f"""with recursive m(stream, mirror_of, subjects) as (values {_MIRRORS}),
+walk as (select stream, stream as at, 0 as steps from m union all select walk.stream, m.mirror_of, steps + 1 from walk join m on m.stream = walk.at where m.mirror_of is not null and steps < 20)
+select walk.stream, walk.at as origin, m.subjects, walk.steps from walk join m on m.stream = walk.at where m.mirror_of is null""")
+def mirror_resolution(spark, d):
+    return scan.resolve_mirrors(spark.sql(f"select * from values {_MIRRORS} as m(stream, mirror_of, subjects)"))
+
+
+_IDS = "('5'), ('7.3'), ('0.9876543210'), ('18446744073709551615'), ('18446744073709551616'), ('0.'), ('.0'), ('0.0.0'), (' 5 '), ('+5'), ('-1'), ('x'), ('1.x'), (''), ('007'), ('3.18446744073709551616')"
+
+
+@query(rf"""with t(id) as (values {_IDS}), p as (
+  select id, try_cast(regexp_extract(id, '^([0-9]+)(?:\.([0-9]+))?$', 1) as hugeint) as h, regexp_extract(id, '^([0-9]+)(?:\.([0-9]+))?$', 2) as part,
+    regexp_full_match(id, '([0-9]+)(\.([0-9]+))?') as formed from t
+), q as (select *, not formed or h > 18446744073709551615 or (part <> '' and cast(nullif(part, '') as hugeint) > 18446744073709551615) as bad from p)
+select id, case when not bad then cast(h as varchar) end as height, case when not bad then (case when part = '' then 0 else 1 end) end as block_type,
+  case when not bad then (case when part = '' then '0' else cast(cast(nullif(part, '') as hugeint) as varchar) end) end as shard_id, bad as invalid from q""")
+def msgid_parse(spark, d):
+    t = spark.sql(f"select * from values {_IDS} as t(id)").withColumn("p", msgid.parse(F.col("id")))
+    return t.select("id", F.col("p.height").cast("string").alias("height"), "p.block_type", F.col("p.shard_id").cast("string").alias("shard_id"), F.col("p.error").isNotNull().alias("invalid"))
+
+
+@query(f"with {CHAIN} select stream_id, seq, case when block_type = 1 then height || '.' || shard_id else cast(height as varchar) end as msg_id, height, block_type, shard_id from chain_log")
+def msgid_roundtrip(spark, d):
+    log = chain_log(spark, d).withColumn("msg_id", msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")))
+    p = msgid.parse(F.col("msg_id"))
+    return log.select("stream_id", "seq", "msg_id", p["height"].cast("long").alias("height"), p["block_type"].alias("block_type"), p["shard_id"].cast("long").alias("shard_id"))
+
+
+_MASKS = ["", "-", "0", "3", "1-3, 2-4, 6", " 7 ", "2 - 5", "5,,6", "5-4", "0-0-", " ", "- ", "x", "10001", "9-10"]
+
+
+def _mask_sql() -> str:
+    rows = []
+    for m in _MASKS:
+        try:
+            mask = shardmask.parse_text(m)
+            shown = "null" if mask is None else "'" + "".join("1" if b else "0" for b in mask) + "'"
+            rows.append(f"('{m}', {shown}, false)")
+        except ValueError:
+            rows.append(f"('{m}', null, true)")
+    return f"select * from (values {', '.join(rows)}) t(expr, mask, invalid)"
+
+
+@query(_mask_sql())
+def shard_mask_parse(spark, d):
+    literals = ", ".join(f"('{m}')" for m in _MASKS)
+    t = spark.sql(f"select * from values {literals} as t(expr)").withColumn("p", shardmask.parse(F.col("expr")))
+    shown = F.array_join(F.transform("p.mask", lambda b: F.when(b, "1").otherwise("0")), "")
+    return t.select("expr", shown.alias("mask"), F.col("p.error").isNotNull().alias("invalid"))
+
+
+@query(f"with {CHAIN} select stream_id, seq, shard_id, shard_id in (1, 2, 5) as passes from chain_log where block_type = 1")
+def shard_filter(spark, d):
+    mask = F.array(*map(F.lit, shardmask.parse_text("1-2, 5")))
+    log = chain_log(spark, d).filter("block_type = 1")
+    return log.select("stream_id", "seq", "shard_id", shardmask.passes(mask, F.col("shard_id")).alias("passes"))
+
+
+@query(f"""with {CHAIN}, s as (select distinct stream_id, height, shard_id from chain_log where block_type = 1),
+need as (select l.stream_id, l.seq, min(s.shard_id) as needed from chain_log l join s on s.stream_id = l.stream_id and s.height = l.height and s.shard_id > case when l.block_type = 1 then l.shard_id else -1 end group by 1, 2)
+select l.stream_id, l.seq, needed as next_needed, needed is null as complete from chain_log l left join need using (stream_id, seq)""")
+def block_completeness(spark, d):
+    log = chain_log(spark, d)
+    both = log.join(shard_masks(log), ["stream_id", "height"], "left")
+    args = (F.col("shard_mask"), F.col("block_type"), F.col("shard_id"), F.lit(None).cast("array<boolean>"))
+    return both.select("stream_id", "seq", shardmask.next_needed(*args).cast("long").alias("next_needed"), shardmask.is_complete(*args).alias("complete"))
+
+
+@query(f"""with {CONV} select stream_id, height, count(*) filter (where block_type = 1) as shards, max(shard_id) as last_shard, cast(sum(bytes) as bigint) as bytes,
+  count(distinct shard_id) filter (where block_type = 1) = max(shard_id) as complete from conv_log group by 1, 2""")
+def conversation_blocks(spark, d):
+    log = conv_log(spark, d)
+    out = log.groupBy("stream_id", "height").agg(
+        F.count_if(F.col("block_type") == 1).alias("shards"), F.max("shard_id").alias("last_shard"), F.sum("bytes").alias("bytes"),
+        (F.count_distinct(F.when(F.col("block_type") == 1, F.col("shard_id"))) == F.max("shard_id")).alias("complete"),
+    )
+    return out
+
+
+@query(f"with {NOISY} select * exclude r from (select {_ROWS}, row_number() over (partition by stream_id order by height, block_type, case when block_type = 1 then shard_id else 0 end, seq) as r from noisy_log) where r <= 20")
+def reorder_topk(spark, d):
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("stream_id").orderBy(msgid.order_key(F.col("height"), F.col("block_type"), F.col("shard_id")), "seq")
+    return noisy_log(spark, d).withColumn("r", F.row_number().over(order)).filter("r <= 20").select(*_ROW)
+
+
+def _seek_sql(op: str, start: int, end: int) -> str:
+    inside = f"seq >= {start}" + (f" and seq < {end}" if end else "")
+    low = f"greatest(1, first_seq, {start})"
+    cut = f"when hit is null and last_seq + 1 >= {end} then null" if end else ""
+    empty = f"when first_seq >= {end} then null" if end else ""
+    return f"""with {CHAIN}, b as (select stream_id, min(seq) as first_seq, max(seq) as last_seq,
+  min(seq) filter (where {inside} and (height {op} 700 or (height = 700 and (block_type > 0 or {'false' if op == '>' else 'true'})))) as hit from chain_log group by 1),
+s as (select stream_id, case {empty} when {low} > last_seq then {low} {cut} else coalesce(hit, last_seq + 1) end as seq from b)
+select stream_id, seq, case when seq is null then 'empty' else 'found' end as outcome from s"""
+
+
+@query(_seek_sql(">", 1, 0))
+def seek_block(spark, d):
+    return seek.seek_block(chain_log(spark, d), 700, only_greater=True, start=1)
+
+
+@query(_seek_sql(">", 5, 300))
+def seek_block_range(spark, d):
+    return seek.seek_block(chain_log(spark, d), 700, start=5, end=300, only_greater=True)
+
+
+@query(f"with {CHAIN} select stream_id, case when min(seq) < 5000 then greatest(1, min(seq), 20, 33) end as seq, case when min(seq) < 5000 then 'found' else 'empty' end as outcome from chain_log group by 1")
+def seek_seq(spark, d):
+    return seek.seek_seq(chain_log(spark, d), 33, start=20, end=5000)
+
+
+@query(f"with {NOISY} select stream_id, max(seq) filter (where height <= 50) as seq from noisy_log group by 1")
+def seek_height_floor(spark, d):
+    return seek.seek_height(noisy_log(spark, d), F.lit(50))
+
+
+def _copied_log(spark, d):
+    log = chain_log(spark, d)
+    source = F.array((F.col("seq") * 2).cast("string"))
+    held = F.when(F.col("seq") % 7 == 0, F.create_map(F.lit("X-Source-Seq"), F.array(F.lit("bad")))).when(F.col("seq") % 3 == 0, F.create_map(F.lit("X-Source-Seq"), source)).otherwise(F.create_map(F.lit("Other"), source))
+    return log.withColumn("headers", held)
+
+
+@query(f"with {CHAIN} select stream_id, coalesce(max(seq * 2) filter (where seq % 3 = 0 and seq % 7 <> 0), 0) as resume_seq from chain_log group by 1")
+def resume_point(spark, d):
+    return scan.resume_point(_copied_log(spark, d), "X-Source-Seq")
+
+
+@query(f"with {CHAIN}, h as (select * from chain_log where seq % 50 <> 0), p as (select stream_id, seq, lag(seq) over (partition by stream_id order by seq) as prev_seq from h) select stream_id, seq, prev_seq from p where seq <> prev_seq + 1")
+def contiguity_check(spark, d):
+    return scan.contiguity(chain_log(spark, d).filter("seq % 50 <> 0"))
+
+
+@query(f"with {INPUTS} select input_id, count(*) as \"rows\", count(*) filter (where height < 300) as skipped, count(*) filter (where not height < 300) as handled from inputs group by 1")
+def header_skip_stats(spark, d):
+    return merge.input_counts(inputs(spark, d), F.lit(300))
+
+
+@query(f"with {CHAIN} select {_ROWS} from chain_log where height >= 900")
+def header_skip(spark, d):
+    log = chain_log(spark, d)
+    return scan.skip_by_header(log, F.lit(900), msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id"))).select(*_ROW)
+
+
+# --- verification
+
+
+def _verify_sql(log: str, cte: str, gap: str, hash_: str) -> str:
+    reason = REASON.format(gap=gap, hash=hash_)
+    return f"with {cte}, r as (select stream_id, seq, {reason} as reason from {LAGGED.format(log=log)}) select stream_id, seq, reason, {CLASS.format(reason='reason')} as class from r"
+
+
+def _audit(log, verifier):
+    return verify.pairwise(log, verifier).select("stream_id", "seq", "reason", "class")
+
+
+@query(_verify_sql("noisy_log", NOISY, "false", "false"))
+def verify_pairwise_headers(spark, d):
+    return _audit(noisy_log(spark, d), VERIFIERS["headers_only"])
+
+
+@query(_verify_sql("chain_log", CHAIN, "false", "true"))
+def verify_pairwise_json_lz4(spark, d):
+    return _audit(chain_log(spark, d), VERIFIERS["json_lz4"])
+
+
+@query(_verify_sql("chain_log", CHAIN, "true", "true"))
+def verify_pairwise_cbor_map(spark, d):
+    return _audit(chain_log(spark, d), VERIFIERS["cbor_map"])
+
+
+@query(f"""with {CHAIN}, s as (select distinct stream_id, height, shard_id from chain_log where block_type = 1 and shard_id in (1, 2, 3)),
+p as {LAGGED.format(log='chain_log')},
+n as (select p.stream_id, p.seq, min(s.shard_id) as needed from p join s on s.stream_id = p.stream_id and s.height = p.l_height and s.shard_id > case when p.l_type = 1 then p.l_shard else -1 end group by 1, 2),
+r as (select p.stream_id, p.seq, case
+  when block_type = 1 and shard_id not in (1, 2, 3) then 'FilteredShard'
+  when l_height is null then 'OK' when height < l_height then 'LowHeight'
+  when height > l_height and needed is not null then 'IncompletePreviousBlock' when height > l_height and block_type <> 0 then 'UnannouncedBlock'
+  when height > l_height and prev_hash <> l_hash then 'HashMismatch' when height > l_height then 'OK' when block_type = 0 then 'Reannouncement'
+  when l_type = 1 and shard_id <= l_shard then 'LowShard' when needed is null then 'UnwantedShard' when shard_id < needed then 'LowShard' when shard_id > needed then 'ShardGap'
+  when hash <> l_hash then 'ShardHashConflict' else 'OK' end as reason
+  from p left join n using (stream_id, seq))
+select stream_id, seq, reason, {CLASS.format(reason='reason')} as class from r""")
+def verify_pairwise_proto_zstd(spark, d):
+    log = chain_log(spark, d)
+    both = log.join(shard_masks(log), ["stream_id", "height"], "left")
+    return _audit(both, Verifier(check_completion=True, check_hashes=True, shard_filter=tuple(shardmask.parse_text("1-3"))))
+
+
+@query(f"with {NOISY}, r as (select {REASON.format(gap='false', hash='false')} as reason from {LAGGED.format(log='noisy_log')}) select reason, {CLASS.format(reason='reason')} as class, count(*) as n from r group by 1, 2")
+def verify_reason_counts(spark, d):
+    return verify.pairwise(noisy_log(spark, d), Verifier()).groupBy("reason", "class").agg(F.count("*").alias("n"))
+
+
+@query(f"""with {CHAIN}, a as (select * from chain_log where block_type = 0 and seq % 11 <> 0), p as (select *, lag(height) over w as lh, lag(hash) over w as lx from a window w as (partition by stream_id order by seq)),
+v as (select stream_id, seq, case when height <= lh then 'height' when prev_hash <> lx then 'hash' end as violation from p)
+select stream_id, min(seq) as seq, arg_min(violation, seq) as violation from v where violation is not null group by 1""")
+def validate_first_violation(spark, d):
+    return programs.validate(chain_log(spark, d).filter("block_type = 0 and seq % 11 <> 0"))
+
+
+@query(f"with {CHAIN}, p as (select *, lag(height) over (partition by stream_id order by seq) as lh from chain_log) select stream_id, seq, case when height <= lh then 'height' else 'gap' end as violation from p where height <= lh or height <> lh + 1")
+def validate_all_violations(spark, d):
+    log = chain_log(spark, d).withColumn("hash", F.lit("x")).withColumn("prev_hash", F.lit("X"))
+    return verify.violations(log, contiguous=True, hash_ci=True).select("stream_id", "seq", "violation")
+
+
+# --- chains
+
+_RECORDS = """a as (select *, max(height) filter (where block_type = 0) over (partition by stream_id order by seq rows between unbounded preceding and 1 preceding) as top from {log}),
+b as (select *, max(shard_id) filter (where block_type = 1) over (partition by stream_id, height order by seq rows between unbounded preceding and 1 preceding) as before from a
+  where top is null or (block_type = 0 and height > top) or (block_type = 1 and height = top)),
+records as (select * from b where top is null or height > top or before is null or shard_id > before)"""
+
+
+@query(f"with {CHAIN}, {_RECORDS.format(log='chain_log')} select {_ROWS} from records")
+def chain_records(spark, d):
+    return chain.records(chain_log(spark, d)).select(*_ROW)
+
+
+@query(f"with {NOISY}, n as (select * from noisy_log where seq >= (select min(seq) from noisy_log m where m.stream_id = noisy_log.stream_id and block_type = 0)), {_RECORDS.format(log='n')} select {_ROWS} from records")
+def chain_records_noisy(spark, d):
+    log = chain.anchored(noisy_log(spark, d), Anchor(after=(-1, 0, 0)))
+    return chain.records(log).select(*_ROW)
+
+
+_EVENT_CHAIN = f"{EVENT}, event_ok as (select * from event_log where not corrupted)"
+
+
+@query(f"""with recursive {_EVENT_CHAIN}, first_ as (select stream_id, min(seq) as seq from event_ok group by 1),
+pos as (select e.stream_id, e.seq, e.height from event_ok e join first_ using (stream_id, seq)
+  union all select p.stream_id, (select min(seq) from event_ok n where n.stream_id = p.stream_id and n.seq > p.seq and n.height = p.height + 1), p.height + 1 from pos p where p.seq is not null)
+select cast(stream_id as varchar) as stream_id, seq from pos where seq is not null""")
+def chain_successor(spark, d):
+    log = event_log(spark, d).filter("not corrupted").select("stream_id", "seq", "height", F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"))
+    return planner.extract(log, Bridge(Verifier(allow_gaps=False)))
+
+
+@query(f"""with {_EVENT_CHAIN}, s as (select stream_id, arg_min(height, seq) as start from event_ok group by 1), f as (select stream_id, height, min(seq) as seq, start from event_ok join s using (stream_id) where height >= start group by 1, 2, 4),
+n as (select *, row_number() over (partition by stream_id order by height) - 1 as n from f) select stream_id, seq, height from n where height - start = n""")
+def chain_island(spark, d):
+    return chain.island(event_log(spark, d).filter("not corrupted").select("stream_id", "seq", "height")).select("stream_id", "seq", "height")
+
+
+@query(f"""with recursive {INPUTS}, log as (select stream_id, row_number() over (partition by stream_id order by height, input_id) as seq, height, hash, prev_hash from inputs where height % 7 <> 1 or height < 200),
+pos as (select * from log where seq = 1 union all
+  select n.* from pos p join log n on n.stream_id = p.stream_id and n.seq = (select min(seq) from log m where m.stream_id = p.stream_id and m.seq > p.seq and m.height > p.height and m.prev_hash = p.hash))
+select cast(stream_id as varchar) as stream_id, seq from pos""")
+def chain_hash_linked(spark, d):
+    from pyspark.sql import Window
+
+    both = inputs(spark, d).filter("height % 7 <> 1 or height < 200")
+    log = both.withColumn("seq", F.row_number().over(Window.partitionBy("stream_id").orderBy("height", "input_id")).cast("long"))
+    return planner.extract(log, Bridge(Verifier(check_hashes=True)))
+
+
+@query()
+def chain_reorder(spark, d):
+    """Bounded reorder buffer with tolerances: a recurrence that SQL has no form for; tests hold it against plain code."""
+    log = event_log(spark, d).select("stream_id", "seq", "height", "corrupted", F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"))
+    return chain.fold(log, Bridge(Verifier(allow_gaps=False), buffer=16, tolerances=Tolerances(wrong=500)))
+
+
+@query(f"with {CHAIN}, {_RECORDS.format(log='chain_log')} select {_ROWS} from records r where not exists (select 1 from records p where p.stream_id = r.stream_id and p.seq < r.seq and (p.height > 300 or (p.height = 300 and p.block_type >= 1)))")
+def terminal_last_block(spark, d):
+    return chain.take_while(chain.records(chain_log(spark, d)), last_block=(300, 1, 0)).select(*_ROW)
+
+
+@query(f"with {CHAIN}, {_RECORDS.format(log='chain_log')} select {_ROWS} from records where height < 300")
+def terminal_end_block(spark, d):
+    return chain.take_while(chain.records(chain_log(spark, d)), end_block=(300, 0, 0)).select(*_ROW)
+
+
+_FROM = "log as (select l.* from {log} l join (select stream_id, min(seq) filter (where {when}) as start from {log} group by 1) s using (stream_id) where seq >= start)"
+
+
+@query(f"with {CHAIN}, {_FROM.format(log='chain_log', when='block_type = 0 and height = 512')}, {_RECORDS.format(log='log')} select {_ROWS} from records")
+def anchor_block(spark, d):
+    return chain.records(chain.anchored(chain_log(spark, d), Anchor(block=(512, 0, 0)))).select(*_ROW)
+
+
+@query(f"with {CHAIN}, log as (select * from chain_log where seq >= 40), {_RECORDS.format(log='log')} select {_ROWS} from records where seq > 60")
+def anchor_seq(spark, d):
+    return chain.records(chain.anchored(chain_log(spark, d), Anchor(seq=40))).filter("seq > 60").select(*_ROW)
+
+
+@query(f"with {CHAIN}, {_FROM.format(log='chain_log', when='block_type = 0 and height > 512')}, {_RECORDS.format(log='log')} select {_ROWS} from records")
+def pre_anchor(spark, d):
+    return chain.records(chain.anchored(chain_log(spark, d), Anchor(after=(512, 0, 0)))).select(*_ROW)
+
+
+@query(f"with {CHAIN}, {_RECORDS.format(log='chain_log')} select {_ROWS} from records where seq > 200")
+def bridge_resume(spark, d):
+    log = chain_log(spark, d)
+    return programs.bridge(log, Bridge()).filter("seq > 200").select(*_ROW)
+
+
+# --- tolerances
+
+_KIND = f"""{EVENT}, k as (select stream_id, seq, case when corrupted then 'corrupted' when height > coalesce(max(height) filter (where not corrupted) over (partition by stream_id order by seq rows between unbounded preceding and 1 preceding), -1) then 'ok'
+  when height % 2 = 0 then 'low' else 'high' end as class from event_log)"""
+
+
+def _counter_sql() -> str:
+    parts = []
+    for c, (up, back) in tolerance.COUNTERS.items():
+        ups, backs = (", ".join(f"'{x}'" for x in xs) for xs in (up, back))
+        parts.append(f"cast(sum(case when class in ({ups}) then 1 else 0 end) over (partition by stream_id, i_{c} order by seq) as bigint) as n_{c}")
+        parts.append(f"sum(case when class in ({backs}) then 1 else 0 end) over (partition by stream_id order by seq) as i_{c}")
+    return f"{_KIND}, i as (select *, {', '.join(parts[1::2])} from k), counted as (select stream_id, seq, class, {', '.join(parts[::2])} from i)"
+
+
+def _classed(spark, d):
+    from .operators import prefix
+
+    log = prefix.before(event_log(spark, d), {"top": ("max", F.when(~F.col("corrupted"), F.col("height")))})
+    kind = F.when(F.col("corrupted"), "corrupted").when(F.col("height") > F.coalesce("top", F.lit(-1)), "ok").when(F.col("height") % 2 == 0, "low").otherwise("high")
+    return log.select("stream_id", "seq", kind.alias("class"))
+
+
+@query(f"with {_counter_sql()} select stream_id, seq, class, {', '.join(f'n_{c}' for c in tolerance.COUNTERS)} from counted")
+def tolerance_counters(spark, d):
+    return tolerance.counters(_classed(spark, d))
+
+
+@query(f"""with {_counter_sql()}, f as (select stream_id, seq, case when class = 'low' and n_low > 3 then 'low' when class in ('corrupted', 'high') and n_wrong > 4 then 'wrong' when class <> 'ok' and n_no_write > 12 then 'no_write' end as counter from counted)
+select stream_id, min(seq) as seq, arg_min(counter, seq) as counter from f where counter is not null group by 1""")
+def tolerance_first_desync(spark, d):
+    return tolerance.first_desync(_classed(spark, d), Tolerances(low=3, wrong=4, no_write=12))
+
+
+# --- merges and writes
+
+
+@query(f"""with {INPUTS}, b as (select * from inputs qualify row_number() over (partition by stream_id, height order by input_id, seq) = 1),
+l as (select *, lag(hash) over (partition by stream_id order by height) as head from b), s as (select stream_id, min(height) filter (where prev_hash <> head) as stop from l group by 1)
+select stream_id, height, input_id, seq from l join s using (stream_id) where stop is null or height < stop""")
+def merge_first_wins(spark, d):
+    return programs.multi_bridge(inputs(spark, d)).select("stream_id", "height", "input_id", "seq")
+
+
+@query(f"with {CHAIN} select stream_id, case when block_type = 1 then height || '.' || shard_id else cast(height as varchar) end as msg_id, min(seq) as seq from chain_log group by 1, 2")
+def dedup_msgid(spark, d):
+    return merge.deduplicate(chain_log(spark, d)).select("stream_id", "msg_id", "seq")
+
+
+@query(f"with {NOISY} select stream_id, max(seq) as seq, arg_max(height, seq) as height, arg_max(hash, seq) as hash from noisy_log group by 1")
+def head_tracking(spark, d):
+    return merge.heads(noisy_log(spark, d))
+
+
+_ID = "case when block_type = 1 then height || '.' || shard_id else cast(height as varchar) end"
+_WRITES = f"""{CHAIN}, m as (select stream_id, seq, {_ID} as msg_id from chain_log), top as (select stream_id, max(seq) - 5 as t from m group by 1),
+snap as (select m.* from m join top using (stream_id) where seq between 10 and t and seq % 97 <> 0),
+bounds as (select stream_id, min(seq) as first_seq, max(seq) as last_seq, arg_max(msg_id, seq) as last_id from snap group by 1),
+req as (select m.stream_id, m.seq as req, m.msg_id, case m.seq % 5 when 0 then m.seq - 1 when 1 then m.seq when 2 then greatest(m.seq - 2, 0) when 3 then last_seq else last_seq + 3 end as pred_seq from m join bounds using (stream_id)),
+requests as (select q.*, case q.req % 3 when 0 then '' when 1 then coalesce(p.msg_id, '') else 'x' end as pred_msg_id from req q left join m p on p.stream_id = q.stream_id and p.seq = q.pred_seq)"""
+
+
+def _write_requests(spark, d):
+    log = chain_log(spark, d)
+    m = log.select("stream_id", "seq", msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")).alias("msg_id"))
+    top = m.groupBy("stream_id").agg((F.max("seq") - 5).alias("t"))
+    snap = m.join(top, "stream_id").filter("seq >= 10 and seq <= t and seq % 97 <> 0").drop("t")
+    last = snap.groupBy("stream_id").agg(F.max("seq").alias("last_seq"))
+    k = F.col("seq") % 5
+    pred = F.when(k == 0, F.col("seq") - 1).when(k == 1, F.col("seq")).when(k == 2, F.greatest(F.col("seq") - 2, F.lit(0))).when(k == 3, F.col("last_seq")).otherwise(F.col("last_seq") + 3)
+    req = m.join(last, "stream_id").select("stream_id", F.col("seq").alias("req"), "msg_id", pred.alias("pred_seq"))
+    before = m.select("stream_id", F.col("seq").alias("pred_seq"), F.col("msg_id").alias("own"))
+    pid = F.when(F.col("req") % 3 == 0, "").when(F.col("req") % 3 == 1, F.coalesce("own", F.lit(""))).otherwise("x")
+    return req.join(before, ["stream_id", "pred_seq"], "left").select("stream_id", "req", "msg_id", "pred_seq", pid.alias("pred_msg_id")), snap
+
+
+_STATUS = f"""{_WRITES}, known as (select stream_id, msg_id, max(seq) as k from snap group by 1, 2),
+j as (select r.*, first_seq, last_seq, last_id, k, p.msg_id as place, b.msg_id as own from requests r join bounds using (stream_id) left join known using (stream_id, msg_id)
+  left join snap p on p.stream_id = r.stream_id and p.seq = r.pred_seq + 1 left join snap b on b.stream_id = r.stream_id and b.seq = r.pred_seq),
+o as (select *, case when k = pred_seq + 1 then 'OK/duplicate' when k is not null then 'Collision/collision' when pred_seq = last_seq and (pred_msg_id = '' or pred_msg_id = last_id) then 'OK/success'
+  when pred_seq + 1 < first_seq then 'RemovedPosition/desync' when pred_seq + 1 <= last_seq and place <> msg_id then 'Collision/collision' when pred_seq + 1 <= last_seq and place = msg_id then 'OK/duplicate'
+  when pred_seq = 0 and pred_msg_id <> '' then 'WrongPredecessor/collision' when pred_seq = 0 then 'TemporarilyUnavailable/error'
+  when pred_seq = last_seq and pred_msg_id <> '' and own is null then 'RemovedPredecessor/desync' when pred_seq = last_seq and pred_msg_id <> '' then 'WrongPredecessor/collision'
+  when pred_seq = last_seq then 'TemporarilyUnavailable/error' when pred_seq > last_seq then 'WrongPredecessor/collision' else 'RemovedPosition/desync' end as os from j),
+judged as (select stream_id, req, msg_id, pred_seq, pred_msg_id, split_part(os, '/', 1) as outcome, split_part(os, '/', 2) as status from o)"""
+
+
+@query(f"with {_STATUS} select stream_id, req, pred_seq, pred_msg_id, outcome, status from judged")
+def write_status(spark, d):
+    return sink.classify_writes(*_write_requests(spark, d)).drop("msg_id")
+
+
+@query(f"with {_STATUS}, w as (select status, case when contains(msg_id, '.') then 1 else 0 end as block_type, req, cast(split_part(msg_id, '.', 1) as bigint) as height, req * 8 + stream_id as ord from judged) select status, block_type, count(*) as writes, max(ord) as last_seq, arg_max(height, ord) as last_height from w group by rollup(status, block_type) having status is not null")
+def write_metrics(spark, d):
+    w = sink.classify_writes(*_write_requests(spark, d))
+    w = w.withColumn("block_type", F.when(F.contains("msg_id", F.lit(".")), 1).otherwise(0)).withColumn("height", F.split("msg_id", r"\.")[0].cast("long"))
+    return metrics.write_figures(w.withColumn("seq", F.col("req") * 8 + F.col("stream_id")))
+
+
+@query(f"""with {_WRITES}, c as (select distinct stream_id, req as centre from req where req % 50 = 1), a as (select stream_id, centre, unnest(range(greatest(1, centre - 3), centre + 4)) as seq from c)
+select a.stream_id, centre, a.seq, case when s.msg_id is not null then 'message' when a.seq > last_seq then 'not yet' else 'removed' end as found, s.msg_id from a join bounds using (stream_id) left join snap s on s.stream_id = a.stream_id and s.seq = a.seq""")
+def write_vicinity(spark, d):
+    requests, snap = _write_requests(spark, d)
+    return sink.vicinity(requests.filter("req % 50 = 1").select("stream_id", F.col("req").alias("centre")).distinct(), snap)
+
+
+@query(f"""with {CHAIN}, h as (select stream_id, arg_max(height, seq) as hh, arg_max(hash, seq) as hx from chain_log where block_type = 0 and height < 400 group by 1)
+select c.stream_id, seq, height, case when c.stream_id = 7 then 'OutputterUnavailable' when c.stream_id = 6 then case when height < 500 then 'LowBlock' when height > 500 then 'HighBlock' else 'OK' end
+  when height <= hh then 'LowBlock' when prev_hash <> hx then 'HashMismatch' else 'OK' end as status from chain_log c left join h using (stream_id) where block_type = 0""")
+def write_check_multi(spark, d):
+    log = chain_log(spark, d).filter("block_type = 0")
+    head = log.filter("height < 400").groupBy("stream_id").agg(F.max_by("height", "seq").alias("head_height"), F.max_by("hash", "seq").alias("head_hash")).filter("stream_id <> 7").withColumn("known", F.lit(True))
+    head = head.withColumn("head_height", F.when(F.col("stream_id") != 6, F.col("head_height")))
+    return merge.write_check(log, head, start_height=500).select("stream_id", "seq", "height", "status")
+
+
+@query(f"with {CHAIN} select stream_id, seq, 'out.' || case when block_type = 0 then 'header' else cast(shard_id as varchar) end as subject from chain_log")
+def route_subject(spark, d):
+    return chain_log(spark, d).select("stream_id", "seq", headers.routed("out.*", F.col("block_type"), F.col("shard_id")).alias("subject"))
+
+
+def _with_headers(spark, d):
+    held = F.create_map(F.lit("Nats-Msg-Id"), F.array(F.lit("1")), F.lit("Nats-Expected-Stream"), F.array(F.lit("s")), F.lit("nats-x"), F.array(F.lit("n")), F.lit("Custom"), F.array(F.lit("a"), F.lit("b")))
+    return chain_log(spark, d).select("stream_id", "seq", held.alias("headers"), msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")).alias("msg_id"))
+
+
+def _shown():
+    entries = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), F.array_join(e["value"], "+")))
+    return F.array_join(F.array_sort(entries), ";")
+
+
+@query(f"with {CHAIN} select stream_id, seq, 'Custom=a+b;Nats-Msg-Id=' || {_ID} || ';nats-x=n' as headers from chain_log")
+def preserve_headers(spark, d):
+    log = _with_headers(spark, d)
+    return log.withColumn("headers", headers.preserve(F.col("headers"), F.col("msg_id"))).select("stream_id", "seq", _shown().alias("headers"))
+
+
+@query(f"with {CHAIN}, r as (select stream_id, coalesce(max(seq * 2) filter (where seq % 3 = 0 and seq % 7 <> 0), 0) as resume_seq from chain_log group by 1) select stream_id, seq, 'Custom=a+b;Nats-Msg-Id=1;X-Source-Seq=' || seq as headers, 'copy' as subject from chain_log join r using (stream_id) where seq > resume_seq / 2 and seq >= 10")
+def copy_headers(spark, d):
+    done = _copied_log(spark, d).withColumn("headers", F.when(F.col("headers").isNotNull(), F.transform_values("headers", lambda k, v: F.transform(v, lambda x: F.coalesce((F.try_divide(x.try_cast("long"), F.lit(2))).cast("long").cast("string"), x)))))
+    return programs.copy(_with_headers(spark, d), done, programs.Copy(start_seq=10, subject="copy")).select("stream_id", "seq", _shown().alias("headers"), "subject")
+
+
+# --- retention and figures
+
+
+@query(f"with {EVENT} select stream_id, seq from event_log qualify row_number() over (partition by stream_id order by seq desc) <= 25")
+def retention_msgs(spark, d):
+    return retention.newest_messages(event_log(spark, d), 25).select("stream_id", "seq")
+
+
+@query(f"with {DOCS} select seq, bytes from doc_log qualify sum(bytes) over (order by seq desc) <= 100000")
+def retention_bytes(spark, d):
+    return programs.shrink(doc_log(spark, d), 100_000).select("seq", "bytes")
+
+
+@query("""with recursive s(step, limit_bytes) as (select cast(1 as bigint), cast(greatest(1000000, 400000) as bigint) union all select step + 1, greatest(400000, limit_bytes - 70000) from s where limit_bytes > 400000)
+select step, limit_bytes, cast(ceil((limit_bytes - 400000) / 70000.0) as bigint) as eta from s""")
+def shrink_schedule(spark, d):
+    return retention.shrink_steps(spark, size=1_000_000, limit=-1, target=400_000, speed=70_000)
+
+
+@query(f"with {EVENT} select stream_id, seq, max(height) over (partition by stream_id order by seq) as tip from event_log")
+def running_tip(spark, d):
+    return metrics.running_tip(event_log(spark, d)).select("stream_id", "seq", "tip")
+
+
+_EDGES = metrics.exponential(*metrics.SIZE_BUCKETS)
+_EDGE_ROWS = ", ".join(f"({i}, {e!r})" for i, e in enumerate(_EDGES)) + f", ({len(_EDGES)}, 'infinity'::double)"
+
+
+@query(f"with {CONV}, e(le, edge) as (select * from (values {_EDGE_ROWS}) t) select block_type, cast(le as integer) as le, count(*) filter (where bytes <= edge) as n from conv_log cross join e group by 1, 2")
+def size_histogram(spark, d):
+    return metrics.histogram(conv_log(spark, d), F.col("bytes"), ["block_type"], _EDGES)
+
+
+@query(f"with {EVENT} select stream_id, cast(floor(epoch_ms(ts) / 1000 / 3600) * 3600 as bigint) as from_second, count(*) as msgs from event_log group by 1, 2")
+def throughput(spark, d):
+    return metrics.throughput(event_log(spark, d), 3600)
+
+
+@query(f"with {EVENT}, p as (select stream_id, seq, cast(floor(epoch_us(ts) / 1000000) as bigint) - cast(floor(epoch_us(lag(ts) over (partition by stream_id order by seq)) / 1000000) as bigint) as gap from event_log) select * from p where gap > 3600")
+def silence_gaps(spark, d):
+    return metrics.silences(event_log(spark, d), 3600)
+
+
+@query(f"with {EVENT} select stream_id, cast(sum(bytes) as bigint) as in_bytes, min(seq) - 1 as deleted_seq, max(seq) as known_seq, max(height) as known_height, arg_max(height, seq) as reader_height from event_log group by 1")
+def input_gauges(spark, d):
+    return metrics.input_gauges(event_log(spark, d))
+
+
+# --- payloads
+
+
+def _payloads(spark, d, kind):
+    blocks = chain_log(spark, d)
+    if kind != "proto_zstd":
+        blocks = blocks.filter("block_type = 0")
+    good = decoders.encode(blocks, kind)
+    return good.select("stream_id", "seq", F.when(F.col("seq") % 100 == 0, F.lit(b"\x07x")).otherwise(F.col("data")).alias("data"))
+
+
+def _decoded_sql(where: str) -> str:
+    keep = "case when seq % 100 <> 0 then {0} end as {0}"
+    cols = ", ".join(keep.format(c) for c in ("height", "block_type", "shard_id", "hash", "prev_hash"))
+    return f"with {CHAIN} select stream_id, seq, {cols}, seq % 100 = 0 as failed from chain_log {where}"
+
+
+def _decoded(spark, d, kind):
+    out = decoders.decode(_payloads(spark, d, kind), kind)
+    return out.select("stream_id", "seq", "height", F.col("block_type").cast("int").alias("block_type"), "shard_id", "hash", "prev_hash", F.col("decode_error").isNotNull().alias("failed"))
+
+
+@query(_decoded_sql("where block_type = 0"))
+def decode_json_lz4(spark, d):
+    return _decoded(spark, d, "json_lz4")
+
+
+@query(_decoded_sql("where block_type = 0"))
+def decode_cbor_map(spark, d):
+    return _decoded(spark, d, "cbor_map")
+
+
+@query(_decoded_sql(""))
+def decode_proto_zstd(spark, d):
+    return _decoded(spark, d, "proto_zstd")
+
+
+@query(f"with {CHAIN} select stream_id, seq, height, block_type, shard_id, false as failed from chain_log")
+def decode_headers_only(spark, d):
+    log = chain_log(spark, d).select("stream_id", "seq", F.create_map(F.lit("Nats-Msg-Id"), F.array(msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")))).alias("headers"))
+    out = decoders.decode(log, "headers_only")
+    return out.select("stream_id", "seq", "height", F.col("block_type").cast("int").alias("block_type"), "shard_id", F.col("decode_error").isNotNull().alias("failed"))
