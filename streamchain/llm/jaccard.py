@@ -21,8 +21,8 @@ _KEYS_SQL = "doc_id long, n_shingles long, digest binary"
 _INDEX = {"doc": pa.int64(), "n": pa.int32(), "signatures": pa.list_(pa.int64()), "places": pa.list_(pa.int32()), "tokens": pa.list_(pa.int64())}
 _INDEX_SQL = "doc long, n int, signatures array<long>, places array<int>, tokens array<long>"
 
-#: A shingle in more distinct sets than this is frequent, and is indexed in pairs.
-FREQUENT = 64
+#: A shingle in at most so many distinct sets is rare, and is indexed alone; others are indexed in pairs.
+RARE = 64
 #: Sets with as many shingles are indexed by single shingles alone: their prefixes are long, and hold too many pairs.
 LONG = 400
 
@@ -75,7 +75,7 @@ def _representatives(docs: pa.Table, listed: pa.Table, size: int) -> tuple[list[
     return kept, np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.cumsum([0, *map(len, parts)])
 
 
-def _signatures(token: np.ndarray, count: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _signatures(token: np.ndarray, count: np.ndarray, percent: int, rare: int, long: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes under which a set is indexed, and the place of their (first) shingle in the set's order: rare shingles first.
 
     Sets that share ``percent`` of their union share their first common shingle within their
@@ -87,10 +87,10 @@ def _signatures(token: np.ndarray, count: np.ndarray, percent: int) -> tuple[np.
     least = -(-n * percent // 100)
     order = np.lexsort((token, count))
     token, count = token[order], count[order]
-    single = np.flatnonzero((count[: n - least + 1] > 1) & ((count[: n - least + 1] <= FREQUENT) | (n >= LONG)))
+    single = np.flatnonzero((count[: n - least + 1] > 1) & ((count[: n - least + 1] <= rare) | (n >= long)))
     out, places = [token[single]], [single]
-    if n * percent < LONG * 100:
-        frequent = np.flatnonzero(count[: min(n, n - least + 2)] > FREQUENT)
+    if n * percent < long * 100:
+        frequent = np.flatnonzero(count[: min(n, n - least + 2)] > rare)
         if len(frequent) > 1:
             a, b = np.triu_indices(len(frequent), 1)
             a, b = frequent[a], frequent[b]
@@ -100,7 +100,7 @@ def _signatures(token: np.ndarray, count: np.ndarray, percent: int) -> tuple[np.
     return np.concatenate(out), np.concatenate(places)
 
 
-def _indexed(spark: SparkSession, docs: DataFrame, listed: DataFrame, size: int, percent: int, blocks: int) -> DataFrame:
+def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare: int, long: int, blocks: int) -> DataFrame:
     """doc, n, signatures, places and tokens of each representative that shares an indexed shingle with another one."""
     dealt = blocked(docs, blocks).groupBy("block")
     listed = listed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
@@ -141,7 +141,7 @@ def _indexed(spark: SparkSession, docs: DataFrame, listed: DataFrame, size: int,
         count = count[back]
         out = []
         for k, doc in enumerate(ids):
-            signatures, places = _signatures(token[at[k] : at[k + 1]], count[at[k] : at[k + 1]], percent)
+            signatures, places = _signatures(token[at[k] : at[k + 1]], count[at[k] : at[k + 1]], percent, rare, long)
             if len(signatures):
                 out.append((doc, int(at[k + 1] - at[k]), signatures.view(np.int64), places.astype(np.int32), token[at[k] : at[k + 1]].view(np.int64)))
         return table(_INDEX, out)
@@ -160,7 +160,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * share >= percent * (F.size("tokens") + F.size("other") - share)).select("a", "b")
 
 
-def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85, blocks: int | None = None) -> DataFrame:
+def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85, rare: int = RARE, long: int = LONG, blocks: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that a document reaches by links.
 
     docs: doc_id, text; other columns are not read. A set has the distinct shingles of ``size``
@@ -172,24 +172,25 @@ def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85,
     Rows with equal sets are one class, for which its smallest id stands. Representatives send
     their shingles to shards (packed, see blocks) and learn how many others have each. Ordered
     from rare to frequent, a prefix of each set is indexed: rare shingles alone, frequent ones
-    in pairs. In each index entry all members are first compared with its smallest only; then
-    members of an entry that are still in different components are compared among each other.
-    So a group of near copies costs about a comparison a member, and no link between
-    components is lost.
+    in pairs. In each index entry all members are first compared with one only: the one with
+    the fewest rarer shingles, which in a group of near copies is nearest to their common
+    source. Then members of an entry that are still in different components are compared among
+    each other, unless the places of the shingle rule a link out. So a group of near copies
+    costs about a comparison a member, and no link between components is lost.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = cut(docs.mapInArrow(_set_keys(size), _KEYS_SQL))
     classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
     listed = classes.select(F.col("first").alias("doc_id"), "digest")
-    index = cut(_indexed(spark, docs, listed, size, percent, blocks or block_count(docs)))
+    index = cut(_indexed(docs, listed, size, percent, rare, long, blocks or block_count(docs)))
     sets = index.select("doc", "tokens")
     entries = index.select("doc", "n", F.explode(F.arrays_zip("signatures", "places")).alias("e")).select("doc", "n", F.col("e.signatures").alias("signature"), F.col("e.places").alias("place"))
-    hubs = entries.groupBy("signature").agg(F.min(F.struct("doc", "n", "place")).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("signature", "hub")
+    hubs = entries.groupBy("signature").agg(F.min(F.struct("place", "doc", "n")).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("signature", "hub")
     entries = entries.join(hubs, "signature")
-    # o of the larger set is at most what both have left from this place on, if it is the first that they share
-    fits = lambda n, p, m, q: F.least(F.col(n) - F.col(p), F.col(m) - F.col(q)) * 100 >= percent * F.greatest(n, m)
+    # if this shingle is the first that two sets share, they share no more than what either has from its place on
+    fits = lambda n, p, m, q: F.least(F.col(n) - F.col(p), F.col(m) - F.col(q)) * (100 + percent) >= percent * (F.col(n) + F.col(m))
     starred = entries.filter("doc <> hub.doc").filter(fits("n", "place", "hub.n", "hub.place"))
-    tried = cut(starred.select(F.col("hub.doc").alias("a"), F.col("doc").alias("b")).distinct())
+    tried = cut(starred.select(F.least("hub.doc", "doc").alias("a"), F.greatest("hub.doc", "doc").alias("b")).distinct())
     links = cut(_similar(tried, sets, percent))
     part = components(spark, links)
     named = entries.select("signature", "doc", "n", "place").join(part.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
