@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,37 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text bytes that one step of a task works on; bounds a worker's memory whatever the batch size is.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
+
+
+@lru_cache(1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return lambda _: 0
+
+
+def release() -> None:
+    """Give free memory back to the system: workers outlive their tasks, and others on the machine need it."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
+def freed(f):
+    """The function of a group (key, rows) or of two (key, left, right), which releases what it has freed whenever it returns."""
+
+    def one(key, rows):
+        out = f(key, rows)
+        release()
+        return out
+
+    def two(key, left, right):
+        out = f(key, left, right)
+        release()
+        return out
+
+    return one if f.__code__.co_argcount == 2 else two
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -25,6 +57,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
             end = max(at + 1, int(np.searchsorted(size, before + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+            release()
 
 
 def texts(column) -> pa.Array:
@@ -33,7 +66,30 @@ def texts(column) -> pa.Array:
         column = column.combine_chunks()
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    return _packed(pc.fill_null(column.cast(pa.large_string()), ""))
+
+
+def _parts(column: pa.Array) -> tuple[np.ndarray, bytes | pa.Buffer]:
+    """Offsets from 0 on, and the bytes that they speak of."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return at - at[0], data.slice(at[0], at[-1] - at[0]) if data is not None else b""
+
+
+def _packed(column: pa.Array) -> pa.Array:
+    """The same strings in a buffer of their own: some of Arrow's kernels misread one that begins in the middle of another's."""
+    if not len(column):
+        return pa.array([], pa.large_string())
+    at, data = _parts(column)
+    return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(at), pa.py_buffer(data))
+
+
+def ascii_lower(column: pa.Array) -> pa.Array:
+    """Large strings without nulls with A-Z in lower case, and nothing else changed."""
+    if not len(column):
+        return column
+    at, data = _parts(column)
+    return pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(at), pa.py_buffer(bytes(data).lower()))
 
 
 def split_words(column: pa.Array) -> tuple[np.ndarray, pa.Array]:

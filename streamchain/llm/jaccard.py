@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import chunks, mixed, rolling, split_words, texts, word_hashes
+from .arrow import ascii_lower, chunks, freed, mixed, rolling, split_words, texts, word_hashes
 from .blocks import block_count, blocked, by_shard, from_planes, keys, planes, runs, table
 from .components import components, cut
 
@@ -29,7 +29,7 @@ LONG = 400
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, sorted, one text after the other; and where each text's begin (one entry more)."""
-    first, words = split_words(pc.ascii_lower(column))
+    first, words = split_words(ascii_lower(column))
     h = word_hashes(words)
     n = np.diff(first)
     doc = np.repeat(np.arange(len(n)), n)
@@ -105,6 +105,7 @@ def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare:
     dealt = blocked(docs, blocks).groupBy("block")
     listed = listed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
 
+    @freed
     def send(key, found, rows):
         _, token, _ = _representatives(found, rows, size)
         every = np.sort(keys(token, blocks))
@@ -114,6 +115,7 @@ def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare:
         low = (every & np.uint64(0xFFFFFFFF)).astype("<u4")
         return table(_SENT, [(s, key[0].as_py(), low[b:e].tobytes(), count[b:e].tobytes()) for s, b, e in zip(*by_shard(every), strict=True)])
 
+    @freed
     def total(key, found):
         rows = found.to_pylist()
         own = [np.frombuffer(r["data"], "<u4") for r in rows]
@@ -127,6 +129,7 @@ def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare:
                 out.append((r["block"], key[0].as_py(), np.packbits(common).tobytes(), planes(count[common])))
         return table(_REPLY, out)
 
+    @freed
     def index(key, found, rows):
         kind = rows.column("digest").is_null()
         ids, token, at = _representatives(found, rows.filter(pc.invert(kind)), size)
@@ -184,7 +187,12 @@ def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85,
     listed = classes.select(F.col("first").alias("doc_id"), "digest")
     index = cut(_indexed(docs, listed, size, percent, rare, long, blocks or block_count(docs)))
     sets = index.select("doc", "tokens")
-    entries = index.select("doc", "n", F.explode(F.arrays_zip("signatures", "places")).alias("e")).select("doc", "n", F.col("e.signatures").alias("signature"), F.col("e.places").alias("place"))
+
+    def exploded(rows: DataFrame, *more) -> DataFrame:
+        zipped = rows.select("doc", "n", *more, F.explode(F.arrays_zip("signatures", "places")).alias("e"))
+        return zipped.select("*", F.col("e.signatures").alias("signature"), F.col("e.places").alias("place")).drop("e")
+
+    entries = exploded(index)
     hubs = entries.groupBy("signature").agg(F.min(F.struct("place", "doc", "n")).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("signature", "hub")
     entries = entries.join(hubs, "signature")
     # if this shingle is the first that two sets share, they share no more than what either has from its place on
@@ -193,7 +201,7 @@ def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85,
     tried = cut(starred.select(F.least("hub.doc", "doc").alias("a"), F.greatest("hub.doc", "doc").alias("b")).distinct())
     links = cut(_similar(tried, sets, percent))
     part = components(spark, links)
-    named = entries.select("signature", "doc", "n", "place").join(part.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+    named = exploded(index.join(part.withColumnRenamed("node", "doc"), "doc", "left"), F.coalesce("component", "doc").alias("component"))
     open_ = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
     named = cut(named.join(open_, "signature"))
     left, right = (named.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "place", "component")]) for s in ("a", "b"))

@@ -11,11 +11,10 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import chunks, mixed, split_words, texts, word_hashes
+from .arrow import ascii_lower, chunks, freed, mixed, split_words, texts, word_hashes
 from .blocks import block_count, from_planes, planes, runs, table
 from .components import shared_folder
 
@@ -37,7 +36,7 @@ def _hash(words: pa.Array) -> np.ndarray:
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, token before it, where each text's tokens begin): lower-cased words, then an end."""
-    first, words = split_words(pc.ascii_lower(column))
+    first, words = split_words(ascii_lower(column))
     h = _hash(words)
     token = np.insert(h, first[1:], END)
     at = first + np.arange(len(first))
@@ -171,7 +170,7 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
     n = shards or block_count(docs)
 
     def send(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=16 << 20):
             token, before, _ = tokens(texts(batch.column("text")))
             if not len(token):
                 continue
@@ -190,6 +189,7 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])], ["shard", "contexts", "lengths", "words", "counts"])
 
+    @freed
     def merge(key, found):
         rows, shard = found.to_pylist(), key[0].as_py()
         before = np.concatenate([np.repeat(_wide(r["contexts"]), from_planes(r["lengths"], "<u4")) for r in rows])
@@ -219,6 +219,7 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
         out.append((n, b"", b"", np.array(kinds_of_counts, "<i8").tobytes()))
         return table(_WORDS, out)
 
+    @freed
     def close(key, found):
         rows, shard = found.to_pylist(), key[0].as_py()
         if shard == n:
@@ -295,7 +296,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         scorer = Scorer(model)
-        for batch in chunks(batches, limit=8 << 20):
+        for batch in chunks(batches, limit=4 << 20):
             token, before, at = tokens(texts(batch.column("text")))
             p, count = scorer.log10(token, before)
             base = np.log10((count + 0.1) / (model.tokens + 0.1 * (model.types + 1)))

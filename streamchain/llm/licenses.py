@@ -51,7 +51,7 @@ def digest(text: Column) -> Column:
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     """license_id, kind and digest of the known texts, made with the same expressions as those of documents."""
     rows = [F.struct(F.lit(i).alias("license_id"), F.lit(k).alias("kind"), F.lit(t).alias("body")) for i, k, t in known]
-    table = spark.range(1).select(F.explode(F.array(*rows)).alias("k")).select("k.license_id", "k.kind", digest(F.col("k.body")).alias("known"))
+    table = spark.range(1).select(F.explode(F.array(*rows).cast("array<struct<license_id:string,kind:string,body:string>>")).alias("k")).select("k.license_id", "k.kind", digest(F.col("k.body")).alias("known"))
     return table.groupBy("kind", "known").agg(F.min("license_id").alias("license_id"))
 
 

@@ -13,9 +13,11 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .arrow import chunks, split_words, texts
+from .arrow import ascii_lower, chunks, split_words, texts
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+#: Text bytes of a chunk (the larger, the fewer words are encoded again), and words that are encoded at a time.
+CHUNK_BYTES, ENCODED = 16 << 20, 1 << 14
 _TYPES = (pa.int64(),) * 7
 _NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -30,7 +32,9 @@ def load_tokenizer(path: str):
 def _gather(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The stretches of ``flat`` that begin at ``begins``, one after the other."""
     after = np.cumsum(sizes)
-    return flat[np.repeat(begins - (after - sizes), sizes) + np.arange(after[-1] if len(after) else 0)]
+    at = np.repeat((begins - (after - sizes)).astype(np.int32), sizes)
+    at += np.arange(len(at), dtype=np.int32)
+    return flat[at]
 
 
 def _units(words: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -40,7 +44,7 @@ def _units(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     Words that might spell a special token, which is matched before that, stay as they are.
     """
     plain = pc.invert(pc.match_substring(words, "<|"))
-    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    words = pc.if_else(plain, ascii_lower(words), words)
     stem = pc.utf8_rtrim(words, characters=punctuation)
     cut = pc.and_(plain, pc.match_substring_regex(stem, "[a-z0-9]$"))
     stem = pc.if_else(cut, stem, words)
@@ -56,9 +60,12 @@ def encoded(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.nd
     first, words = split_words(column)
     coded = words.dictionary_encode()
     parts = pa.concat_arrays(_units(coded.dictionary)).dictionary_encode()
-    pieces = [e.ids for e in tokenizer.encode_batch_fast(parts.dictionary.to_pylist(), add_special_tokens=False)]
-    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    flat = np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes.sum()))
+    units, flat, sizes = parts.dictionary, [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+    for k in range(0, len(units), ENCODED):
+        pieces = [e.ids for e in tokenizer.encode_batch_fast(units.slice(k, ENCODED).to_pylist(), add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        flat.append(np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes[-1].sum())))
+    flat, sizes = np.concatenate(flat), np.concatenate(sizes)
     # units -> distinct words (a stem and a tail each) -> words -> texts
     unit = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(2, -1).T.ravel()
     flat, sizes = _gather(flat, (np.cumsum(sizes) - sizes)[unit], sizes[unit]), sizes[unit].reshape(-1, 2).sum(1)
@@ -179,7 +186,7 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     def run(batches):
         tokenizer = load_tokenizer(tokenizer_path)
         packer = Packer(capacity, most_open, TaskContext.get().partitionId() << 32)
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=CHUNK_BYTES):
             ids, at = encoded(tokenizer, texts(batch.column("text")), end_id)
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 packer.add(doc, ids[at[k] : at[k + 1]].copy())

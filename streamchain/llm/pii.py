@@ -35,22 +35,36 @@ AGAINST = r"version|release|build|isbn|issn|token|hash|sha|uuid|serial|\bpin\b|\
 LABELERS = ("pattern", "gazetteer", "context", "shape", "border")
 
 
-def _matches(text: Column, pattern: str, worth: Column, hint: Column) -> Column:
-    """Matches of the pattern as structs of begin, end (code points), body, and what stands left and right; those alone that are worth it."""
+_SPAN = "struct<begin:int,end:int,body:string,left:string,right:string>"
+#: Matches that are put in one array at a time; those arrays are joined then, so that a long text's many matches aren't copied for each.
+_BATCH = 128
+
+
+def _matches(text: Column, pattern: str, worth, hint: Column) -> Column:
+    """Matches of the pattern as structs of begin, end (code points), body, and what stands left and right; those alone whose body is worth it. Null where the hint rules all out."""
     between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    kind = "struct<at:int,found:array<struct<begin:int,end:int,body:string,left:string,right:string>>>"
     steps = F.arrays_zip(found.alias("body"), F.slice(between, 1, F.size(found)).alias("before"), F.slice(between, 2, F.size(found)).alias("after"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.length(x["before"])
         end = begin + F.length(x["body"])
         one = F.struct(begin.alias("begin"), end.alias("end"), x["body"].alias("body"), F.right(x["before"], F.lit(40)).alias("left"), F.left(x["after"], F.lit(8)).alias("right"))
-        return F.struct(end.alias("at"), F.when(worth_of(x["body"]), F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"))
+        return F.struct(end.alias("at"), F.when(worth(x["body"]), F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"))
+
+    def batches(steps: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("found"))
+        each = F.transform(F.sequence(F.lit(1), F.size(steps), F.lit(_BATCH)), lambda i: F.slice(steps, i, F.lit(_BATCH)))
+        both = F.aggregate(each, start, lambda acc, own: _append(acc, F.aggregate(own, F.struct(acc["at"].alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found")), step)))
+        return F.flatten(both["found"])
+
+    # bound once as a lambda's variable, since an expression that is named twice is computed twice
+    once = F.flatten(F.transform(F.filter(F.array(steps), lambda s: F.size(s) > 0), batches))
+    return F.when(hint, once)
+
 
-    worth_of = worth if callable(worth) else (lambda _: worth)
-    start = F.struct(F.lit(0).alias("at"), F.from_json(F.lit("[]"), "array<struct<begin:int,end:int,body:string,left:string,right:string>>").alias("found")).cast(kind)
-    none = F.lit(None).cast("array<struct<begin:int,end:int,body:string,left:string,right:string>>")
-    return F.when(hint, F.aggregate(steps, start, step, lambda acc: acc["found"])).otherwise(none)
+def _append(acc: Column, own: Column) -> Column:
+    together = F.transform(F.array(own), lambda o: F.struct(o["at"].alias("at"), F.concat(acc["found"], F.array(o["found"])).alias("found")))
+    return F.get(together, F.lit(0))
 
 
 def _digits(body: Column) -> Column:
@@ -94,7 +108,7 @@ def _labelled(kind: str, strict: bool, spans: Column) -> Column:
             F.least(F.lit(3), F.floor(F.length(body) / 8)).cast("int").alias("size"),
         )
 
-    return F.transform(F.coalesce(spans, F.from_json(F.lit("[]"), "array<struct<begin:int,end:int,body:string,left:string,right:string>>")), one)
+    return F.transform(F.coalesce(spans, F.array().cast(f"array<{_SPAN}>")), one)
 
 
 def candidates(text: Column) -> Column:

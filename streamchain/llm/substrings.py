@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrow import rolling, split_words, texts, word_hashes
+from .arrow import freed, rolling, split_words, texts, word_hashes
 from .blocks import block_count, blocked, by_shard, keys, runs, table
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -129,12 +129,14 @@ def deduplicate(docs: DataFrame, window: int = 13, blocks: int | None = None) ->
     n = blocks or block_count(docs)
     dealt = blocked(docs, n)
 
+    @freed
     def send_anchors(key, found):
         block = Block(found, window, n)
         block.anchors()
         low = (block.key & np.uint64(0xFFFFFFFF)).astype("<u4")
         return table(_SENT, [(s, key[0].as_py(), low[b:e].tobytes(), np.packbits(block.many[b:e]).tobytes()) for s, b, e in zip(*by_shard(block.key), strict=True)])
 
+    @freed
     def match_anchors(key, found):
         rows = found.to_pylist()
         own = [np.frombuffer(r["data"], "<u4") for r in rows]
@@ -150,11 +152,13 @@ def deduplicate(docs: DataFrame, window: int = 13, blocks: int | None = None) ->
                 out.append((r["block"], 1, key[0].as_py(), np.packbits(flags).tobytes()))
         return table(_REPLY, out)
 
+    @freed
     def send_windows(key, found, replies):
         block = Block(found, window, n)
         block.candidates(_replies(replies, 1))
         return table(_SENT, [(s, key[0].as_py(), block.win[b:e].tobytes(), b"") for s, b, e in block.window_shards()])
 
+    @freed
     def match_windows(key, found):
         rows = found.to_pylist()
         own = [np.frombuffer(r["data"], _WINDOW) for r in rows]
@@ -172,6 +176,7 @@ def deduplicate(docs: DataFrame, window: int = 13, blocks: int | None = None) ->
                 out.append((r["block"], 2, key[0].as_py(), np.packbits(flags).tobytes()))
         return table(_REPLY, out)
 
+    @freed
     def strip(key, found, replies):
         block = Block(found, window, n)
         block.candidates(_replies(replies, 1))
