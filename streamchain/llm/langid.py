@@ -88,19 +88,24 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, clusters: int = 4, slack: float = 0.6) -> Model:
+def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, languages: int = 400, clusters: int = 4, slack: float = 0.6) -> Model:
     """Learn from docs (doc_id, text, lang): rows with all three, ``per_language`` documents a language and about ``sample`` in all.
 
-    The sample is bounded by its parameters: of each language the documents whose hashed ids are
-    least, fewer a language if there are many, 20 at least. Only ids and languages are sorted;
-    the texts of the sample are then vectorised in tasks. A language's floor is ``slack`` times
-    the likeness that all but a hundredth of its sample reach.
+    The sample is bounded by its parameters: of each of the ``languages`` most frequent ones the
+    documents whose hashed ids are least, fewer a language if there are many, 20 at least.
+    Languages are counted over all rows; then the rows whose hash lies below a share that
+    holds twice the wanted number are ranked, so no language gathers in one task, and the
+    texts of the sample are vectorised in tasks. A language's floor is ``slack`` times the
+    likeness that all but a hundredth of its sample reach.
     """
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
-    known = labelled.agg(F.approx_count_distinct("lang")).first()[0]
-    each = max(20, min(per_language, sample // max(1, known)))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = labelled.select("doc_id", "lang").withColumn("rank", rank).filter(F.col("rank") <= each).select("doc_id").distinct()
+    known = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    each = max(20, min(per_language, sample // max(1, len(known))))
+    share = F.create_map(*(F.lit(x) for r in known for x in (r["lang"], 2.0 * each / r["count"]))) if known else F.lit(None).cast("map<string,double>")
+    place = F.xxhash64("doc_id")
+    few = labelled.select("doc_id", "lang").filter(F.pmod(place, F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * (1 << 40))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(place, F.lit(1 << 40)), "doc_id"))
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("doc_id").distinct()
 
     def vectors(batches):
         for batch in chunks(batches, limit=4 << 20):
