@@ -6,7 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrow import texts
@@ -102,6 +102,21 @@ def _pairs(batches):
     assert held is None
 
 
+def _longs(values: list) -> Column:
+    """A literal array, as one constant of the plan."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def _stretch(place: Column, cuts: list[int]) -> Column:
+    """How many of the ascending cuts are at most ``place``: looked for among every g-th, then among g of them."""
+    if not cuts:
+        return F.lit(0)
+    g = max(1, round(len(cuts) ** 0.5))
+    coarse = F.size(F.filter(_longs(cuts[::g]), lambda c: c <= place))
+    group = F.slice(_longs(cuts), (coarse - 1) * g + 1, F.lit(g))
+    return F.when(coarse == 0, 0).otherwise((coarse - 1) * g + F.size(F.filter(group, lambda c: c <= place))).cast("int")
+
+
 def edit_likeness(docs: DataFrame, stretches: int | None = None) -> DataFrame:
     """Each text's fingerprint beside that of its edited form and of the next document.
 
@@ -118,16 +133,16 @@ def edit_likeness(docs: DataFrame, stretches: int | None = None) -> DataFrame:
     n = stretches or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = docs.agg(F.percentile_approx("place", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
     cuts = sorted(set(cuts)) if n > 1 else []
-    stretch = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<long>"), lambda c: c <= F.col("place"))) if cuts else F.lit(0)
-    docs = docs.withColumn("stretch", stretch)
+    docs = docs.withColumn("stretch", _stretch(F.col("place"), cuts))
     first = {r[0]: r[1] for r in docs.groupBy("stretch").agg(F.min("place")).collect()}
     if not first:
         return docs.sparkSession.createDataFrame([], RESULT)
     order = sorted(first)
-    before = {first[s]: order[k - 1] for k, s in enumerate(order)}
-    lookup = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
-    ahead = F.struct(F.element_at(lookup, F.col("place")).alias("stretch"), F.lit(True).alias("ahead"))
-    to = F.array_compact(F.array(F.struct("stretch", F.lit(False).alias("ahead")), F.when(F.element_at(lookup, F.col("place")).isNotNull(), ahead)))
+    before = {s: order[k - 1] for k, s in enumerate(order)}
+    # by stretch, its first place and the stretch before it; looked up by index, and never for a stretch without rows
+    firsts, befores = (_longs([table.get(s, 0) for s in range(len(cuts) + 1)]) for table in (first, before))
+    ahead = F.struct(F.get(befores, F.col("stretch")).cast("int").alias("stretch"), F.lit(True).alias("ahead"))
+    to = F.array_compact(F.array(F.struct("stretch", F.lit(False).alias("ahead")), F.when(F.get(firsts, F.col("stretch")) == F.col("place"), ahead)))
     placed = docs.select("doc_id", "text", "place", F.explode(to).alias("to")).select("doc_id", "text", "place", "to.*")
     placed = placed.repartitionById(len(cuts) + 1, F.col("stretch").cast("int"))
     return placed.sortWithinPartitions("stretch", "ahead", "place", F.coalesce("text", F.lit(""))).mapInArrow(_pairs, RESULT)
