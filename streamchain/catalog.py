@@ -440,6 +440,32 @@ def head_tracking(spark, d):
     return merge.heads(noisy_log(spark, d))
 
 
+@query(f"with {CHAIN}, h as (select stream_id, max(height) filter (where stream_id <> 6) as hh from chain_log where block_type = 0 and height < 400 group by 1) select stream_id, coalesce(hh + 1, 500) as target_height from h")
+def target_height(spark, d):
+    head = chain_log(spark, d).filter("block_type = 0 and height < 400").groupBy("stream_id").agg(F.max(F.when(F.col("stream_id") != 6, F.col("height"))).alias("head_height"))
+    return merge.target_height(head, 500)
+
+
+@query(f"with {CHAIN}, k as (select stream_id, max(seq) as known from chain_log group by 1) select stream_id, seq, height, height <= 600 and least(600 - height, known - seq) <= 100 as close from chain_log join k using (stream_id)")
+def golden_window(spark, d):
+    log = chain_log(spark, d)
+    known = log.groupBy("stream_id").agg(F.max("seq").alias("known"))
+    return log.join(known, "stream_id").select("stream_id", "seq", "height", merge.is_close(F.lit(600), F.col("known")).alias("close"))
+
+
+@query(f"with {NOISY} select stream_id, seq, 'OK' as reason, 'ok' as class from noisy_log")
+def verify_transparent(spark, d):
+    return _audit(noisy_log(spark, d), verify.Transparent())
+
+
+@query(f"with {NOISY} select stream_id, block_type, case block_type when 0 then '[H]' when 1 then '[B]' else 'Unknown' end as name, count(*) as n from noisy_log group by 1, 2, 3")
+def block_type_names(spark, d):
+    from .schema import BLOCK_TYPE_NAMES
+
+    name = F.element_at(F.create_map(*(F.lit(x) for pair in BLOCK_TYPE_NAMES.items() for x in pair)), F.col("block_type"))
+    return noisy_log(spark, d).groupBy("stream_id", "block_type").agg(F.count("*").alias("n")).select("stream_id", "block_type", name.alias("name"), "n")
+
+
 _ID = "case when block_type = 1 then height || '.' || shard_id else cast(height as varchar) end"
 _WRITES = f"""{CHAIN}, m as (select stream_id, seq, {_ID} as msg_id from chain_log), top as (select stream_id, max(seq) - 5 as t from m group by 1),
 snap as (select m.* from m join top using (stream_id) where seq between 10 and t and seq % 97 <> 0),

@@ -60,6 +60,20 @@ def write_check(rows: DataFrame, head: DataFrame, start_height: int = 0, contigu
     return both.withColumn("status", status).drop("head_height", "head_hash", "known")
 
 
+#: How far from an input's end, or from the target, a row may be to count as close. Fixed value.
+CLOSE = 100
+
+
+def target_height(head: DataFrame, start_height: int) -> DataFrame:
+    """stream_id and the height that an output wants next: after its head's, or the start height while it is empty (null head_height)."""
+    return head.select("stream_id", F.coalesce(F.col("head_height") + 1, F.lit(start_height).cast("long")).alias("target_height"))
+
+
+def is_close(target: Column, known_seq: Column, close: int = CLOSE) -> Column:
+    """Whether a row shows that an input is at work near its target: not above it, and near it or near the input's known end."""
+    return (F.col("height") <= target) & (F.least(target - F.col("height"), known_seq - F.col("seq")) <= close)
+
+
 def input_counts(rows: DataFrame, target: Column) -> DataFrame:
     """By input: rows, those that the header rule skips, and those handled."""
     skipped = F.col("height") < target

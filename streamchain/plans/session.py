@@ -1,0 +1,62 @@
+"""What drives programs over time: sessions that start again, and their resume points."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import time
+from collections.abc import Callable
+
+#: Seconds that an iteration of a restarted job takes at least. Fixed value.
+LEAST_SECONDS = 3.0
+
+
+class Desync(Exception):
+    """The input can't be followed from here; a new seek may help."""
+
+
+def with_reseeks(session: Callable[[], None], most: int = -1, delay: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> int:
+    """Run sessions until one ends without a desync; how often it had to seek again. Raises the last Desync beyond ``most`` (negative: no limit)."""
+    tries = 0
+    while True:
+        try:
+            session()
+            return tries
+        except Desync:
+            if 0 <= most <= tries:
+                raise
+            tries += 1
+            sleep(delay)
+
+
+def restarted(job: Callable[[], bool], least: float = LEAST_SECONDS, sleep: Callable[[float], None] = time.sleep, clock: Callable[[], float] = time.monotonic, failed: Callable[[Exception], None] | None = None) -> None:
+    """Run the job again and again, whatever it raises, until it returns True; never more often than every ``least`` seconds."""
+    while True:
+        began = clock()
+        try:
+            if job():
+                return
+        except Exception as e:  # noqa: BLE001  that is what a restarter is for
+            if failed:
+                failed(e)
+        sleep(max(0.0, least - (clock() - began)))
+
+
+def save_seq(path: str, seq: int) -> None:
+    """Write a resume point; the file holds the old one or the new one, whatever happens."""
+    folder = os.path.dirname(os.path.abspath(path))
+    handle, part = tempfile.mkstemp(dir=folder)
+    with os.fdopen(handle, "w") as f:
+        f.write(f"{seq}\n")
+        f.flush()
+        os.fsync(f.fileno())
+    os.replace(part, path)
+
+
+def load_seq(path: str) -> int:
+    """The saved resume point: the file's first word. 0 without a file, or with none in it."""
+    try:
+        with open(path) as f:
+            return int(f.read().split()[0])
+    except (OSError, IndexError, ValueError):
+        return 0

@@ -1,0 +1,45 @@
+import pytest
+
+from streamchain.plans.session import Desync, load_seq, restarted, save_seq, with_reseeks
+
+
+def test_reseeks():
+    left = [True, True, False]
+    waits = []
+
+    def session():
+        if left.pop(0):
+            raise Desync
+
+    assert with_reseeks(session, delay=2, sleep=waits.append) == 2 and waits == [2, 2]
+    with pytest.raises(Desync):
+        with_reseeks(lambda: (_ for _ in ()).throw(Desync()), most=1, sleep=waits.append)
+    with pytest.raises(KeyError):
+        with_reseeks(lambda: {}["x"])
+
+
+def test_restarts():
+    now, waits, errors, runs = [0.0], [], [], []
+
+    def job():
+        runs.append(1)
+        now[0] += 1
+        if len(runs) == 1:
+            raise ValueError("once")
+        return len(runs) == 3
+
+    restarted(job, 3, waits.append, lambda: now[0], errors.append)
+    assert waits == [2, 2] and [str(e) for e in errors] == ["once"] and len(runs) == 3
+
+
+def test_saved_seqs(tmp_path):
+    path = f"{tmp_path}/at"
+    assert load_seq(path) == 0
+    save_seq(path, 5)
+    save_seq(path, 77)
+    assert load_seq(path) == 77 and len(list(tmp_path.iterdir())) == 1
+    for text in ("", "x", " \n"):
+        (tmp_path / "at").write_text(text)
+        assert load_seq(path) == 0
+    (tmp_path / "at").write_text(" 12 34\n")
+    assert load_seq(path) == 12
