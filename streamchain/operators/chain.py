@@ -23,17 +23,15 @@ def records(log: DataFrame, segment: int = prefix.SEGMENT) -> DataFrame:
     those accepted there. Two prefix passes; the second only sees shards of the block that
     was open when they came, so its windows are as small as a block.
     """
-    first = log.groupBy("stream_id").agg(F.min("seq").alias("first_seq"))
-    log = log.join(first, "stream_id")
-    opens = (F.col("block_type") == 0) | (F.col("seq") == F.col("first_seq"))
-    log = prefix.before(log, {"top": ("max", F.when(opens, F.col("height")))}, segment=segment)
+    specs = {"announced": ("max", F.when(F.col("block_type") == 0, F.col("height"))), "opened": ("first", F.col("height"))}
+    log = prefix.before(log, specs, segment=segment).withColumn("top", F.greatest("announced", "opened"))
     higher = F.col("top").isNull() | ((F.col("block_type") == 0) & (F.col("height") > F.col("top")))
     inside = (F.col("block_type") == SHARD) & (F.col("height") == F.col("top"))
     kept = log.filter(higher | inside)
     earlier = Window.partitionBy("stream_id", "height").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     kept = kept.withColumn("before", F.max(F.when(F.col("block_type") == SHARD, F.col("shard_id"))).over(earlier))
     accepted = F.col("top").isNull() | (F.col("height") > F.col("top")) | F.col("before").isNull() | (F.col("shard_id") > F.col("before"))
-    return kept.filter(accepted).drop("first_seq", "top", "before")
+    return kept.filter(accepted).drop("announced", "opened", "top", "before")
 
 
 def island(log: DataFrame) -> DataFrame:

@@ -17,16 +17,23 @@ SEGMENT = 1 << 20
 def _joined(kind: str, carry: Column, local: Column) -> Column:
     if kind == "sum":
         return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
+    if kind == "first":
+        return F.coalesce(carry, local)
     return {"max": F.greatest, "min": F.least, "last": F.coalesce}[kind](local, carry)
 
 
+def segmented(log: DataFrame, order: str = "seq", segment: int = SEGMENT) -> DataFrame:
+    """The rows with their segment. ``before`` uses it where it is there, and leaves it: passes over one log then share its partitioning."""
+    return log.withColumn("__segment", F.floor(F.col(order) / segment).cast("long"))
+
+
 def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str, ...] = ("stream_id",), order: str = "seq", segment: int = SEGMENT, descending: bool = False) -> DataFrame:
     """The rows with a column for each spec (kind, expression): its aggregate over the rows of the same log that come strictly before.
 
-    Kinds: max, min, sum (0 before the first row), last (the latest value that isn't null).
+    Kinds: max, min, sum (0 before the first row), first and last (of the values that aren't null).
     """
-    cut = F.floor(F.col(order) / segment).cast("long")
-    log = log.withColumn("__segment", cut)
+    given = "__segment" in log.columns
+    log = log if given else segmented(log, order, segment)
     for name, (_, expression) in specs.items():
         log = log.withColumn(f"__{name}", expression)
     turn = (lambda c: F.col(c).desc()) if descending else F.col
@@ -34,13 +41,15 @@ def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str,
     earlier = Window.partitionBy(*by).orderBy(turn("__segment")).rowsBetween(Window.unboundedPreceding, -1)
 
     def over(kind: str, column: Column, window) -> Column:
-        return {"max": F.max, "min": F.min, "sum": F.sum}[kind](column).over(window) if kind != "last" else F.last(column, ignorenulls=True).over(window)
+        if kind in ("first", "last"):
+            return {"first": F.first, "last": F.last}[kind](column, ignorenulls=True).over(window)
+        return {"max": F.max, "min": F.min, "sum": F.sum}[kind](column).over(window)
 
     def total(kind: str, name: str) -> Column:
         column = F.col(f"__{name}")
-        if kind != "last":
+        if kind not in ("first", "last"):
             return {"max": F.max, "min": F.min, "sum": F.sum}[kind](column)
-        pick = F.min_by if descending else F.max_by
+        pick = F.max_by if (kind == "last") != descending else F.min_by
         return pick(column, F.when(column.isNotNull(), F.col(order)))
 
     totals = log.groupBy(*by, "__segment").agg(*[total(kind, name).alias(f"__total_{name}") for name, (kind, _) in specs.items()])
@@ -49,7 +58,7 @@ def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str,
     both = local.join(carries, [*by, "__segment"])
     for name, (kind, _) in specs.items():
         both = both.withColumn(name, _joined(kind, F.col(f"__carry_{name}"), F.col(f"__local_{name}")))
-    return both.drop(*[c for c in both.columns if c.startswith("__")])
+    return both.drop(*[c for c in both.columns if c.startswith("__") and not (given and c == "__segment")])
 
 
 def previous(log: DataFrame, columns: dict[str, str], by: tuple[str, ...] = ("stream_id",), order: str = "seq", segment: int = SEGMENT) -> DataFrame:

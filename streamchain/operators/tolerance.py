@@ -59,15 +59,15 @@ def counters(log: DataFrame, class_column: str = "class", segment: int = prefix.
     """
     kind = F.col(class_column)
     raised = {f"up_{c}": ("sum", F.when(kind.isin(*up), 1).otherwise(0)) for c, (up, _) in COUNTERS.items()}
-    log = prefix.before(log, raised, segment=segment)
+    log = prefix.before(prefix.segmented(log, segment=segment), raised)
     for c, (up, _) in COUNTERS.items():
         log = log.withColumn(f"up_{c}", F.col(f"up_{c}") + F.when(kind.isin(*up), 1).otherwise(0))
     resets = {f"at_{c}": ("last", F.when(kind.isin(*back), F.col(f"up_{c}"))) for c, (_, back) in COUNTERS.items()}
-    log = prefix.before(log, resets, segment=segment)
+    log = prefix.before(log, resets)
     for c, (_, back) in COUNTERS.items():
         since = F.col(f"up_{c}") - F.coalesce(F.col(f"at_{c}"), F.lit(0))
         log = log.withColumn(f"n_{c}", F.when(kind.isin(*back), 0).otherwise(since).cast("long"))
-    return log.drop(*[f"{p}_{c}" for p in ("up", "at") for c in COUNTERS])
+    return log.drop("__segment", *[f"{p}_{c}" for p in ("up", "at") for c in COUNTERS])
 
 
 def first_desync(log: DataFrame, limits: Tolerances, class_column: str = "class", segment: int = prefix.SEGMENT) -> DataFrame:

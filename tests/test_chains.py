@@ -137,13 +137,13 @@ def test_prefixes_over_segments(spark):
     rnd = random.Random(2)
     rows = [(s, q, rnd.choice((None, rnd.randint(0, 99)))) for s in "ab" for q in range(1, 80) if rnd.random() < 0.8]
     log = spark.createDataFrame(rows, "stream_id string, seq long, v long")
-    specs = {"m": ("max", F.col("v")), "l": ("min", F.col("v")), "t": ("sum", F.coalesce("v", F.lit(0))), "p": ("last", F.col("v"))}
+    specs = {"m": ("max", F.col("v")), "l": ("min", F.col("v")), "t": ("sum", F.coalesce("v", F.lit(0))), "p": ("last", F.col("v")), "f": ("first", F.col("v"))}
     for descending in (False, True):
-        got = {(r.stream_id, r.seq): (r.m, r.l, r.t, r.p) for r in prefix.before(log, specs, segment=9, descending=descending).collect()}
+        got = {(r.stream_id, r.seq): (r.m, r.l, r.t, r.p, r.f) for r in prefix.before(log, specs, segment=9, descending=descending).collect()}
         for s, q, _ in rows:
             past = [v for a, b, v in sorted(rows, reverse=descending) if a == s and (b > q if descending else b < q)]
             full = [v for v in past if v is not None]
-            assert got[s, q] == (max(full, default=None), min(full, default=None), sum(full), full[-1] if full else None)
+            assert got[s, q] == (max(full, default=None), min(full, default=None), sum(full), full[-1] if full else None, full[0] if full else None)
 
 
 def test_empty_logs(spark):
