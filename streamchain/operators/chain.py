@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.msgid import order_key
 from ..schema import REASON_CLASS, SHARD
 from . import prefix
 from .tolerance import Counts, Tolerances
@@ -34,14 +35,13 @@ def records(log: DataFrame, segment: int = prefix.SEGMENT) -> DataFrame:
     return kept.filter(accepted).drop("announced", "opened", "top", "before")
 
 
-def island(log: DataFrame) -> DataFrame:
+def island(log: DataFrame, segment: int = prefix.SEGMENT) -> DataFrame:
     """The chain where heights have no gaps and the buffer is unbounded: the first run of successive heights from the first row's, each by its first row."""
-    start = log.groupBy("stream_id").agg(F.min_by("height", "seq").alias("start"))
     rest = [c for c in log.columns if c not in ("stream_id", "height")]
-    by_height = log.join(start, "stream_id").filter("height >= start").groupBy("stream_id", "height", "start").agg(F.min_by(F.struct(*rest), "seq").alias("row"))
-    order = {"n": ("sum", F.lit(1))}
-    numbered = prefix.before(by_height, order, order="height")
-    return numbered.filter(F.col("height") - F.col("start") == F.col("n")).select("stream_id", "height", "row.*").select(*log.columns)
+    log = prefix.before(log, {"start": ("first", F.col("height"))}, segment=segment).withColumn("start", F.coalesce("start", "height"))
+    by_height = log.filter("height >= start").groupBy("stream_id", "height", "start").agg(F.min_by(F.struct(*rest), "seq").alias("row"))
+    numbered = prefix.before(by_height, {"n": ("sum", F.lit(1))}, order="height", segment=segment)
+    return numbered.filter(F.col("height") - F.col("start") == F.col("n")).select("stream_id", "height", "row.*").select("stream_id", "height", *rest)
 
 
 @dataclass(frozen=True)
@@ -196,8 +196,6 @@ def fold(log: DataFrame, bridge: Bridge) -> DataFrame:
 
 def take_while(chain: DataFrame, last_block: tuple[int, int, int] | None = None, end_block: tuple[int, int, int] | None = None) -> DataFrame:
     """A valid chain up to and with ``last_block``, and before ``end_block``: its keys rise, so both are plain filters."""
-    from ..functions.msgid import order_key
-
     key = order_key(F.col("height"), F.col("block_type"), F.col("shard_id"))
     literal = lambda b: order_key(F.lit(b[0]).cast("long"), F.lit(b[1]), F.lit(b[2]).cast("long"))
     if end_block is not None:
@@ -209,15 +207,13 @@ def take_while(chain: DataFrame, last_block: tuple[int, int, int] | None = None,
     return chain
 
 
-def anchored(log: DataFrame, anchor: Anchor) -> DataFrame:
+def anchored(log: DataFrame, anchor: Anchor, segment: int = prefix.SEGMENT) -> DataFrame:
     """The log from where an empty output may begin: from the anchor block's first row, after the pre-anchor, or from the anchor seq."""
-    from ..functions.msgid import order_key
-
     if anchor.seq is not None:
         return log.filter(F.col("seq") >= anchor.seq)
     key = order_key(F.col("height"), F.col("block_type"), F.col("shard_id"))
     block = anchor.block or anchor.after
     literal = order_key(F.lit(block[0]).cast("long"), F.lit(block[1]), F.lit(block[2]).cast("long"))
     meets = (key == literal) if anchor.block else ((F.col("block_type") == 0) & (key > literal))
-    start = log.groupBy("stream_id").agg(F.min(F.when(meets, F.col("seq"))).alias("start"))
-    return log.join(start, "stream_id").filter("seq >= start").drop("start")
+    rows = prefix.before(log, {"begun": ("max", F.when(meets, 1))}, segment=segment)
+    return rows.filter(F.col("begun").isNotNull() | F.coalesce(meets, F.lit(False))).drop("begun")

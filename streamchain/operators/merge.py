@@ -30,9 +30,10 @@ def merged(inputs: DataFrame, start_height: int = 0, segment: int = prefix.SEGME
     block a height.
     """
     best = first_per(inputs.filter(F.col("height") >= start_height), ["stream_id", "height"], ["input_id", "seq"])
-    linked = prefix.previous(best, {"head_hash": "hash"}, order="height", segment=segment)
-    broken = linked.groupBy("stream_id").agg(F.min(F.when(F.col("prev_hash") != F.col("head_hash"), F.col("height"))).alias("stop"))
-    return linked.join(broken, "stream_id").filter("stop is null or height < stop").drop("stop", "head_hash")
+    linked = prefix.previous(prefix.segmented(best, "height", segment), {"head_hash": "hash"}, order="height")
+    broken = F.coalesce(F.col("prev_hash") != F.col("head_hash"), F.lit(False))
+    rows = prefix.before(linked, {"stopped": ("max", F.when(broken, 1))}, order="height")
+    return rows.filter(F.col("stopped").isNull() & ~broken).drop("stopped", "head_hash", "__segment")
 
 
 def heads(log: DataFrame) -> DataFrame:

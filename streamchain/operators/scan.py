@@ -19,10 +19,11 @@ def between(log: DataFrame, start: int | None = None, end: int | None = None, su
     return log.filter(matches_subject(F.col("subject"), subjects)) if subjects else log
 
 
-def until_time(log: DataFrame, end) -> DataFrame:
+def until_time(log: DataFrame, end, segment: int = prefix.SEGMENT) -> DataFrame:
     """Rows of each stream before its first row at or after ``end``, whatever the later ones' times are."""
-    stop = log.filter(F.col("ts") >= F.lit(end)).groupBy("stream_id").agg(F.min("seq").alias("stop"))
-    return log.join(stop, "stream_id", "left").filter("stop is null or seq < stop").drop("stop")
+    over = F.coalesce(F.col("ts") >= F.lit(end), F.lit(False))
+    rows = prefix.before(log, {"over": ("max", F.when(over, 1))}, segment=segment)
+    return rows.filter(F.col("over").isNull() & ~over).drop("over")
 
 
 def get(log: DataFrame, seq: int) -> DataFrame:

@@ -23,11 +23,21 @@ class Copy:
     drop_msg_id: bool = False
 
 
+#: Streams whose resume points may be broadcast.
+FEW_STREAMS = 100_000
+
+
+def by_stream(log: DataFrame, points: DataFrame, most: int = FEW_STREAMS) -> DataFrame:
+    """The log with its streams' points (a row a stream): broadcast if they are counted to be few, else by a shuffle of both."""
+    few = points.limit(most + 1).count() <= most
+    return log.join(F.broadcast(points) if few else points, "stream_id", "left")
+
+
 def bridge(log: DataFrame, config: Bridge, tip: DataFrame | None = None) -> DataFrame:
     """Rows to append to an output: those of the log after the output's tip (stream_id, seq of the source) that make a valid chain."""
     if tip is not None:
         done = tip.groupBy("stream_id").agg(F.max("seq").alias("done"))
-        log = log.join(done, "stream_id", "left").filter("done is null or seq > done").drop("done")
+        log = by_stream(log, done).filter("done is null or seq > done").drop("done")
     kept = planner.extract(log, config).withColumnRenamed("stream_id", "__stream")
     return log.join(kept, (F.col("__stream") == log["stream_id"].cast("string")) & (kept["seq"] == log["seq"]), "left_semi")
 
@@ -39,7 +49,7 @@ def copy(log: DataFrame, output: DataFrame | None, config: Copy) -> DataFrame:
         rows = rows.filter(F.col("seq") < config.end_seq)
     if output is not None:
         at = scan.resume_point(output, config.state_header)
-        rows = rows.join(at, "stream_id", "left").filter(F.col("seq") > F.coalesce("resume_seq", F.lit(0))).drop("resume_seq")
+        rows = by_stream(rows, at).filter(F.col("seq") > F.coalesce("resume_seq", F.lit(0))).drop("resume_seq")
     out = rows.withColumn("headers", copied(F.col("headers"), F.col("seq"), config.state_header, config.drop_msg_id))
     return out.withColumn("subject", F.lit(config.subject)) if config.subject else out
 
