@@ -518,6 +518,27 @@ def write_vicinity(spark, d):
     return sink.vicinity(requests.filter("req % 50 = 1").select("stream_id", F.col("req").alias("centre")).distinct(), snap)
 
 
+@query(f"with {NOISY}, m as (select stream_id, seq, height, case seq % 4 when 0 then '' when 1 then '1.' when 2 then cast(height as varchar) else (height + seq % 8) || '.2' end as msg_id from noisy_log) select stream_id, seq, case when msg_id = '' then 'missing' when msg_id = '1.' then 'malformed' else 'height' end as mismatch from m where msg_id in ('', '1.') or try_cast(split_part(msg_id, '.', 1) as bigint) <> height")
+def id_mismatches(spark, d):
+    k = F.col("seq") % 4
+    told = F.when(k == 0, "").when(k == 1, "1.").when(k == 2, F.col("height").cast("string")).otherwise(F.concat((F.col("height") + F.col("seq") % 8).cast("string"), F.lit(".2")))
+    log = noisy_log(spark, d).withColumn("msg_id", told)
+    return verify.id_mismatches(log, F.col("msg_id")).select("stream_id", "seq", "mismatch")
+
+
+@query(f"with {EVENT}, c as (select stream_id, seq from event_log where seq % 10 = 0) select stream_id, array_to_string(list_sort(list(distinct s)), ',') as seqs from (select stream_id, unnest(range(greatest(1, seq - 3), seq + 4)) as s from c) group by 1")
+def seqs_around(spark, d):
+    c = event_log(spark, d).filter("seq % 10 = 0").groupBy("stream_id").agg(F.collect_list("seq").alias("centres"))
+    return c.select("stream_id", F.array_join(sink.seqs_around(F.col("centres")), ",").alias("seqs"))
+
+
+@query(f"with {CHAIN}, t as (select stream_id, max(seq) as seq, arg_max(height, seq) as height from chain_log group by 1) select stream_id, case when stream_id not in (2, 3) then seq end as seq, case when stream_id not in (2, 3) then height end as height from t")
+def live_tips(spark, d):
+    log = chain_log(spark, d)
+    deleted = spark.sql("select * from values (cast(1 as long), cast(0 as long)), (2, 100000000), (3, 100000000) as t(stream_id, deleted_seq)")
+    return sink.live_tips(log, deleted)
+
+
 @query(f"""with {CHAIN}, h as (select stream_id, arg_max(height, seq) as hh, arg_max(hash, seq) as hx from chain_log where block_type = 0 and height < 400 group by 1)
 select c.stream_id, seq, height, case when c.stream_id = 7 then 'OutputterUnavailable' when c.stream_id = 6 then case when height < 500 then 'LowBlock' when height > 500 then 'HighBlock' else 'OK' end
   when height <= hh then 'LowBlock' when prev_hash <> hx then 'HashMismatch' else 'OK' end as status from chain_log c left join h using (stream_id) where block_type = 0""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What a caller does about an outcome. Fixed values.
@@ -46,6 +46,20 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
     return r.select(*requests.columns, outcome.otherwise("RemovedPosition").alias("outcome"), status.otherwise("desync").alias("status"))
 
 
+def seqs_around(centres: Column, reach: int = 3) -> Column:
+    """The distinct seqs from 1 on within reach of any of the centres (an array), ascending."""
+    around = F.transform(centres, lambda c: F.sequence(F.greatest(F.lit(1).cast("long"), c - reach), c + reach))
+    return F.array_sort(F.array_distinct(F.flatten(around)))
+
+
+def live_tips(output: DataFrame, deleted: DataFrame) -> DataFrame:
+    """stream_id, seq and height of each output's last row; without seq and height where the log has already deleted up to it (deleted: stream_id, deleted_seq)."""
+    last = output.groupBy("stream_id").agg(F.max_by(F.struct("seq", "height"), "seq").alias("tip"))
+    gone = F.coalesce(F.col("deleted_seq") >= F.col("tip.seq"), F.lit(False))
+    both = last.join(deleted, "stream_id", "left")
+    return both.select("stream_id", F.when(~gone, F.col("tip.seq")).alias("seq"), F.when(~gone, F.col("tip.height")).alias("height"))
+
+
 def vicinity(centres: DataFrame, output: DataFrame, reach: int = 3) -> DataFrame:
     """For each centre (stream_id, centre): what the seqs around it hold. ``found`` is message, removed or not yet."""
     around = F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("centre") - reach), F.col("centre") + reach))

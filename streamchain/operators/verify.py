@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.msgid import parse
 from ..functions.shardmask import next_needed, passes
 from ..schema import ANNOUNCEMENT, REASON_CLASS, SHARD
 from . import prefix
@@ -164,6 +165,13 @@ def violations(log: DataFrame, contiguous: bool = False, hash_ci: bool = False,
     return rows.withColumn("violation", broken).filter("violation is not null").drop("last_height", "last_hash")
 
 
+def id_mismatches(log: DataFrame, msg_id: Column) -> DataFrame:
+    """Rows whose message id is missing, malformed, or tells another height than the block; shards are not compared."""
+    told = parse(msg_id)
+    wrong = F.when(F.coalesce(msg_id, F.lit("")) == "", "missing").when(told["error"].isNotNull(), "malformed").when(told["height"] != F.col("height"), "height")
+    return log.withColumn("mismatch", wrong).filter("mismatch is not null")
+
+
 def first_violation(log: DataFrame, **rules) -> DataFrame:
     """The first row of each stream that breaks a rule; all rows before it are valid."""
     found = violations(log, **rules)

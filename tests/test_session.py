@@ -1,5 +1,7 @@
 import pytest
 
+from streamchain.operators.tolerance import Tolerances
+from streamchain.plans import config
 from streamchain.plans.session import Desync, load_seq, restarted, save_seq, with_reseeks
 
 
@@ -43,3 +45,12 @@ def test_saved_seqs(tmp_path):
         assert load_seq(path) == 0
     (tmp_path / "at").write_text(" 12 34\n")
     assert load_seq(path) == 12
+
+
+def test_options():
+    assert config.urls(" a:1, ,b:2,") == ["a:1", "b:2"]
+    made = config.LogConfig("my_log", max_msgs=5, max_bytes=0, replicas=0, dedup_ms=7).held()
+    assert made == config.LogConfig("my_log", ["my.log"], 5, -1, 1, 100)
+    b = config.bridge("cbor_map", headers_only=True, shard_filter=[True])
+    assert not b.verifier.allow_gaps and not b.verifier.check_hashes and b.verifier.shard_filter == (True,)
+    assert b.tolerances.low == 100_000 and b.anchor.seq == 1 and config.bridge(tolerances=Tolerances()).tolerances == Tolerances()
