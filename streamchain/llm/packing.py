@@ -17,7 +17,7 @@ from .arrow import ascii_lower, chunks, split_words, texts
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Text bytes of a chunk (the larger, the fewer words are encoded again), and words that are encoded at a time.
-CHUNK_BYTES, ENCODED = 16 << 20, 1 << 14
+CHUNK_BYTES, ENCODED = 10 << 20, 1 << 13
 _TYPES = (pa.int64(),) * 7
 _NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
