@@ -16,6 +16,8 @@ from streamchain.llm.components import cut, shared_folder
 from streamchain.llm.queries import tokenizer_file
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words of a shingle, and percent of the union that near copies share.
+SHINGLE, SHARED = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document with the smallest id, and once. A document without words, or without id, is no one's copy."""
-    found = cut(jaccard.join(spark, docs))
+    found = cut(jaccard.join(spark, docs, size=SHINGLE, percent=SHARED))
     copies = found.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(copies, "doc_id", "left_anti").select(*COLUMNS)
     repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")

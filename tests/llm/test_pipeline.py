@@ -1,8 +1,11 @@
+import random
+
 import corpus_pipeline
 from streamchain.llm import decontaminate, jaccard
 
 from . import data
 from .test_decontaminate import table
+from .test_jaccard import brute, edited
 
 
 def run_stages(spark, docs, folder, tmp_path):
@@ -41,3 +44,17 @@ def test_run_keeps_clean_documents(spark, sf, tmp_path):
 def test_no_documents(spark, sf, tmp_path):
     for docs in run_stages(spark, data.no_docs(spark), sf, tmp_path):
         assert docs.count() == 0
+
+
+def test_near_copies_share_four_fifths_of_their_five_word_shingles(spark):
+    base, other = ([f"{c}{k}" for k in range(500)] for c in "ab")
+    rows = [(1, base), (2, base + [f"c{k}" for k in range(95)]), (3, other), (4, other[:200] + [f"d{k}" for k in range(45)] + other[245:])]
+    rows = [(d, " ".join(words)) for d, words in rows]
+    rnd = random.Random(5)
+    for family, size in enumerate((30, 60, 120)):
+        words = data.prose(family, size).split()
+        rows += [(10 + 20 * family + k, edited(rnd, words, rnd.randrange(7))) for k in range(15)]
+    want = {d for d, _, c in brute(rows, 5, 80) if d == c}
+    assert {1, 2, 3, 4} & want == {1, 3} and want < {d for d, _, c in brute(rows) if d == c}
+    kept = corpus_pipeline.near_copies(spark, data.plain_docs(spark, rows), None)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
