@@ -27,23 +27,38 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter("not rejected").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a row_key, a hash of id and text: by it verdicts come back to their own rows, whether ids are null, repeated or neither."""
+    return docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest id, and once. A document without words, or without id, is no one's copy."""
-    found = cut(jaccard.join(spark, docs, size=SHINGLE, percent=SHARED))
-    copies = found.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.select(*COLUMNS).join(copies, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    """Of each group of near copies, the document with the smallest id, and once. A document without words, or without id, is no one's copy.
+
+    Documents are rows of one id and text: other texts of the same id are other documents. Of
+    near copies that share the smallest id, any one stays.
+    """
+    docs = keyed(docs).withColumn("row_key", F.when(F.col("doc_id").isNotNull(), F.col("row_key")))
+    found = cut(jaccard.join(spark, docs.select(F.col("row_key").alias("doc_id"), "text"), size=SHINGLE, percent=SHARED))
+    linked = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("row_key"), "component_id").distinct()
+    members = cut(linked.unionByName(linked.select(F.col("component_id").alias("row_key"), "component_id").distinct()))
+    named = members.join(docs.select("row_key", "doc_id"), "row_key")
+    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "row_key")).alias("first")).select("first.row_key")
+    copies = members.select("row_key").join(first, "row_key", "left_anti")
+    kept = docs.join(copies, "row_key", "left_anti")
+    repeated = cut(found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("row_key")).count().filter("count > 1").select("row_key"))
     if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, "doc_id", "left_anti").select(*COLUMNS).unionByName(once)
+        return kept.select(*COLUMNS)
+    once = kept.join(repeated, "row_key", "left_semi").dropDuplicates(["row_key"])
+    return kept.join(repeated, "row_key", "left_anti").select(*COLUMNS).unionByName(once.select(*COLUMNS))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an occurrence of a benchmark window."""
-    found = decontaminate.contamination(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.filter("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    docs = keyed(docs)
+    found = decontaminate.contamination(spark, docs.select(F.col("row_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = found.filter("contaminated").select(F.col("doc_id").alias("row_key")).distinct()
+    return docs.join(hit, "row_key", "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,3 +58,19 @@ def test_near_copies_share_four_fifths_of_their_five_word_shingles(spark):
     assert {1, 2, 3, 4} & want == {1, 3} and want < {d for d, _, c in brute(rows) if d == c}
     kept = corpus_pipeline.near_copies(spark, data.plain_docs(spark, rows), None)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(want)
+
+
+def test_verdicts_stay_on_their_rows_where_ids_are_null_or_repeated(spark, tmp_path):
+    passage, base, other = data.prose(4, 13), data.prose(50, 80), data.prose(51, 80)
+    clean = data.prose(52, 40)
+    table(spark, [(1, passage)]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "x " + passage), (None, clean), (None, clean), (7, passage + " y"), (7, clean), (7, other), (8, passage), (9, None), (9, base)]
+    kept = corpus_pipeline.benchmark_passages(spark, data.plain_docs(spark, rows), str(tmp_path))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(((d, t) for d, t in rows if passage not in (t or "")), key=str)
+
+    rows = [(7, base + " tail"), (7, other), (3, base), (9, other + " tail"), (12, clean), (12, clean), (12, None), (12, None), (None, base), (None, base), (20, clean + " a"), (20, clean + " b"), (5, "one two"), (5, "three")]
+    rows += [(30, data.prose(53, 60)), (30, data.prose(53, 60) + " end")]
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_copies(spark, data.plain_docs(spark, rows), None).collect()), key=str)
+    either = [x for x in kept if x[0] == 30]
+    assert len(either) == 1 and either[0] in rows
+    assert [x for x in kept if x[0] != 30] == sorted([(3, base), (7, other), (12, clean), (12, None), (None, base), (None, base), (5, "one two"), (5, "three")], key=str)
