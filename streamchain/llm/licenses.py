@@ -30,28 +30,30 @@ KNOWN = (
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT_LINE = r"\n[ \t]*(copyright |\(c\) |© )[^\n]*"
+#: Only lines with a year, a copyright sign or a placeholder: in wrapped texts, others may be prose that goes on with 'copyright notice ...'.
+COPYRIGHT_NOTICE = r"\n[ \t]*(copyright (?=[^\n]*([0-9]{4}|\(c\)|©|<[^>\n]*>|\[[^\]\n]*\]))|\(c\) |© )[^\n]*"
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
-#: Every notice holds this, so that other lines need no digest.
+#: Where every notice holds this, other lines need no digest.
 NOTICE_WORD = "licen"
 
 
-def canonical(text: Column) -> Column:
-    """ASCII lower case, without lines that start with a copyright mark, one spelling, and single spaces for punctuation."""
+def canonical(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
+    """ASCII lower case, without lines that start with a copyright mark (a pattern), one spelling, and single spaces for punctuation."""
     text = F.concat(F.lit("\n"), F.translate(text, _UPPER, _LOWER))
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "\n")
+    text = F.regexp_replace(text, left_out, "\n")
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
     return F.trim(F.regexp_replace(text, PUNCTUATION, " "))
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def digest(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
+    return F.sha2(canonical(text, left_out), 256)
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known=KNOWN, left_out: str = COPYRIGHT_LINE) -> DataFrame:
     """license_id, kind and digest of the known texts, made with the same expressions as those of documents."""
     rows = [F.struct(F.lit(i).alias("license_id"), F.lit(k).alias("kind"), F.lit(t).alias("body")) for i, k, t in known]
-    table = spark.range(1).select(F.explode(F.array(*rows).cast("array<struct<license_id:string,kind:string,body:string>>")).alias("k")).select("k.license_id", "k.kind", digest(F.col("k.body")).alias("known"))
+    table = spark.range(1).select(F.explode(F.array(*rows).cast("array<struct<license_id:string,kind:string,body:string>>")).alias("k")).select("k.license_id", "k.kind", digest(F.col("k.body"), left_out).alias("known"))
     return table.groupBy("kind", "known").agg(F.min("license_id").alias("license_id"))
 
 
@@ -60,18 +62,25 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
 
     docs: doc_id, text. A null text is empty and matches nothing; repeated rows give a row each;
     an empty table gives none; other columns are not read. ``license_id`` is null without a
-    match, ``notices`` the sorted distinct ids, comma-joined, or empty.
+    match, ``notices`` the sorted distinct ids, comma-joined, or empty. A text that matches
+    nothing without all lines that start with a copyright mark is looked up once more without
+    those alone that are surely notices (COPYRIGHT_NOTICE), so wrapping does not matter.
 
     The known digests are as many as ``known`` has entries, whatever the documents are: they
-    are broadcast to the hash join on whole texts and looked up as a literal map for notices.
+    are broadcast to the hash joins on whole texts and looked up as a literal map for notices.
     Nothing is shuffled.
     """
     table = known_digests(spark, known)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    whole = table.filter("kind = 'text'").select(F.col("known").alias("digest"), "license_id")
+    whole = table.filter("kind = 'text'").select(F.col("known").alias("digest"), F.col("license_id").alias("plain"))
+    wrapped = known_digests(spark, known, COPYRIGHT_NOTICE).filter("kind = 'text'").select(F.col("known").alias("wrapped"), F.col("license_id").alias("other"))
     pairs = [F.lit(x) for r in table.filter("kind = 'notice'").select("known", "license_id").collect() for x in r]
     by = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
-    lines = F.filter(F.split("text", "\n"), lambda x: F.contains(F.lower(x), F.lit(NOTICE_WORD)))
+    lines = F.split("text", "\n")
+    if all(NOTICE_WORD in (t or "").lower() for _, k, t in known if k == "notice"):
+        lines = F.filter(lines, lambda x: F.contains(F.lower(x), F.lit(NOTICE_WORD)))
     found = F.array_compact(F.transform(lines, lambda x: F.try_element_at(by, digest(x))))
-    docs = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices"))
-    return docs.join(F.broadcast(whole), "digest", "left").select("doc_id", "digest", "license_id", "notices")
+    notices = F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices")
+    docs = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest(F.col("text"), COPYRIGHT_NOTICE).alias("wrapped"), notices)
+    docs = docs.join(F.broadcast(whole), "digest", "left").join(F.broadcast(wrapped), "wrapped", "left")
+    return docs.select("doc_id", "digest", F.coalesce("plain", "other").alias("license_id"), "notices")

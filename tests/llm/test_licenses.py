@@ -1,3 +1,5 @@
+import textwrap
+
 from streamchain.llm import licenses
 
 from . import data
@@ -17,3 +19,19 @@ def test_hard_and_no_documents(spark):
     assert sorted(str(r.doc_id) for r in got) == sorted(str(r[0]) for r in data.hard_rows()) and not any(r.license_id or r.notices for r in got)
     assert licenses.scan(spark, data.no_docs(spark)).collect() == []
     assert licenses.scan(spark, data.plain_docs(spark, [(1, "Licence")]), known=()).collect()[0].license_id is None
+
+
+def test_wrapped_forms_of_every_whole_text(spark):
+    rows, want = [], {}
+    for license_id, kind, text in licenses.KNOWN:
+        for width in range(30, 100, 2) if kind == "text" else ():
+            body = "\n".join("\n".join(textwrap.wrap(line, width)) for line in text.replace("<year> <holder>", "2019 Someone").split("\n"))
+            want[len(rows)] = license_id
+            rows.append((len(rows), body))
+    assert {r.doc_id: r.license_id for r in licenses.scan(spark, data.plain_docs(spark, rows)).collect()} == want
+
+
+def test_notices_of_other_words(spark):
+    known = (("CC0-1.0", "notice", "Dedicated to the public domain."), ("MIT", "notice", "MIT License."))
+    rows = [(1, "a\n# dedicated to the PUBLIC domain\nb"), (2, "MIT Licence"), (3, "a\n\nb")]
+    assert sorted((r.doc_id, r.notices) for r in licenses.scan(spark, data.plain_docs(spark, rows), known=known).collect()) == [(1, "CC0-1.0"), (2, "MIT"), (3, "")]
