@@ -14,8 +14,8 @@ from .operators.tolerance import Tolerances
 from .operators.verify import VERIFIERS, Verifier
 from .plans import planner, programs
 from .sources import decode as decoders
-from .sources.adapters import chain_log, conv_log, doc_log, event_log, inputs, noisy_log, shard_masks
-from .sources.derived_sql import CHAIN, CLASS, CONV, DOCS, EVENT, INPUTS, LAGGED, NOISY, REASON
+from .sources.adapters import chain_log, conv_log, doc_log, event_log, inputs, noisy_log, payload_log, redundant, shard_masks
+from .sources.derived_sql import CHAIN, CLASS, CONV, DOCS, EVENT, INPUTS, LAGGED, NOISY, REASON, REDUNDANT
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -84,11 +84,12 @@ def stream_state(spark, d):
     return out.withColumn("last_us", F.unix_micros(F.col("last_ts").cast("timestamp"))).drop("last_ts")
 
 
-_MIRRORS = "('a', null, 'blocks'), ('b', 'a', ''), ('c', 'b', ''), ('d', 'c', ''), ('e', null, 'other'), ('f', 'e', ''), ('x', 'y', ''), ('y', 'x', ''), ('z', 'missing', '')"
+_FAR = ", ".join(f"('far{k}', 'far{k - 1}', '')" for k in range(1, 231))
+_MIRRORS = f"('a', null, 'blocks'), ('b', 'a', ''), ('c', 'b', ''), ('d', 'c', ''), ('e', null, 'other'), ('f', 'e', ''), ('x', 'y', ''), ('y', 'x', ''), ('z', 'missing', ''), ('far0', null, 'far'), {_FAR}"
 
 
 @query(f"""with recursive m(stream, mirror_of, subjects) as (values {_MIRRORS}),
-walk as (select stream, stream as at, 0 as steps from m union all select walk.stream, m.mirror_of, steps + 1 from walk join m on m.stream = walk.at where m.mirror_of is not null and steps < 20)
+walk as (select stream, stream as at, 0 as steps from m union all select walk.stream, m.mirror_of, steps + 1 from walk join m on m.stream = walk.at where m.mirror_of is not null and steps < 300)
 select walk.stream, walk.at as origin, m.subjects, walk.steps from walk join m on m.stream = walk.at where m.mirror_of is null""")
 def mirror_resolution(spark, d):
     return scan.resolve_mirrors(spark.sql(f"select * from values {_MIRRORS} as m(stream, mirror_of, subjects)"))
@@ -115,24 +116,17 @@ def msgid_roundtrip(spark, d):
     return log.select("stream_id", "seq", "msg_id", p["height"].cast("long").alias("height"), p["block_type"].alias("block_type"), p["shard_id"].cast("long").alias("shard_id"))
 
 
-_MASKS = ["", "-", "0", "3", "1-3, 2-4, 6", " 7 ", "2 - 5", "5,,6", "5-4", "0-0-", " ", "- ", "x", "10001", "9-10"]
+#: Expressions with their masks, written out: "-" stands for no shard, null for no filter; None for what isn't one.
+_MASKS = (
+    ("''", "null", "false"), ("'-'", "''", "false"), ("'0'", "'1'", "false"), ("'3'", "'0001'", "false"), ("'1-3, 2-4, 6'", "'0111101'", "false"), ("' 7 '", "'00000001'", "false"),
+    ("'2 - 5'", "'001111'", "false"), ("'9-10'", "'00000000011'", "false"), ("'5-5,0'", "'100001'", "false"), ("'5,,6'", "null", "true"), ("'5-4'", "null", "true"), ("'0-0-'", "null", "true"),
+    ("' '", "null", "true"), ("'- '", "null", "true"), ("'x'", "null", "true"), ("'10001'", "null", "true"), ("'-1'", "null", "true"), ("'1-'", "null", "true"), ("','", "null", "true"),
+)
 
 
-def _mask_sql() -> str:
-    rows = []
-    for m in _MASKS:
-        try:
-            mask = shardmask.parse_text(m)
-            shown = "null" if mask is None else "'" + "".join("1" if b else "0" for b in mask) + "'"
-            rows.append(f"('{m}', {shown}, false)")
-        except ValueError:
-            rows.append(f"('{m}', null, true)")
-    return f"select * from (values {', '.join(rows)}) t(expr, mask, invalid)"
-
-
-@query(_mask_sql())
+@query(f"select * from (values {', '.join(f'({e}, {m}, {bad})' for e, m, bad in _MASKS)}) t(expr, mask, invalid)")
 def shard_mask_parse(spark, d):
-    literals = ", ".join(f"('{m}')" for m in _MASKS)
+    literals = ", ".join(f"({e})" for e, _, _ in _MASKS)
     t = spark.sql(f"select * from values {literals} as t(expr)").withColumn("p", shardmask.parse(F.col("expr")))
     shown = F.array_join(F.transform("p.mask", lambda b: F.when(b, "1").otherwise("0")), "")
     return t.select("expr", shown.alias("mask"), F.col("p.error").isNotNull().alias("invalid"))
@@ -222,6 +216,17 @@ def contiguity_check(spark, d):
     return scan.contiguity(chain_log(spark, d).filter("seq % 50 <> 0"))
 
 
+@query(f"with {EVENT}, p as (select stream_id, seq, lag(seq) over (partition by stream_id order by seq) as prev_seq from event_log) select stream_id, seq, prev_seq from p where case when prev_seq is null then seq < 400 else seq <= prev_seq end")
+def strict_start_filtered(spark, d):
+    """A filtered scan that should start at 400 or later: streams that begin before it."""
+    return scan.contiguity(event_log(spark, d), filtered=True, strict_start=400)
+
+
+@query(f"with {CHAIN}, h as (select * from chain_log where seq >= stream_id + 3 and seq % 50 <> 0), p as (select stream_id, seq, lag(seq) over (partition by stream_id order by seq) as prev_seq from h) select stream_id, seq, prev_seq from p where case when prev_seq is null then seq <> 5 else seq <> prev_seq + 1 end")
+def strict_start(spark, d):
+    return scan.contiguity(chain_log(spark, d).filter("seq >= stream_id + 3 and seq % 50 <> 0"), strict_start=5)
+
+
 @query(f"with {INPUTS} select input_id, count(*) as \"rows\", count(*) filter (where height < 300) as skipped, count(*) filter (where not height < 300) as handled from inputs group by 1")
 def header_skip_stats(spark, d):
     return merge.input_counts(inputs(spark, d), F.lit(300))
@@ -260,17 +265,15 @@ def verify_pairwise_cbor_map(spark, d):
     return _audit(chain_log(spark, d), VERIFIERS["cbor_map"])
 
 
-@query(f"""with {CHAIN}, s as (select distinct stream_id, height, shard_id from chain_log where block_type = 1 and shard_id in (1, 2, 3)),
-p as {LAGGED.format(log='chain_log')},
-n as (select p.stream_id, p.seq, min(s.shard_id) as needed from p join s on s.stream_id = p.stream_id and s.height = p.l_height and s.shard_id > case when p.l_type = 1 then p.l_shard else -1 end group by 1, 2),
-r as (select p.stream_id, p.seq, case
+@query(f"""with {CHAIN}, s as (select stream_id, height as l_height, list(distinct shard_id) as shards from chain_log where block_type = 1 and shard_id in (1, 2, 3) group by 1, 2),
+n as (select p.*, list_min(list_filter(shards, lambda x: x > case when l_type = 1 then l_shard else -1 end)) as needed from {LAGGED.format(log='chain_log')} p left join s using (stream_id, l_height)),
+r as (select stream_id, seq, case
   when block_type = 1 and shard_id not in (1, 2, 3) then 'FilteredShard'
   when l_height is null then 'OK' when height < l_height then 'LowHeight'
   when height > l_height and needed is not null then 'IncompletePreviousBlock' when height > l_height and block_type <> 0 then 'UnannouncedBlock'
   when height > l_height and prev_hash <> l_hash then 'HashMismatch' when height > l_height then 'OK' when block_type = 0 then 'Reannouncement'
   when l_type = 1 and shard_id <= l_shard then 'LowShard' when needed is null then 'UnwantedShard' when shard_id < needed then 'LowShard' when shard_id > needed then 'ShardGap'
-  when hash <> l_hash then 'ShardHashConflict' else 'OK' end as reason
-  from p left join n using (stream_id, seq))
+  when hash <> l_hash then 'ShardHashConflict' else 'OK' end as reason from n)
 select stream_id, seq, reason, {CLASS.format(reason='reason')} as class from r""")
 def verify_pairwise_proto_zstd(spark, d):
     log = chain_log(spark, d)
@@ -380,10 +383,58 @@ def pre_anchor(spark, d):
     return chain.records(chain.anchored(chain_log(spark, d), Anchor(after=(512, 0, 0)))).select(*_ROW)
 
 
-@query(f"with {CHAIN}, {_RECORDS.format(log='chain_log')} select {_ROWS} from records where seq > 200")
+@query(f"with {NOISY}, n as (select * from noisy_log where seq >= (select min(seq) from noisy_log m where m.stream_id = noisy_log.stream_id and block_type = 0)), {_RECORDS.format(log='n')} select {_ROWS}, seq > 200 as resumed from records")
 def bridge_resume(spark, d):
-    log = chain_log(spark, d)
-    return programs.bridge(log, Bridge()).filter("seq > 200").select(*_ROW)
+    """A bridge over the first rows, and then one that goes on from its output: together what one run over all gives."""
+    log = chain.anchored(noisy_log(spark, d), Anchor(after=(-1, 0, 0)))
+    begun = programs.bridge(log.filter("seq <= 200"), Bridge())
+    rest = programs.bridge(log, Bridge(), begun)
+    late = rest.filter("seq > 200").select(*_ROW, F.lit(True).alias("resumed"))
+    again = rest.filter("seq <= 200").select(*_ROW, F.lit(True).alias("resumed"))  # nothing is written twice
+    return begun.select(*_ROW, F.lit(False).alias("resumed")).unionByName(late).unionByName(again)
+
+
+@query(f"""with recursive {CHAIN}, log as (select * from chain_log where block_type = 0 and seq % 97 <> 5),
+nxt as (select p.stream_id, p.seq, min(m.seq) as after from log p join log m on m.stream_id = p.stream_id and m.prev_hash = p.hash and m.height > p.height and m.seq > p.seq group by 1, 2),
+pos as (select stream_id, min(seq) as seq from log group by 1 union all select p.stream_id, after from pos p join nxt using (stream_id, seq))
+select stream_id, seq, height, hash from pos join log using (stream_id, seq)""")
+def bridge_resume_hashes(spark, d):
+    """The same with hash links, over a log with holes: the resumed fold starts from the tip that the first run left."""
+    log = chain_log(spark, d).filter("block_type = 0 and seq % 97 <> 5")
+    config = Bridge(Verifier(check_hashes=True))
+    begun = programs.bridge(log.filter("seq <= 40"), config)
+    return begun.unionByName(programs.bridge(log, config, begun)).select("stream_id", "seq", "height", "hash")
+
+
+@query(f"""with {EVENT}, e as (select *, max(height) filter (where not corrupted) over (partition by stream_id order by seq rows between unbounded preceding and 1 preceding) as top from event_log)
+select stream_id, seq, height + 9007199254740993 as height from e where not corrupted and (top is null or height > top)""")
+def fold_with_nulls(spark, d):
+    """Corrupted rows are null throughout, and heights go beyond what doubles tell apart."""
+    held = lambda c: F.when(~F.col("corrupted"), c)
+    log = event_log(spark, d).select(
+        "stream_id", "seq", held(F.col("height") + 9007199254740993).alias("height"), held(F.lit(0)).alias("block_type"), held(F.lit(0).cast("long")).alias("shard_id"), "corrupted",
+    )
+    return planner.rows(log, Bridge(Verifier(shard_filter=(True, False)))).select("stream_id", "seq", "height")
+
+
+@query(f"""with {_EVENT_CHAIN}, s as (select stream_id, arg_min(height, seq) as start from event_ok group by 1), f as (select stream_id, height, min(seq) as seq, start from event_ok join s using (stream_id) where height >= start group by 1, 2, 4),
+n as (select *, row_number() over (partition by stream_id order by height) - 1 as n from f) select stream_id, seq, height from n where height - start = n""")
+def chain_buffered(spark, d):
+    """A reorder buffer that holds all: the fold lets out the whole first run of heights."""
+    log = event_log(spark, d).select("stream_id", "seq", "height", "corrupted", F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"))
+    return planner.rows(log, Bridge(Verifier(allow_gaps=False), buffer=1_000_000)).select("stream_id", "seq", "height")
+
+
+@query(f"""with {EVENT}, log as (select case when stream_id % 3 <> 0 then stream_id end as stream_id, stream_id * 100000000 + seq as seq, height, ts, bytes from event_log)
+select stream_id, seq, max(height) over w as tip, lag(seq) over w as prev_seq, row_number() over (partition by stream_id order by seq desc) <= 25 as newest from log window w as (partition by stream_id order by seq)""")
+def null_streams(spark, d):
+    """Rows whose stream isn't known are a stream of their own, which no running aggregate loses."""
+    from .operators import prefix
+
+    log = event_log(spark, d).withColumn("seq", F.col("stream_id") * 100000000 + F.col("seq")).withColumn("stream_id", F.when(F.col("stream_id") % 3 != 0, F.col("stream_id")))
+    rows = prefix.previous(metrics.running_tip(log), {"prev_seq": "seq"})
+    rows = prefix.before(rows, {"newer": ("sum", F.lit(1))}, descending=True)
+    return rows.select("stream_id", "seq", "tip", "prev_seq", (F.col("newer") < 25).alias("newest"))
 
 
 # --- tolerances
@@ -423,11 +474,32 @@ def tolerance_first_desync(spark, d):
 # --- merges and writes
 
 
-@query(f"""with {INPUTS}, b as (select * from inputs qualify row_number() over (partition by stream_id, height order by input_id, seq) = 1),
-l as (select *, lag(hash) over (partition by stream_id order by height) as head from b), s as (select stream_id, min(height) filter (where prev_hash <> head) as stop from l group by 1)
-select stream_id, height, input_id, seq from l join s using (stream_id) where stop is null or height < stop""")
+_MERGED = f"""{REDUNDANT}, cand as (select *, row_number() over (partition by stream_id order by height, input_id, seq) as r from redundant),
+nxt as (select p.stream_id, p.r, min(m.r) as after from cand p join cand m on m.stream_id = p.stream_id and m.prev_hash = p.hash and m.height > p.height group by 1, 2),
+pos as (select stream_id, min(r) as r from cand group by 1 union all select p.stream_id, after from pos p join nxt using (stream_id, r))"""
+
+
+@query(f"with recursive {_MERGED} select stream_id, height, input_id, seq from pos join cand using (stream_id, r)")
 def merge_first_wins(spark, d):
-    return programs.multi_bridge(inputs(spark, d)).select("stream_id", "height", "input_id", "seq")
+    return programs.multi_bridge(redundant(spark, d)).select("stream_id", "height", "input_id", "seq")
+
+
+@query(f"""with recursive {_MERGED}, judged as (select c.*, p.r is not null as taken, lag(case when p.r is not null then c.r end ignore nulls) over (partition by c.stream_id order by c.r) as head_r from cand c left join pos p using (stream_id, r)),
+k as (select j.input_id, j.taken, j.height, j.prev_hash, h.height as hh, h.hash as hx from judged j left join cand h on h.stream_id = j.stream_id and h.r = j.head_r)
+select input_id, count(*) as handled, count(*) filter (where false) as corrupted, count(*) filter (where taken) as written, count(*) filter (where not taken and height <= hh) as low,
+  count(*) filter (where false) as high, count(*) filter (where not taken and height > hh and prev_hash <> hx) as mismatch from k group by 1""")
+def merge_counters(spark, d):
+    both = redundant(spark, d)
+    return merge.merge_counts(both, programs.multi_bridge(both))
+
+
+@query(f"""with recursive {EVENT}, cand as (select *, cast(height as varchar) as msg_id, row_number() over (partition by stream_id, height order by seq) as r from event_log),
+pos as (select stream_id, height, r, seq, ts from cand where r = 1
+  union all select stream_id, height, r, seq, ts from (select c.stream_id, c.height, c.r, c.seq, c.ts, row_number() over (partition by c.stream_id, c.height order by c.r) as k from pos p join cand c on c.stream_id = p.stream_id and c.height = p.height and c.r > p.r and epoch_us(c.ts) - epoch_us(p.ts) >= 36000000000) x where k = 1)
+select stream_id, cast(height as varchar) as msg_id, seq from pos""")
+def dedup_windowed(spark, d):
+    log = event_log(spark, d).withColumn("block_type", F.lit(0)).withColumn("shard_id", F.lit(0).cast("long"))
+    return merge.deduplicate_within(log, 36_000).select("stream_id", "msg_id", "seq")
 
 
 @query(f"with {CHAIN} select stream_id, case when block_type = 1 then height || '.' || shard_id else cast(height as varchar) end as msg_id, min(seq) as seq from chain_log group by 1, 2")
@@ -511,11 +583,12 @@ def write_metrics(spark, d):
     return metrics.write_figures(w.withColumn("seq", F.col("req") * 8 + F.col("stream_id")))
 
 
-@query(f"""with {_WRITES}, c as (select distinct stream_id, req as centre from req where req % 50 = 1), a as (select stream_id, centre, unnest(range(greatest(1, centre - 3), centre + 4)) as seq from c)
+@query(f"""with {_STATUS}, c as (select distinct stream_id, req as centre from judged where outcome <> 'OK'), a as (select stream_id, centre, unnest(range(greatest(1, centre - 3), centre + 4)) as seq from c)
 select a.stream_id, centre, a.seq, case when s.msg_id is not null then 'message' when a.seq > last_seq then 'not yet' else 'removed' end as found, s.msg_id from a join bounds using (stream_id) left join snap s on s.stream_id = a.stream_id and s.seq = a.seq""")
 def write_vicinity(spark, d):
     requests, snap = _write_requests(spark, d)
-    return sink.vicinity(requests.filter("req % 50 = 1").select("stream_id", F.col("req").alias("centre")).distinct(), snap)
+    refused = sink.classify_writes(requests, snap).filter("outcome <> 'OK'")
+    return sink.vicinity(refused.select("stream_id", F.col("req").alias("centre")).distinct(), snap)
 
 
 @query(f"with {NOISY}, m as (select stream_id, seq, height, case seq % 4 when 0 then '' when 1 then '1.' when 2 then cast(height as varchar) else (height + seq % 8) || '.2' end as msg_id from noisy_log) select stream_id, seq, case when msg_id = '' then 'missing' when msg_id = '1.' then 'malformed' else 'height' end as mismatch from m where msg_id in ('', '1.') or try_cast(split_part(msg_id, '.', 1) as bigint) <> height")
@@ -526,10 +599,9 @@ def id_mismatches(spark, d):
     return verify.id_mismatches(log, F.col("msg_id")).select("stream_id", "seq", "mismatch")
 
 
-@query(f"with {EVENT}, c as (select stream_id, seq from event_log where seq % 10 = 0) select stream_id, array_to_string(list_sort(list(distinct s)), ',') as seqs from (select stream_id, unnest(range(greatest(1, seq - 3), seq + 4)) as s from c) group by 1")
+@query(f"with {EVENT} select distinct stream_id, s as seq from (select stream_id, unnest(range(greatest(1, seq - 3), seq + 4)) as s from event_log where corrupted) x")
 def seqs_around(spark, d):
-    c = event_log(spark, d).filter("seq % 10 = 0").groupBy("stream_id").agg(F.collect_list("seq").alias("centres"))
-    return c.select("stream_id", F.array_join(sink.seqs_around(F.col("centres")), ",").alias("seqs"))
+    return sink.seqs_around(event_log(spark, d).filter("corrupted").select("stream_id", F.col("seq").alias("centre")))
 
 
 @query(f"with {CHAIN}, t as (select stream_id, max(seq) as seq, arg_max(height, seq) as height from chain_log group by 1) select stream_id, case when stream_id not in (2, 3) then seq end as seq, case when stream_id not in (2, 3) then height end as height from t")
@@ -619,7 +691,31 @@ def silence_gaps(spark, d):
     return metrics.silences(event_log(spark, d), 3600)
 
 
-@query(f"with {EVENT} select stream_id, cast(sum(bytes) as bigint) as in_bytes, min(seq) - 1 as deleted_seq, max(seq) as known_seq, max(height) as known_height, arg_max(height, seq) as reader_height from event_log group by 1")
+@query(f"with {EVENT}, p as (select stream_id, subject, seq, cast(floor(epoch_us(ts) / 1000000) as bigint) - cast(floor(epoch_us(lag(ts) over (partition by stream_id, subject order by seq)) / 1000000) as bigint) as gap from event_log) select * from p where gap > 36000")
+def silence_by_subject(spark, d):
+    return metrics.silences(event_log(spark, d), 36_000, by=("stream_id", "subject"))
+
+
+_WRITTEN = f"{_STATUS}, w as (select status, case when contains(msg_id, '.') then 1 else 0 end as block_type, req as source_seq, req * 8 + stream_id as seq, req * 977 % 100000000 as bytes from judged)"
+
+
+def _written(spark, d):
+    w = sink.classify_writes(*_write_requests(spark, d))
+    kind = F.when(F.contains("msg_id", F.lit(".")), 1).otherwise(0)
+    return w.select("status", kind.alias("block_type"), F.col("req").alias("source_seq"), (F.col("req") * 8 + F.col("stream_id")).alias("seq"), (F.col("req") * 977 % 100000000).alias("bytes"))
+
+
+@query(f"with {_WRITTEN}, e(le, edge) as (select * from (values {_EDGE_ROWS}) t) select block_type, status, cast(le as integer) as le, count(*) filter (where bytes <= edge) as n from w cross join e group by 1, 2, 3")
+def write_size_histogram(spark, d):
+    return metrics.histogram(_written(spark, d), F.col("bytes"), ["block_type", "status"], _EDGES)
+
+
+@query(f"with {_WRITTEN} select block_type, status, count(*) as writes, cast(sum(bytes) as bigint) as out_bytes, arg_max(source_seq, seq) as last_source_seq from w group by 1, 2")
+def output_gauges(spark, d):
+    return metrics.output_gauges(_written(spark, d))
+
+
+@query(f"with {EVENT} select stream_id, cast(sum(bytes) as bigint) as in_bytes, min(seq) - 1 as deleted_seq, max(seq) as known_seq, max(height) as known_height, max(seq) as reader_seq, arg_max(height, seq) as reader_height from event_log group by 1")
 def input_gauges(spark, d):
     return metrics.input_gauges(event_log(spark, d))
 
@@ -627,14 +723,6 @@ def input_gauges(spark, d):
 # --- payloads
 
 
-def _payloads(spark, d, kind):
-    blocks = chain_log(spark, d)
-    if kind != "proto_zstd":
-        blocks = blocks.filter("block_type = 0")
-    good = decoders.encode(blocks, kind)
-    return good.select("stream_id", "seq", F.when(F.col("seq") % 100 == 0, F.lit(b"\x07x")).otherwise(F.col("data")).alias("data"))
-
-
 def _decoded_sql(where: str) -> str:
     keep = "case when seq % 100 <> 0 then {0} end as {0}"
     cols = ", ".join(keep.format(c) for c in ("height", "block_type", "shard_id", "hash", "prev_hash"))
@@ -642,7 +730,7 @@ def _decoded_sql(where: str) -> str:
 
 
 def _decoded(spark, d, kind):
-    out = decoders.decode(_payloads(spark, d, kind), kind)
+    out = decoders.decode(payload_log(spark, d, kind).select("stream_id", "seq", "data"), kind)
     return out.select("stream_id", "seq", "height", F.col("block_type").cast("int").alias("block_type"), "shard_id", "hash", "prev_hash", F.col("decode_error").isNotNull().alias("failed"))
 
 
@@ -666,3 +754,11 @@ def decode_headers_only(spark, d):
     log = chain_log(spark, d).select("stream_id", "seq", F.create_map(F.lit("Nats-Msg-Id"), F.array(msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")))).alias("headers"))
     out = decoders.decode(log, "headers_only")
     return out.select("stream_id", "seq", "height", F.col("block_type").cast("int").alias("block_type"), "shard_id", F.col("decode_error").isNotNull().alias("failed"))
+
+
+@query(f"""with {CHAIN} select stream_id, seq, case when seq % 100 <> 0 then height end as height, case when seq % 100 <> 0 then hash end as hash, seq % 100 = 0 as failed
+  from chain_log where block_type = 0 and seq >= 50 and seq < 4000 and seq % 3 < 2 and (seq % 5 = 0 or height >= 300)""")
+def read_blocks(spark, d):
+    """A stored log: a range of seqs and some subjects, without payloads of blocks that the message id tells to be below height 300, decoded, broken rows kept."""
+    out = scan.blocks(payload_log(spark, d, "json_lz4"), "json_lz4", 50, 4000, ["blk.0", "blk.1"], F.lit(300))
+    return out.select("stream_id", "seq", "height", "hash", F.col("decode_error").isNotNull().alias("failed"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.msgid import order_key
 from ..schema import REASON_CLASS, SHARD
@@ -16,20 +17,28 @@ from .tolerance import Counts, Tolerances
 from .verify import FIELDS, Verifier
 
 
-def records(log: DataFrame, segment: int = prefix.SEGMENT) -> DataFrame:
+def sound(log: DataFrame) -> DataFrame:
+    """The rows that hold a block: neither marked as corrupted nor without height, type or shard."""
+    held = F.col("height").isNotNull() & F.col("block_type").isNotNull() & F.col("shard_id").isNotNull()
+    return log.filter(held & ~F.coalesce("corrupted", F.lit(False)) if "corrupted" in log.columns else held)
+
+
+def records(log: DataFrame, segment: int = prefix.SEGMENT, order: str = "seq") -> DataFrame:
     """The chain where heights may have gaps and neither hashes nor completeness count, without a buffer.
 
-    A stream's first row is accepted as it is. An announcement is accepted if it is higher than
-    all before; a shard if its height is the highest announced so far and its id greater than
-    those accepted there. Two prefix passes; the second only sees shards of the block that
-    was open when they came, so its windows are as small as a block.
+    Corrupted rows and rows without a block don't count. A stream's first row is accepted as it
+    is. An announcement is accepted if it is higher than all before; a shard if its height is
+    the highest announced so far and its id greater than those accepted there. Two prefix
+    passes; the second only sees shards of the block that was open when they came, so its
+    windows are as small as a block.
     """
+    log = sound(log)
     specs = {"announced": ("max", F.when(F.col("block_type") == 0, F.col("height"))), "opened": ("first", F.col("height"))}
-    log = prefix.before(log, specs, segment=segment).withColumn("top", F.greatest("announced", "opened"))
+    log = prefix.before(log, specs, order=order, segment=segment).withColumn("top", F.greatest("announced", "opened"))
     higher = F.col("top").isNull() | ((F.col("block_type") == 0) & (F.col("height") > F.col("top")))
     inside = (F.col("block_type") == SHARD) & (F.col("height") == F.col("top"))
     kept = log.filter(higher | inside)
-    earlier = Window.partitionBy("stream_id", "height").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("stream_id", "height").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     kept = kept.withColumn("before", F.max(F.when(F.col("block_type") == SHARD, F.col("shard_id"))).over(earlier))
     accepted = F.col("top").isNull() | (F.col("height") > F.col("top")) | F.col("before").isNull() | (F.col("shard_id") > F.col("before"))
     return kept.filter(accepted).drop("announced", "opened", "top", "before")
@@ -114,7 +123,7 @@ class Fold:
         return self.bridge.verifier.reason(last, row)
 
     def _handle(self, row: dict) -> Iterator[dict]:
-        if row.get("corrupted"):
+        if row.get("corrupted") or any(row[f] is None for f in ("height", "block_type", "shard_id")):
             return self._count("corrupted")
         verdict = self._first(row) if self.tip is None else REASON_CLASS[self._reason(self.tip, row)]
         if verdict == "irrelevant":
@@ -163,45 +172,86 @@ class Fold:
             self.ended = "terminal"
 
 
-def fold(log: DataFrame, bridge: Bridge) -> DataFrame:
-    """The chain by the rules of ``bridge``: stream_id, seq, out_seq (the place in the output) and, on the last row, how the stream ended.
+#: What the rules look at.
+NEEDED = ("stream_id", "seq", *FIELDS, "corrupted")
+#: Marks rows of a table of tips among those of a log.
+TIP = "__tip"
+
+
+def with_tips(log: DataFrame, tips: DataFrame) -> DataFrame:
+    """The log and, marked, the last row that each stream's output has taken (a row a stream), which comes before all rows of the log."""
+    own = tips.select(*[c for c in log.columns if c in tips.columns]).withColumn(TIP, F.lit(True))
+    return log.withColumn(TIP, F.lit(False)).unionByName(own, allowMissingColumns=True)
+
+
+def written(log: DataFrame, bridge: Bridge) -> DataFrame:
+    """The rows of the log that ``bridge`` lets out, with all their columns, out_seq (the place in the output) and event ("written"); and a row for the end of a stream's output (event "desync" or "terminal").
 
     One pass over each partition in (stream, seq) order: a task keeps a stream's tip, buffer
     and counters, never the stream. Streams run side by side; within one, each decision needs
-    the one before, so a single stream is as fast as one core.
+    the one before, so a single stream is as fast as one core. Rows without a block count as
+    corrupted. A row marked as a tip (see ``with_tips``) is where its stream's output stands; it
+    isn't given out. The row of an end is the one at which it came.
     """
-    fields = [f for f in (*FIELDS, "corrupted") if f in log.columns]
-    rows = log.select(F.col("stream_id").cast("string").alias("stream_id"), "seq", *fields).repartition("stream_id").sortWithinPartitions("stream_id", "seq")
+    tips = TIP in log.columns
+    order = ["stream_id", F.col(TIP).desc(), "seq"] if tips else ["stream_id", "seq"]
+    rows = log.repartition("stream_id").sortWithinPartitions(*order)
+    fields = [f for f in ("stream_id", "seq", TIP, *FIELDS, "corrupted") if f in log.columns]
+    names = [c for c in log.columns if c != TIP]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream, state, n = None, None, 0
         for batch in batches:
-            out = []
-            names = list(batch.columns)
-            for values in batch.itertuples(index=False, name=None):
-                row = {**dict.fromkeys(FIELDS), **dict(zip(names, values, strict=True))}
+            whole = batch.select(names)
+            out: list[tuple[pa.RecordBatch, int, int | None, str]] = []
+            for k, own in enumerate(batch.select(fields).to_pylist()):
+                row = {**dict.fromkeys(FIELDS), **own, "at": (whole, k)}
                 if state is None or row["stream_id"] != stream:
-                    stream, state, n = row["stream_id"], Fold(bridge), 0
+                    stream, state, n = row["stream_id"], Fold(bridge, row if row.get(TIP) else None), 0
+                    if row.get(TIP):
+                        continue
                 before = state.ended
                 for kept in state.take(row):
                     n += 1
-                    out.append((stream, kept["seq"], n, "written"))
+                    out.append((*kept["at"], n, "written"))
                 if state.ended and not before:
-                    out.append((stream, row["seq"], None, state.ended))
-            frame = pd.DataFrame(out, columns=["stream_id", "seq", "out_seq", "event"])
-            yield frame.astype({"out_seq": "Int64"})
+                    out.append((whole, k, None, state.ended))
+            for row in state.held if state else ():  # what waits keeps its own row, not the batch
+                held, k = row["at"]
+                row["at"] = (pa.RecordBatch.from_arrays([held.column(c).take(pa.array([k])) for c in names], schema=held.schema), 0)
+            yield from _taken(out, whole.schema)
+
+    events = [T.StructField("out_seq", T.LongType()), T.StructField("event", T.StringType())]
+    return rows.mapInArrow(run, T.StructType([log.schema[c] for c in names] + events))
+
 
-    return rows.mapInPandas(run, "stream_id string, seq long, out_seq long, event string")
+def _taken(rows: list[tuple[pa.RecordBatch, int, int | None, str]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of the rows, each given as (its batch, its place there, out_seq, event), in this order."""
+    begin = 0
+    for end in range(1, len(rows) + 1):
+        if end == len(rows) or rows[end][0] is not rows[begin][0]:
+            some = rows[begin:end]
+            own = some[0][0].take(pa.array([r[1] for r in some], pa.int64()))
+            more = [pa.array([r[2] for r in some], pa.int64()), pa.array([r[3] for r in some], pa.string())]
+            yield pa.RecordBatch.from_arrays([*own.columns, *more], [*schema.names, "out_seq", "event"])
+            begin = end
+
+
+def fold(log: DataFrame, bridge: Bridge) -> DataFrame:
+    """What ``written`` gives, without the blocks: stream_id (as a string), seq, out_seq and event."""
+    needed = [f for f in (*NEEDED[1:], TIP) if f in log.columns]
+    out = written(log.select(F.col("stream_id").cast("string").alias("stream_id"), *needed), bridge)
+    return out.select("stream_id", "seq", "out_seq", "event")
 
 
-def take_while(chain: DataFrame, last_block: tuple[int, int, int] | None = None, end_block: tuple[int, int, int] | None = None) -> DataFrame:
+def take_while(chain: DataFrame, last_block: tuple[int, int, int] | None = None, end_block: tuple[int, int, int] | None = None, order: str = "seq") -> DataFrame:
     """A valid chain up to and with ``last_block``, and before ``end_block``: its keys rise, so both are plain filters."""
     key = order_key(F.col("height"), F.col("block_type"), F.col("shard_id"))
     literal = lambda b: order_key(F.lit(b[0]).cast("long"), F.lit(b[1]), F.lit(b[2]).cast("long"))
     if end_block is not None:
         chain = chain.filter(key < literal(end_block))
     if last_block is not None:
-        before = prefix.previous(chain, {"h": "height", "t": "block_type", "s": "shard_id"})
+        before = prefix.previous(chain, {"h": "height", "t": "block_type", "s": "shard_id"}, order=order)
         reached = order_key(F.col("h"), F.col("t"), F.col("s")) >= literal(last_block)
         chain = before.filter(F.col("h").isNull() | ~reached).drop("h", "t", "s")
     return chain

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.msgid import construct
+from ..sources.checkpoint import cut
 from . import prefix
 
 
@@ -22,18 +25,117 @@ def deduplicate(log: DataFrame) -> DataFrame:
     return first_per(log, ["stream_id", "msg_id"], ["seq"])
 
 
-def merged(inputs: DataFrame, start_height: int = 0, segment: int = prefix.SEGMENT) -> DataFrame:
-    """One chain of announcements from several inputs (input_id): at each height the first input that has it, as far as each links to the one before.
+def deduplicate_within(log: DataFrame, seconds: float = 120.0, segment: int = prefix.SEGMENT) -> DataFrame:
+    """The rows of a stream whose message id no kept row of the ``seconds`` before has: after the window, a copy is a new message.
 
-    Candidates rank by (height, input_id, seq). A stream ends before its first block whose
-    prev_hash isn't the hash before: no later one can link to the head, since inputs carry one
-    block a height.
+    Rows of one id that follow each other within the window are a run. A run's first row is
+    kept, and the others within the window of it are not. Only what a run has beyond that
+    depends on which rows are kept on the way: those rows alone are walked, in order of seq.
     """
-    best = first_per(inputs.filter(F.col("height") >= start_height), ["stream_id", "height"], ["input_id", "seq"])
-    linked = prefix.previous(prefix.segmented(best, "height", segment), {"head_hash": "hash"}, order="height")
-    broken = F.coalesce(F.col("prev_hash") != F.col("head_hash"), F.lit(False))
-    rows = prefix.before(linked, {"stopped": ("max", F.when(broken, 1))}, order="height")
-    return rows.filter(F.col("stopped").isNull() & ~broken).drop("stopped", "head_hash", "__segment")
+    rows = log.withColumn("msg_id", construct(F.col("height"), F.col("block_type"), F.col("shard_id"))).withColumn("at_", F.unix_micros(F.col("ts").cast("timestamp")))
+    key, window = ("stream_id", "msg_id"), round(seconds * 1e6)
+    rows = prefix.before(prefix.segmented(rows, segment=segment, by=key), {"last_": ("last", F.col("at_"))}, by=key)
+    opens = F.coalesce(F.col("at_") - F.col("last_") >= window, F.lit(True))
+    rows = prefix.before(rows.withColumn("opens_", opens), {"begun_": ("last", F.when(opens, F.col("at_")))}, by=key).drop("__segment")
+
+    def walk(batches):
+        run, kept_at = None, 0
+        for batch in batches:
+            kept = []
+            for stream, msg_id, begun, at in zip(*(batch.column(c).to_pylist() for c in ("stream_id", "msg_id", "begun_", "at_")), strict=True):
+                if run != (stream, msg_id, begun):
+                    run, kept_at = (stream, msg_id, begun), begun
+                kept.append(at - kept_at >= window)
+                kept_at = at if kept[-1] else kept_at
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    late = rows.filter(~F.col("opens_") & (F.col("at_") - F.col("begun_") >= window))
+    late = late.repartition(*key, "begun_").sortWithinPartitions(*key, "begun_", "seq").mapInArrow(walk, rows.schema)
+    return rows.filter("opens_").unionByName(late).select(*log.columns, "msg_id")
+
+
+#: Heights of a segment of candidates, each walked in a task of its own.
+STRETCH = 1 << 16
+
+
+def merged(inputs: DataFrame, start_height: int = 0, contiguous: bool = False, hash_ci: bool = False, stretch: int = STRETCH, segment: int = prefix.SEGMENT) -> DataFrame:
+    """One chain from several inputs (input_id): candidates come by (height, input_id, seq), and one is taken if it is higher than the head and its prev_hash is the head's hash.
+
+    Others are passed over, so where an input has a bad block, the next input's good one is
+    taken. The first candidate begins the chain; with a ``start_height``, the first one of that
+    height. ``contiguous`` takes no block but that of the next height; ``hash_ci`` compares
+    hashes in lower case. A missing hash is an empty one; rows without height don't count.
+
+    What may follow a head depends on its height and hash alone. So each (height, hash) has one
+    successor, which a prefix pass over heights by hash finds; heights are cut into stretches,
+    and each tells where a path that enters it leaves it. Paths between stretches are followed
+    by doubled steps (rows of entries only), and then each stretch gives its rows on the path.
+    """
+    folded = (lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))) if hash_ci else (lambda c: F.coalesce(F.col(c), F.lit("")))
+    names = inputs.columns
+    rows = inputs.filter(F.col("height") >= start_height).withColumns({"__hash": folded("hash"), "__prev": folded("prev_hash")})
+    steps = first_per(rows, ["stream_id", "height", "__prev"], ["input_id", "seq"])  # all of one head's first followers at a height
+    first = rows.filter(F.col("height") == start_height) if start_height else rows
+    first = first_per(first, ["stream_id"], ["height", "input_id", "seq"])
+    heads = rows.select("stream_id", "height", "__hash").distinct()
+    # a head at height h is asked for the least follower above h: followers stand at 2 h, heads at 2 h + 1
+    follower = F.struct(*[F.col(c) for c in (*names, "__hash")])
+    asked = heads.select("stream_id", F.col("__hash").alias("link"), (2 * F.col("height") + 1).alias("place"), "height", "__hash", F.lit(None).cast(steps.select(follower.alias("f")).schema["f"].dataType).alias("follower"))
+    given = steps.select("stream_id", F.col("__prev").alias("link"), (2 * F.col("height")).alias("place"), F.lit(None).cast("long").alias("height"), F.lit(None).cast("string").alias("__hash"), follower.alias("follower"))
+    both = prefix.before(asked.unionByName(given), {"next": ("last", F.col("follower"))}, by=("stream_id", "link"), order="place", segment=segment, descending=True)
+    edges = both.filter("follower is null and next is not null")
+    if contiguous:
+        edges = edges.filter("next.height = height + 1")
+    edges = edges.select("stream_id", "height", "__hash", "next", F.expr(f"height div {stretch}").alias("stretch"))
+    return _path(cut(edges), first.select(*names, "__hash"), names, stretch)
+
+
+def _path(edges: DataFrame, first: DataFrame, names: list[str], stretch: int) -> DataFrame:
+    """The first rows and all that edges (stream_id, height, __hash) -> next lead to from them."""
+    stream = edges.schema["stream_id"]
+
+    def links(found: pa.Table) -> dict:
+        after = found.column("next").combine_chunks()
+        return dict(zip(zip(found.column("height").to_pylist(), found.column("__hash").to_pylist(), strict=True), zip(after.field("height").to_pylist(), after.field("__hash").to_pylist(), strict=True), strict=True))
+
+    def leave(key, found):
+        """Each head's way out of its stretch, if it has one; from high to low, since links go up."""
+        after, out = links(found), {}
+        for node in sorted(after, reverse=True):
+            out[node] = out.get(after[node], after[node])
+        rows = [(key[0].as_py(), *node, *end) for node, end in out.items() if end[0] // stretch != key[1].as_py()]
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (found.schema.field("stream_id").type, pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)], ["stream_id", "height", "__hash", "to_height", "to_hash"])
+
+    def walk(key, found, entries):
+        """Rows that the path takes in this stretch, and the one that it leaves it by."""
+        after = links(found)
+        at = {node: k for k, node in enumerate(after)}
+        taken = set()
+        for node in zip(entries.column("height").to_pylist(), entries.column("__hash").to_pylist(), strict=True):
+            while node in at and node not in taken:
+                taken.add(node)
+                node = after[node]
+        rows = found.column("next").combine_chunks().take(pa.array(sorted(at[n] for n in taken), pa.int64()))
+        return pa.Table.from_arrays([rows.field(c) for c in names], names)
+
+    place = F.expr(f"height div {stretch}").alias("stretch")
+    leaves = T.StructType([stream, T.StructField("height", T.LongType()), T.StructField("__hash", T.StringType()), T.StructField("to_height", T.LongType()), T.StructField("to_hash", T.StringType())])
+    ways = edges.groupBy("stream_id", "stretch").applyInArrow(leave, leaves)
+    begun = first.select("stream_id", "height", "__hash")
+    targets = ways.select("stream_id", F.col("to_height").alias("height"), F.col("to_hash").alias("__hash")).unionByName(begun).distinct()
+    ways = cut(ways.join(targets, ["stream_id", "height", "__hash"], "left_semi"))  # only those that begin where a path may enter
+    reached, many = cut(begun), -1
+    node = ["stream_id", "height", "__hash"]
+    while (n := reached.count()) != many:
+        many = n
+        on = reached.join(ways, node).select("stream_id", F.col("to_height").alias("height"), F.col("to_hash").alias("__hash"))
+        reached = cut(reached.unionByName(on).distinct())
+        further = ways.select("stream_id", F.col("height").alias("to_height"), F.col("__hash").alias("to_hash"), F.col("to_height").alias("then_height"), F.col("to_hash").alias("then_hash"))
+        ways = cut(ways.join(further, ["stream_id", "to_height", "to_hash"]).select(*node, F.col("then_height").alias("to_height"), F.col("then_hash").alias("to_hash")))
+    followed = edges.groupBy("stream_id", "stretch").cogroup(reached.select(*node, place).groupBy("stream_id", "stretch"))
+    rows = followed.applyInArrow(walk, T.StructType([first.schema[c] for c in names]))
+    return first.select(*names).unionByName(rows)
 
 
 def heads(log: DataFrame) -> DataFrame:
@@ -79,3 +181,26 @@ def input_counts(rows: DataFrame, target: Column) -> DataFrame:
     """By input: rows, those that the header rule skips, and those handled."""
     skipped = F.col("height") < target
     return rows.groupBy("input_id").agg(F.count("*").alias("rows"), F.count_if(skipped).alias("skipped"), F.count_if(~F.coalesce(skipped, F.lit(False))).alias("handled"))
+
+
+def merge_counts(inputs: DataFrame, chain: DataFrame, start_height: int = 0, contiguous: bool = False, hash_ci: bool = False, segment: int = prefix.SEGMENT) -> DataFrame:
+    """By input, what became of its rows as candidates for a chain that ``merged`` gives: handled, corrupted, written, low, high and mismatch.
+
+    A row is judged against the chain's head when its turn comes, by (height, input_id, seq):
+    the last chain row of a smaller height, or of its own height from an earlier turn. Rows
+    marked as corrupted, or without height, have no block to judge.
+    """
+    folded = (lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))) if hash_ci else (lambda c: F.coalesce(F.col(c), F.lit("")))
+    turn = ["stream_id", "height", "input_id", "seq"]
+    bad = F.col("height").isNull() | (F.coalesce("corrupted", F.lit(False)) if "corrupted" in inputs.columns else F.lit(False))
+    taken = chain.select(F.struct(*turn).alias("turn_"), F.lit(True).alias("taken_"))
+    rows = inputs.withColumn("bad_", bad).withColumn("turn_", F.struct(*turn)).join(taken, "turn_", "left")
+    rows = prefix.segmented(rows, "height", segment)
+    head = F.when(F.col("taken_"), F.struct(F.col("height").alias("h"), folded("hash").alias("x"), F.col("input_id").alias("i"), F.col("seq").alias("q")))
+    rows = prefix.before(rows.withColumn("order_", F.struct("height", "input_id", "seq")), {"head": ("last", head)}, order="order_")
+    above = F.col("height") - F.col("head.h")
+    low = F.coalesce(above <= 0, F.lit(False)) | (F.col("head").isNull() & (F.col("height") < start_height))
+    high = (F.col("head").isNull() & (F.col("height") > start_height) & F.lit(bool(start_height))) | (F.coalesce(above > 1, F.lit(False)) & F.lit(contiguous))
+    kind = F.when(F.col("bad_"), "corrupted").when(F.col("taken_"), "written").when(low, "low").when(high, "high").when(F.col("head").isNotNull() & (folded("prev_hash") != F.col("head.x")), "mismatch")
+    count = lambda k: F.count_if(F.col("kind_") == k).alias(k)
+    return rows.withColumn("kind_", kind).groupBy("input_id").agg(F.count("*").alias("handled"), *[count(k) for k in ("corrupted", "written", "low", "high", "mismatch")])

@@ -38,11 +38,11 @@ def throughput(log: DataFrame, seconds: int = 3) -> DataFrame:
     return log.groupBy("stream_id", at.alias("from_second")).agg(F.count("*").alias("msgs"))
 
 
-def silences(log: DataFrame, most_seconds: int, segment: int = prefix.SEGMENT) -> DataFrame:
-    """stream_id, seq, gap: rows that came more than so many seconds after the one before."""
-    rows = prefix.previous(log.select("stream_id", "seq", "ts"), {"prev_ts": "ts"}, segment=segment)
+def silences(log: DataFrame, most_seconds: int, by: tuple[str, ...] = ("stream_id",), segment: int = prefix.SEGMENT) -> DataFrame:
+    """by, seq, gap: rows that came more than so many seconds after the one before in their stream (or of the other keys, such as its subject)."""
+    rows = prefix.previous(log.select(*by, "seq", "ts"), {"prev_ts": "ts"}, by=by, segment=segment)
     at = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
-    return rows.withColumn("gap", at("ts") - at("prev_ts")).filter(F.col("gap") > most_seconds).select("stream_id", "seq", "gap")
+    return rows.withColumn("gap", at("ts") - at("prev_ts")).filter(F.col("gap") > most_seconds).select(*by, "seq", "gap")
 
 
 def write_figures(writes: DataFrame) -> DataFrame:
@@ -51,7 +51,16 @@ def write_figures(writes: DataFrame) -> DataFrame:
 
 
 def input_gauges(log: DataFrame) -> DataFrame:
-    return log.groupBy("stream_id").agg(F.sum("bytes").alias("in_bytes"), (F.min("seq") - 1).alias("deleted_seq"), F.max("seq").alias("known_seq"), F.max("height").alias("known_height"), F.max_by("height", "seq").alias("reader_height"))
+    """By stream: bytes read, what the log has deleted and knows, and the seq and height that a reader of all of it has come to."""
+    return log.groupBy("stream_id").agg(
+        F.sum("bytes").alias("in_bytes"), (F.min("seq") - 1).alias("deleted_seq"), F.max("seq").alias("known_seq"), F.max("height").alias("known_height"),
+        F.max_by("seq", F.when(F.col("height").isNotNull(), F.col("seq"))).alias("reader_seq"), F.max_by("height", "seq").alias("reader_height"),
+    )
+
+
+def output_gauges(writes: DataFrame) -> DataFrame:
+    """By block type and write status: writes, bytes, and the source seq of the last write."""
+    return writes.groupBy("block_type", "status").agg(F.count("*").alias("writes"), F.sum("bytes").alias("out_bytes"), F.max_by("source_seq", "seq").alias("last_source_seq"))
 
 
 def running_tip(log: DataFrame, segment: int = prefix.SEGMENT) -> DataFrame:

@@ -2,7 +2,9 @@
 
 A log is cut into segments of so many sequence numbers. Each segment is a window partition of
 its own; what earlier segments add is one row a segment, aggregated, prefix-summed and joined
-back on the same keys that the windows are partitioned by, so the log moves once.
+back on the same key that the windows are partitioned by, so the log moves once. The key is a
+struct, in which nulls are equal: rows without a stream are a stream of their own, and rows
+without a place come first in theirs.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ def _joined(kind: str, carry: Column, local: Column) -> Column:
     return {"max": F.greatest, "min": F.least, "last": F.coalesce}[kind](local, carry)
 
 
-def segmented(log: DataFrame, order: str = "seq", segment: int = SEGMENT) -> DataFrame:
-    """The rows with their segment. ``before`` uses it where it is there, and leaves it: passes over one log then share its partitioning."""
-    return log.withColumn("__segment", F.floor(F.col(order) / segment).cast("long"))
+def segmented(log: DataFrame, order: str = "seq", segment: int = SEGMENT, by: tuple[str, ...] = ("stream_id",)) -> DataFrame:
+    """The rows with their segment (the keys and its number). ``before`` uses it where it is there, and leaves it: passes over one log then share its partitioning."""
+    return log.withColumn("__segment", F.struct(*by, F.expr(f"{order} div {segment}").alias("n")))
 
 
 def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str, ...] = ("stream_id",), order: str = "seq", segment: int = SEGMENT, descending: bool = False) -> DataFrame:
@@ -33,12 +35,12 @@ def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str,
     Kinds: max, min, sum (0 before the first row), first and last (of the values that aren't null).
     """
     given = "__segment" in log.columns
-    log = log if given else segmented(log, order, segment)
+    log = log if given else segmented(log, order, segment, by)
     for name, (_, expression) in specs.items():
         log = log.withColumn(f"__{name}", expression)
     turn = (lambda c: F.col(c).desc()) if descending else F.col
-    inside = Window.partitionBy(*by, "__segment").orderBy(turn(order)).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*by).orderBy(turn("__segment")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__segment").orderBy(turn(order)).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*[f"__segment.{c}" for c in by]).orderBy(turn("__segment.n")).rowsBetween(Window.unboundedPreceding, -1)
 
     def over(kind: str, column: Column, window) -> Column:
         if kind in ("first", "last"):
@@ -50,15 +52,15 @@ def before(log: DataFrame, specs: dict[str, tuple[str, Column]], by: tuple[str,
         if kind not in ("first", "last"):
             return {"max": F.max, "min": F.min, "sum": F.sum}[kind](column)
         pick = F.max_by if (kind == "last") != descending else F.min_by
-        return pick(column, F.when(column.isNotNull(), F.col(order)))
+        return pick(column, F.when(column.isNotNull(), F.struct(order)))
 
-    totals = log.groupBy(*by, "__segment").agg(*[total(kind, name).alias(f"__total_{name}") for name, (kind, _) in specs.items()])
-    carries = totals.select(*by, "__segment", *[over(kind, F.col(f"__total_{name}"), earlier).alias(f"__carry_{name}") for name, (kind, _) in specs.items()])
+    totals = log.groupBy("__segment").agg(*[total(kind, name).alias(f"__total_{name}") for name, (kind, _) in specs.items()])
+    carries = totals.select("__segment", *[over(kind, F.col(f"__total_{name}"), earlier).alias(f"__carry_{name}") for name, (kind, _) in specs.items()])
     local = log.select("*", *[over(kind, F.col(f"__{name}"), inside).alias(f"__local_{name}") for name, (kind, _) in specs.items()])
-    both = local.join(carries, [*by, "__segment"])
+    both = local.join(carries, "__segment")
     for name, (kind, _) in specs.items():
         both = both.withColumn(name, _joined(kind, F.col(f"__carry_{name}"), F.col(f"__local_{name}")))
-    return both.drop(*[c for c in both.columns if c.startswith("__") and not (given and c == "__segment")])
+    return both.drop(*[f"__{part}{name}" for name in specs for part in ("", "carry_", "local_")], *([] if given else ["__segment"]))
 
 
 def previous(log: DataFrame, columns: dict[str, str], by: tuple[str, ...] = ("stream_id",), order: str = "seq", segment: int = SEGMENT) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.headers import first_value, matches_subject
 from ..functions.msgid import parse
+from ..sources.decode import decode
+from ..sources.checkpoint import cut
 from . import prefix
 
 
@@ -48,14 +50,19 @@ def state(log: DataFrame, bytes_: Column | None = None) -> DataFrame:
 def resolve_mirrors(streams: DataFrame) -> DataFrame:
     """(stream, mirror_of, subjects) -> each stream's subjects at the end of its mirrors, and how many steps that takes.
 
-    Follows doubled steps, so the rounds grow with the logarithm of the longest path; a stream
-    whose path has no end (a cycle, or a missing stream) is left out.
+    Follows doubled steps, so the rounds grow with the logarithm of the longest path. A stream
+    whose path has no end (a cycle, or a missing stream) is left out: more steps than there are
+    streams can only go round.
     """
-    at = streams.select("stream", F.coalesce("mirror_of", "stream").alias("to"), F.when(F.col("mirror_of").isNull(), 0).otherwise(1).alias("steps"))
     ends = streams.filter("mirror_of is null").select(F.col("stream").alias("to"), "subjects")
-    for _ in range(7):  # 128 steps: beyond what a chain of mirrors can have
+    at = cut(streams.select("stream", F.coalesce("mirror_of", "stream").alias("to"), F.when(F.col("mirror_of").isNull(), 0).otherwise(1).alias("steps")))
+    most, reach = at.count(), 1
+    while reach < most:
         following = at.select(F.col("stream").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"))
-        at = at.join(following, "to").select("stream", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps"))
+        at = cut(at.join(following, "to").select("stream", F.col("next").alias("to"), (F.col("steps") + F.col("more")).alias("steps")))
+        reach *= 2
+        if at.join(ends, "to", "left_anti").isEmpty():
+            break
     return at.join(ends, "to").select("stream", F.col("to").alias("origin"), "subjects", "steps")
 
 
@@ -83,3 +90,12 @@ def resume_point(log: DataFrame, state_header: str) -> DataFrame:
     value = first_value(F.col("headers"), state_header)
     number = F.when(value.rlike("^[0-9]+$"), value.try_cast("decimal(20,0)"))
     return log.groupBy("stream_id").agg(F.coalesce(F.max(number), F.lit(0).cast("decimal(20,0)")).cast("long").alias("resume_seq"))
+
+
+def blocks(log: DataFrame, kind: str, start: int | None = None, end: int | None = None, subjects: list[str] | None = None, target: Column | None = None) -> DataFrame:
+    """A stored log as decoded blocks: ranges and subjects first, then rows whose message id is below the target go, and only what is left is decoded.
+
+    Rows that can't be decoded stay, with their decode_error. Bounds reach the Parquet scan.
+    """
+    rows = between(log, start, end, subjects)
+    return decode(rows if target is None else skip_by_header(rows, target), kind)

@@ -5,26 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: What a caller does about an outcome. Fixed values.
-ON_OUTCOME = {
-    "OK": "go on", "TemporarilyUnavailable": "retry", "Collision": "desync", "WrongPredecessor": "desync",
-    "RemovedPredecessor": "desync", "RemovedPosition": "desync",
-}
+#: Streams whose bounds or resume points may be broadcast.
+FEW_STREAMS = 100_000
+
+
+def by_stream(log: DataFrame, points: DataFrame, most: int = FEW_STREAMS) -> DataFrame:
+    """The log with its streams' points (a row a stream): broadcast if they are counted to be few, else by a shuffle of both."""
+    few = points.limit(most + 1).count() <= most
+    points = points.withColumnRenamed("stream_id", "of_")
+    return log.join(F.broadcast(points) if few else points, F.col("stream_id").eqNullSafe(F.col("of_")), "left").drop("of_")
 
 
 def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
     """Requests (stream_id, msg_id, pred_seq, pred_msg_id) with outcome and metric status against the output (stream_id, seq, msg_id).
 
     An empty pred_msg_id isn't enforced. An id that the output has (its last seq counts) is a
-    duplicate if it is in its place, else a collision. Four joins on keys, none of which can
-    multiply a request.
+    duplicate if it is in its place, else a collision. Joins on keys, none of which can multiply a
+    request; the bounds are a row a stream, broadcast where these are few.
     """
-    bounds = output.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.max_by("msg_id", "seq").alias("last_id"))
-    known = output.groupBy("stream_id", "msg_id").agg(F.max("seq").alias("known_seq"))
-    place = output.select("stream_id", (F.col("seq") - 1).alias("pred_seq"), F.col("msg_id").alias("place_id"))
-    before = output.select("stream_id", F.col("seq").alias("pred_seq"), F.col("msg_id").alias("before_id"))
-    r = requests.join(bounds, "stream_id", "left").join(known, ["stream_id", "msg_id"], "left")
-    r = r.join(place, ["stream_id", "pred_seq"], "left").join(before, ["stream_id", "pred_seq"], "left")
+    own = output.select("stream_id", "seq", "msg_id")
+    bounds = own.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.max_by("msg_id", "seq").alias("last_id"))
+    known = own.groupBy("stream_id", "msg_id").agg(F.max("seq").alias("known_seq"))
+    # what stands at a position and right after it, as one row of the output's positions
+    after = own.select("stream_id", (F.col("seq") - 1).alias("pred_seq"), F.col("msg_id").alias("place_id"), F.lit(None).cast("string").alias("before_id"))
+    at = own.select("stream_id", F.col("seq").alias("pred_seq"), F.lit(None).cast("string").alias("place_id"), F.col("msg_id").alias("before_id"))
+    places = after.unionByName(at).groupBy("stream_id", "pred_seq").agg(F.max("place_id").alias("place_id"), F.max("before_id").alias("before_id"))
+    r = by_stream(requests.join(known, ["stream_id", "msg_id"], "left").join(places, ["stream_id", "pred_seq"], "left"), bounds)
     pred, last, free = F.col("pred_seq"), F.coalesce("last_seq", F.lit(0)), F.col("pred_msg_id") == ""
     rules = [
         (F.col("known_seq") == pred + 1, "OK", "duplicate"),
@@ -46,10 +52,10 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
     return r.select(*requests.columns, outcome.otherwise("RemovedPosition").alias("outcome"), status.otherwise("desync").alias("status"))
 
 
-def seqs_around(centres: Column, reach: int = 3) -> Column:
-    """The distinct seqs from 1 on within reach of any of the centres (an array), ascending."""
-    around = F.transform(centres, lambda c: F.sequence(F.greatest(F.lit(1).cast("long"), c - reach), c + reach))
-    return F.array_sort(F.array_distinct(F.flatten(around)))
+def seqs_around(centres: DataFrame, reach: int = 3) -> DataFrame:
+    """stream_id, seq: the distinct seqs from 1 on within reach of any of the centres (stream_id, centre)."""
+    around = F.sequence(F.greatest(F.lit(1).cast("long"), F.col("centre") - reach), F.col("centre") + reach)
+    return centres.select("stream_id", F.explode(around).alias("seq")).distinct()
 
 
 def live_tips(output: DataFrame, deleted: DataFrame) -> DataFrame:

@@ -1,38 +1,13 @@
-"""Options of logs and programs, with their defaults and the values they are held to. Fixed values."""
+"""Options of programs, with their defaults. Fixed values."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from ..operators.chain import Anchor, Bridge
 from ..operators.tolerance import Tolerances
 from ..operators.verify import VERIFIERS
 
 #: What a bridge tolerates unless told otherwise.
 TOLERANCES = Tolerances(corrupted=-1, low=100_000, high=-1, wrong=1000, no_write=-1)
-LEAST_DEDUP_MS = 100
-
-
-def urls(text: str) -> list[str]:
-    """Addresses from a comma list: trimmed, without blanks."""
-    return [u for u in (part.strip() for part in text.split(",")) if u]
-
-
-@dataclass(frozen=True)
-class LogConfig:
-    """A log that is made where there is none: what it takes and keeps. Limits below 1 are none."""
-
-    name: str
-    subjects: list[str] = field(default_factory=list)
-    max_msgs: int = 0
-    max_bytes: int = 0
-    replicas: int = 1
-    dedup_ms: int = 0
-
-    def held(self) -> LogConfig:
-        """With defaults and bounds applied: one subject from the name, at least one replica, a dedup window of at least 100 ms."""
-        limit = lambda n: n if n >= 1 else -1
-        return LogConfig(self.name, self.subjects or [self.name.replace("_", ".")], limit(self.max_msgs), limit(self.max_bytes), max(1, self.replicas), max(LEAST_DEDUP_MS, self.dedup_ms))
 
 
 def bridge(kind: str = "headers_only", headers_only: bool = False, shard_filter: list[bool] | None = None, **options) -> Bridge:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.headers import copied
+from ..functions.msgid import order_key
 from ..operators import merge, retention, scan, verify
 from ..operators.chain import Bridge
+from ..operators.sink import by_stream
 from ..schema import STATE_HEADER
 from . import planner
 
@@ -23,23 +25,24 @@ class Copy:
     drop_msg_id: bool = False
 
 
-#: Streams whose resume points may be broadcast.
-FEW_STREAMS = 100_000
-
-
-def by_stream(log: DataFrame, points: DataFrame, most: int = FEW_STREAMS) -> DataFrame:
-    """The log with its streams' points (a row a stream): broadcast if they are counted to be few, else by a shuffle of both."""
-    few = points.limit(most + 1).count() <= most
-    return log.join(F.broadcast(points) if few else points, "stream_id", "left")
-
-
-def bridge(log: DataFrame, config: Bridge, tip: DataFrame | None = None) -> DataFrame:
-    """Rows to append to an output: those of the log after the output's tip (stream_id, seq of the source) that make a valid chain."""
-    if tip is not None:
-        done = tip.groupBy("stream_id").agg(F.max("seq").alias("done"))
-        log = by_stream(log, done).filter("done is null or seq > done").drop("done")
-    kept = planner.extract(log, config).withColumnRenamed("stream_id", "__stream")
-    return log.join(kept, (F.col("__stream") == log["stream_id"].cast("string")) & (kept["seq"] == log["seq"]), "left_semi")
+def bridge(log: DataFrame, config: Bridge, output: DataFrame | None = None) -> DataFrame:
+    """Rows to append to an output: those of the log that make a valid chain, from the output's tip on where it has one.
+
+    output: what has been written so far, as rows of the log (their seqs are the source's). Its
+    highest block in each stream is what the next rows are verified against. Rows up to that
+    one are not read again; but with a buffer, whose rows a restart has lost, all are from the
+    first one that is higher. Streams without output begin as ``config`` says.
+    """
+    if output is None:
+        return planner.rows(log, config)
+    key = order_key(F.col("height"), F.col("block_type"), F.col("shard_id"))
+    tips = output.groupBy("stream_id").agg(F.max_by(F.struct(*[c for c in output.columns if c != "stream_id"]), key).alias("tip")).select("stream_id", "tip.*")
+    if config.buffer:
+        higher = by_stream(log, tips.select("stream_id", key.alias("tip"))).filter(F.col("tip").isNotNull() & (key > F.col("tip")))
+        start = higher.groupBy("stream_id").agg(F.min("seq").alias("start"))
+    else:
+        start = tips.select("stream_id", (F.col("seq") + 1).alias("start"))
+    return planner.rows(by_stream(log, start).filter("start is null or seq >= start").drop("start"), config, tips)
 
 
 def copy(log: DataFrame, output: DataFrame | None, config: Copy) -> DataFrame:

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..functions.msgid import construct
+from ..operators import prefix
+from ..schema import MESSAGE_ID
+from . import files
+from .checkpoint import shared_folder
+from .decode import encode
 
 STREAMS = 8
+#: Heights of a cell, whose rows are ranked together.
+CELL = 1 << 12
 _LOG = ("stream_id", "seq", "height", "block_type", "shard_id", "hash", "prev_hash", "ts")
 
 
@@ -16,10 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as announcements and their lines as shards, with the columns that order rows of one place."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    stream = (F.col("o_custkey") % STREAMS).alias("stream_id")
-    before = F.lag("o_orderkey").over(Window.partitionBy(F.col("o_custkey") % STREAMS).orderBy("o_orderkey"))
     digest = lambda c: F.md5(c.cast("string").cast("binary"))
-    heads = orders.select("o_orderkey", stream, "o_orderdate", digest(F.col("o_orderkey")).alias("hash"), F.coalesce(digest(before), F.lit("")).alias("prev_hash"))
+    heads = orders.select("o_orderkey", (F.col("o_custkey") % STREAMS).alias("stream_id"), "o_orderdate")
+    heads = prefix.previous(heads, {"before": "o_orderkey"}, order="o_orderkey")
+    heads = heads.select("o_orderkey", "stream_id", "o_orderdate", digest(F.col("o_orderkey")).alias("hash"), F.coalesce(digest(F.col("before")), F.lit("")).alias("prev_hash"))
     zero = [F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0.0).alias("k3")]
     common = ["stream_id", F.col("o_orderkey").alias("height"), "hash", "prev_hash"]
     announced = heads.select(*common, F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"), F.col("o_orderdate").alias("ts"), *zero)
@@ -30,16 +42,67 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return announced.unionByName(shards)
 
 
+def numbered(rows: DataFrame, order: list[str], cell: Column) -> DataFrame:
+    """The rows with seq: their place in their stream by ``order``, from 1 on.
+
+    ``cell``: a whole number that doesn't fall along the order. Rows are counted by cell, the
+    counts are summed up over cells, and only within a cell are rows ranked: no window holds a
+    stream.
+    """
+    rows = rows.withColumn("cell", cell)
+    counts = rows.groupBy("stream_id", "cell").count()
+    begins = prefix.before(counts, {"begin": ("sum", F.col("count"))}, order="cell").select("stream_id", "cell", "begin")
+    rank = F.row_number().over(Window.partitionBy("stream_id", "cell").orderBy(*order))
+    ranked = rows.withColumn("rank", rank).join(begins, ["stream_id", "cell"])
+    return ranked.withColumn("seq", F.coalesce("begin", F.lit(0)).cast("long") + F.col("rank")).drop("cell", "begin", "rank")
+
+
+_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """The log that ``make`` gives, written once a session below the shared folder, by stream and segment of seqs, and scanned from there."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        log, path = make(spark, sf_dir), f"{shared_folder(spark)}/logs-{uuid.uuid4().hex}/{name}"
+        files.write(log, path)
+        _STORED[key] = path, log.schema
+    path, schema = _STORED[key]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def _chain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["height", "block_type", "ts", "shard_id", "k1", "k2", "k3"]
+    return numbered(_rows(spark, sf_dir), order, F.expr(f"height div {CELL}")).select(*_LOG)
+
+
 def chain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks in their own order: nearly a valid chain."""
-    order = Window.partitionBy("stream_id").orderBy("height", "block_type", "ts", "shard_id", "k1", "k2", "k3")
-    return _rows(spark, sf_dir).withColumn("seq", F.row_number().over(order).cast("long")).select(*_LOG)
+    return stored(spark, sf_dir, "chain_log", _chain_log)
+
+
+def _noisy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["ts", "height", "block_type", "shard_id", "k1", "k2", "k3"]
+    return numbered(_rows(spark, sf_dir), order, F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))).select(*_LOG)
 
 
 def noisy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows in the order of their times: far from a chain."""
-    order = Window.partitionBy("stream_id").orderBy("ts", "height", "block_type", "shard_id", "k1", "k2", "k3")
-    return _rows(spark, sf_dir).withColumn("seq", F.row_number().over(order).cast("long")).select(*_LOG)
+    return stored(spark, sf_dir, "noisy_log", _noisy_log)
+
+
+def payload_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The blocks of the chain log as messages with payloads of a format, a hundredth of them broken; most have a message id."""
+
+    def make(spark: SparkSession, sf_dir: str) -> DataFrame:
+        blocks = chain_log(spark, sf_dir)
+        sent = encode(blocks if kind == "proto_zstd" else blocks.filter("block_type = 0"), kind)
+        data = F.when(F.col("seq") % 100 == 0, F.lit(b"\x07x")).otherwise(F.col("data")).alias("data")
+        id_ = construct(F.col("height"), F.col("block_type"), F.col("shard_id"))
+        held = F.when(F.col("seq") % 5 != 0, F.create_map(F.lit(MESSAGE_ID), F.array(id_))).otherwise(F.create_map().cast("map<string,array<string>>"))
+        return sent.select("stream_id", "seq", F.concat(F.lit("blk."), F.col("seq") % 3).alias("subject"), held.alias("headers"), data)
+
+    return stored(spark, sf_dir, f"payloads_{kind}", make)
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,3 +141,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = chain_log(spark, sf_dir).filter("block_type = 0")
     a = log.filter("height % 3 <> 0").withColumn("input_id", F.lit("a"))
     return a.unionByName(log.filter("height % 5 <> 0").withColumn("input_id", F.lit("b")))
+
+
+def redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs that together have every block: "a" lacks a third of the heights and has others whose link is broken, "b" lacks another third."""
+    log = chain_log(spark, sf_dir).filter("block_type = 0")
+    a = log.filter("height % 3 <> 0").withColumn("prev_hash", F.when((F.col("height") % 7 == 0) & (F.col("height") % 3 == 2), "bad").otherwise(F.col("prev_hash")))
+    return a.withColumn("input_id", F.lit("a")).unionByName(log.filter("height % 3 <> 1").withColumn("input_id", F.lit("b")))

@@ -30,6 +30,10 @@ INPUTS = f"""{CHAIN}, inputs as (
   select *, 'a' as input_id from chain_log where block_type = 0 and height % 3 <> 0
   union all select *, 'b' from chain_log where block_type = 0 and height % 5 <> 0
 )"""
+REDUNDANT = f"""{CHAIN}, redundant as (
+  select * replace (case when height % 7 = 0 and height % 3 = 2 then 'bad' else prev_hash end as prev_hash), 'a' as input_id from chain_log where block_type = 0 and height % 3 <> 0
+  union all select *, 'b' from chain_log where block_type = 0 and height % 3 <> 1
+)"""
 #: Reason of a row against the one before (columns l_height, l_type, l_shard, l_hash), by rules that are on.
 REASON = """case
   when l_height is null then 'OK' when height < l_height then 'LowHeight'

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import pickle
 from collections.abc import Iterator
 
@@ -20,10 +21,11 @@ def follow(log: DataFrame, bridge: Bridge) -> DataFrame:
 
     Rows of a micro-batch are taken in seq order; across batches a log only grows. There is no
     watermark: a row is late when it is below the tip, which the rules count and drop. State
-    holds as many rows as the buffer, beside the tip.
+    holds as many rows as the buffer, beside the tip. Rows travel as JSON, since pandas makes
+    floats of whole numbers beside nulls.
     """
     fields = [f for f in (*FIELDS, "corrupted") if f in log.columns]
-    rows = log.select(F.col("stream_id").cast("string").alias("stream_id"), "seq", *fields)
+    rows = log.select(F.col("stream_id").cast("string").alias("stream_id"), "seq", F.to_json(F.struct("seq", *fields)).alias("body"))
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if state.exists:
@@ -31,10 +33,9 @@ def follow(log: DataFrame, bridge: Bridge) -> DataFrame:
             fold = pickle.loads(blob)
         else:
             fold, n = Fold(bridge), 0
-        frame = pd.concat(list(batches)).sort_values("seq")
-        out, names = [], list(frame.columns)
-        for values in frame.itertuples(index=False, name=None):
-            row = {**dict.fromkeys(FIELDS), **dict(zip(names, values, strict=True))}
+        out = []
+        for body in pd.concat(list(batches)).sort_values("seq")["body"]:
+            row = {**dict.fromkeys(FIELDS), **json.loads(body)}
             before = fold.ended
             for kept in fold.take(row):
                 n += 1

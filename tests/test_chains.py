@@ -159,3 +159,59 @@ def test_no_window_holds_a_whole_stream(spark, sf):
     plan = chain.records(log)._jdf.queryExecution().optimizedPlan().toString()
     over_rows = [line for line in plan.splitlines() if "Window [" in line and "__local" in line]
     assert over_rows and all("__segment" in line for line in over_rows)
+
+
+@pytest.mark.parametrize("config", [Bridge(), Bridge(Verifier(check_hashes=True)), Bridge(Verifier(allow_gaps=False), buffer=4), Bridge(last_block=(12, 0, 0)), Bridge(Verifier(shard_filter=(True, False, True)), end_block=(11, 0, 0))])
+def test_resumed_where_it_stopped(spark, config):
+    """A first run's output and what a second one appends to it: as one run, but for what a buffer held in between."""
+    rows = [(*r[:8], False) for r in random_log(4, streams=3)]
+    log = spark.createDataFrame(rows, SCHEMA).withColumn("stream_id", F.when(F.col("stream_id") != "2", F.col("stream_id")))
+    for cut in (1, 20, 63):
+        begun = programs.bridge(log.filter(F.col("seq") <= cut), config)
+        rest = programs.bridge(log, config, begun)
+        want = []
+        for s in "012":
+            own = as_dicts(rows, s)
+            fold = Fold(config)
+            first = [k for r in own if r["seq"] <= cut for k in fold.take(r)]
+            tip = first[-1] if first else None
+            after = Fold(config, tip)
+            start = 0 if tip is None else tip["seq"] + 1 if not config.buffer else min((r["seq"] for r in own if chain.block_key(r) > chain.block_key(tip)), default=0)
+            second = [k for r in own if r["seq"] >= start for k in after.take(r)]
+            want += [(s if s != "2" else "None", k["seq"]) for k in first + second]
+        assert sorted((str(r.stream_id), r.seq) for r in begun.unionByName(rest).collect()) == sorted(want)
+    assert programs.bridge(log, config, log.limit(0)).count() == programs.bridge(log, config).count()
+
+
+def test_a_stray_row_after_the_tip(spark):
+    rows = [("s", 1, 10, "a", ""), ("s", 2, 11, "b", "a"), ("s", 3, 5, "z", "y"), ("s", 4, 12, "c", "b")]
+    log = spark.createDataFrame(rows, "stream_id string, seq long, height long, hash string, prev_hash string").withColumn("block_type", F.lit(0)).withColumn("shard_id", F.lit(0).cast("long"))
+    for config in (Bridge(), Bridge(Verifier(check_hashes=True))):
+        assert [r.seq for r in programs.bridge(log, config, log.filter("seq <= 2")).collect()] == [4]
+
+
+@pytest.mark.parametrize("config", [*CONFIGS, Bridge(), Bridge(Verifier(shard_filter=(True, False)))])
+def test_rows_without_a_block(spark, config):
+    """Nulls beside numbers leave these as they are, also where doubles can't tell them apart."""
+    far = (1 << 53) + 1
+    rows = [(r[0], r[1], *((None,) * 6 if r[1] % 7 == 3 else (r[2] + far, *r[3:8])), r[1] % 7 == 3 or r[8]) for r in random_log(4, streams=2)]
+    shift = lambda b: None if b is None else (b[0] + far, *b[1:])
+    anchor = Anchor(shift(config.anchor.block), shift(config.anchor.after), config.anchor.seq)
+    config = Bridge(config.verifier, config.buffer, config.tolerances, anchor, shift(config.last_block), shift(config.end_block), config.strict_filter)
+    got = sorted((r.stream_id, r.seq, r.height) for r in planner.rows(spark.createDataFrame(rows, SCHEMA), config).collect())
+    assert got == sorted((s, k["seq"], k["height"]) for s in "01" for k in (k for fold in [Fold(config)] for r in as_dicts(rows, s) for k in fold.take(r)))
+
+
+def test_derived_logs_are_numbered_by_cells(spark, sf):
+    from streamchain.sources import adapters
+
+    plan = adapters._chain_log(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and ("row_number" in line or "__local" in line)]
+    assert windows and all("cell" in line or "__segment" in line for line in windows)
+
+
+def test_ranges_of_a_stored_log_reach_its_scan(spark, sf):
+    from streamchain import catalog
+
+    plan = catalog.queries()["scan_range"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(seq,100), LessThan(seq,400)" in plan and "Exchange" not in plan

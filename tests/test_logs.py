@@ -86,15 +86,90 @@ def test_retention(spark):
 
 
 def test_mirrors_far_and_round(spark):
-    rows = [("s0", None, "x")] + [(f"s{k}", f"s{k - 1}", None) for k in range(1, 60)] + [("a", "b", None), ("b", "a", None)]
+    rows = [("s0", None, "x")] + [(f"s{k}", f"s{k - 1}", None) for k in range(1, 200)] + [("a", "b", None), ("b", "a", None), ("into", "a", None), ("lost", "nowhere", None)]
     got = {r.stream: r.steps for r in scan.resolve_mirrors(spark.createDataFrame(rows, "stream string, mirror_of string, subjects string")).collect()}
-    assert got == {f"s{k}": k for k in range(60)}
-
-
-def test_merge_stops_at_a_broken_link(spark):
-    rows = [("s", i, h, f"h{h}", f"h{h - 1}", q) for i, q in (("a", 1), ("b", 2)) for h in (1, 2, 3, 5, 6) if not (i == "a" and h == 2)]
-    t = spark.createDataFrame(rows, "stream_id string, input_id string, height long, hash string, prev_hash string, seq long")
-    assert sorted((r.height, r.input_id) for r in merge.merged(t).collect()) == [(1, "a"), (2, "b"), (3, "a")]
+    assert got == {f"s{k}": k for k in range(200)}
+
+
+MERGE = "stream_id string, input_id string, height long, hash string, prev_hash string, seq long"
+
+
+def merged_by_hand(rows, start=0, contiguous=False):
+    out = []
+    for s in sorted({r[0] for r in rows}, key=str):
+        head = None
+        for r in sorted((r for r in rows if r[0] == s and r[2] is not None), key=lambda r: (r[2], r[1], r[5])):
+            if head is None:
+                fits = r[2] == start if start else True
+            else:
+                fits = r[2] > head[2] and (not contiguous or r[2] == head[2] + 1) and (r[4] or "") == (head[3] or "")
+            if fits:
+                head = r
+                out.append(r)
+    return out
+
+
+def test_merge_takes_the_other_input_where_one_is_broken(spark):
+    rows = [("s", "a", 1, "h1", "", 1), ("s", "a", 2, "x2", "bad", 2), ("s", "a", 3, "h3", "h2", 3), ("s", "b", 1, "h1", "", 1), ("s", "b", 2, "h2", "h1", 2), ("s", "b", 3, "h3", "h2", 3)]
+    got = merge.merged(spark.createDataFrame(rows, MERGE))
+    assert sorted((r.height, r.input_id) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "a")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_merges_are_the_walk(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    rows = []
+    for s in ("s", None):
+        for q in range(90):
+            h = q // 3 + rnd.choice((0, 0, 0, 1))
+            rows.append((s, rnd.choice("abc"), rnd.choice((h, h, h, None)) if q % 10 == 9 else h, rnd.choice((f"h{h}", f"h{h}", f"h{h}'", None)), rnd.choice((f"h{h - 1}", f"h{h - 1}", f"h{h - 2}", f"h{h - 1}'")), q))
+    t = spark.createDataFrame(rows, MERGE)
+    for stretch, contiguous, start in ((1, False, 0), (7, False, 3), (1 << 16, True, 0)):
+        out = merge.merged(t, start, contiguous, stretch=stretch, segment=5)
+        assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, merged_by_hand(rows, start, contiguous)))
+    counts = merge.merge_counts(t, merge.merged(t), segment=4).collect()
+    assert sum(r.handled for r in counts) == len(rows) and sum(r.written for r in counts) == len(merged_by_hand(rows))
+    assert all(r.handled == r.corrupted + r.written + r.low + r.high + r.mismatch for r in counts) and sum(r.corrupted for r in counts) == sum(r[2] is None for r in rows)
+
+
+def test_copies_after_the_window_are_new(spark):
+    times = [0, 30, 60, 90, 110, 119, 121, 200, 240, 241, 500]
+    d = spark.createDataFrame([("s" if k % 2 else None, q, 1, 0, 0, t) for k in (0, 1) for q, t in enumerate(times)], "stream_id string, seq long, height long, block_type int, shard_id long, t int")
+    got = merge.deduplicate_within(d.withColumn("ts", F.timestamp_seconds("t")), segment=4).collect()
+    assert sorted((str(r.stream_id), r.t) for r in got) == sorted((s, t) for s in ("None", "s") for t in (0, 121, 241, 500))
+
+
+def test_rows_without_stream_or_place(spark):
+    log = spark.createDataFrame([(s, q, q) for s in ("a", None) for q in (1, 2, None)], "stream_id string, seq long, height long")
+    assert sorted((str(r.stream_id), str(r.seq), str(r.tip)) for r in metrics.running_tip(log).collect()) == sorted((str(s), str(q), str(q)) for s in ("a", None) for q in (1, 2, None))
+    assert retention.newest_messages(log, 10).count() == 6
+    points = spark.createDataFrame([(None, 7)], "stream_id string, point int")
+    for most in (0, 9):
+        assert sorted(str(r.point) for r in sink.by_stream(log, points, most).collect()) == ["7"] * 3 + ["None"] * 3
+
+
+def test_payloads_byte_by_byte(spark):
+    """Payloads written out from the formats' definitions, not by this package's own encoder."""
+    import xxhash
+
+    def frame(body):
+        head = b"\x60\x40"  # independent blocks of 64 KB at most, no checksums
+        raw = (len(body) | 1 << 31).to_bytes(4, "little") + body  # not compressed
+        return b"\x04\x22\x4d\x18" + head + bytes([xxhash.xxh32_intdigest(head) >> 8 & 255]) + raw + bytes(4)
+
+    envelope = bytes.fromhex("01 85 02 18 2a 1a 65 00 00 00 19 01 f4 50") + bytes(16)
+    cbor = envelope + b"\xa3\x64hash\x62aa\x6bparent_hash\x62bb\x66height\x19\x01\x00"
+    body = frame(b'{"block": {"header": {"height": 300, "prev_hash": "p", "hash": "h"}}}')
+    json_ = envelope + bytes([0x58, len(body)]) + body
+    inner = b"\x0a\x01h\x12\x01p\x18\xac\x02\x22\x02\x01\x00\x28\x07"
+    message = b"\x12" + bytes([len(inner)]) + inner
+    zstd = b"\x28\xb5\x2f\xfd\x20" + bytes([len(message)]) + (len(message) << 3 | 1).to_bytes(3, "little") + message
+    want = {"cbor_map": (256, 0, 0, "aa", "bb", None), "json_lz4": (300, 0, 0, "h", "p", None), "proto_zstd": (300, 1, 7, "h", "p", [True, False])}
+    for kind, data in (("cbor_map", cbor), ("json_lz4", json_), ("proto_zstd", zstd)):
+        r = decode.decode(spark.createDataFrame([(1, bytearray(data))], "seq long, data binary"), kind).first()
+        assert (r.height, r.block_type, r.shard_id, r.hash, r.prev_hash, r.shard_mask) == want[kind] and r.decode_error is None
 
 
 def test_histogram_edges(spark):
