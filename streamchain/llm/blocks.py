@@ -24,8 +24,8 @@ def block_count(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> int:
 
 
 def blocked(docs: DataFrame, blocks: int) -> DataFrame:
-    """doc_id and text with the number of their block, which a hash of the id deals out evenly."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    """doc_id and text with the number of their block, which a hash of both deals out: rows without id, or of one id, lie in many, as long as their texts differ."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
 
 def keys(hashes: np.ndarray, shards: int) -> np.ndarray:

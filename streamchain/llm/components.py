@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.checkpoint import cut, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none, as in tests."""
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/streamchain-checkpoints")
-    return context.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """The rows in the shared checkpoint folder, without lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+__all__ = ["components", "cut", "shared_folder"]
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:

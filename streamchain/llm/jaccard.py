@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,22 +12,29 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import ascii_lower, chunks, freed, mixed, rolling, split_words, texts, word_hashes
+from .arrow import ascii_lower, chunks, freed, rolling, split_words, texts, word_hashes
 from .blocks import block_count, blocked, by_shard, from_planes, keys, planes, runs, table
 from .components import components, cut
 
 _SENT_SQL = "shard int, block int, data binary, counts binary"
 _SENT = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary(), "counts": pa.binary()}
-_REPLY_SQL = "block int, shard int, doc_id long, digest binary, common binary, counts binary"
 _REPLY = {"block": pa.int32(), "shard": pa.int32(), "common": pa.binary(), "counts": pa.binary()}
-_KEYS_SQL = "doc_id long, n_shingles long, digest binary"
-_INDEX = {"doc": pa.int64(), "n": pa.int32(), "signatures": pa.list_(pa.int64()), "places": pa.list_(pa.int32()), "tokens": pa.list_(pa.int64())}
-_INDEX_SQL = "doc long, n int, signatures array<long>, places array<int>, tokens array<long>"
+_KEYS_SQL = "doc_id long, block int, n_shingles long, digest binary"
+_INDEX = {"doc": pa.int64(), "n": pa.int32(), "prefix": pa.int32(), "tokens": pa.list_(pa.int64())}
+_INDEX_SQL = "doc long, n int, prefix int, tokens array<long>"
 
-#: A shingle in at most so many distinct sets is rare, and is indexed alone; others are indexed in pairs.
-RARE = 64
-#: Sets with as many shingles are indexed by single shingles alone: their prefixes are long, and hold too many pairs.
-LONG = 400
+#: With how many first members of entries a set is compared before all else.
+HUBS = 3
+#: An entry's pairs are compared when there are so few, or when longer combinations would take more than so many rows a pair.
+FEW, ROWS_A_PAIR = 16, 16
+#: All entries that are left are compared once they hold no more pairs than so many a row of the first ones: then their number is linear in the table.
+LINEAR = 2
+#: Combinations are taken for a division once they leave such a share of the entry's pairs.
+DIVIDED = 0.25
+#: Ratio of the bounds of a size class.
+CLASS = 1.04
+#: Members of an entry that one task compares with others of it.
+SPLIT = 4096
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +63,7 @@ def _set_keys(size: int):
         for batch in chunks(batches):
             token, at = shingle_sets(texts(batch.column("text")), size)
             digests = [xxhash.xxh3_128_digest(token[at[k] : at[k + 1]].tobytes()) for k in range(len(at) - 1)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "n_shingles", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), pa.array(np.diff(at), pa.int64()), pa.array(digests, pa.binary())], ["doc_id", "block", "n_shingles", "digest"])
 
     return run
 
@@ -75,35 +85,14 @@ def _representatives(docs: pa.Table, listed: pa.Table, size: int) -> tuple[list[
     return kept, np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.cumsum([0, *map(len, parts)])
 
 
-def _signatures(token: np.ndarray, count: np.ndarray, percent: int, rare: int, long: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes under which a set is indexed, and the place of their (first) shingle in the set's order: rare shingles first.
+def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, blocks: int) -> DataFrame:
+    """The listed sets that share a shingle of their prefix with another one: doc, n (size), the shingles that others have too, from rare to frequent, and how many of these lie in the prefix.
 
-    Sets that share ``percent`` of their union share their first common shingle within their
-    prefixes of n - o + 1, and the first two within n - o + 2, where o = ceil(percent n / 100).
-    If the first is rare, it is indexed alone; if not, the second isn't either, and both are
-    indexed as a pair. Shingles that no other set has are left out.
+    The order is that of (how many sets have it, hash). Shingles of one set alone come first in
+    it and can't be shared: they count as places, but aren't kept. The prefix is that of
+    n - ceil(percent n / 100) + 1 shingles, which hold the first common one of any linked pair.
     """
-    n = len(token)
-    least = -(-n * percent // 100)
-    order = np.lexsort((token, count))
-    token, count = token[order], count[order]
-    single = np.flatnonzero((count[: n - least + 1] > 1) & ((count[: n - least + 1] <= rare) | (n >= long)))
-    out, places = [token[single]], [single]
-    if n * percent < long * 100:
-        frequent = np.flatnonzero(count[: min(n, n - least + 2)] > rare)
-        if len(frequent) > 1:
-            a, b = np.triu_indices(len(frequent), 1)
-            a, b = frequent[a], frequent[b]
-            a, b = a[a < n - least + 1], b[a < n - least + 1]
-            out.append(mixed(token[a] * np.uint64(0x9E3779B97F4A7C15) + token[b]))
-            places.append(a)
-    return np.concatenate(out), np.concatenate(places)
-
-
-def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare: int, long: int, blocks: int) -> DataFrame:
-    """doc, n, signatures, places and tokens of each representative that shares an indexed shingle with another one."""
-    dealt = blocked(docs, blocks).groupBy("block")
-    listed = listed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+    dealt = docs.groupBy("block")
 
     @freed
     def send(key, found, rows):
@@ -144,9 +133,12 @@ def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare:
         count = count[back]
         out = []
         for k, doc in enumerate(ids):
-            signatures, places = _signatures(token[at[k] : at[k + 1]], count[at[k] : at[k + 1]], percent, rare, long)
-            if len(signatures):
-                out.append((doc, int(at[k + 1] - at[k]), signatures.view(np.int64), places.astype(np.int32), token[at[k] : at[k + 1]].view(np.int64)))
+            own, held = token[at[k] : at[k + 1]], count[at[k] : at[k + 1]]
+            n, many = len(own), held > 1
+            kept = own[many][np.lexsort((own[many], held[many]))]
+            prefix = n - (-(-n * percent // 100)) + 1 - (n - len(kept))
+            if prefix > 0:
+                out.append((doc, n, prefix, kept.view(np.int64)))
         return table(_INDEX, out)
 
     sent = dealt.cogroup(listed.groupBy("block")).applyInArrow(send, _SENT_SQL)
@@ -157,13 +149,110 @@ def _indexed(docs: DataFrame, listed: DataFrame, size: int, percent: int, rare:
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets share ``percent`` of their union."""
-    left = pairs.join(sets.select(F.col("doc").alias("b"), F.col("tokens").alias("other")), "b")
-    both = left.join(sets.select(F.col("doc").alias("a"), "tokens"), "a")
+    left = pairs.join(sets.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("other")), "b")
+    both = left.join(sets.select(F.col("doc").alias("a"), "n", "tokens"), "a")
     share = F.size(F.array_intersect("tokens", "other"))
-    return both.filter(100 * share >= percent * (F.size("tokens") + F.size("other") - share)).select("a", "b")
+    return both.filter(100 * share >= percent * (F.col("n") + F.col("n_b") - share)).select("a", "b")
+
+
+def _fits(k, n, place, m, other, percent: int):
+    """Whether sets of n and m can still link if these places hold their k-th common shingle: they share no more than k and what comes after it in either."""
+    return (F.least(n - place, m - other) + k - 1) * (100 + percent) >= percent * (n + m)
+
+
+def _stats(rows: DataFrame) -> DataFrame:
+    """By root and signature, of those with members in several components: members, pairs across components, rows that longer combinations would make, shared shingles that these could still have, and the largest component. Pre-aggregated by component."""
+    room = F.greatest(F.col("n") - F.col("least") + F.col("k") - F.col("place"), F.lit(0))
+    some = rows.groupBy("root", "signature", "component").agg(F.count("*").alias("c"), F.sum(room).alias("room"), F.min(F.col("least") - F.col("k")).alias("spare"))
+    each = some.groupBy("root", "signature").agg(F.sum("c").alias("m"), F.sum(F.col("c").cast("double") ** 2).alias("square"), F.sum("room").alias("room"), F.min("spare").alias("spare"), F.max_by("component", "c").alias("main"), F.count("*").alias("parts"))
+    return each.filter("parts > 1").select("root", "signature", "m", "main", "room", "spare", ((F.col("m").cast("double") ** 2 - F.col("square")) / 2).alias("pairs"))
 
 
-def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85, rare: int = RARE, long: int = LONG, blocks: int | None = None) -> DataFrame:
+def _plain(pairs, room, spare):
+    """Whether to compare an entry's pairs rather than to divide it."""
+    return (pairs <= FEW) | (room > pairs * ROWS_A_PAIR) | (spare <= 0)
+
+
+def _divided(rows: DataFrame, sets: DataFrame, percent: int) -> Iterator[DataFrame]:
+    """Pairs (a, b) to compare, of entries whose members (doc, n, component, least, k, signature, place) lie in several components.
+
+    An entry that is not compared as it is is a root: its members go under longer and longer
+    combinations, until these leave few of its pairs (each combination is a root then), or have
+    taken as many rows as its pairs are worth (it is compared as it is after all), or no two
+    members are left under any.
+    """
+    base = cut(rows.withColumn("root", F.col("signature")))  # members of roots, as they are compared
+    most = LINEAR * base.count()
+    stats = cut(_stats(base))
+    plain = stats.select("root", "m", "main", "pairs", _plain(F.col("pairs"), F.col("room"), F.col("spare")).alias("plain"), F.col("room").alias("spent"))
+    first = True
+    while True:
+        base = base.join(plain, "root")
+        if (plain.filter("not plain").agg(F.sum("pairs")).first()[0] or 0) <= most:
+            base = base.withColumn("plain", F.lit(True))
+        base = cut(base)
+        yield _across(base.filter("plain"), percent)
+        base = base.filter("not plain")
+        if base.isEmpty():
+            return
+        if first:  # sizes divide an entry without more rows than a few a member
+            base = cut(_by_size(base.drop("m", "main", "plain", "pairs", "spent"), percent).withColumn("root", F.col("signature")))
+            stats = cut(_stats(base))
+            plain = stats.select("root", "m", "main", "pairs", _plain(F.col("pairs"), F.col("room"), F.col("spare")).alias("plain"), F.col("room").alias("spent"))
+            first, rows = False, base
+            continue
+        rows = cut(_longer(rows.join(base.select("root").distinct(), "root", "left_semi"), sets))
+        stats = cut(_stats(rows))
+        roots = base.groupBy("root").agg(F.first("pairs").alias("whole"), F.first("spent").alias("spent"), F.first("m").alias("whole_m"), F.first("main").alias("whole_main"))
+        sums = stats.groupBy("root").agg(F.sum("pairs").alias("left"), F.sum("room").alias("more"), F.min("spare").alias("spare"))
+        judged = cut(roots.join(sums, "root").withColumn("divided", F.col("left") <= F.col("whole") * DIVIDED))
+        new = stats.join(judged.filter("divided").select("root"), "root", "left_semi")
+        over = (F.col("spent") + F.col("more") > F.col("whole") * ROWS_A_PAIR) | (F.col("spare") <= 0)
+        old = judged.filter("not divided").select("root", F.col("whole_m").alias("m"), F.col("whole_main").alias("main"), F.col("whole").alias("pairs"), over.alias("plain"), (F.col("spent") + F.col("more")).alias("spent"))
+        names = ["doc", "n", "component", "least", "k", "signature", "place", "root"]
+        moved = rows.join(new.select("root", "signature"), ["root", "signature"], "left_semi").withColumn("root", F.col("signature"))
+        rows = cut(moved.select(*names).unionByName(rows.join(old.filter("not plain").select("root"), "root", "left_semi").join(stats.select("root", "signature"), ["root", "signature"], "left_semi").select(*names)))
+        base = moved.select(*names).unionByName(base.join(old.select("root"), "root", "left_semi").select(*names))
+        fresh = new.select(F.col("signature").alias("root"), "m", "main", "pairs", _plain(F.col("pairs"), F.col("room"), F.col("spare")).alias("plain"), F.col("room").alias("spent"))
+        plain = fresh.unionByName(old)
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of an entry's members in different components that its places don't rule out. Members are split over tasks; those outside the entry's largest component go to each of them."""
+    parts = F.ceil(F.col("m") / SPLIT).cast("int")
+    own = [F.col(c).alias(f"{c}_a") for c in ("doc", "n", "place", "component")]
+    left = rows.select("signature", "main", "k", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), *own)
+    right = rows.filter("component <> main").select("signature", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "doc", "n", "place", "component")
+    both = left.join(right, ["signature", "part"]).filter("component <> component_a and (component_a = main or doc_a < doc)")
+    both = both.filter(_fits(F.col("k"), F.col("n_a"), F.col("place_a"), F.col("n"), F.col("place"), percent))
+    return both.select(F.least("doc_a", "doc").alias("a"), F.greatest("doc_a", "doc").alias("b"))
+
+
+def _by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """Members of entries, dealt by their own size class and that of a partner: for each class that a partner can be of, with the least that they must share."""
+    n, place = F.col("n"), F.col("place")
+    kind = lambda c: F.floor(F.log(c.cast("double")) / F.log(F.lit(CLASS))).cast("int")
+    low = F.ceil(n * percent / 100).cast("int")
+    # a partner has what both share, no more than comes from this place on
+    high = F.least(F.floor(n * 100 / percent), F.floor((n - place) * (100 + percent) / percent) - n).cast("int")
+    classes = F.when(high >= low, F.sequence(kind(low), kind(high)))
+    out = rows.withColumn("other", F.explode(classes)).withColumn("own", kind(n))
+    smallest = F.greatest(low, F.floor(F.pow(F.lit(CLASS), F.col("other")) * (1 - 1e-9)).cast("int"))
+    out = out.withColumn("least", F.ceil((n + smallest) * percent / (100 + percent)).cast("int")).filter(place <= n - F.col("least"))
+    signature = F.xxhash64("signature", F.least("own", "other"), F.greatest("own", "other"))
+    return out.withColumn("signature", signature).drop("own", "other", "root")
+
+
+def _longer(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of entries under combinations of one shingle more: each of those at places where the next common one can be."""
+    held = rows.join(sets.select("doc", "tokens"), "doc")
+    skipped = F.col("n") - F.size("tokens")  # places of shingles that no other set has
+    next_ = F.slice("tokens", F.col("place") - skipped + 2, F.greatest(F.col("n") - F.col("least") + F.col("k") - F.col("place"), F.lit(0)))
+    more = held.select("root", "doc", "n", "component", "least", (F.col("k") + 1).alias("k"), "signature", F.col("place").alias("last"), F.posexplode(next_).alias("i", "token"))
+    return more.select("root", "doc", "n", "component", "least", "k", F.xxhash64("signature", "token").alias("signature"), (F.col("last") + 1 + F.col("i")).alias("place"))
+
+
+def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85, blocks: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id that a document reaches by links.
 
     docs: doc_id, text; other columns are not read. A set has the distinct shingles of ``size``
@@ -174,40 +263,39 @@ def join(spark: SparkSession, docs: DataFrame, size: int = 4, percent: int = 85,
 
     Rows with equal sets are one class, for which its smallest id stands. Representatives send
     their shingles to shards (packed, see blocks) and learn how many others have each. Ordered
-    from rare to frequent, a prefix of each set is indexed: rare shingles alone, frequent ones
-    in pairs. In each index entry all members are first compared with one only: the one with
-    the fewest rarer shingles, which in a group of near copies is nearest to their common
-    source. Then members of an entry that are still in different components are compared among
-    each other, unless the places of the shingle rule a link out. So a group of near copies
-    costs about a comparison a member, and no link between components is lost.
+    from rare to frequent, the shingles of a prefix of each set are its index entries. A set is
+    first compared with the members of its entries that have the fewest rarer shingles, which
+    in a group of near copies are nearest to their common source: so such a group costs a few
+    comparisons a member, and is one component from then on. Where an entry still has members
+    in different components, their pairs are compared if they are few beside the rows that
+    longer combinations make. Else the entry is divided: by the sizes of both partners, and
+    then by ever longer combinations of shingles, whose places these sizes bound the more (see
+    _divided). Linked sets meet in every division, since those under their first common
+    shingles are among it.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    count = blocks or block_count(docs)
+    docs = blocked(docs, count)
     found = cut(docs.mapInArrow(_set_keys(size), _KEYS_SQL))
-    classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
-    listed = classes.select(F.col("first").alias("doc_id"), "digest")
-    index = cut(_indexed(docs, listed, size, percent, rare, long, blocks or block_count(docs)))
-    sets = index.select("doc", "tokens")
+    classes = found.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "block")).alias("first"))
+    index = cut(_indexed(docs, classes.select("first.doc_id", "first.block", "digest"), size, percent, count))
+    sets = index.select("doc", "n", "tokens")
 
-    def exploded(rows: DataFrame, *more) -> DataFrame:
-        zipped = rows.select("doc", "n", *more, F.explode(F.arrays_zip("signatures", "places")).alias("e"))
-        return zipped.select("*", F.col("e.signatures").alias("signature"), F.col("e.places").alias("place")).drop("e")
-
-    entries = exploded(index)
+    tokens = index.select("doc", "n", (F.col("n") - F.size("tokens")).alias("skipped"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "signature"))
+    entries = tokens.select("doc", "n", (F.col("skipped") + F.col("i")).alias("place"), "signature")
     hubs = entries.groupBy("signature").agg(F.min(F.struct("place", "doc", "n")).alias("hub"), F.count("*").alias("m")).filter("m > 1").select("signature", "hub")
-    entries = entries.join(hubs, "signature")
-    # if this shingle is the first that two sets share, they share no more than what either has from its place on
-    fits = lambda n, p, m, q: F.least(F.col(n) - F.col(p), F.col(m) - F.col(q)) * (100 + percent) >= percent * (F.col(n) + F.col(m))
-    starred = entries.filter("doc <> hub.doc").filter(fits("n", "place", "hub.n", "hub.place"))
-    tried = cut(starred.select(F.least("hub.doc", "doc").alias("a"), F.greatest("hub.doc", "doc").alias("b")).distinct())
+    starred = entries.join(hubs, "signature").filter("doc <> hub.doc").filter(_fits(F.lit(1), F.col("n"), F.col("place"), F.col("hub.n"), F.col("hub.place"), percent))
+    # of a set's many hubs, those that it shares most entries with; as many as its prefix has at most
+    best = starred.groupBy("doc", F.col("hub.doc").alias("hub")).count().groupBy("doc").agg(F.slice(F.sort_array(F.collect_list(F.struct("count", "hub")), asc=False), 1, HUBS).alias("hubs"))
+    tried = best.select("doc", F.explode("hubs.hub").alias("hub")).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b")).distinct()
     links = cut(_similar(tried, sets, percent))
     part = components(spark, links)
-    named = exploded(index.join(part.withColumnRenamed("node", "doc"), "doc", "left"), F.coalesce("component", "doc").alias("component"))
-    open_ = named.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("signature")
-    named = cut(named.join(open_, "signature"))
-    left, right = (named.select("signature", *[F.col(c).alias(f"{c}_{s}") for c in ("doc", "n", "place", "component")]) for s in ("a", "b"))
-    across = left.join(right, "signature").filter("component_a < component_b").filter(fits("n_a", "place_a", "n_b", "place_b"))
-    across = across.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    part = components(spark, links.union(_similar(across, sets, percent)))
-    named = classes.join(part.withColumnRenamed("node", "first"), "first", "left").select("digest", F.coalesce("component", "first").alias("group"))
+
+    least = F.ceil(F.col("n") * percent / 100).cast("int")
+    named = index.join(part.withColumnRenamed("node", "doc"), "doc", "left").select("doc", "n", "prefix", "tokens", F.coalesce("component", "doc").alias("component"))
+    tokens = named.select("doc", "n", "component", (F.col("n") - F.size("tokens")).alias("skipped"), F.posexplode(F.slice("tokens", F.lit(1), F.col("prefix"))).alias("i", "signature"))
+    rows = tokens.select("doc", "n", "component", least.alias("least"), F.lit(1).alias("k"), "signature", (F.col("skipped") + F.col("i")).alias("place"))
+    pairs = reduce(DataFrame.unionByName, (cut(some.distinct()) for some in _divided(rows, sets, percent)))
+    part = components(spark, links.union(_similar(pairs.distinct(), sets, percent)))
+    named = classes.select("digest", "first.doc_id").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("digest", F.coalesce("component", "doc_id").alias("group"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("group", "doc_id"))
     return found.join(named, "digest", "left").select("doc_id", "n_shingles", component.alias("component_id"))

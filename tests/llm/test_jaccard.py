@@ -49,19 +49,38 @@ def edited(rnd, words, n):
     return " ".join(words)
 
 
-@pytest.mark.parametrize(("rare", "long"), [(64, 400), (3, 400), (0, 60), (2, 40), (1, 1)])
-def test_families_of_near_copies(spark, rare, long):
-    rnd = random.Random(rare + long)
+@pytest.mark.parametrize("linear", [jaccard.LINEAR, 0])
+def test_families_of_near_copies(spark, monkeypatch, linear):
+    """However entries are divided: hardly, and wherever it is worth its rows."""
+    monkeypatch.setattr(jaccard, "LINEAR", linear)
+    monkeypatch.setattr(jaccard, "SPLIT", 5)
+    if not linear:
+        monkeypatch.setattr(jaccard, "FEW", 1)
+    rnd = random.Random(linear)
     rows = []
-    for family in range(5):
+    for family in range(5 if linear else 3):
         base = data.prose(family, rnd.choice((5, 30, 50, 70))).split()
         common = data.prose(77, 25).split()
         for k in range(rnd.choice((2, 14, 22))):
             rows.append(edited(rnd, base + common * (family % 2), rnd.randrange(6)))
     rows += ["a b c", "A B C", "a b c d", "x"] * 2
     rows = list(zip(rnd.sample(range(500), len(rows)), rows))
-    assert got(spark, data.plain_docs(spark, rows), rare=rare, long=long, blocks=4) == brute(rows)
-    assert got(spark, data.plain_docs(spark, rows), rare=rare, long=long, blocks=1, size=2, percent=60) == brute(rows, 2, 60)
+    assert got(spark, data.plain_docs(spark, rows), blocks=4) == brute(rows)
+    if linear:
+        assert got(spark, data.plain_docs(spark, rows), blocks=1, size=2, percent=60) == brute(rows, 2, 60)
+
+
+def test_texts_of_shared_phrases(spark, monkeypatch):
+    """Entries that grow with the table while hardly anything links: pairs that are compared grow with the documents, not their square."""
+    compared = []
+    similar = jaccard._similar
+    monkeypatch.setattr(jaccard, "_similar", lambda pairs, *rest: compared.append(pairs.count()) or similar(pairs, *rest))
+    rnd = random.Random(3)
+    phrases = [" ".join(f"p{k}w{i}" for i in range(6)) for k in range(60)]
+    rows = [(k, " ".join(rnd.choice(phrases) for _ in range(12))) for k in range(800)]
+    rows += [(1000 + k, rows[k][1] + " and a tail") for k in range(0, 800, 40)]
+    assert got(spark, data.plain_docs(spark, rows)) == brute(rows)
+    assert sum(compared) < 2 * len(rows)  # of 300,000 pairs that share a phrase
 
 
 def test_no_documents(spark):
