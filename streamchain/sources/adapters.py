@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -12,7 +10,7 @@ from ..functions.msgid import construct
 from ..operators import prefix
 from ..schema import MESSAGE_ID
 from . import files
-from .checkpoint import shared_folder
+from .checkpoint import own_folder
 from .decode import encode
 
 STREAMS = 8
@@ -64,7 +62,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """The log that ``make`` gives, written once a session below the shared folder, by stream and segment of seqs, and scanned from there."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        log, path = make(spark, sf_dir), f"{shared_folder(spark)}/logs-{uuid.uuid4().hex}/{name}"
+        log, path = make(spark, sf_dir), f"{own_folder(spark, 'logs')}/{name}"
         files.write(log, path)
         _STORED[key] = path, log.schema
     path, schema = _STORED[key]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,16 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one, which goes when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(at)
+    system.deleteOnExit(at)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows in the shared checkpoint folder, without lineage."""
     shared_folder(df.sparkSession)
