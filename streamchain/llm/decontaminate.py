@@ -4,123 +4,255 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import chunks, texts
+from .arrow import _packed, _parts, chunks, freed, release, rolling, split_words, texts, word_hashes
 
 #: Maps A-Z to a-z, and each ASCII character that is neither letter nor digit to a space.
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() and not chr(c).isupper() else c + 32 if chr(c).isupper() and c < 0x80 else 0x20 for c in range(256))
 
-_HITS = "doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>, row_key binary"
 RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+_TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+#: Places of windows that are gone through side by side.
+_LANE = 256
+#: Bits of the table of blocks that large benchmarks are filtered with: the power of two next above so many a block, between bounds (32 MB at most).
+_BITS_A_BLOCK, _LEAST_BITS, _MOST_BITS = 8, 16, 28
+_SLICES = 64
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z in lower case, as UTF-8."""
-    return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD).split()
+def split(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z in lower case: offsets of the texts' first words, and all words."""
+    if not len(column):
+        return np.zeros(1, np.int64), pa.array([], pa.large_string())
+    at, data = _parts(_packed(column))
+    return split_words(pa.LargeStringArray.from_buffers(len(column), pa.py_buffer(at), pa.py_buffer(bytes(data).translate(_FOLD))))
 
 
+def _joined(words: pa.Array, first: int, size: int) -> bytes:
+    return b" ".join(words.slice(first, size).cast(pa.large_binary()).to_pylist())
+
+
+@dataclass(frozen=True)
 class Tables:
-    """Search tables for windows of one length: shifts by the last block of two words, and buckets of windows by suffix and first word.
+    """Search tables for windows of one length, as sorted arrays: shifts by the hash of a block of two words, and windows by their own hash.
 
     The search looks at the last two words of the place where a window could end. A block that
-    no window holds lets it jump on by almost a window; a block that ends some windows selects
-    their bucket, whose entries are compared word by word.
+    no window holds lets it jump on by almost a window, one that some hold by as far as the
+    nearest of them needs; where it ends windows, the hash of all words selects those that are
+    compared, byte by byte.
     """
 
-    def __init__(self, size: int, windows: dict[tuple[bytes, ...], list[str]]):
-        self.size, self.items = size, windows
-        self.shift: dict[bytes, dict[bytes, int]] = defaultdict(dict)
-        self.bucket: dict[tuple[bytes, bytes], dict[bytes, list[tuple[bytes, ...]]]] = defaultdict(lambda: defaultdict(list))
-        for window in windows:
-            self.shift[window[0]]  # known, but only as a first word
-            for j in range(1, size):
-                by = self.shift[window[j]]
-                by[window[j - 1]] = min(by.get(window[j - 1], size), size - 1 - j)
-            self.bucket[window[max(0, size - 2)], window[-1]][window[0]].append(window)
-        self.shift = dict(self.shift)
-        self.bucket = {k: dict(v) for k, v in self.bucket.items()}
-
-    def find(self, words: list[bytes]):
-        """(first, end, items) of each occurrence."""
-        m, shift, bucket, items = self.size, self.shift, self.bucket, self.items
-        n, i = len(words), self.size - 1
-        if m == 1:
-            for k, w in enumerate(words):
-                if w in shift:
-                    yield k, k + 1, items[w,]
+    size: int
+    blocks: np.ndarray
+    shifts: np.ndarray
+    hashes: np.ndarray
+    items: np.ndarray  # of each hash: number of the item
+    places: np.ndarray  # and of its first word in ``text``, which ``at`` finds
+    text: bytes
+    at: np.ndarray
+
+    def ends(self, block: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Places of words where windows may end. block: of each word, the hash of it and the one before; first: where documents begin."""
+        begin, end = first[:-1] + self.size - 1, first[1:]
+        lanes = np.maximum(0, -(-(end - begin) // _LANE))
+        doc = np.repeat(np.arange(len(lanes)), lanes)
+        at = begin[doc] + _LANE * (np.arange(len(doc)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
+        stop = np.minimum(at + _LANE, end[doc])
+        found = []
+        while len(at):
+            own = block[at]
+            k = np.minimum(np.searchsorted(self.blocks, own), len(self.blocks) - 1)
+            step = np.where(self.blocks[k] == own, self.shifts[k], max(1, self.size - 1))
+            found.append(at[step == 0])
+            at = at + np.maximum(step, 1)
+            on = at < stop
+            at, stop = at[on], stop[on]
+        return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+    def find(self, words: pa.Array, hash_: np.ndarray, first: np.ndarray):
+        """(first word, number of the item) of each occurrence."""
+        if len(hash_) < self.size:
             return
-        while i < n:
-            by = shift.get(words[i])
-            if by is None:
-                i += m
-                continue
-            step = by.get(words[i - 1], m - 1)
-            if step:
-                i += step
-                continue
-            first = i - m + 1
-            for window in bucket[words[i - 1], words[i]].get(words[first], ()):
-                if tuple(words[first : i + 1]) == window:
-                    yield first, i + 1, items[window]
-            i += 1
-
-
-def build(items: list[tuple[str, str | None]], size: int) -> list[Tables]:
-    """Tables of all windows of the items (id, text); an item with fewer words than ``size`` is one window."""
-    by_size: dict[int, dict[tuple[bytes, ...], list[str]]] = defaultdict(dict)
-    for item, text in items:
-        words = words_of(text)
-        m = min(size, len(words))
-        for i in range(len(words) - m + 1 if m else 0):
-            held = by_size[m].setdefault(tuple(words[i : i + m]), [])
-            if item not in held:
-                held.append(item)
-    return [Tables(m, windows) for m, windows in sorted(by_size.items())]
-
-
-def _search(source):
+        begins = self.ends(_blocks(hash_, self.size), first) - self.size + 1
+        own = rolling(hash_, self.size)[begins]
+        low, high = np.searchsorted(self.hashes, own), np.searchsorted(self.hashes, own, side="right")
+        for begin, a, b in zip(begins[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
+            window = _joined(words, begin, self.size)
+            for k in range(a, b):
+                place = self.places[k]
+                if self.text[self.at[place] : self.at[place + self.size] - 1] == window:
+                    yield begin, int(self.items[k])
+
+
+def _blocks(hash_: np.ndarray, size: int) -> np.ndarray:
+    """Of each word, the hash of the block that ends there: two words, or one for windows of one."""
+    return hash_ if size == 1 else np.concatenate((hash_[:1], rolling(hash_, 2)))
+
+
+def _windows(first: np.ndarray, size: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By window length: the first words of windows, and the items that these are of."""
+    n = np.diff(first)
+    out = {}
+    for m in sorted({min(size, k) for k in n.tolist() if k}):
+        own = np.flatnonzero(n >= size if m == size else n == m)
+        many = n[own] - m + 1
+        item = np.repeat(own, many)
+        out[m] = (first[item] + np.arange(len(item)) - np.repeat(np.cumsum(many) - many, many), item)
+    return out
+
+
+def build(items: pa.Array, size: int) -> list[Tables]:
+    """Tables of all windows of the items' texts; an item with fewer words than ``size`` is one window."""
+    first, words = split(texts(items))
+    hash_ = word_hashes(words)
+    text = b"".join(w + b" " for w in words.cast(pa.large_binary()).to_pylist())
+    at = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)))
+    out = []
+    for m, (begins, item) in _windows(first, size).items():
+        own = rolling(hash_, m)[begins]
+        order = np.lexsort((begins, item, own))
+        own, item, places = own[order], item[order], begins[order]
+        # an item's repeated window is one; of windows with one hash, all others stay, to be compared
+        kept = np.array([k == 0 or own[k] != own[k - 1] or item[k] != item[k - 1] or text[at[places[k]] : at[places[k] + m]] != text[at[places[k - 1]] : at[places[k - 1] + m]] for k in range(len(own))])
+        block = _blocks(hash_, m)
+        held = np.concatenate([block[begins + j] for j in range(min(1, m - 1), m)])
+        shift = np.repeat(np.arange(m - 1 - min(1, m - 1), -1, -1, dtype=np.uint8), len(begins))
+        order = np.lexsort((shift, held))
+        held, shift = held[order], shift[order]
+        new = np.concatenate(([True], held[1:] != held[:-1]))
+        out.append(Tables(m, held[new], shift[new].astype(np.int64), own[kept], item[kept], places[kept], text, at))
+    return out
+
+
+def _result(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], [f.split()[0] for f in RESULT.split(", ")])
+
+
+def _verdict(doc, n: int, spans: list[tuple[int, int]], items: set[str]) -> tuple:
+    """The row of a document, from the spans (first word, end) and the items of all occurrences."""
+    covered, reach = 0, 0
+    for first, end in sorted(spans):
+        covered += max(0, end - max(first, reach))
+        reach = max(reach, end)
+    names = sorted(items)
+    return doc, n, covered, len(names), hashlib.sha256(",".join(names).encode("utf-8", "surrogatepass")).hexdigest(), covered > 0
+
+
+def _search(sent):
     def run(batches):
-        tables = source()
+        names, tables = sent.value
         for batch in chunks(batches):
-            out: list[list] = [[] for _ in range(6)]
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")).to_pylist(), strict=True):
-                words = words_of(text)
-                starts, ends, found = [], [], set()
-                for first, end, items in (hit for t in tables for hit in t.find(words)):
-                    starts.append(first)
-                    ends.append(end)
-                    found.update(items)
-                key = hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()
-                for column, value in zip(out, (doc, len(words), starts, ends, sorted(found), key), strict=True):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(out, (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.binary()), strict=True)],
-                ["doc_id", "n_words", "starts", "ends", "items", "row_key"],
-            )
+            first, words = split(texts(batch.column("text")))
+            hash_ = word_hashes(words)
+            spans, found = defaultdict(list), defaultdict(set)
+            for t in tables:
+                for begin, item in t.find(words, hash_, first):
+                    doc = int(np.searchsorted(first, begin, side="right")) - 1
+                    spans[doc].append((begin, begin + t.size))
+                    found[doc].add(names[item])
+            n = np.diff(first).tolist()
+            yield _result([_verdict(doc, n[k], spans.get(k, []), found.get(k, set())) for k, doc in enumerate(batch.column("doc_id").to_pylist())])
 
     return run
 
 
-def _judge(batches):
-    for batch in batches:
-        rows = []
-        for r in batch.to_pylist():
-            covered, reach = 0, 0
-            for first, end in sorted(zip(r["starts"], r["ends"], strict=True)):
-                covered += max(0, end - max(first, reach))
-                reach = max(reach, end)
-            items = sorted(set(r["items"]))
-            rows.append((r["doc_id"], r["n_words"], covered, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), covered > 0))
-        columns = zip(*rows, strict=True) if rows else [[]] * 6
-        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+_WINDOW_SQL = "row_key binary, size int, begin int, hash long, body binary"
+
+
+def _far(docs: DataFrame, items: DataFrame, size: int, held: int) -> DataFrame:
+    """The same for benchmarks that are too large to send: windows whose blocks are all in a bit table of the benchmark's are joined with its own by hash, and then compared."""
+    spark = docs.sparkSession
+    bits = min(_MOST_BITS, max(_LEAST_BITS, (held // 6 * _BITS_A_BLOCK).bit_length()))
+    part = (1 << bits) // _SLICES
+
+    def item_windows(batches):
+        for batch in chunks(batches, "body"):
+            first, words = split(texts(batch.column("body")))
+            hash_ = word_hashes(words)
+            item = batch.column("item")
+            for m, (begins, of) in _windows(first, size).items():
+                for k in range(0, len(begins), 1 << 14):
+                    some = begins[k : k + (1 << 14)]
+                    columns = [item.take(pa.array(of[k : k + (1 << 14)])), pa.array(np.full(len(some), m), pa.int32()), pa.array(rolling(hash_, m)[some].view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["item", "size", "hash", "body"])
+
+    def marked(batches):
+        """Which bits the blocks of these items set, in slices; and the lengths of windows that there are."""
+        table, sizes = np.zeros(1 << bits >> 3, np.uint8), set()
+        for batch in chunks(batches, "body"):
+            first, words = split(texts(batch.column("body")))
+            hash_ = word_hashes(words)
+            for m, (begins, _) in _windows(first, size).items():
+                sizes.add(m)
+                block = _blocks(hash_, m)
+                for j in range(min(1, m - 1), m):
+                    bit = np.unique(block[begins + j] & np.uint64((1 << bits) - 1)).astype(np.int64)
+                    np.bitwise_or.at(table, bit >> 3, (128 >> (bit & 7)).astype(np.uint8))
+        for k in range(_SLICES):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([table[k * part >> 3 : (k + 1) * part >> 3].tobytes()]), pa.array([sorted(sizes)], pa.list_(pa.int32()))], ["slice", "bits", "sizes"])
+
+    @freed
+    def united(key, rows):
+        out = np.zeros(part // 8, np.uint8)
+        for x in rows.column("bits").to_pylist():
+            out |= np.frombuffer(x, np.uint8)
+        sizes = sorted({m for own in rows.column("sizes").to_pylist() for m in own})
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()]), pa.array([sizes], pa.list_(pa.int32()))], names=["slice", "bits", "sizes"])
+
+    shape = "slice int, bits binary, sizes array<int>"
+    slices = sorted(items.select("body").mapInArrow(marked, shape).groupBy("slice").applyInArrow(united, shape).collect())
+    sent = spark.sparkContext.broadcast((b"".join(bytes(r.bits) for r in slices), sorted({m for r in slices for m in r.sizes})))
+
+    def doc_windows(batches):
+        data, sizes = sent.value
+        table = np.frombuffer(data, np.uint8)
+        for batch in chunks(batches):
+            column = texts(batch.column("text"))
+            first, words = split(column)
+            hash_ = word_hashes(words)
+            doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+            left = first[doc + 1] - np.arange(len(hash_)) if len(hash_) else np.zeros(0, np.int64)
+            keys = [hashlib.md5(t).digest() for t in column.cast(pa.large_binary()).to_pylist()]
+            for m in sizes:
+                if len(hash_) < m:
+                    continue
+                at = _blocks(hash_, m) & np.uint64((1 << bits) - 1)
+                there = (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
+                sums = np.concatenate(([0], np.cumsum(there)))
+                lead = min(1, m - 1)
+                begins = np.flatnonzero((left[: len(hash_) - m + 1] >= m) & (sums[m:] - sums[lead : len(sums) - m + lead] == m - lead))
+                own = rolling(hash_, m)
+                for k in range(0, len(begins), 1 << 14):
+                    some = begins[k : k + (1 << 14)]
+                    columns = [pa.array([keys[d] for d in doc[some]], pa.binary()), pa.array(np.full(len(some), m), pa.int32()), pa.array((some - first[doc[some]]).astype(np.int32)), pa.array(own[some].view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["row_key", "size", "begin", "hash", "body"])
+
+    def counted(batches):
+        for batch in chunks(batches):
+            column = texts(batch.column("text"))
+            first, _ = split(column)
+            keys = [hashlib.md5(t).digest() for t in column.cast(pa.large_binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_words", "row_key"])
+
+    def judge(batches):
+        for batch in batches:
+            yield _result([_verdict(r["doc_id"], r["n_words"], [(s["begin"], s["begin"] + s["size"]) for s in r["spans"] or ()], set(r["items"] or ())) for r in batch.to_pylist()])
+            release()
+
+    own = items.mapInArrow(item_windows, "item string, size int, hash long, body binary").distinct()
+    asked = docs.select("text").mapInArrow(doc_windows, _WINDOW_SQL).distinct()
+    hits = asked.join(own, ["size", "hash", "body"]).groupBy("row_key").agg(F.collect_set(F.struct("begin", "size")).alias("spans"), F.collect_set("item").alias("items"))
+    return docs.mapInArrow(counted, "doc_id long, n_words long, row_key binary").join(hits, "row_key", "left").select("doc_id", "n_words", "spans", "items").mapInArrow(judge, RESULT)
 
 
-def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 8 << 20) -> DataFrame:
+def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10, most_bytes: int = 4 << 20) -> DataFrame:
     """One row per document row: how many of its words lie in an occurrence of a benchmark window.
 
     docs: doc_id, text; benchmark: item_id, text. Other columns are not read, so their names
@@ -128,24 +260,16 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, si
     in either table count as themselves (documents) or once (items). An empty benchmark gives
     zero hits, empty documents give no rows.
 
-    The items go to the tasks in blocks of about ``block_bytes`` of text. Up to one block, the
-    documents are read once and nothing is shuffled. A larger benchmark is searched for block
-    by block, and the hits of a document row are united; so a broadcast never exceeds a block.
+    Up to ``most_bytes`` of items, their search tables are built once and sent to the tasks
+    (about 40 bytes a word): the documents are read once and nothing is shuffled. A larger
+    benchmark stays distributed: its blocks become bits of a table of 32 MB at most, and only
+    windows of documents all of whose blocks are set there are joined with its windows.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).filter("item is not null and body is not null")
-    held = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    blocks = max(1, -(-held // block_bytes))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = []
-    for b in range(blocks):
-        block = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == b)
-        sent = spark.sparkContext.broadcast([tuple(r) for r in block.collect()])
-        parts.append(docs.mapInArrow(_search(lambda sent=sent: build(sent.value, size)), _HITS))
-    found = parts[0]
-    if blocks > 1:
-        for part in parts[1:]:
-            found = found.unionByName(part)
-        lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items")]
-        found = found.groupBy("doc_id", "n_words", "row_key").agg(*lists, F.count("*").alias("rows"))
-        found = found.withColumn("copy", F.explode(F.array_repeat(F.lit(1), (F.col("rows") / blocks).cast("int")))).drop("rows", "copy")
-    return found.mapInArrow(_judge, RESULT)
+    held = items.agg(F.sum(F.octet_length("body") + 16)).first()[0] or 0
+    if held > most_bytes:
+        return _far(docs, items, size, held)
+    few = items.collect()
+    tables = build(pa.array([r.body for r in few], pa.large_string()), size)
+    return docs.mapInArrow(_search(spark.sparkContext.broadcast(([r.item for r in few], tables))), RESULT)

@@ -45,10 +45,10 @@ def got(spark, docs, items, **options):
 ITEMS = [(1, data.prose(2, 25)), (2, "one two"), (10, "seventeen amber"), (3, None), (4, ""), (None, "one"), (5, data.prose(4, 13)), (5, data.prose(4, 13)), (6, "Nd Nd Nd"), (7, "a" * 100_000)]
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 60_000])
-def test_hard_documents(spark, block_bytes):
+@pytest.mark.parametrize("most_bytes", [4 << 20, 60_000])
+def test_hard_documents(spark, most_bytes):
     want = brute([(r[0], r[1]) for r in data.hard_rows()], ITEMS)
-    assert got(spark, data.hard_docs(spark), ITEMS, block_bytes=block_bytes) == want
+    assert got(spark, data.hard_docs(spark), ITEMS, most_bytes=most_bytes) == want
 
 
 def test_random_passages(spark):
@@ -56,8 +56,17 @@ def test_random_passages(spark):
     few = ["a", "b", "c", "D."]
     items = [(k, data.prose(k, rnd.randint(1, 14), few)) for k in range(40)]
     rows = [(k, data.prose(1000 + k, rnd.randint(0, 80), few)) for k in range(80)]
-    for size in (10, 5, 2):
-        assert got(spark, data.plain_docs(spark, rows), items, size=size) == brute(rows, items, size)
+    for size, most in ((10, 1 << 20), (5, 10), (2, 1 << 20), (2, 10), (1, 1 << 20), (1, 10)):
+        assert got(spark, data.plain_docs(spark, rows), items, size=size, most_bytes=most) == brute(rows, items, size), (size, most)
+
+
+def test_tables_of_a_full_load_are_small():
+    import pickle
+
+    import pyarrow as pa
+
+    tables = decontaminate.build(pa.array([data.prose(k, 1000, [f"w{i}" for i in range(5000)]) for k in range(700)], pa.large_string()), 10)
+    assert len(pickle.dumps(tables)) < 60 << 20  # 4 MB of text
 
 
 def test_empty_tables(spark):
