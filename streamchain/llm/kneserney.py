@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections import OrderedDict
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -14,9 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.checkpoint import own_folder
 from .arrow import ascii_lower, chunks, freed, mixed, split_words, texts, word_hashes
 from .blocks import block_count, from_planes, planes, runs, table
-from .components import shared_folder
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 #: Words are told apart by so many bits; bigrams by 64.
@@ -24,10 +25,14 @@ _WORD = np.uint64((1 << 48) - 1)
 #: Marks of a document's begin (a context) and end (a token); words hash to anything else but by chance.
 BEGIN, END = np.uint64(0x0B0B0B0B0B0B), np.uint64(0x0E0E0E0E0E0E)
 _SENT_SQL = "shard int, contexts binary, lengths binary, words binary, counts binary"
-_WORDS_SQL = "shard int, words binary, kinds binary, counts binary"
-_WORDS = {"shard": pa.int32(), "words": pa.binary(), "kinds": pa.binary(), "counts": pa.binary()}
-_SUMS_SQL = "high boolean, sums array<long>"
-_SUMS = {"high": pa.bool_(), "sums": pa.list_(pa.int64())}
+_WORDS_SQL = "shard int, words binary, kinds binary, counts binary, hot binary, sums array<long>"
+_WORDS = {"shard": pa.int32(), "words": pa.binary(), "kinds": pa.binary(), "counts": pa.binary(), "hot": pa.binary(), "sums": pa.list_(pa.int64())}
+_SUMS_SQL = "part int, context long, sums array<long>"
+_SUMS = {"part": pa.int32(), "context": pa.int64(), "sums": pa.list_(pa.int64())}
+#: Contexts with a larger share of a sample's tokens are dealt out by the word that follows. They are at most as many as the share's inverse.
+HOT_SHARE, HOT_SAMPLE = 0.001, 32 << 20
+#: Files that a worker maps at a time.
+MAPS = 256
 
 
 def _hash(words: pa.Array) -> np.ndarray:
@@ -70,9 +75,11 @@ class Folder:
     def _path(self, name: str) -> str:
         return os.path.join(urlparse(self.uri).path if self.mounted else self.uri, name)
 
-    def write(self, name: str, *arrays: np.ndarray) -> None:
-        """The arrays in one file. A repeated task writes the same; the file appears whole or not at all."""
-        data = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    def write(self, name: str, keys: np.ndarray, *values: np.ndarray) -> None:
+        """Ascending keys and numbers for each, in as few bytes as the largest needs, in one file. A repeated task writes the same; the file appears whole or not at all."""
+        arrays = [v.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if not len(v) or int(v.max()) <= np.iinfo(t).max)) for v in values]
+        head = np.array([len(keys), len(values), *[a.itemsize for a in arrays]], "<u8")
+        data = b"".join(np.ascontiguousarray(a).tobytes() for a in (head, keys.astype("<u8"), *sorted(arrays, key=lambda a: -a.itemsize)))
         path = self._path(name)
         if self.mounted:
             os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -87,49 +94,41 @@ class Folder:
             with system.open_output_stream(at) as f:
                 f.write(data)
 
-    def has(self, name: str) -> bool:
-        if self.mounted:
-            return os.path.exists(self._path(name))
-        from pyarrow import fs
-
-        system, at = fs.FileSystem.from_uri(self._path(name))
-        return system.get_file_info(at).type != fs.FileType.NotFound
-
     def mapped(self, name: str) -> np.ndarray:
         """The file as bytes in mapped memory; from a place that can't be mapped, a local copy without a name."""
         path = self._path(name)
         if self.mounted:
-            return np.memmap(path, np.uint8, "r") if os.path.getsize(path) else np.zeros(0, np.uint8)
+            return np.memmap(path, np.uint8, "r")
         from pyarrow import fs
 
         system, at = fs.FileSystem.from_uri(path)
         with tempfile.TemporaryFile() as local, system.open_input_stream(at) as f:
             shutil.copyfileobj(f, local)
-            size = local.tell()
-            return np.memmap(local, np.uint8, "r") if size else np.zeros(0, np.uint8)
+            local.flush()
+            return np.memmap(local, np.uint8, "r")
 
 
 class Sorted:
-    """Ascending keys of 64 bits and a few numbers for each, in one mapped file."""
-
-    def __init__(self, data: np.ndarray, widths: tuple[str, ...]):
-        n = len(data) // (8 + sum(np.dtype(w).itemsize for w in widths))
-        self.keys, at, self.values = data[: 8 * n].view("<u8"), 8 * n, []
-        for w in widths:
-            size = np.dtype(w).itemsize * n
-            self.values.append(data[at : at + size].view(w))
-            at += size
-
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ascending keys of 64 bits and a few numbers for each, in one mapped file (see ``Folder.write``)."""
+
+    def __init__(self, data: np.ndarray):
+        n, many = data[:16].view("<u8").tolist()
+        sizes = data[16 : 16 + 8 * many].view("<u8").tolist()
+        at = 16 + 8 * many
+        self.keys, at, self.values = data[at : at + 8 * n].view("<u8"), at + 8 * n, [None] * many
+        for k in sorted(range(many), key=lambda k: -sizes[k]):
+            self.values[k] = data[at : at + n * sizes[k]].view(f"<u{sizes[k]}")
+            at += n * sizes[k]
+        if at != len(data):
+            raise ValueError("an array of the model is not whole")
+
+    def find(self, wanted: np.ndarray) -> list[np.ndarray]:
         """The numbers of each wanted key; zeros if it isn't there."""
         if not len(self.keys):
-            return tuple(np.zeros(len(wanted), v.dtype) for v in self.values)
+            return [np.zeros(len(wanted), np.int64) for _ in self.values]
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         there = self.keys[at] == wanted
-        return tuple(np.where(there, v[at], 0).astype(v.dtype) for v in self.values)
-
-
-_BIGRAMS, _CONTEXTS, _TOKENS = ("<u4",), ("<u4", "<u4", "<u4", "<u4"), ("<u4", "<u4")
+        return [np.where(there, v[at], 0).astype(np.int64) for v in self.values]
 
 
 @dataclass(frozen=True)
@@ -144,6 +143,12 @@ class Model:
     discounts: tuple[float, float, float]
     low_discounts: tuple[float, float, float]
     low_kinds: tuple[int, int, int]
+    #: Contexts that are dealt out by the next word, ascending, and their sums: tokens, and words that follow once, twice and more often.
+    hot: np.ndarray
+    hot_sums: np.ndarray
+    #: Shards that have bigrams, and shards that have tokens: as bits.
+    with_bigrams: bytes
+    with_tokens: bytes
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -159,22 +164,51 @@ def _shard(values: np.ndarray, shards: int) -> np.ndarray:
     return (mixed(values) % np.uint64(shards)).astype(np.int64)
 
 
-def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None = None) -> Model:
+def _is_hot(before: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return hot[np.minimum(np.searchsorted(hot, before), len(hot) - 1)] == before
+
+
+def _bigram_shard(before: np.ndarray, token: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """Of the first word; for hot ones, of both."""
+    return _shard(np.where(_is_hot(before, hot), _bigram(before, token), before), shards)
+
+
+def hot_contexts(docs: DataFrame, share: float = HOT_SHARE, sample: int = HOT_SAMPLE) -> np.ndarray:
+    """Words that are such a share of a bounded sample's tokens, and the beginning, ascending. They only decide where bigrams are counted, never what is counted."""
+
+    def counted(batches):
+        for batch in chunks(batches):
+            _, before, _ = tokens(texts(batch.column("text")))
+            word, n = np.unique(before, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["context", "n"])
+
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    some = docs.select("text").sample(min(1.0, sample / held), 7) if held > sample else docs.select("text")
+    counts = some.mapInArrow(counted, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
+    many = counts.agg(F.sum("n")).first()[0] or 0
+    found = [r.context for r in counts.filter(F.col("n") > F.lit(share) * max(many, 1)).select("context").collect()]
+    return np.unique(np.array([int(BEGIN), *found], np.int64).astype(np.uint64))
+
+
+def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None = None, hot: np.ndarray | None = None) -> Model:
     """Count the bigrams of the texts and write the model's arrays to ``folder``, which executors share.
 
     Tasks send each shard the distinct bigrams of a few MB of text in one row, grouped by the
-    first word. A shard sums the bigrams of its first words, writes their arrays, and passes on
-    how many first words each second word has, and how often it occurs. The driver gets a few
-    sums a shard.
+    first word. Bigrams belong to the shard of their first word, but those of hot ones (which
+    the tokens of a sample tell) to that of both words, so that none gathers in one shard. A
+    shard sums its bigrams, writes their arrays, and passes on how many first words each second
+    word has, and how often it occurs. Sums over shards are made in Spark; the driver gets
+    those, the hot contexts' and which shards there are.
     """
     n = shards or block_count(docs)
+    hot = hot_contexts(docs) if hot is None else hot
 
     def send(batches):
         for batch in chunks(batches, limit=16 << 20):
             token, before, _ = tokens(texts(batch.column("text")))
             if not len(token):
                 continue
-            shard = _shard(before, n)
+            shard = _bigram_shard(before, token, hot, n)
             order = np.lexsort((token, before, shard))
             token, before, shard = token[order], before[order], shard[order]
             new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (before[1:] != before[:-1]))))
@@ -202,63 +236,90 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
         store = Folder(folder)
         bigram = _bigram(before, token)
         order = np.argsort(bigram)
-        store.write(f"bigrams-{shard}", bigram[order], count[order].astype("<u4"))
-        kinds_of_counts = _kinds(count)
+        store.write(f"bigrams-{shard}", bigram[order], count[order])
+        high = _kinds(count)
         first = runs(before)
-        sums = [np.add.reduceat(x, first).astype("<u4") for x in (count, count == 1, count == 2, count > 2)]
-        store.write(f"contexts-{shard}", before[first], *sums)
+        sums = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (count, count == 1, count == 2, count > 2)])
+        own = _is_hot(before[first], hot)
+        store.write(f"contexts-{shard}", before[first][~own], *sums[:, ~own])
+        hot_rows = np.concatenate((before[first][own][None].view(np.int64), sums[:, own])).T
         order = np.argsort(token)
         token, count = token[order], count[order]
         new = runs(token)
-        kinds, count, token = np.diff(np.append(new, len(token))).astype("<u4"), np.add.reduceat(count, new).astype("<u4"), token[new]
+        kinds, count, token = np.diff(np.append(new, len(token))), np.add.reduceat(count, new), token[new]
         to = _shard(token, n)
         order = np.argsort(to, kind="stable")
-        to, token, kinds, count = to[order], token[order], kinds[order], count[order]
+        to, token, kinds, count = to[order], token[order], kinds[order].astype("<u8"), count[order].astype("<u8")
         begins = runs(to)
-        out = [(int(to[b]), _narrow(token[b:e]), planes(kinds[b:e]), planes(count[b:e])) for b, e in zip(begins, np.append(begins[1:], len(to)), strict=True)]
-        out.append((n, b"", b"", np.array(kinds_of_counts, "<i8").tobytes()))
+        out = [(int(to[b]), _narrow(token[b:e]), planes(kinds[b:e]), planes(count[b:e]), None, None) for b, e in zip(begins, np.append(begins[1:], len(to)), strict=True)]
+        out.append((shard, b"", b"", b"", np.ascontiguousarray(hot_rows).tobytes(), high))
         return table(_WORDS, out)
 
     @freed
     def close(key, found):
         rows, shard = found.to_pylist(), key[0].as_py()
-        if shard == n:
-            return table(_SUMS, [(True, np.sum([np.frombuffer(r["counts"], "<i8") for r in rows], 0).tolist())])
         token = np.concatenate([_wide(r["words"]) for r in rows])
-        order = np.argsort(token)
-        new = runs(token[order])
-        kinds, count = (np.add.reduceat(np.concatenate([from_planes(r[c], "<u4") for r in rows])[order].astype(np.int64), new) for c in ("kinds", "counts"))
-        Folder(folder).write(f"tokens-{shard}", token[order][new], kinds.astype("<u4"), count.astype("<u4"))
-        return table(_SUMS, [(False, [*_kinds(kinds), len(new), int(kinds.sum()), int(count.sum())])])
+        out = []
+        for r in rows:
+            if r["sums"] is not None:  # of this shard's bigrams
+                out.append((0, None, r["sums"]))
+                out.append((2, shard, []))
+                out += [(1, int(c), [int(x) for x in sums]) for c, *sums in np.frombuffer(r["hot"], np.int64).reshape(-1, 5)]
+        if len(token):
+            order = np.argsort(token)
+            new = runs(token[order])
+            kinds, count = (np.add.reduceat(np.concatenate([from_planes(r[c], "<u8") for r in rows])[order].astype(np.int64), new) for c in ("kinds", "counts"))
+            Folder(folder).write(f"tokens-{shard}", token[order][new], kinds, count)
+            out += [(3, shard, []), (4, None, [*_kinds(kinds), len(new), int(kinds.sum()), int(count.sum())])]
+        return table(_SUMS, out)
 
     sent = docs.select("text").mapInArrow(send, _SENT_SQL)
-    sums = sent.groupBy("shard").applyInArrow(merge, _WORDS_SQL).groupBy("shard").applyInArrow(close, _SUMS_SQL).collect()
-    high = np.sum([r["sums"] for r in sums if r["high"]] or [[0] * 5], 0).tolist()
-    low = np.sum([r["sums"] for r in sums if not r["high"]] or [[0] * 8], 0).tolist()
-    return Model(folder, n, low[7], low[5], low[6], discounts(high[:4]), discounts(low[:4]), (low[0], low[1], low[4]))
+    told = sent.groupBy("shard").applyInArrow(merge, _WORDS_SQL).groupBy("shard").applyInArrow(close, _SUMS_SQL)
+    # contexts that aren't shard numbers are few; shard numbers become bits
+    place = F.when(F.col("part").isin(2, 3), F.floor(F.col("context") / 4096)).otherwise(F.col("context"))
+    some = told.groupBy("part", place.alias("place")).agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(8)], F.when(F.col("part").isin(2, 3), F.collect_set("context")).alias("shards")).collect()
+    high = next(([r[f"s{k}"] for k in range(5)] for r in some if r.part == 0), [0] * 5)
+    low = next(([r[f"s{k}"] for k in range(8)] for r in some if r.part == 4), [0] * 8)
+    sums = {np.uint64(r.place): [r[f"s{k}"] for k in range(4)] for r in some if r.part == 1}
+    hot_sums = np.array([sums.get(c, [0] * 4) for c in hot], np.int64)
+    bits = []
+    for part in (2, 3):
+        there = np.zeros(n, bool)
+        there[[s for r in some if r.part == part for s in r.shards]] = True
+        bits.append(np.packbits(there).tobytes())
+    return Model(folder, n, low[7], low[5], low[6], discounts(high[:4]), discounts(low[:4]), (low[0], low[1], low[4]), hot, hot_sums, *bits)
 
 
 class Scorer:
-    """log10 probabilities of tokens after tokens, from the mapped arrays; those of a shard are opened when they are first asked for."""
-
-    def __init__(self, model: Model):
-        self.model, self.store, self.open = model, Folder(model.folder), {}
-
-    def _find(self, kind: str, widths: tuple[str, ...], wanted: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
+    """log10 probabilities of tokens after tokens, from the mapped arrays; those of a shard are opened when they are asked for, and only the last ones stay open."""
+
+    def __init__(self, model: Model, maps: int = MAPS):
+        self.model, self.store, self.maps = model, Folder(model.folder), maps
+        self.open: OrderedDict[str, Sorted] = OrderedDict()
+        self.there = {kind: np.unpackbits(np.frombuffer(bits, np.uint8), count=model.shards).astype(bool) for kind, bits in (("bigrams", model.with_bigrams), ("contexts", model.with_bigrams), ("tokens", model.with_tokens))}
+
+    def _array(self, kind: str, shard: int) -> Sorted:
+        """A shard's array. One that training has written must be there."""
+        name = f"{kind}-{shard}"
+        if name not in self.open:
+            if len(self.open) >= self.maps:
+                self.open.popitem(last=False)
+            self.open[name] = Sorted(self.store.mapped(name))
+        self.open.move_to_end(name)
+        return self.open[name]
+
+    def _find(self, kind: str, many: int, wanted: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
         """Values of wanted keys. They are asked for in ascending order, each once, so that the pages of a file are passed once."""
         order = np.lexsort((wanted, shard))
         key, by = wanted[order], shard[order]
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (by[1:] != by[:-1]))) if len(key) else np.zeros(0, bool)
         at = np.flatnonzero(new)
         key, by = key[at], by[at]
-        out = [np.zeros(len(key), w) for w in widths]
+        out = [np.zeros(len(key), np.int64) for _ in range(many)]
         begins = runs(by)
-        for b, e in zip(begins, np.append(begins[1:], len(by)), strict=True):
-            name = f"{kind}-{by[b]}"
-            if name not in self.open:
-                self.open[name] = Sorted(self.store.mapped(name), widths) if self.store.has(name) else None
-            if self.open[name] is not None:
-                for o, v in zip(out, self.open[name].find(key[b:e]), strict=True):
+        for b, e in zip(begins, [*begins[1:], len(by)], strict=False):
+            if self.there[kind][by[b]]:
+                for o, v in zip(out, self._array(kind, int(by[b])).find(key[b:e]), strict=True):
                     o[b:e] = v
         back = np.empty(len(order), np.int64)
         back[order] = np.cumsum(new) - 1
@@ -267,14 +328,17 @@ class Scorer:
     def log10(self, token: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(log10 P(token | before), how often the token occurs in training)."""
         m = self.model
-        kinds, count = self._find("tokens", _TOKENS, token, _shard(token, m.shards))
+        kinds, count = self._find("tokens", 2, token, _shard(token, m.shards))
         low = _less(kinds, m.low_discounts)
         spare = sum(d * k for d, k in zip(m.low_discounts, m.low_kinds, strict=True))
         total = max(1, m.continuations)
         p = low / total + (spare / total if m.continuations else 1.0) / (m.types + 1)
-        shard = _shard(before, m.shards)
-        of, one, two, more = (x.astype(np.float64) for x in self._find("contexts", _CONTEXTS, before, shard))
-        (both,) = self._find("bigrams", _BIGRAMS, _bigram(before, token), shard)
+        hot = _is_hot(before, m.hot)
+        sums = np.zeros((4, len(before)))
+        sums[:, hot] = m.hot_sums[np.searchsorted(m.hot, before[hot])].T
+        sums[:, ~hot] = self._find("contexts", 4, before[~hot], _shard(before[~hot], m.shards))
+        of, one, two, more = sums
+        (both,) = self._find("bigrams", 1, _bigram(before, token), _bigram_shard(before, token, m.hot, m.shards))
         d = m.discounts
         seen = of > 0
         high = (_less(both, d) + (d[0] * one + d[1] * two + d[2] * more) * p) / np.where(seen, of, 1)
@@ -314,9 +378,9 @@ def train_and_score(spark: SparkSession, docs: DataFrame, folds: int = 10) -> Da
     docs: doc_id, text; other columns are not read. A null text is empty: one end token. A null
     doc_id counts as an empty text for the remainder. Repeated rows count, and are scored, as
     often as they occur; without training texts every token has the one probability of unknown
-    ones. The model lies in a new folder below the shared checkpoint folder.
+    ones. The model lies in a new folder below the shared checkpoint folder, which goes when the
+    application ends.
     """
     held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == 0
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held.alias("held_out"))
-    folder = f"{shared_folder(spark)}/ngrams-{uuid.uuid4().hex}"
-    return score(docs, train(spark, docs.filter(~F.col("held_out")), folder))
+    return score(docs, train(spark, docs.filter(~F.col("held_out")), own_folder(spark, "ngrams")))

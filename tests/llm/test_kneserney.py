@@ -61,15 +61,50 @@ def test_against_the_formulas(spark):
     _check(kn.train_and_score(spark, data.hard_docs(spark)).collect(), brute([(r[0], r[1]) for r in data.hard_rows()])[0])
 
 
-def test_shards_do_not_matter(spark, tmp_path):
+def test_neither_shards_nor_hot_contexts_matter(spark, tmp_path):
+    import numpy as np
     from pyspark.sql import functions as F
 
     docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
     scores = []
-    for n in (1, 7):
-        model = kn.train(spark, docs, f"file://{tmp_path}/m{n}", shards=n)
+    some = kn.tokens(kn.texts(kn.pa.array([data.prose(1, 9)])))[0]
+    for n, hot in ((1, [kn.BEGIN]), (7, None), (5, [kn.BEGIN, *some])):
+        model = kn.train(spark, docs, f"file://{tmp_path}/m{n}", n, hot if hot is None else np.unique(np.array(hot, np.uint64)))
+        assert model.hot_sums[model.hot == kn.BEGIN].tolist()[0][0] == 20
         scores.append([r.score for r in kn.score(docs, model).orderBy("doc_id").collect()])
-    assert scores[0] == pytest.approx(scores[1])
+    assert scores[0] == pytest.approx(scores[1]) and scores[0] == pytest.approx(scores[2])
+
+
+def test_a_lost_array_is_an_error(spark, tmp_path):
+    from pyspark.errors import PythonException
+    from pyspark.sql import functions as F
+
+    docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
+    model = kn.train(spark, docs, f"file://{tmp_path}/m", 2)
+    assert {p.name for p in (tmp_path / "m").iterdir()} == {f"{kind}-{k}" for kind in ("bigrams", "contexts", "tokens") for k in (0, 1)}
+    (tmp_path / "m/bigrams-1").unlink()
+    with pytest.raises(PythonException):
+        kn.score(docs, model).collect()
+
+
+def test_counts_beyond_32_bits(tmp_path):
+    import numpy as np
+
+    store = kn.Folder(str(tmp_path))
+    store.write("a", np.array([3, 9], np.uint64), np.array([1, 1 << 40]), np.array([5, 6]))
+    assert [v.tolist() for v in kn.Sorted(store.mapped("a")).find(np.array([9, 4, 3], np.uint64))] == [[1 << 40, 0, 1], [6, 0, 5]]
+    store.write("b", np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    assert kn.Sorted(store.mapped("b")).find(np.array([9], np.uint64))[0].tolist() == [0]
+
+
+def test_few_maps_stay_open(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
+    scorer = kn.Scorer(kn.train(spark, docs, f"{tmp_path}/m", 9), maps=2)
+    token, before, _ = kn.tokens(kn.texts(kn.pa.array([data.prose(3, 40)])))
+    few = scorer.log10(token, before)[0]
+    assert len(scorer.open) == 2 and few.tolist() == kn.Scorer(scorer.model).log10(token, before)[0].tolist()
 
 
 def test_nothing_to_learn(spark):
