@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -57,22 +58,39 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1)
 
 
+#: Letters at which length classes begin; likeness falls with fewer letters, and so does its floor.
+LENGTHS = (0, 8, 16, 32, 64, 128, 256, 512)
+
+
+def length_class(letters: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LENGTHS, letters, side="right") - 1
+
+
+def cut_to(text: str, letters: int) -> str:
+    """The text up to and with so many letters, from the middle on where it has more before: what a short text of its language looks like."""
+    at = np.flatnonzero(_letters()[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), sys.maxunicode)])
+    if len(at) <= letters:
+        return text
+    begin = (len(at) - letters) // 2
+    return text[at[begin] : at[begin + letters - 1] + 1]
+
+
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
     idf: np.ndarray
     centroids: np.ndarray  # unit rows
     of: np.ndarray  # each centroid's language
-    floor: np.ndarray  # a language's least likeness
+    floor: np.ndarray  # a language's least likeness, by length class
 
-    def predict(self, column: list[str], least_letters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def predict(self, column: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language or -1, cosine, rejected) of each text."""
         found, letters = counts(column)
         near = _unit(np.log1p(found) * self.idf) @ self.centroids.T if len(self.centroids) else np.zeros((len(column), 1))
         best = near.argmax(axis=1)
         lang = np.where((letters > 0) & bool(len(self.centroids)), self.of[best] if len(self.centroids) else -1, -1)
         score = np.where(lang >= 0, np.clip(near[np.arange(len(best)), best], 0, 1), 0.0)
-        far = (letters >= least_letters) & (score < self.floor[lang]) if len(self.floor) else np.ones(len(best), bool)
+        far = score < self.floor[lang, length_class(letters)] if len(self.floor) else np.ones(len(best), bool)
         return lang, score, far | (lang < 0)
 
 
@@ -88,55 +106,62 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, languages: int = 400, clusters: int = 4, slack: float = 0.6) -> Model:
+def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, least: int = 8, clusters: int = 4, slack: float = 0.6) -> Model:
     """Learn from docs (doc_id, text, lang): rows with all three, ``per_language`` documents a language and about ``sample`` in all.
 
-    The sample is bounded by its parameters: of each of the ``languages`` most frequent ones the
-    documents whose hashed ids are least, fewer a language if there are many, 20 at least.
-    Languages are counted over all rows; then the rows whose hash lies below a share that
-    holds twice the wanted number are ranked, so no language gathers in one task, and the
-    texts of the sample are vectorised in tasks. A language's floor is ``slack`` times the
-    likeness that all but a hundredth of its sample reach.
+    Every language is learned. The sample is bounded a language: the documents whose hashed ids
+    are least, fewer of each if there are many languages, but ``least`` at least. Languages are
+    counted over all rows; then the rows whose hash lies below a share that holds twice the
+    wanted number are ranked, so no language gathers in one task, and the texts of the sample
+    are vectorised in tasks, whole and cut to the length of each class (LENGTHS). A language's
+    floor for a class is ``slack`` times the likeness that all but a hundredth of its sample
+    reach when cut to so few letters; a longer class's floor is no lower than a shorter one's.
     """
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
-    known = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    each = max(20, min(per_language, sample // max(1, len(known))))
-    share = F.create_map(*(F.lit(x) for r in known for x in (r["lang"], 2.0 * each / r["count"]))) if known else F.lit(None).cast("map<string,double>")
-    place = F.xxhash64("doc_id")
-    few = labelled.select("doc_id", "lang").filter(F.pmod(place, F.lit(1 << 40)) < F.try_element_at(share, F.col("lang")) * (1 << 40))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(place, F.lit(1 << 40)), "doc_id"))
+    known = labelled.groupBy("lang").count()
+    each = max(least, min(per_language, sample // max(1, known.count())))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    few = labelled.select("doc_id", "lang").join(known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id"))
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("doc_id").distinct()
 
     def vectors(batches):
         for batch in chunks(batches, limit=4 << 20):
-            found, letters = counts(texts(batch.column("text")).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(letters), pa.array([r.astype("<u2").tobytes() for r in np.minimum(found, 65535)], pa.binary())], ["doc_id", "lang", "letters", "counts"])
-
-    rows = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").mapInArrow(vectors, "doc_id long, lang string, letters long, counts binary")
-    rows = rows.filter("letters > 0").dropDuplicates(["doc_id"]).collect()
-    rows = sorted(rows, key=lambda r: r["doc_id"])
+            column = texts(batch.column("text")).to_pylist()
+            for k in (len(LENGTHS), *range(len(LENGTHS))):  # whole texts, and then cut ones
+                some = column if k == len(LENGTHS) else [cut_to(t, max(LENGTHS[k], 4)) for t in column]
+                found, letters = counts(some)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(np.full(len(some), k), pa.int32()), pa.array(letters), pa.array([zlib.compress(r.astype("<u2").tobytes(), 1) for r in np.minimum(found, 65535)], pa.binary())], ["doc_id", "lang", "cut", "letters", "counts"])
+
+    rows = labelled.join(chosen, "doc_id", "left_semi").mapInArrow(vectors, "doc_id long, lang string, cut int, letters long, counts binary")
+    rows = rows.filter("letters > 0").dropDuplicates(["doc_id", "cut"]).collect()
+    rows = sorted(rows, key=lambda r: (r.cut, r.doc_id))
     languages = sorted({r["lang"] for r in rows})
     if not rows:
-        return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros(0))
-    found = np.stack([np.frombuffer(r["counts"], "<u2") for r in rows])
-    idf = np.log((1 + len(rows)) / (1 + (found > 0).sum(axis=0))) + 1
-    unit = _unit(np.log1p(found) * idf).astype(np.float32)
-    lang = np.array([languages.index(r["lang"]) for r in rows])
-    parts, floor = [], []
-    for k in range(len(languages)):
-        parts.append(_clusters(unit[lang == k], clusters))
-        floor.append(slack * float(np.quantile((unit[lang == k] @ parts[-1].T).max(axis=1), 0.01)))
-    return Model(languages, idf.astype(np.float32), np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.array(floor))
-
-
-def predict_rows(docs: DataFrame, model: Model, least_letters: int = 200) -> DataFrame:
+        return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros((0, len(LENGTHS))))
+    found = lambda some: np.stack([np.frombuffer(zlib.decompress(r["counts"]), "<u2") for r in some])
+    whole = [r for r in rows if r.cut == len(LENGTHS)]
+    have = found(whole)
+    idf = np.log((1 + len(whole)) / (1 + (have > 0).sum(axis=0))) + 1
+    unit = _unit(np.log1p(have) * idf).astype(np.float32)
+    lang = np.array([languages.index(r["lang"]) for r in whole])
+    parts = [_clusters(unit[lang == k], clusters) for k in range(len(languages))]
+    floor = np.zeros((len(languages), len(LENGTHS)))
+    for c in range(len(LENGTHS)):
+        some = [r for r in rows if r.cut == c]
+        short, of = _unit(np.log1p(found(some)) * idf), np.array([languages.index(r["lang"]) for r in some])
+        for k in range(len(languages)):
+            floor[k, c] = slack * float(np.quantile((short[of == k] @ parts[k].T).max(axis=1), 0.01))
+    return Model(languages, idf.astype(np.float32), np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.maximum.accumulate(floor, axis=1))
+
+
+def predict_rows(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of docs (text, ...) with lang_pred, score and rejected; columns of these names give way.
 
     lang_pred is the language of the nearest centroid, score the cosine, and rejected tells
-    whether the text is too far from that language. A null text, or one without letters, gets
-    ``und`` and 0, and is rejected. Only texts of ``least_letters`` letters or more are
-    rejected for their distance: shorter ones are always far. Repeated rows give a row each; an
-    empty table gives none; only the text is looked at. Nothing is shuffled.
+    whether the text is too far from that language for its length. A null text, or one without
+    letters, gets ``und`` and 0, and is rejected. Repeated rows give a row each; an empty table
+    gives none; only the text is looked at. Nothing is shuffled.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score", "rejected")
@@ -146,7 +171,7 @@ def predict_rows(docs: DataFrame, model: Model, least_letters: int = 200) -> Dat
         names = np.array([*fitted.languages, NONE], object)
         for batch in chunks(batches):
             column = texts(batch.column("text")).to_pylist()
-            found = [fitted.predict(column[i : i + ROWS], least_letters) for i in range(0, len(column), ROWS)]
+            found = [fitted.predict(column[i : i + ROWS]) for i in range(0, len(column), ROWS)]
             lang, score, far = (np.concatenate(x) for x in zip(*found, strict=True))
             more = [pa.array(names[lang], pa.string()), pa.array(score.astype(np.float64)), pa.array(far)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "lang_pred", "score", "rejected"])
