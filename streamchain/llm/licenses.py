@@ -5,45 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Spellings that count as one. Fixed values.
+from .license_texts import NOTICES, TEXTS
+
+#: Spellings that count as one, in words between single spaces. Fixed values.
 SPELLINGS = (
-    ("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"), ("non-commercial", "noncommercial"),
-    ("organisation", "organization"), ("authoris", "authoriz"), ("recognis", "recogniz"), ("favour", "favor"),
-    ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("https:", "http:"),
+    ("licence", "license"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("non infringement", "noninfringement"), ("organisation", "organization"), ("authoris", "authoriz"),
+    ("recognis", "recogniz"), ("favour", "favor"), ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("https ", "http "),
 )
 
-#: Known whole texts and notices: (id, kind, text). Fixed values; a caller may pass other ones.
-KNOWN = (
-    ("MIT", "text", "MIT License\n\nCopyright (c) <year> <holder>\n\nPermission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
-    ("ISC", "text", "ISC License\n\nCopyright (c) <year> <holder>\n\nPermission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-    ("Zlib", "text", "Copyright (c) <year> <holder>\n\nThis software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.\n3. This notice may not be removed or altered from any source distribution."),
-    ("0BSD", "text", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
-    ("MIT", "notice", "Released under the MIT License."),
-    ("MIT", "notice", "Licensed under the MIT License."),
-    ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-2.0", "notice", "This work is licensed under the GNU General Public License, version 2."),
-    ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "notice", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
-)
+#: What is known unless a caller says otherwise: (id, kind, text).
+KNOWN = (*((i, "text", t) for i, t in TEXTS), *((i, "notice", t) for i, t in NOTICES))
+#: Digests that may be broadcast, or held as a literal map.
+FEW_KNOWN = 10_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = r"\n[ \t]*(copyright |\(c\) |© )[^\n]*"
+#: What may stand before a line's words: comment leaders and box borders are nothing but ASCII punctuation and spaces.
+_LEADER = r"\n[\x01-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]*"
+COPYRIGHT_LINE = _LEADER + r"(copyright |\(c\) |© |all rights reserved)[^\n]*"
 #: Only lines with a year, a copyright sign or a placeholder: in wrapped texts, others may be prose that goes on with 'copyright notice ...'.
-COPYRIGHT_NOTICE = r"\n[ \t]*(copyright (?=[^\n]*([0-9]{4}|\(c\)|©|<[^>\n]*>|\[[^\]\n]*\]))|\(c\) |© )[^\n]*"
+COPYRIGHT_NOTICE = _LEADER + r"(copyright [^\n]*([0-9]{4}|\(c\)|©|<[^>\n]{0,80}>|\[[^\]\n]{0,80}\])|\(c\) |© |all rights reserved)[^\n]*"
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 #: Where every notice holds this, other lines need no digest.
 NOTICE_WORD = "licen"
 
 
 def canonical(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
-    """ASCII lower case, without lines that start with a copyright mark (a pattern), one spelling, and single spaces for punctuation."""
+    """ASCII lower case, without lines that start with a copyright mark (a pattern), single spaces for punctuation, and one spelling."""
     text = F.concat(F.lit("\n"), F.translate(text, _UPPER, _LOWER))
     text = F.regexp_replace(text, left_out, "\n")
+    text = F.regexp_replace(text, PUNCTUATION, " ")
     for other, one in SPELLINGS:
         text = F.replace(text, F.lit(other), F.lit(one))
-    return F.trim(F.regexp_replace(text, PUNCTUATION, " "))
+    return F.trim(text)
 
 
 def digest(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
@@ -66,10 +59,15 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
     nothing without all lines that start with a copyright mark is looked up once more without
     those alone that are surely notices (COPYRIGHT_NOTICE), so wrapping does not matter.
 
-    The known digests are as many as ``known`` has entries, whatever the documents are: they
-    are broadcast to the hash joins on whole texts and looked up as a literal map for notices.
-    Nothing is shuffled.
+    The known digests are as many as ``known`` has entries, whatever the documents are. Up to
+    FEW_KNOWN they are broadcast to the hash joins on whole texts, and looked up as a literal
+    map for notices: then nothing is shuffled. More whole texts are joined by a shuffle of
+    digests; more notices are refused.
     """
+    known = tuple(known)
+    if sum(k == "notice" for _, k, _ in known) > FEW_KNOWN:
+        raise ValueError(f"more than {FEW_KNOWN} notices")
+    sent = F.broadcast if len(known) <= FEW_KNOWN else lambda t: t
     table = known_digests(spark, known)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     whole = table.filter("kind = 'text'").select(F.col("known").alias("digest"), F.col("license_id").alias("plain"))
@@ -82,5 +80,5 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
     found = F.array_compact(F.transform(lines, lambda x: F.try_element_at(by, digest(x))))
     notices = F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices")
     docs = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest(F.col("text"), COPYRIGHT_NOTICE).alias("wrapped"), notices)
-    docs = docs.join(F.broadcast(whole), "digest", "left").join(F.broadcast(wrapped), "wrapped", "left")
+    docs = docs.join(sent(whole), "digest", "left").join(sent(wrapped), "wrapped", "left")
     return docs.select("doc_id", "digest", F.coalesce("plain", "other").alias("license_id"), "notices")

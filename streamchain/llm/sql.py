@@ -2,35 +2,36 @@
 
 from __future__ import annotations
 
-from .licenses import COPYRIGHT_LINE, KNOWN, NOTICE_WORD, PUNCTUATION, SPELLINGS
+from .licenses import COPYRIGHT_LINE, COPYRIGHT_NOTICE, KNOWN, NOTICE_WORD, PUNCTUATION, SPELLINGS
 
 
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical(text: str) -> str:
-    out = f"regexp_replace(translate(chr(10) || {text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_quoted(COPYRIGHT_LINE)}, chr(10), 'g')"
+def _canonical(text: str, left_out: str = COPYRIGHT_LINE) -> str:
+    out = f"regexp_replace(translate(chr(10) || {text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_quoted(left_out)}, chr(10), 'g')"
+    out = f"regexp_replace({out}, {_quoted(PUNCTUATION)}, ' ', 'g')"
     for other, one in SPELLINGS:
         out = f"replace({out}, {_quoted(other)}, {_quoted(one)})"
-    return f"trim(regexp_replace({out}, {_quoted(PUNCTUATION)}, ' ', 'g'))"
+    return f"trim({out})"
 
 
 _KNOWN = ", ".join(f"({_quoted(i)}, {_quoted(k)}, {_quoted(t)})" for i, k, t in KNOWN)
 
 LICENSES = f"""
-with known as (
-  select kind, sha256({_canonical("body")}) as known, min(license_id) as license_id
-  from (values {_KNOWN}) as k(license_id, kind, body) group by 1, 2
-), doc as (select row_number() over () as r, doc_id, coalesce("text", '') as body from documents),
+with text as (select * from (values {_KNOWN}) as k(license_id, kind, body)),
+known as (select kind, sha256({_canonical("body")}) as known, min(license_id) as license_id from text group by 1, 2),
+wrapped as (select sha256({_canonical("body", COPYRIGHT_NOTICE)}) as known, min(license_id) as other from text where kind = 'text' group by 1),
+doc as (select row_number() over () as r, doc_id, coalesce("text", '') as body from documents),
 line as (select r, unnest(string_split(body, chr(10))) as l from doc),
 noted as (
   select r, string_agg(distinct license_id, ',' order by license_id) as notices
   from (select r, sha256({_canonical("l")}) as d from line where contains(lower(l), '{NOTICE_WORD}')) x
   join known on kind = 'notice' and known = d group by r
 )
-select doc_id, sha256({_canonical("body")}) as digest, license_id, coalesce(notices, '') as notices
-from doc left join known on kind = 'text' and known = sha256({_canonical("body")}) left join noted using (r)
+select doc_id, sha256({_canonical("body")}) as digest, coalesce(license_id, other) as license_id, coalesce(notices, '') as notices
+from doc left join known on kind = 'text' and known = sha256({_canonical("body")}) left join wrapped w on w.known = sha256({_canonical("body", COPYRIGHT_NOTICE)}) left join noted using (r)
 """
 
 DECONTAMINATION = r"""
