@@ -33,8 +33,6 @@ LINEAR = 2
 DIVIDED = 0.25
 #: Ratio of the bounds of a size class.
 CLASS = 1.04
-#: Members of an entry that one task compares with others of it.
-SPLIT = 4096
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +166,23 @@ def _stats(rows: DataFrame) -> DataFrame:
     return each.filter("parts > 1").select("root", "signature", "m", "main", "room", "spare", ((F.col("m").cast("double") ** 2 - F.col("square")) / 2).alias("pairs"))
 
 
+def _cells(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of cells of an entry (members of one size and place, of the largest component or not) that may hold linked ones: signature, a, b, and the counts of both."""
+    cells = rows.groupBy("root", "signature", "k", F.struct("n", "place", (F.col("component") == F.col("main")).alias("own")).alias("cell")).count()
+    left, right = (cells.select("root", "signature", *["k"][:only], F.col("cell").alias(s), F.col("count").alias(f"n_{s}")) for s, only in (("a", 1), ("b", 0)))
+    turn = F.when(F.col("a.own"), ~F.col("b.own")).otherwise(~F.col("b.own") & (F.col("a") <= F.col("b")))
+    fits = _fits(F.col("k"), F.col("a.n"), F.col("a.place"), F.col("b.n"), F.col("b.place"), percent)
+    return left.join(right, ["root", "signature"]).filter(turn & fits).select("root", "signature", "a", "b", "n_a", "n_b")
+
+
+def _fitting(rows: DataFrame, stats: DataFrame, percent: int) -> DataFrame:
+    """The stats with only those pairs counted that places and sizes don't rule out; entries without any are left out."""
+    cells = _cells(rows.join(stats.select("root", "signature", "main"), ["root", "signature"]), percent)
+    many = F.when(F.col("a") == F.col("b"), F.col("n_a").cast("double") * (F.col("n_a") - 1) / 2).otherwise(F.col("n_a").cast("double") * F.col("n_b"))
+    fitting = cells.groupBy("root", "signature").agg(F.sum(many).alias("pairs")).filter("pairs > 0")
+    return stats.drop("pairs").join(fitting, ["root", "signature"])
+
+
 def _plain(pairs, room, spare):
     """Whether to compare an entry's pairs rather than to divide it."""
     return (pairs <= FEW) | (room > pairs * ROWS_A_PAIR) | (spare <= 0)
@@ -197,12 +212,12 @@ def _divided(rows: DataFrame, sets: DataFrame, percent: int) -> Iterator[DataFra
             return
         if first:  # sizes divide an entry without more rows than a few a member
             base = cut(_by_size(base.drop("m", "main", "plain", "pairs", "spent"), percent).withColumn("root", F.col("signature")))
-            stats = cut(_stats(base))
+            stats = cut(_fitting(base, _stats(base), percent))
             plain = stats.select("root", "m", "main", "pairs", _plain(F.col("pairs"), F.col("room"), F.col("spare")).alias("plain"), F.col("room").alias("spent"))
             first, rows = False, base
             continue
         rows = cut(_longer(rows.join(base.select("root").distinct(), "root", "left_semi"), sets))
-        stats = cut(_stats(rows))
+        stats = cut(_fitting(rows, _stats(rows), percent))
         roots = base.groupBy("root").agg(F.first("pairs").alias("whole"), F.first("spent").alias("spent"), F.first("m").alias("whole_m"), F.first("main").alias("whole_main"))
         sums = stats.groupBy("root").agg(F.sum("pairs").alias("left"), F.sum("room").alias("more"), F.min("spare").alias("spare"))
         judged = cut(roots.join(sums, "root").withColumn("divided", F.col("left") <= F.col("whole") * DIVIDED))
@@ -218,14 +233,12 @@ def _divided(rows: DataFrame, sets: DataFrame, percent: int) -> Iterator[DataFra
 
 
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of an entry's members in different components that its places don't rule out. Members are split over tasks; those outside the entry's largest component go to each of them."""
-    parts = F.ceil(F.col("m") / SPLIT).cast("int")
-    own = [F.col(c).alias(f"{c}_a") for c in ("doc", "n", "place", "component")]
-    left = rows.select("signature", "main", "k", F.pmod(F.xxhash64("doc"), parts).cast("int").alias("part"), *own)
-    right = rows.filter("component <> main").select("signature", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "doc", "n", "place", "component")
-    both = left.join(right, ["signature", "part"]).filter("component <> component_a and (component_a = main or doc_a < doc)")
-    both = both.filter(_fits(F.col("k"), F.col("n_a"), F.col("place_a"), F.col("n"), F.col("place"), percent))
-    return both.select(F.least("doc_a", "doc").alias("a"), F.greatest("doc_a", "doc").alias("b"))
+    """Pairs (a, b) of an entry's members in different components that places and sizes don't rule out: joined by cells, so that no others are ever made."""
+    cells = _cells(rows, percent).select("signature", "a", "b")
+    members = rows.select("signature", F.struct("n", "place", (F.col("component") == F.col("main")).alias("own")).alias("cell"), "doc", "component")
+    left, right = (members.select("signature", F.col("cell").alias(s), F.col("doc").alias(f"doc_{s}"), F.col("component").alias(f"component_{s}")) for s in ("a", "b"))
+    both = left.join(cells, ["signature", "a"]).join(right, ["signature", "b"]).filter("component_a <> component_b and (a <> b or doc_a < doc_b)")
+    return both.select(F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b"))
 
 
 def _by_size(rows: DataFrame, percent: int) -> DataFrame:

@@ -53,7 +53,6 @@ def edited(rnd, words, n):
 def test_families_of_near_copies(spark, monkeypatch, linear):
     """However entries are divided: hardly, and wherever it is worth its rows."""
     monkeypatch.setattr(jaccard, "LINEAR", linear)
-    monkeypatch.setattr(jaccard, "SPLIT", 5)
     if not linear:
         monkeypatch.setattr(jaccard, "FEW", 1)
     rnd = random.Random(linear)
