@@ -9,11 +9,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .arrow import texts
+from .arrow import chunks, texts
 
 BUCKETS = 256
 #: Places, in a window of five bytes, of the bytes of each counted triplet.
 TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4))
+#: Text bytes of a stretch, and how many of these there are at most: beyond, they grow. The driver holds two ids for each.
+STRETCH_BYTES, STRETCHES = 64 << 20, 20_000
 #: A difference of so much, or more, is a likeness of 0.
 FAR = 2 * BUCKETS
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -64,7 +66,7 @@ def likeness(a: str, b: str) -> float:
 
 
 def _fingerprints(batches):
-    for batch in batches:
+    for batch in chunks(batches):
         column = texts(batch.column("text")).to_pylist()
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(map(len, column), pa.int64()), pa.array([fingerprint(t.encode("utf-8", "surrogatepass")) for t in column], pa.string())], ["doc_id", "n_chars", "fingerprint"])
 
@@ -85,7 +87,7 @@ def _pairs(batches):
         mark = fingerprint(edited)
         return doc, len(text), hashlib.sha256(edited).hexdigest(), own, mark, likeness(own, mark), likeness(own, following[2])
 
-    for batch in batches:
+    for batch in chunks(batches):
         rows = []
         columns = (batch.column("doc_id").to_pylist(), texts(batch.column("text")).to_pylist(), batch.column("stretch").to_pylist(), batch.column("ahead").to_pylist())
         for doc, text, stretch, ahead in zip(*columns, strict=True):
@@ -125,12 +127,14 @@ def edit_likeness(docs: DataFrame, stretches: int | None = None) -> DataFrame:
     texts are empty. Null doc_ids come first, rows of one doc_id are ordered by text. An empty
     table gives no rows; a lone document follows itself. Other columns are not read.
 
-    The ids are cut into about equal stretches at quantiles. Every text moves once, to the
-    partition of its stretch, and the first row of each stretch also goes to the end of the
-    stretch before it. The driver holds two ids a stretch.
+    The ids are cut into about equal stretches at quantiles, as many as the texts' bytes ask
+    for. Every text moves once, to the partition of its stretch, and the first row of each
+    stretch also goes to the end of the stretch before it. A task passes its stretch in order
+    and holds a few MB of it. All rows of one id are in one stretch.
     """
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "text", "coalesce(cast(doc_id as long), -9223372036854775808) place")
-    n = stretches or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = stretches or min(STRETCHES, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // STRETCH_BYTES))
     cuts = docs.agg(F.percentile_approx("place", [i / n for i in range(1, n)] or [0.5], 100 * n)).first()[0] or []
     cuts = sorted(set(cuts)) if n > 1 else []
     docs = docs.withColumn("stretch", _stretch(F.col("place"), cuts))
