@@ -6,14 +6,13 @@ result is written as Parquet and read again as the next one's docs.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamchain.llm import decontaminate, jaccard, langid, packing, pii
-from streamchain.llm.components import cut, shared_folder
+from streamchain.llm.components import cut
 from streamchain.llm.queries import tokenizer_file
+from streamchain.sources.checkpoint import own_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Words of a shingle, and percent of the union that near copies share.
@@ -21,7 +20,7 @@ SHINGLE, SHARED = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; the prediction takes the place of ``lang``. Rejected ones go: no letters, or far from every language."""
+    """Documents whose language is told; the prediction takes the place of ``lang``. Rejected ones go: null, without letters, or too far from their language for their length. Ids aren't looked at; repeated rows are judged alike."""
     model = langid.fit(spark, docs)
     found = langid.predict_rows(docs.select(*COLUMNS), model)
     return found.filter("not rejected").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
@@ -54,7 +53,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an occurrence of a benchmark window."""
+    """Documents without an occurrence of a benchmark window. Null texts have none, and stay, as all do with an empty benchmark; rows of one id and text go or stay together, whatever other rows of the id do."""
     docs = keyed(docs)
     found = decontaminate.contamination(spark, docs.select(F.col("row_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     hit = found.filter("contaminated").select(F.col("doc_id").alias("row_key")).distinct()
@@ -62,12 +61,12 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind in brackets; n_chars follows."""
+    """All documents, with personal data replaced by its kind in brackets; n_chars follows, but where the text is null and stays so. Ids aren't looked at, and every row stays, repeated ones too."""
     return pii.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in windows of 2048 tokens."""
+    """Pieces of all documents in windows of 2048 tokens. A null or empty text is its end token alone; every row is packed, repeated ones and those without id too; no documents make no pieces."""
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
@@ -81,8 +80,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all that the stages keep of the documents. What lies between stages is in a folder below the shared one, which goes when the application ends."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -141,6 +142,14 @@ def _typed(value, kind, name: str):
     return value
 
 
+@lru_cache(1)
+def _zstd():
+    """A worker's decompressor, and what it raises."""
+    import zstandard
+
+    return zstandard.ZstdDecompressor(), zstandard.ZstdError
+
+
 def decode_one(data: bytes | None, kind: str) -> dict:
     """The block fields of one payload; raises DecodeError."""
     data = data or b""
@@ -159,13 +168,12 @@ def decode_one(data: bytes | None, kind: str) -> dict:
         return {"height": _typed(held.get("height"), int, "height"), "block_type": ANNOUNCEMENT, "shard_id": 0, "hash": _typed(held.get("hash"), str, "hash"), "prev_hash": _typed(held.get("parent_hash"), str, "parent_hash")}
     if kind != "proto_zstd":
         raise DecodeError(f"unknown format {kind}")
-    import zstandard
-
     if not data:
         raise DecodeError("empty payload")
+    inflate, failed = _zstd()
     try:
-        body = zstandard.ZstdDecompressor().decompressobj().decompress(data)
-    except zstandard.ZstdError as e:
+        body = inflate.decompressobj().decompress(data)
+    except failed as e:
         raise DecodeError(str(e)[:80]) from None
     for number, value in _fields(body):
         if number not in (1, 2) or not isinstance(value, bytes):
