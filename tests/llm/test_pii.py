@@ -1,5 +1,9 @@
 import hashlib
+import random
 import re
+from collections import Counter
+
+import numpy as np
 
 from streamchain.llm import pii
 
@@ -68,6 +72,56 @@ def test_reliabilities_follow_agreement():
     assert p[0] > 0.9 > 0.1 > p[1] and p[2] > 0.5
 
 
+def plain_model(votes, size, n):
+    """Posteriors by expectation-maximisation and the logistic weights that they imply, over matrices."""
+    votes, n = np.array(votes), np.array(n, float)
+    share = (votes > 0).sum(1) / np.maximum(1, (votes != 0).sum(1))
+    p = np.clip(share, 0.05, 0.95)
+    for _ in range(50):
+        real, total = (n * p).sum(), n.sum()
+        prior = (real + 1) / (total + 2)
+        odds = np.full(len(n), np.log(prior / (1 - prior)))
+        for column in votes.T:
+            same = column[:, None] == column[None, :]
+            odds += np.log(((same @ (n * p) + 0.5) / (real + 1.5)) / ((same @ (n * (1 - p)) + 0.5) / (total - real + 1.5)))
+        new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        done = np.abs(new - p).max() < 1e-6
+        if done:
+            break
+        p = new
+    x = np.concatenate([np.ones((len(n), 1)), votes > 0, votes < 0, np.array(size)[:, None] == np.arange(4)], axis=1).astype(float)
+    w = np.zeros(x.shape[1])
+    for _ in range(300):
+        w -= 2.0 * (0.01 * w + x.T @ (n / n.sum() * (1 / (1 + np.exp(-x @ w)) - p)))
+    return p, x @ w
+
+
+def test_posteriors_and_added_spans_against_matrices(spark):
+    rnd = random.Random(4)
+    parts = ["mail bob{} [at] example [dot] com", "call (555) 555-01{:02d} now", "version 555-{:03d}-4567", "card 37828224631000{}", "10.0.0.{}", "me{}@mail.org", "id=(555) 555-01{:02d}x", "+1 (555) 555-01{:02d}", "a [at] b{} (dot) zz"]
+    rows = [(k, " and ".join(rnd.choice(parts).format(rnd.randrange(100)) for _ in range(4))) for k in range(120)]
+    docs = data.plain_docs(spark, rows)
+    found = {r.doc_id: (r["__base"], r["__loose"]) for r in pii.spans(docs).collect()}
+    kinds = {k: Counter() for k in range(4)}
+    for b, near in found.values():
+        for s in [*b, *near]:
+            kinds[s.kind][tuple(s[x] for x in pii.LABELERS), s.size] += 1
+    accepted = {}
+    for k, counts in kinds.items():
+        keys = sorted(counts, key=lambda c: (*c[0], c[1]))
+        if keys:
+            p, logit = plain_model([c[0] for c in keys], [c[1] for c in keys], [counts[c] for c in keys])
+            own = pii.reliabilities([dict(zip(pii.LABELERS, c[0])) | {"size": c[1], "n": counts[c]} for c in keys])
+            assert np.allclose(p, own, atol=1e-5)
+            accepted |= {(k, *c): x >= 0 for c, x in zip(keys, logit)}
+    want = {}
+    for d, (b, near) in found.items():
+        more = [s for s in near if accepted[s.kind, tuple(s[x] for x in pii.LABELERS), s.size]]
+        want[d] = ",".join(f"{pii.KINDS[k]}:{x}:{y}" for k, x, y in sorted((s.kind, s.begin, s.end) for s in [*b, *more]))
+    got = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert got == want and 0 < sum(len(near) for _, near in found.values()) and any(len(w.split(",")) > len(found[d][0]) for d, w in want.items() if w)
+
+
 def test_redaction_and_no_documents(spark):
     docs = data.hard_docs(spark)
     out = pii.redact(docs)
