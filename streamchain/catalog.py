@@ -423,6 +423,12 @@ def chain_buffered(spark, d):
     return planner.rows(log, Bridge(Verifier(allow_gaps=False), buffer=1_000_000)).select("stream_id", "seq", "height")
 
 
+@query(f"with {CHAIN}, log as (select * from chain_log where block_type = 0 or shard_id in (1, 2, 3)), {_RECORDS.format(log='log')} select {_ROWS} from records")
+def chain_filtered_shards(spark, d):
+    """Shards that the filter rejects are neither written nor the tip of what follows."""
+    return planner.rows(chain_log(spark, d), Bridge(Verifier(shard_filter=tuple(shardmask.parse_text("1-3"))))).select(*_ROW)
+
+
 @query(f"""with {EVENT}, log as (select case when stream_id % 3 <> 0 then stream_id end as stream_id, stream_id * 100000000 + seq as seq, height, ts, bytes from event_log)
 select stream_id, seq, max(height) over w as tip, lag(seq) over w as prev_seq, row_number() over (partition by stream_id order by seq desc) <= 25 as newest from log window w as (partition by stream_id order by seq)""")
 def null_streams(spark, d):

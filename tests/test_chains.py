@@ -215,3 +215,65 @@ def test_ranges_of_a_stored_log_reach_its_scan(spark, sf):
 
     plan = catalog.queries()["scan_range"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(seq,100), LessThan(seq,400)" in plan and "Exchange" not in plan
+
+
+def plain_reorder(rows, size, wrong_most):
+    """Heights in their order, with a buffer of so many rows and a limit for rows in a row that are corrupted or too high; from the rules, with no code of the package."""
+    tip, held, wrong, out, ended = None, [], 0, [], None
+    for seq, height, corrupted in rows:
+        for turn in (0, 1):
+            waiting, held = sorted(held)[:size], []
+            for h, q in waiting:
+                if tip is not None and h == tip + 1:
+                    tip = h
+                    out.append(q)
+                elif tip is not None and h > tip + 1:
+                    held.append((h, q))
+            if turn:
+                break
+            if not corrupted and (tip is None or height == tip + 1):
+                tip, wrong = height, 0
+                out.append(seq)
+            elif not corrupted and height <= tip:
+                wrong = 0
+            else:
+                if not corrupted:
+                    held.append((height, seq))
+                if wrong == wrong_most:
+                    ended = seq
+                    break
+                wrong += 1
+        if ended is not None:
+            break
+    return out, ended
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_the_reorder_query_against_plain_rules(spark, folder):
+    from streamchain import catalog
+    from streamchain.sources.adapters import event_log
+
+    got, want = {}, {}
+    for r in catalog.queries()["chain_reorder"](spark, folder).collect():
+        got.setdefault(r.stream_id, []).append((r.out_seq, r.seq, r.event))
+    logs = {}
+    for r in event_log(spark, folder).select("stream_id", "seq", "height", "corrupted").collect():
+        logs.setdefault(str(r.stream_id), []).append((r.seq, r.height, r.corrupted))
+    for s, rows in logs.items():
+        out, ended = plain_reorder(sorted(rows), 16, 500)
+        want[s] = [(k, q, "written") for k, q in enumerate(out, 1)] + ([(None, ended, "desync")] if ended is not None else [])
+    assert {s: sorted(x, key=str) for s, x in got.items()} == {s: sorted(x, key=str) for s, x in want.items() if x}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_small_buffers_and_limits_against_plain_rules(seed):
+    rnd = random.Random(seed)
+    rows = [(q, max(0, q // 2 + rnd.randint(-4, 6)), rnd.random() < 0.15) for q in range(1, 300)]
+    for size, wrong in ((0, 3), (1, 5), (3, 9), (7, 40), (50, 10**6)):
+        fold = Fold(Bridge(Verifier(allow_gaps=False), buffer=size, tolerances=Tolerances(wrong=wrong)))
+        out, ended = [], None
+        for q, h, bad in rows:
+            was = fold.ended
+            out += [r["seq"] for r in fold.take({"seq": q, "height": h, "block_type": 0, "shard_id": 0, "corrupted": bad})]
+            ended = q if fold.ended and not was else ended
+        assert (out, ended) == plain_reorder(rows, size, wrong)
