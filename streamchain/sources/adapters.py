@@ -10,7 +10,7 @@ from ..functions.msgid import construct
 from ..operators import prefix
 from ..schema import MESSAGE_ID
 from . import files
-from .checkpoint import own_folder
+from .checkpoint import exists, own_folder
 from .decode import encode
 
 STREAMS = 8
@@ -61,7 +61,7 @@ _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """The log that ``make`` gives, written once a session below the shared folder, by stream and segment of seqs, and scanned from there."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
+    if key not in _STORED or not exists(spark, f"{_STORED[key][0]}/_SUCCESS"):
         log, path = make(spark, sf_dir), f"{own_folder(spark, 'logs')}/{name}"
         files.write(log, path)
         _STORED[key] = path, log.schema

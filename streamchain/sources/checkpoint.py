@@ -29,6 +29,11 @@ def own_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows in the shared checkpoint folder, without lineage."""
     shared_folder(df.sparkSession)
