@@ -126,3 +126,12 @@ def rolling(h: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
         out = out * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
         out ^= out >> np.uint64(29)
     return mixed(out)
+
+
+def rolling_at(h: np.ndarray, at: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
+    """The same hashes of the runs that begin at these places alone."""
+    out = np.full(len(at), np.uint64(seed * 2 + 1))
+    for i in range(size):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + h[at + i]
+        out ^= out >> np.uint64(29)
+    return mixed(out)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import _packed, _parts, chunks, freed, release, rolling, split_words, texts, word_hashes
+from .arrow import _packed, _parts, chunks, freed, release, rolling, rolling_at, split_words, texts, word_hashes
 
 #: Maps A-Z to a-z, and each ASCII character that is neither letter nor digit to a space.
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() and not chr(c).isupper() else c + 32 if chr(c).isupper() and c < 0x80 else 0x20 for c in range(256))
@@ -80,7 +80,7 @@ class Tables:
         if len(hash_) < self.size:
             return
         begins = self.ends(_blocks(hash_, self.size), first) - self.size + 1
-        own = rolling(hash_, self.size)[begins]
+        own = rolling_at(hash_, begins, self.size)
         low, high = np.searchsorted(self.hashes, own), np.searchsorted(self.hashes, own, side="right")
         for begin, a, b in zip(begins[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
             window = _joined(words, begin, self.size)
@@ -115,7 +115,7 @@ def build(items: pa.Array, size: int) -> list[Tables]:
     at = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)))
     out = []
     for m, (begins, item) in _windows(first, size).items():
-        own = rolling(hash_, m)[begins]
+        own = rolling_at(hash_, begins, m)
         order = np.lexsort((begins, item, own))
         own, item, places = own[order], item[order], begins[order]
         # an item's repeated window is one; of windows with one hash, all others stay, to be compared
@@ -180,7 +180,7 @@ def _far(docs: DataFrame, items: DataFrame, size: int, held: int) -> DataFrame:
             for m, (begins, of) in _windows(first, size).items():
                 for k in range(0, len(begins), 1 << 14):
                     some = begins[k : k + (1 << 14)]
-                    columns = [item.take(pa.array(of[k : k + (1 << 14)])), pa.array(np.full(len(some), m), pa.int32()), pa.array(rolling(hash_, m)[some].view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
+                    columns = [item.take(pa.array(of[k : k + (1 << 14)])), pa.array(np.full(len(some), m), pa.int32()), pa.array(rolling_at(hash_, some, m).view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["item", "size", "hash", "body"])
 
     def marked(batches):
@@ -228,10 +228,9 @@ def _far(docs: DataFrame, items: DataFrame, size: int, held: int) -> DataFrame:
                 sums = np.concatenate(([0], np.cumsum(there)))
                 lead = min(1, m - 1)
                 begins = np.flatnonzero((left[: len(hash_) - m + 1] >= m) & (sums[m:] - sums[lead : len(sums) - m + lead] == m - lead))
-                own = rolling(hash_, m)
                 for k in range(0, len(begins), 1 << 14):
                     some = begins[k : k + (1 << 14)]
-                    columns = [pa.array([keys[d] for d in doc[some]], pa.binary()), pa.array(np.full(len(some), m), pa.int32()), pa.array((some - first[doc[some]]).astype(np.int32)), pa.array(own[some].view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
+                    columns = [pa.array([keys[d] for d in doc[some]], pa.binary()), pa.array(np.full(len(some), m), pa.int32()), pa.array((some - first[doc[some]]).astype(np.int32)), pa.array(rolling_at(hash_, some, m).view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, ["row_key", "size", "begin", "hash", "body"])
 
     def counted(batches):
