@@ -58,6 +58,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1)
 
 
+#: Ids of a sample that may be broadcast.
+FEW_IDS = 1_000_000
 #: Letters at which length classes begin; likeness falls with fewer letters, and so does its floor.
 LENGTHS = (0, 8, 16, 32, 64, 128, 256, 512)
 
@@ -119,7 +121,8 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
     """
     labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
     known = labelled.groupBy("lang").count()
-    each = max(least, min(per_language, sample // max(1, known.count())))
+    many = known.count()
+    each = max(least, min(per_language, sample // max(1, many)))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
     few = labelled.select("doc_id", "lang").join(known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id"))
@@ -133,6 +136,8 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
                 found, letters = counts(some)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(np.full(len(some), k), pa.int32()), pa.array(letters), pa.array([zlib.compress(r.astype("<u2").tobytes(), 1) for r in np.minimum(found, 65535)], pa.binary())], ["doc_id", "lang", "cut", "letters", "counts"])
 
+    if each * many <= FEW_IDS:
+        chosen = F.broadcast(chosen)
     rows = labelled.join(chosen, "doc_id", "left_semi").mapInArrow(vectors, "doc_id long, lang string, cut int, letters long, counts binary")
     rows = rows.filter("letters > 0").dropDuplicates(["doc_id", "cut"]).collect()
     rows = sorted(rows, key=lambda r: (r.cut, r.doc_id))
