@@ -37,8 +37,8 @@ def keys(hashes: np.ndarray, shards: int) -> np.ndarray:
 def by_shard(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shards that occur in the sorted keys, and where each begins and ends."""
     shard = (sorted_keys >> np.uint64(32)).astype(np.int64)
-    begins = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.zeros(0, np.int64)
-    return shard[begins], begins, np.append(begins[1:], len(shard))
+    begins = runs(shard)
+    return shard[begins], begins, run_ends(begins, len(shard))
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -56,6 +56,11 @@ def runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
 
 
+def run_ends(begins: np.ndarray, count: int) -> np.ndarray:
+    """Where each run ends, of ``count`` values in all; none where there are no values."""
+    return np.append(begins[1:], count) if len(begins) else np.zeros(0, np.int64)
+
+
 def table(schema: dict, rows: list[tuple]) -> pa.Table:
     columns = zip(*rows, strict=True) if rows else [[]] * len(schema)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.values(), strict=True)], names=list(schema))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .arrow import freed, rolling, split_words, texts, word_hashes
-from .blocks import block_count, blocked, by_shard, keys, runs, table
+from .blocks import block_count, blocked, by_shard, keys, run_ends, runs, table
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 _SENT = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary(), "flags": pa.binary()}
@@ -91,7 +91,7 @@ class Block:
 
     def window_shards(self):
         begins = runs(self.win_shard)
-        return zip(self.win_shard[begins], begins, np.append(begins[1:], len(self.win_shard)), strict=True)
+        return zip(self.win_shard[begins], begins, run_ends(begins, len(self.win_shard)), strict=True)
 
     def removed(self, replies: dict[int, bytes]) -> np.ndarray:
         """Words in windows that start in a document of smaller id, in this block or another."""
