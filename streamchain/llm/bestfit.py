@@ -47,8 +47,11 @@ def spaced(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
         # what may be white space: U+1680 and U+180E, U+2000 to U+205F, U+3000
         blank |= ((three == 0xE1) & ((two == 0x9A) | (two == 0xA0))) | ((three == 0xE2) & ((two == 0x80) | (two == 0x81))) | ((three == 0xE3) & (two == 0x80))
         good[last >= 0x80] = ~blank
-    begins = np.union1d(spaces[good], at[:-1])
-    begins = begins[begins < len(b)]
+    opens = np.zeros(len(b) + 1, bool)
+    opens[spaces[good]] = True
+    opens[at] = True
+    opens[-1] = False
+    begins = np.flatnonzero(opens)
     first = np.searchsorted(begins, at)
     units = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(b))), pa.py_buffer(np.ascontiguousarray(b)))
     return first, units
