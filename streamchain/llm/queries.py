@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bestfit, decontaminate, fingerprint, jaccard, kneserney, langid, licenses, packing, periods, pii, substrings, tokencount
+from . import bestfit, decontaminate, fingerprint, jaccard, kneserney, langid, licenses, packing, periods, phrases, pii, substrings, tokencount
 from .sql import SQL
 
 
@@ -65,6 +65,10 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.detect(_table(spark, sf_dir, "documents"), plant=True)
 

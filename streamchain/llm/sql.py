@@ -83,4 +83,26 @@ select doc.doc_id, cast(coalesce(any_value(size.n), 0) as bigint) as n_shingles,
 from doc left join size using (r) left join reach using (r) left join size as size_o on size_o.r = reach.o group by doc.r, doc.doc_id
 """
 
-SQL = {"op10_ngram_jaccard": JACCARD, "op8_substring_dedup": SUBSTRINGS, "op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION}
+PHRASES = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+  from documents where text is not null),
+words as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') w from pieces),
+n as (select lang, sum(len(w))::bigint n from words group by lang),
+places as (select lang, w, unnest(range(1, len(w) + 1)) i from words),
+grams as (select lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) k from places),
+f as (select lang, w[i:i + k - 1] p, count(*) f from grams group by all having count(*) >= 100),
+cuts as (select lang, p, f a, unnest(range(1, len(p))) k from f where len(p) > 1),
+scored as (
+  select c.lang, c.p, c.a, c.k, l.f l, r.f r, n.n, ((1000::hugeint * c.a * n.n) // (l.f::hugeint * r.f))::bigint score
+  from cuts c join n using (lang) join f l on l.lang = c.lang and l.p = c.p[1:c.k] join f r on r.lang = c.lang and r.p = c.p[c.k + 1:]),
+lowest as (select lang, p, a, n, min(struct_pack(score := score, k := k, l := l, r := r)) cut from scored group by all),
+spans as (select lang, p, f, unnest(range(1, len(p))) i from f where len(p) > 2),
+inside as (select lang, p[i:j] q, max(f) f from (select *, unnest(range(i + 1, len(p) + 1)) j from spans) where j - i + 1 < len(p) group by all),
+kept as (select o.* from lowest o left join inside s on s.lang = o.lang and s.q = o.p where s.f is null or s.f < o.a),
+ranked as (select lang, array_to_string(p, ' ') phrase, a, cut.l l, cut.r r, n, cut.score score from kept)
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from ranked) where rank <= 2000
+"""
+
+SQL = {"op10_ngram_jaccard": JACCARD, "op8_substring_dedup": SUBSTRINGS, "op1_license_scan": LICENSES, "op9_decontamination": DECONTAMINATION, "op12_phrase_mining": PHRASES}
