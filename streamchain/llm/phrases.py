@@ -17,10 +17,10 @@ from .components import cut
 #: Occurrences of a pair of words from which on they are dealt out by the word after it.
 HOT = 1 << 17
 _DEALT = "lang string, text string, weight long, block int"
-_SENT = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary(), "counts": pa.binary(), "lang": pa.string(), "word": pa.string(), "token": pa.int64(), "count": pa.int64()}
-_SENT_SQL = "shard int, block int, data binary, counts binary, lang string, word string, token long, count long"
-_REPLY = {"block": pa.int32(), "step": pa.int32(), "shard": pa.int32(), "flags": pa.binary()}
-_REPLY_SQL = "block int, step int, shard int, flags binary"
+_SENT = {"shard": pa.int32(), "block": pa.int32(), "data": pa.binary(), "counts": pa.binary(), "lang": pa.string(), "words": pa.binary()}
+_SENT_SQL = "shard int, block int, data binary, counts binary, lang string, words binary"
+_REPLY = {"block": pa.int32(), "step": pa.int32(), "shard": pa.int32(), "flags": pa.binary(), "lang": pa.string(), "word": pa.string(), "token": pa.int64(), "f": pa.int64()}
+_REPLY_SQL = "block int, step int, shard int, flags binary, lang string, word string, token long, f long"
 _CONTEXTS = {"shard": pa.int32(), "tokens": pa.binary(), "codes": pa.binary(), "counts": pa.binary()}
 _CONTEXTS_SQL = "shard int, tokens binary, codes binary, counts binary"
 _GROWN = {"tokens": pa.list_(pa.int64()), "f": pa.int64()}
@@ -88,7 +88,7 @@ class Block:
 
     def rows(self, key, every: np.ndarray, count: np.ndarray) -> list[tuple]:
         low, count = (every & np.uint64(0xFFFFFFFF)).astype("<u4"), np.minimum(count, 0xFFFFFFFF).astype("<u4")
-        return [(s, key, low[b:e].tobytes(), planes(count[b:e]), None, None, None, None) for s, b, e in zip(*by_shard(every), strict=True)]
+        return [(s, key, low[b:e].tobytes(), planes(count[b:e]), None, None) for s, b, e in zip(*by_shard(every), strict=True)]
 
     def frequent(self, replies: dict[int, bytes]) -> None:
         """``pair``: places of words that are frequent, as far as the exchange tells, and so is the next one of the piece."""
@@ -97,15 +97,21 @@ class Block:
         self.pair = np.flatnonzero(self.joined & self.often & np.append(self.often[1:], False)) if len(every) else np.zeros(0, np.int64)
         self.pair_hash = rolling(self.token, 2)[self.pair] if len(self.pair) else np.zeros(0, np.uint64)
 
-    def listed(self) -> list[tuple]:
-        """Words that may be frequent and their counts here; and a row without word for all words of each language."""
-        n = np.bincount(self.lang, self.weight, len(self.langs)).astype(np.int64)
-        out = [(None, None, None, None, x, None, None, int(k)) for x, k in zip(self.langs, n, strict=True) if k]
+    def listed(self, key) -> list[tuple]:
+        """Words that may be frequent with their counts here, a row a language and shard; and a row without words for all words of each language."""
+        n = np.bincount(self.lang, self.weight, len(self.langs)).astype("<i8")
+        out = [(xxhash.xxh3_64_intdigest(x) % self.shards, key, None, n[k : k + 1].tobytes(), x, None) for k, x in enumerate(self.langs) if n[k]]
         at = np.flatnonzero(self.often)
-        _, one, back = np.unique(self.token[at], return_index=True, return_inverse=True)
-        count = np.bincount(back, self.weight[at], len(one)).astype(np.int64)
-        for k, c in zip(at[one].tolist(), count.tolist(), strict=True):
-            out.append((None, None, None, None, self.langs[self.lang[k]], self.words[self.code[k]].as_py(), int(self.token[k : k + 1].view(np.int64)[0]), c))
+        token, one, back = np.unique(self.token[at], return_index=True, return_inverse=True)
+        count = np.bincount(back, self.weight[at], len(one)).astype("<i8")
+        lang = self.lang[at[one]]
+        home = lang * self.shards + (token % np.uint64(self.shards)).astype(np.int64)
+        order = np.argsort(home, kind="stable")
+        home, token, count, lang = home[order], token[order].astype("<u8"), count[order], lang[order]
+        spelled = self.words.take(pa.array(self.code[at[one]][order])).cast(pa.large_binary()).to_pylist()
+        begins = runs(home)
+        for b, e in zip(begins, run_ends(begins, len(home)), strict=True):
+            out.append((int(home[b] % self.shards), key, token[b:e].tobytes(), planes(count[b:e]), self.langs[lang[b]], b"\n".join(spelled[b:e])))
         return out
 
     def contexts(self, replies: dict[int, bytes], most: int) -> list[tuple]:
@@ -221,24 +227,43 @@ def frequent(docs: DataFrame, least: int = 100, most: int = 5, blocks: int | Non
         every, count, _ = block.counted(block.token, np.arange(len(block.token)))
         return table(_SENT, block.rows(key[0].as_py(), every, count))
 
-    def judge(step: int, hot: int | None):
-        def total(key, found):
-            rows = found.to_pylist()
-            own = [np.frombuffer(r["data"], "<u4") for r in rows]
-            _, at = np.unique(np.concatenate(own), return_inverse=True)
-            sums = np.bincount(at, np.concatenate([from_planes(r["counts"], "<u4") for r in rows]).astype(np.float64))
-            flag = (sums >= least).astype(np.uint8)
-            if hot:
-                flag[sums >= max(hot, least)] = 2
-            out, begin = [], 0
-            for r, a in zip(rows, own, strict=True):
-                told = flag[at[begin : begin + len(a)]]
-                begin += len(a)
-                if told.any():
-                    out.append((r["block"], step, key[0].as_py(), told.tobytes()))
-            return table(_REPLY, out)
-
-        return freed(total)
+    def judged(rows: list[dict], step: int, shard: int, hot: int | None) -> list[tuple]:
+        """Each block's keys with 1 where all blocks' counts make up enough, or 2 where they make a hot key."""
+        if not rows:
+            return []
+        own = [np.frombuffer(r["data"], "<u4") for r in rows]
+        _, at = np.unique(np.concatenate(own), return_inverse=True)
+        sums = np.bincount(at, np.concatenate([from_planes(r["counts"], "<u4") for r in rows]).astype(np.float64))
+        flag = (sums >= least).astype(np.uint8)
+        if hot:
+            flag[sums >= max(hot, least)] = 2
+        out, begin = [], 0
+        for r, a in zip(rows, own, strict=True):
+            told = flag[at[begin : begin + len(a)]]
+            begin += len(a)
+            if told.any():
+                out.append((r["block"], step, shard, told.tobytes(), None, None, None, None))
+        return out
+
+    def summed(rows: list[dict]) -> list[tuple]:
+        """Frequent words with their exact counts, and the words of each language in all."""
+        of: dict[tuple, int] = {}
+        for r in rows:
+            if r["words"] is None:
+                of[r["lang"], None, None] = of.get((r["lang"], None, None), 0) + int(np.frombuffer(r["counts"], "<i8")[0])
+                continue
+            for word, token, count in zip(r["words"].split(b"\n"), np.frombuffer(r["data"], "<i8").tolist(), from_planes(r["counts"], "<i8").tolist(), strict=True):
+                of[r["lang"], word, token] = of.get((r["lang"], word, token), 0) + count
+        return [(None, None, None, None, lang, word and word.decode(), token, f) for (lang, word, token), f in of.items() if word is None or f >= least]
+
+    @freed
+    def match_words(key, found):
+        return table(_REPLY, judged(found.to_pylist(), 1, key[0].as_py(), None))
+
+    @freed
+    def match_pairs(key, found):
+        rows = found.to_pylist()
+        return table(_REPLY, judged([r for r in rows if r["lang"] is None], 2, key[0].as_py(), HOT) + summed([r for r in rows if r["lang"] is not None]))
 
     @freed
     def send_pairs(key, found, told):
@@ -247,7 +272,7 @@ def frequent(docs: DataFrame, least: int = 100, most: int = 5, blocks: int | Non
         block = Block(found, n)
         block.frequent(replies(told, 1))
         every, count, _ = block.counted(block.pair_hash, block.pair)
-        return table(_SENT, block.listed() + block.rows(key[0].as_py(), every, count))
+        return table(_SENT, block.listed(key[0].as_py()) + block.rows(key[0].as_py(), every, count))
 
     @freed
     def send_contexts(key, found, told):
@@ -273,16 +298,15 @@ def frequent(docs: DataFrame, least: int = 100, most: int = 5, blocks: int | Non
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(names[flat]))
         return pa.Table.from_arrays([lists, pa.array([k for _, k in found], pa.int64())], list(_GROWN))
 
-    told = dealt.applyInArrow(send_words, _SENT_SQL).groupBy("shard").applyInArrow(judge(1, None), _REPLY_SQL)
-    told = cut(told)
-    sent = cut(dealt.cogroup(told.groupBy("block")).applyInArrow(send_pairs, _SENT_SQL))
-    words = sent.filter("shard is null").groupBy("lang", "word", "token").agg(F.sum("count").alias("f")).filter(F.col("word").isNull() | (F.col("f") >= least))
-    pairs = sent.filter("shard is not null").groupBy("shard").applyInArrow(judge(2, HOT), _REPLY_SQL)
-    contexts = dealt.cogroup(told.unionByName(pairs).groupBy("block")).applyInArrow(send_contexts, _CONTEXTS_SQL)
+    told = dealt.applyInArrow(send_words, _SENT_SQL).groupBy("shard").applyInArrow(match_words, _REPLY_SQL)
+    both = cut(dealt.cogroup(told.groupBy("block")).applyInArrow(send_pairs, _SENT_SQL).groupBy("shard").applyInArrow(match_pairs, _REPLY_SQL).unionByName(told))
+    words = both.filter("block is null").select("lang", "word", "token", "f")
+    told = both.filter("block is not null").select("block", "step", "shard", "flags")
+    contexts = dealt.cogroup(told.groupBy("block")).applyInArrow(send_contexts, _CONTEXTS_SQL)
     grown = cut(contexts.groupBy("shard").applyInArrow(mine, _GROWN_SQL))
     longer = grown.filter(F.size("tokens") > 2)
     twos = grown.filter(F.size("tokens") == 2).groupBy("tokens").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
-    return cut(words), cut(longer.unionByName(twos))
+    return words, cut(longer.unionByName(twos))
 
 
 def collocations(docs: DataFrame, least: int = 100, most: int = 5, top: int = 2000, blocks: int | None = None) -> DataFrame:
