@@ -575,9 +575,14 @@ o as (select *, case when k = pred_seq + 1 then 'OK/duplicate' when k is not nul
 judged as (select stream_id, req, msg_id, pred_seq, pred_msg_id, split_part(os, '/', 1) as outcome, split_part(os, '/', 2) as status from o)"""
 
 
-@query(f"with {_STATUS} select stream_id, req, pred_seq, pred_msg_id, outcome, status from judged")
+def _unnamed(log: DataFrame) -> DataFrame:
+    """The log whose stream 3 has no name."""
+    return log.withColumn("stream_id", F.nullif("stream_id", F.lit(3)))
+
+
+@query(f"with {_STATUS} select nullif(stream_id, 3) as stream_id, req, pred_seq, pred_msg_id, outcome, status from judged")
 def write_status(spark, d):
-    return sink.classify_writes(*_write_requests(spark, d)).drop("msg_id")
+    return sink.classify_writes(*map(_unnamed, _write_requests(spark, d))).drop("msg_id")
 
 
 @query(f"with {_STATUS}, w as (select status, case when contains(msg_id, '.') then 1 else 0 end as block_type, req, cast(split_part(msg_id, '.', 1) as bigint) as height, req * 8 + stream_id as ord from judged) select status, block_type, count(*) as writes, max(ord) as last_seq, arg_max(height, ord) as last_height from w group by rollup(status, block_type) having status is not null")
@@ -588,9 +593,9 @@ def write_metrics(spark, d):
 
 
 @query(f"""with {_STATUS}, c as (select distinct stream_id, req as centre from judged where outcome <> 'OK'), a as (select stream_id, centre, unnest(range(greatest(1, centre - 3), centre + 4)) as seq from c)
-select a.stream_id, centre, a.seq, case when s.msg_id is not null then 'message' when a.seq > last_seq then 'not yet' else 'removed' end as found, s.msg_id from a join bounds using (stream_id) left join snap s on s.stream_id = a.stream_id and s.seq = a.seq""")
+select nullif(a.stream_id, 3) as stream_id, centre, a.seq, case when s.msg_id is not null then 'message' when a.seq > last_seq then 'not yet' else 'removed' end as found, s.msg_id from a join bounds using (stream_id) left join snap s on s.stream_id = a.stream_id and s.seq = a.seq""")
 def write_vicinity(spark, d):
-    requests, snap = _write_requests(spark, d)
+    requests, snap = map(_unnamed, _write_requests(spark, d))
     refused = sink.classify_writes(requests, snap).filter("outcome <> 'OK'")
     return sink.vicinity(refused.select("stream_id", F.col("req").alias("centre")).distinct(), snap)
 
@@ -608,21 +613,21 @@ def seqs_around(spark, d):
     return sink.seqs_around(event_log(spark, d).filter("corrupted").select("stream_id", F.col("seq").alias("centre")))
 
 
-@query(f"with {CHAIN}, t as (select stream_id, max(seq) as seq, arg_max(height, seq) as height from chain_log group by 1) select stream_id, case when stream_id not in (2, 3) then seq end as seq, case when stream_id not in (2, 3) then height end as height from t")
+@query(f"with {CHAIN}, t as (select stream_id, max(seq) as seq, arg_max(height, seq) as height from chain_log group by 1) select nullif(stream_id, 3) as stream_id, case when stream_id not in (2, 3) then seq end as seq, case when stream_id not in (2, 3) then height end as height from t")
 def live_tips(spark, d):
     log = chain_log(spark, d)
     deleted = spark.sql("select * from values (cast(1 as long), cast(0 as long)), (2, 100000000), (3, 100000000) as t(stream_id, deleted_seq)")
-    return sink.live_tips(log, deleted)
+    return sink.live_tips(_unnamed(log), _unnamed(deleted))
 
 
 @query(f"""with {CHAIN}, h as (select stream_id, arg_max(height, seq) as hh, arg_max(hash, seq) as hx from chain_log where block_type = 0 and height < 400 group by 1)
-select c.stream_id, seq, height, case when c.stream_id = 7 then 'OutputterUnavailable' when c.stream_id = 6 then case when height < 500 then 'LowBlock' when height > 500 then 'HighBlock' else 'OK' end
+select nullif(c.stream_id, 3) as stream_id, seq, height, case when c.stream_id = 7 then 'OutputterUnavailable' when c.stream_id = 6 then case when height < 500 then 'LowBlock' when height > 500 then 'HighBlock' else 'OK' end
   when height <= hh then 'LowBlock' when prev_hash <> hx then 'HashMismatch' else 'OK' end as status from chain_log c left join h using (stream_id) where block_type = 0""")
 def write_check_multi(spark, d):
     log = chain_log(spark, d).filter("block_type = 0")
     head = log.filter("height < 400").groupBy("stream_id").agg(F.max_by("height", "seq").alias("head_height"), F.max_by("hash", "seq").alias("head_hash")).filter("stream_id <> 7").withColumn("known", F.lit(True))
     head = head.withColumn("head_height", F.when(F.col("stream_id") != 6, F.col("head_height")))
-    return merge.write_check(log, head, start_height=500).select("stream_id", "seq", "height", "status")
+    return merge.write_check(_unnamed(log), _unnamed(head), start_height=500).select("stream_id", "seq", "height", "status")
 
 
 @query(f"with {CHAIN} select stream_id, seq, 'out.' || case when block_type = 0 then 'header' else cast(shard_id as varchar) end as subject from chain_log")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from ..functions.msgid import construct
 from ..sources.checkpoint import cut
 from . import prefix
+from .sink import on_keys
 
 
 def first_per(log: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -124,15 +125,15 @@ def _path(edges: DataFrame, first: DataFrame, names: list[str], stretch: int) ->
     ways = edges.groupBy("stream_id", "stretch").applyInArrow(leave, leaves)
     begun = first.select("stream_id", "height", "__hash")
     targets = ways.select("stream_id", F.col("to_height").alias("height"), F.col("to_hash").alias("__hash")).unionByName(begun).distinct()
-    ways = cut(ways.join(targets, ["stream_id", "height", "__hash"], "left_semi"))  # only those that begin where a path may enter
+    ways = cut(on_keys(ways, targets, ["stream_id", "height", "__hash"], "left_semi"))  # only those that begin where a path may enter
     reached, many = cut(begun), -1
     node = ["stream_id", "height", "__hash"]
     while (n := reached.count()) != many:
         many = n
-        on = reached.join(ways, node).select("stream_id", F.col("to_height").alias("height"), F.col("to_hash").alias("__hash"))
+        on = on_keys(reached, ways, node, "inner").select("stream_id", F.col("to_height").alias("height"), F.col("to_hash").alias("__hash"))
         reached = cut(reached.unionByName(on).distinct())
         further = ways.select("stream_id", F.col("height").alias("to_height"), F.col("__hash").alias("to_hash"), F.col("to_height").alias("then_height"), F.col("to_hash").alias("then_hash"))
-        ways = cut(ways.join(further, ["stream_id", "to_height", "to_hash"]).select(*node, F.col("then_height").alias("to_height"), F.col("then_hash").alias("to_hash")))
+        ways = cut(on_keys(ways, further, ["stream_id", "to_height", "to_hash"], "inner").select(*node, F.col("then_height").alias("to_height"), F.col("then_hash").alias("to_hash")))
     followed = edges.groupBy("stream_id", "stretch").cogroup(reached.select(*node, place).groupBy("stream_id", "stretch"))
     rows = followed.applyInArrow(walk, T.StructType([first.schema[c] for c in names]))
     return first.select(*names).unionByName(rows)
@@ -150,7 +151,7 @@ def write_check(rows: DataFrame, head: DataFrame, start_height: int = 0, contigu
     A head that isn't known makes the outputter unavailable; one without a block (null height)
     takes the start height alone, or anything if that is 0.
     """
-    both = rows.join(head, "stream_id", "left")
+    both = on_keys(rows, head, ["stream_id"])
     folded = (lambda c: F.lower(F.col(c))) if hash_ci else F.col
     empty = F.col("head_height").isNull()
     status = F.when(~F.coalesce("known", F.lit(False)), "OutputterUnavailable")

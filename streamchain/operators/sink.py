@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,13 @@ def by_stream(log: DataFrame, points: DataFrame, most: int = FEW_STREAMS) -> Dat
     return log.join(F.broadcast(points) if few else points, F.col("stream_id").eqNullSafe(F.col("of_")), "left").drop("of_")
 
 
+def on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """A join on keys in which nulls are equal: rows without a stream are a stream of their own."""
+    right = right.withColumnsRenamed({k: f"of_{k}" for k in keys})
+    both = left.join(right, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in keys]), how)
+    return both.drop(*[f"of_{k}" for k in keys])
+
+
 def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
     """Requests (stream_id, msg_id, pred_seq, pred_msg_id) with outcome and metric status against the output (stream_id, seq, msg_id).
 
@@ -30,7 +39,7 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
     after = own.select("stream_id", (F.col("seq") - 1).alias("pred_seq"), F.col("msg_id").alias("place_id"), F.lit(None).cast("string").alias("before_id"))
     at = own.select("stream_id", F.col("seq").alias("pred_seq"), F.lit(None).cast("string").alias("place_id"), F.col("msg_id").alias("before_id"))
     places = after.unionByName(at).groupBy("stream_id", "pred_seq").agg(F.max("place_id").alias("place_id"), F.max("before_id").alias("before_id"))
-    r = by_stream(requests.join(known, ["stream_id", "msg_id"], "left").join(places, ["stream_id", "pred_seq"], "left"), bounds)
+    r = by_stream(on_keys(on_keys(requests, known, ["stream_id", "msg_id"]), places, ["stream_id", "pred_seq"]), bounds)
     pred, last, free = F.col("pred_seq"), F.coalesce("last_seq", F.lit(0)), F.col("pred_msg_id") == ""
     rules = [
         (F.col("known_seq") == pred + 1, "OK", "duplicate"),
@@ -62,7 +71,7 @@ def live_tips(output: DataFrame, deleted: DataFrame) -> DataFrame:
     """stream_id, seq and height of each output's last row; without seq and height where the log has already deleted up to it (deleted: stream_id, deleted_seq)."""
     last = output.groupBy("stream_id").agg(F.max_by(F.struct("seq", "height"), "seq").alias("tip"))
     gone = F.coalesce(F.col("deleted_seq") >= F.col("tip.seq"), F.lit(False))
-    both = last.join(deleted, "stream_id", "left")
+    both = on_keys(last, deleted, ["stream_id"])
     return both.select("stream_id", F.when(~gone, F.col("tip.seq")).alias("seq"), F.when(~gone, F.col("tip.height")).alias("height"))
 
 
@@ -71,6 +80,6 @@ def vicinity(centres: DataFrame, output: DataFrame, reach: int = 3) -> DataFrame
     around = F.explode(F.sequence(F.greatest(F.lit(1).cast("long"), F.col("centre") - reach), F.col("centre") + reach))
     asked = centres.select("stream_id", "centre", around.alias("seq"))
     last = output.groupBy("stream_id").agg(F.max("seq").alias("last_seq"))
-    rows = asked.join(output.select("stream_id", "seq", "msg_id"), ["stream_id", "seq"], "left").join(last, "stream_id", "left")
+    rows = on_keys(on_keys(asked, output.select("stream_id", "seq", "msg_id"), ["stream_id", "seq"]), last, ["stream_id"])
     found = F.when(F.col("msg_id").isNotNull(), "message").when(F.col("seq") > F.coalesce("last_seq", F.lit(0)), "not yet").otherwise("removed")
     return rows.select("stream_id", "centre", "seq", found.alias("found"), "msg_id")

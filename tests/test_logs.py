@@ -115,6 +115,12 @@ def test_merge_takes_the_other_input_where_one_is_broken(spark):
     assert sorted((r.height, r.input_id) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "a")]
 
 
+def test_merge_of_a_stream_without_name_over_stretches(spark):
+    rows = [(s, "a", h, f"h{h}", f"h{h - 1}", h) for s in ("s", None) for h in range(1, 9)]
+    got = merge.merged(spark.createDataFrame(rows, MERGE), stretch=2, segment=3)
+    assert sorted((str(r.stream_id), r.height) for r in got.collect()) == [(s, h) for s in ("None", "s") for h in range(1, 9)]
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_merges_are_the_walk(spark, seed):
     import random
