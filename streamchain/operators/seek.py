@@ -26,6 +26,11 @@ def seek_block(log: DataFrame, height: int, block_type: int = 0, shard_id: int =
     if end:
         inside &= F.col("seq") < end
     found = log.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.min(F.when(inside & reached, F.col("seq"))).alias("hit"))
+    return outcome(found, start, end)
+
+
+def outcome(found: DataFrame, start: int, end: int) -> DataFrame:
+    """stream_id, seq and outcome of a seek in [start, end), from each stream's first_seq, last_seq and hit."""
     low = F.greatest(F.lit(1).cast("long"), F.col("first_seq"), F.lit(start).cast("long"))
     empty = F.lit(bool(end and start >= end)) | (F.lit(bool(end)) & (F.col("first_seq") >= end))
     past = low > F.col("last_seq")

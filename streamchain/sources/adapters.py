@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.msgid import construct
 from ..operators import prefix
+from ..operators.sink import on_keys
 from ..schema import MESSAGE_ID
 from . import files
 from .checkpoint import exists, own_folder
@@ -51,7 +52,7 @@ def numbered(rows: DataFrame, order: list[str], cell: Column) -> DataFrame:
     counts = rows.groupBy("stream_id", "cell").count()
     begins = prefix.before(counts, {"begin": ("sum", F.col("count"))}, order="cell").select("stream_id", "cell", "begin")
     rank = F.row_number().over(Window.partitionBy("stream_id", "cell").orderBy(*order))
-    ranked = rows.withColumn("rank", rank).join(begins, ["stream_id", "cell"])
+    ranked = on_keys(rows.withColumn("rank", rank), begins, ["stream_id", "cell"], "inner")
     return ranked.withColumn("seq", F.coalesce("begin", F.lit(0)).cast("long") + F.col("rank")).drop("cell", "begin", "rank")
 
 
