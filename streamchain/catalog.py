@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from .operators.chain import Anchor, Bridge
 from .operators.tolerance import Tolerances
 from .operators.verify import VERIFIERS, Verifier
 from .plans import planner, programs
+from .sources import datasource, logstore
 from .sources import decode as decoders
 from .sources.adapters import CELL, chain_log, conv_log, doc_log, event_log, inputs, noisy_log, numbered, payload_log, redundant, shard_masks
+from .sources.checkpoint import exists, own_folder
 from .sources.derived_sql import CHAIN, CLASS, CONV, DOCS, EVENT, INPUTS, LAGGED, NOISY, REASON, REDUNDANT
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -771,3 +774,80 @@ def read_blocks(spark, d):
     """A stored log: a range of seqs and some subjects, without payloads of blocks that the message id tells to be below height 300, decoded, broken rows kept."""
     out = scan.blocks(payload_log(spark, d, "json_lz4"), "json_lz4", 50, 4000, ["blk.0", "blk.1"], F.lit(300))
     return out.select("stream_id", "seq", "height", "hash", F.col("decode_error").isNotNull().alias("failed"))
+
+
+# --- stored logs
+
+_STORES: dict[tuple[str, str, str], str] = {}
+
+
+def _store(spark: SparkSession, d: str, name: str, make, segment: int) -> str:
+    """Where the log lies as a store of its own, appended in two commits once a session; it is only read."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _STORES or not exists(spark, f"{_STORES[key]}/commits"):
+        path, log = f"{own_folder(spark, 'stores')}/{name}", make(spark, d)
+        half = log.groupBy("stream_id").agg((F.max("seq") / 2).cast("long").alias("half"))
+        placed = sink.by_stream(log, half)
+        logstore.append(placed.filter("seq <= half").drop("half"), path, segment=segment)
+        logstore.append(placed.filter("seq > half").drop("half"), path, segment=segment)
+        _STORES[key] = path
+    return _STORES[key]
+
+
+@query(f"with {CHAIN} select {_ROWS}, hash from chain_log where seq > 100 and seq <= 5000 and block_type = 1")
+def datasource_scan(spark, d):
+    """The log by Spark's data source interface: segments are partitions, and bounds of seq are the source's own work."""
+    datasource.register(spark)
+    log = spark.read.format("streamlog").load(_store(spark, d, "chain_log", chain_log, 1 << 12))
+    return log.filter("seq > 100 and seq <= 5000 and block_type = 1").select(*_ROW, "hash")
+
+
+@query(_seek_sql(">", 5, 300))
+def seek_stored(spark, d):
+    return logstore.seek_block(spark, _store(spark, d, "chain_log", chain_log, 1 << 12), 700, start=5, end=300, only_greater=True)
+
+
+@query(f"with {CHAIN} select stream_id, coalesce(max(seq * 2) filter (where seq % 3 = 0 and seq % 7 <> 0), 0) as resume_seq from chain_log group by 1")
+def resume_stored(spark, d):
+    return logstore.resume_point(spark, _store(spark, d, "copied_log", _copied_log, 1 << 10), "X-Source-Seq")
+
+
+@query(f"""with {DOCS}, n as (select seq, bytes, sum(coalesce(bytes, 0)) over (order by seq desc) as held from doc_log), k as (select unnest([1500000, 600000, 50000]) as limit_bytes)
+select limit_bytes, min(seq) as first_seq, max(seq) as last_seq, count(*) as msgs, sum(bytes)::bigint as bytes from n, k where held <= limit_bytes group by 1""")
+def shrink_stored(spark, d):
+    """A stored log after each step of a falling limit: whole segments go by their table, and the one at the edge is read."""
+    path = f"{own_folder(spark, 'stores')}/doc_log"
+    logstore.append(doc_log(spark, d), path, segment=64)
+    steps = []
+    for limit in (1_500_000, 600_000, 50_000):
+        at = logstore.shrink(spark, path, limit)
+        left = logstore.read(spark, path, at).agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.count("*").alias("msgs"), F.sum("bytes").alias("bytes"))
+        steps.append(left.filter("msgs > 0").select(F.lit(limit).alias("limit_bytes"), "*"))
+    return reduce(DataFrame.unionByName, steps)
+
+
+@query(f"with {CHAIN}, a as (select stream_id, height, hash, row_number() over (partition by stream_id order by height) as seq from chain_log where block_type = 0 and height <= 900) select stream_id, seq, height, hash from a")
+def interleaved_writers(spark, d):
+    """What two writers leave who judge one output: the second has decided on an empty one, finds it taken, verifies again and adds what is left."""
+    path, blocks = f"{own_folder(spark, 'stores')}/out", chain_log(spark, d).filter("block_type = 0").select("stream_id", "height", "hash", "prev_hash")
+
+    def lacking(high: int):
+        def make(output, at):
+            rows = blocks.filter(F.col("height") <= high)
+            if output is not None:
+                tips = output.groupBy("stream_id").agg(F.max("height").alias("tip"))
+                rows = sink.by_stream(rows, tips).filter("tip is null or height > tip").drop("tip")
+            return logstore.following(rows, logstore.heads(spark, path, at), ["height"], F.expr(f"height div {CELL}"))
+
+        return make
+
+    second, asked = lacking(900), []
+
+    def slow(output, at):
+        rows = second(output, at)
+        if not asked:  # while it decides, the first writer adds its rows
+            asked.append(logstore.written(spark, path, lacking(500)))
+        return rows
+
+    logstore.written(spark, path, slow)
+    return logstore.read(spark, path).select("stream_id", "seq", "height", "hash")
