@@ -87,28 +87,31 @@ def stream_state(spark, d):
     return out.withColumn("last_us", F.unix_micros(F.col("last_ts").cast("timestamp"))).drop("last_ts")
 
 
-_FAR = ", ".join(f"('far{k}', 'far{k - 1}', '')" for k in range(1, 231))
-_MIRRORS = f"('a', null, 'blocks'), ('b', 'a', ''), ('c', 'b', ''), ('d', 'c', ''), ('e', null, 'other'), ('f', 'e', ''), ('x', 'y', ''), ('y', 'x', ''), ('z', 'missing', ''), ('far0', null, 'far'), {_FAR}"
+#: Customers as streams that mirror each other: short paths, one of 230 steps, some that go round and one whose end is missing.
+_MIRRORS = """select c_custkey as stream, case when c_custkey between 101 and 330 then c_custkey - 1 when c_custkey % 7 = 0 then null when c_custkey % 50 = 1 then c_custkey + 5
+  when c_custkey = 400 then -1 else c_custkey - 1 end as mirror_of, c_mktsegment as subjects from customer"""
 
 
-@query(f"""with recursive m(stream, mirror_of, subjects) as (values {_MIRRORS}),
+@query(f"""with recursive m as ({_MIRRORS}),
 walk as (select stream, stream as at, 0 as steps from m union all select walk.stream, m.mirror_of, steps + 1 from walk join m on m.stream = walk.at where m.mirror_of is not null and steps < 300)
 select walk.stream, walk.at as origin, m.subjects, walk.steps from walk join m on m.stream = walk.at where m.mirror_of is null""")
 def mirror_resolution(spark, d):
-    return scan.resolve_mirrors(spark.sql(f"select * from values {_MIRRORS} as m(stream, mirror_of, subjects)"))
+    return scan.resolve_mirrors(spark.sql(_MIRRORS.replace("from customer", "from parquet.`{}/customer.parquet`".format(d))))
 
 
-_IDS = "('5'), ('7.3'), ('0.9876543210'), ('18446744073709551615'), ('18446744073709551616'), ('0.'), ('.0'), ('0.0.0'), (' 5 '), ('+5'), ('-1'), ('x'), ('1.x'), (''), ('007'), ('3.18446744073709551616')"
+#: Lines of orders as message ids of all kinds.
+_IDS = """select distinct case l_partkey % 10 when 0 then '' || l_orderkey when 1 then l_orderkey || '.' || l_linenumber when 2 then l_orderkey || '.' when 3 then '.' || l_linenumber when 4 then ' ' || l_orderkey
+  when 5 then '00' || l_orderkey when 6 then '1844674407370955161' || l_linenumber when 7 then '+' || l_orderkey when 8 then l_linenumber || '.1844674407370955161' || l_linenumber else l_orderkey || '.' || l_linenumber || '.0' end as id from lineitem"""
 
 
-@query(rf"""with t(id) as (values {_IDS}), p as (
+@query(rf"""with t as ({_IDS}), p as (
   select id, try_cast(regexp_extract(id, '^([0-9]+)(?:\.([0-9]+))?$', 1) as hugeint) as h, regexp_extract(id, '^([0-9]+)(?:\.([0-9]+))?$', 2) as part,
     regexp_full_match(id, '([0-9]+)(\.([0-9]+))?') as formed from t
 ), q as (select *, not formed or h > 18446744073709551615 or (part <> '' and cast(nullif(part, '') as hugeint) > 18446744073709551615) as bad from p)
 select id, case when not bad then cast(h as varchar) end as height, case when not bad then (case when part = '' then 0 else 1 end) end as block_type,
   case when not bad then (case when part = '' then '0' else cast(cast(nullif(part, '') as hugeint) as varchar) end) end as shard_id, bad as invalid from q""")
 def msgid_parse(spark, d):
-    t = spark.sql(f"select * from values {_IDS} as t(id)").withColumn("p", msgid.parse(F.col("id")))
+    t = spark.sql(_IDS.replace("from lineitem", "from parquet.`{}/lineitem.parquet`".format(d))).withColumn("p", msgid.parse(F.col("id")))
     return t.select("id", F.col("p.height").cast("string").alias("height"), "p.block_type", F.col("p.shard_id").cast("string").alias("shard_id"), F.col("p.error").isNotNull().alias("invalid"))
 
 
@@ -119,18 +122,15 @@ def msgid_roundtrip(spark, d):
     return log.select("stream_id", "seq", "msg_id", p["height"].cast("long").alias("height"), p["block_type"].alias("block_type"), p["shard_id"].cast("long").alias("shard_id"))
 
 
-#: Expressions with their masks, written out: "-" stands for no shard, null for no filter; None for what isn't one.
-_MASKS = (
-    ("''", "null", "false"), ("'-'", "''", "false"), ("'0'", "'1'", "false"), ("'3'", "'0001'", "false"), ("'1-3, 2-4, 6'", "'0111101'", "false"), ("' 7 '", "'00000001'", "false"),
-    ("'2 - 5'", "'001111'", "false"), ("'9-10'", "'00000000011'", "false"), ("'5-5,0'", "'100001'", "false"), ("'5,,6'", "null", "true"), ("'5-4'", "null", "true"), ("'0-0-'", "null", "true"),
-    ("' '", "null", "true"), ("'- '", "null", "true"), ("'x'", "null", "true"), ("'10001'", "null", "true"), ("'-1'", "null", "true"), ("'1-'", "null", "true"), ("','", "null", "true"),
-)
+#: Lines of orders as expressions of a range and a shard.
+_RANGES = "select distinct cast(l_linenumber as bigint) as a, cast(l_linenumber + l_suppkey % 6 - 1 as bigint) as b, cast(l_partkey % 12 as bigint) as c from lineitem"
 
 
-@query(f"select * from (values {', '.join(f'({e}, {m}, {bad})' for e, m, bad in _MASKS)}) t(expr, mask, invalid)")
+@query(f"""with t as ({_RANGES}), m as (select a || ' - ' || b || ', ' || c as expr, b < a as invalid, list_transform(range(0, greatest(b, c) + 1), lambda i: case when i between a and b or i = c then '1' else '0' end) as mask from t)
+select expr, case when not invalid then array_to_string(mask, '') end as mask, invalid from m""")
 def shard_mask_parse(spark, d):
-    literals = ", ".join(f"({e})" for e, _, _ in _MASKS)
-    t = spark.sql(f"select * from values {literals} as t(expr)").withColumn("p", shardmask.parse(F.col("expr")))
+    t = spark.sql(_RANGES.replace("from lineitem", "from parquet.`{}/lineitem.parquet`".format(d)))
+    t = t.select(F.concat(F.col("a").cast("string"), F.lit(" - "), F.col("b").cast("string"), F.lit(", "), F.col("c").cast("string")).alias("expr")).withColumn("p", shardmask.parse(F.col("expr")))
     shown = F.array_join(F.transform("p.mask", lambda b: F.when(b, "1").otherwise("0")), "")
     return t.select("expr", shown.alias("mask"), F.col("p.error").isNotNull().alias("invalid"))
 
@@ -673,10 +673,12 @@ def retention_bytes(spark, d):
     return programs.shrink(doc_log(spark, d), 100_000).select("seq", "bytes")
 
 
-@query("""with recursive s(step, limit_bytes) as (select cast(1 as bigint), cast(greatest(1000000, 400000) as bigint) union all select step + 1, greatest(400000, limit_bytes - 70000) from s where limit_bytes > 400000)
-select step, limit_bytes, cast(ceil((limit_bytes - 400000) / 70000.0) as bigint) as eta from s""")
+@query(f"""with recursive {DOCS}, h as (select cast(greatest(sum(bytes), 100000) as bigint) as held from doc_log),
+s(step, limit_bytes) as (select cast(1 as bigint), held from h union all select step + 1, greatest(100000, limit_bytes - 70000) from s where limit_bytes > 100000)
+select step, limit_bytes, cast(ceil((limit_bytes - 100000) / 70000.0) as bigint) as eta from s""")
 def shrink_schedule(spark, d):
-    return retention.shrink_steps(spark, size=1_000_000, limit=-1, target=400_000, speed=70_000)
+    held = scan.state(doc_log(spark, d).withColumn("ts", F.lit(None).cast("timestamp")), F.col("bytes")).agg(F.sum("bytes")).first()[0]
+    return retention.shrink_steps(spark, size=held, limit=-1, target=100_000, speed=70_000)
 
 
 @query(f"with {EVENT} select stream_id, seq, max(height) over (partition by stream_id order by seq) as tip from event_log")
