@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -12,7 +14,9 @@ from pyspark.sql import types as T
 
 from ..functions.msgid import order_key
 from ..schema import REASON_CLASS, SHARD
+from ..sources.checkpoint import cut
 from . import prefix
+from .sink import on_keys
 from .tolerance import Counts, Tolerances
 from .verify import FIELDS, Verifier
 
@@ -184,32 +188,148 @@ def with_tips(log: DataFrame, tips: DataFrame) -> DataFrame:
     return log.withColumn(TIP, F.lit(False)).unionByName(own, allowMissingColumns=True)
 
 
-def written(log: DataFrame, bridge: Bridge) -> DataFrame:
+#: Seqs of a stretch of a stream, which a task folds at a time.
+FOLDED = 1 << 17
+_STATE = "__state"
+
+
+def _frozen(fold: Fold) -> tuple[str, str]:
+    """A fold's state as text: what decides about later rows, and the same with the whole rows of its buffer."""
+    plain = [{f: row[f] for f in ("seq", *FIELDS)} for row in ([fold.tip] if fold.tip else []) + fold.held]
+    core = {"tip": plain.pop(0) if fold.tip else None, "held": plain, "counts": fold.counts.now, "ended": fold.ended}
+    whole = []
+    for row in fold.held:
+        batch, k = row["at"]
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as out:
+            out.write_batch(_alone(batch, k))
+        whole.append(base64.b64encode(sink.getvalue()).decode())
+    return json.dumps(core), json.dumps({**core, "whole": whole})
+
+
+def _thawed(bridge: Bridge, text: str | None) -> Fold:
+    """A fold that goes on from such a text; from an output's tip alone, if the text is no more than that; or from nothing."""
+    known = json.loads(text) if text else None
+    if known is None or "counts" not in known:
+        return Fold(bridge, known and {**dict.fromkeys(("seq", *FIELDS)), **known})
+    fold = Fold(bridge)
+    fold.tip, fold.counts.now, fold.ended = known["tip"], known["counts"], known["ended"]
+    for row, data in zip(known["held"], known["whole"], strict=True):
+        batch = next(iter(pa.ipc.open_stream(base64.b64decode(data))))
+        fold.held.append({**row, "at": (batch, 0)})
+    return fold
+
+
+def _alone(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c.take(pa.array([k])) for c in batch.columns], schema=batch.schema)
+
+
+def _stretched(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Rows of stretches, each behind a marked row that tells the state that it is entered with and how many rows are written before it."""
+    marked = rows.withColumn(TIP, F.lit(False)).withColumns({_STATE: F.lit(None).cast("string"), "__base": F.lit(None).cast("long")})
+    marks = states.select("stream_id", "__n", F.lit(True).alias(TIP), F.col("state").alias(_STATE), F.col("base").alias("__base"))
+    both = marked.unionByName(marks, allowMissingColumns=True)
+    return both.repartition("stream_id", "__n").sortWithinPartitions("stream_id", "__n", F.col(TIP).desc(), "seq")
+
+
+def _left(rows: DataFrame, states: DataFrame, bridge: Bridge) -> DataFrame:
+    """What each stretch was entered with and is left with, and how many rows it lets out."""
+    kind = rows.schema["stream_id"].dataType
+    names = [c for c in rows.columns if c != "__n"]
+    fields = [f for f in ("stream_id", "seq", "__n", TIP, _STATE, *FIELDS, "corrupted") if f in (*names, "__n", TIP, _STATE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, fold, entered, many = None, None, None, 0
+
+        def leave(schema):
+            core, whole = _frozen(fold)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((*place, entered, core, whole, many), (schema.field("stream_id").type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)], ["stream_id", "__n", "entered", "core", "whole", "many"])
+
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            whole = batch.select(names)
+            for k, own in enumerate(batch.select(fields).to_pylist()):
+                if own[TIP]:
+                    if fold is not None:
+                        yield leave(schema)
+                    place, fold, many = (own["stream_id"], own["__n"]), _thawed(bridge, own[_STATE]), 0
+                    entered = _frozen(fold)[0]
+                else:
+                    many += sum(1 for _ in fold.take({**dict.fromkeys(FIELDS), **own, "at": (whole, k)}))
+            for row in fold.held if fold else ():
+                row["at"] = (_alone(*row["at"]), 0)
+        if fold is not None:
+            yield leave(schema)
+
+    result = T.StructType([T.StructField("stream_id", kind), T.StructField("__n", T.LongType()), *[T.StructField(c, T.StringType()) for c in ("entered", "core", "whole")], T.StructField("many", T.LongType())])
+    return _stretched(rows, states).mapInArrow(run, result)
+
+
+def written(log: DataFrame, bridge: Bridge, stretch: int = FOLDED) -> DataFrame:
     """The rows of the log that ``bridge`` lets out, with all their columns, out_seq (the place in the output) and event ("written"); and a row for the end of a stream's output (event "desync" or "terminal").
 
-    One pass over each partition in (stream, seq) order: a task keeps a stream's tip, buffer
-    and counters, never the stream. Streams run side by side; within one, each decision needs
-    the one before, so a single stream is as fast as one core. Rows without a block count as
-    corrupted. A row marked as a tip (see ``with_tips``) is where its stream's output stands; it
-    isn't given out. The row of an end is the one at which it came.
+    Each decision needs the state that the rows before have left: tip, buffer and counters. A
+    stream is cut into stretches of seqs, which tasks fold side by side, each entered with a
+    guess: the highest block before it as the tip. What a stretch is left with must be what the
+    next one was entered with; those where it differs are folded again with it, until all
+    agree. So a log that is nearly a chain is folded about once on all cores, and in the worst
+    case stretch after stretch. Then rows are given out. A task keeps a state, never a stretch.
+
+    Rows without a block count as corrupted. A row marked as a tip (see ``with_tips``) is where
+    its stream's output stands; it isn't given out. The row of an end is the one at which it came.
     """
-    tips = TIP in log.columns
-    order = ["stream_id", F.col(TIP).desc(), "seq"] if tips else ["stream_id", "seq"]
-    rows = log.repartition("stream_id").sortWithinPartitions(*order)
-    fields = [f for f in ("stream_id", "seq", TIP, *FIELDS, "corrupted") if f in log.columns]
-    names = [c for c in log.columns if c != TIP]
+    tips = log.filter(TIP) if TIP in log.columns else None
+    rows = (log.filter(~F.col(TIP)).drop(TIP) if tips is not None else log).withColumn("__n", F.expr(f"seq div {stretch}"))
+    names = [c for c in rows.columns if c != "__n"]
+    fields = [f for f in FIELDS if f in names]
+    tip = F.to_json(F.struct("seq", *fields))
+    key = F.when(F.col("height").isNotNull(), order_key(F.col("height"), F.col("block_type"), F.col("shard_id")))
+    if "corrupted" in names:
+        key = F.when(~F.coalesce("corrupted", F.lit(False)), key)
+    parts = rows.groupBy("stream_id", "__n").agg(F.max(F.when(key.isNotNull(), F.struct(key.alias("key"), tip.alias("tip")))).alias("top"))
+    along = Window.partitionBy("stream_id").orderBy("__n")
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("stream_id", "__n", (F.row_number().over(along) == 1).alias("first"), F.max("top").over(earlier)["tip"].alias("guess"))
+    begun = F.lit(None).cast("string")
+    if tips is not None:
+        parts, begun = on_keys(parts, tips.select("stream_id", tip.alias("begun")), ["stream_id"]), F.col("begun")
+    states = cut(parts.select("stream_id", "__n", "first", F.when(F.col("first"), begun).otherwise(F.col("guess")).alias("state"), F.lit(0).cast("long").alias("base")))
+    if not states.filter("not first").isEmpty():
+        # with a buffer, states carry rows over that are given out as they are; else the rules' columns are enough
+        needed = rows if bridge.buffer else rows.select(*[c for c in ("stream_id", "seq", "__n", *fields, "corrupted") if c in rows.columns])
+        left = cut(_left(needed, states, bridge))
+        while True:
+            after = left.select("*", F.lag("core").over(along).alias("before"), F.lag("whole").over(along).alias("state"), F.row_number().over(along).alias("k"))
+            again = cut(after.filter("k > 1 and not (entered <=> before)").select("stream_id", "__n", "state", F.lit(0).cast("long").alias("base")))
+            if again.isEmpty():
+                break
+            anew = _left(on_keys(needed, again, ["stream_id", "__n"], "left_semi"), again, bridge)
+            left = cut(on_keys(left, again, ["stream_id", "__n"], "left_anti").unionByName(anew))
+        states = _entered(left, states, along)
+    return _given(rows, states, bridge, names)
+
+
+def _entered(left: DataFrame, states: DataFrame, along) -> DataFrame:
+    """Each stretch's true entering state, and how many rows are written before it."""
+    after = left.select("stream_id", "__n", F.lag("whole").over(along).alias("whole"), F.coalesce(F.sum("many").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    both = on_keys(states.drop("base"), after, ["stream_id", "__n"])
+    return both.select("stream_id", "__n", F.when(F.col("first"), F.col("state")).otherwise(F.col("whole")).alias("state"), F.col("base"))
+
+
+def _given(rows: DataFrame, states: DataFrame, bridge: Bridge, names: list[str]) -> DataFrame:
+    fields = [f for f in ("stream_id", "seq", TIP, _STATE, "__base", *FIELDS, "corrupted") if f in (*names, TIP, _STATE, "__base")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stream, state, n = None, None, 0
+        state, n = None, 0
         for batch in batches:
             whole = batch.select(names)
             out: list[tuple[pa.RecordBatch, int, int | None, str]] = []
             for k, own in enumerate(batch.select(fields).to_pylist()):
+                if own[TIP]:
+                    state, n = _thawed(bridge, own[_STATE]), own["__base"]
+                    continue
                 row = {**dict.fromkeys(FIELDS), **own, "at": (whole, k)}
-                if state is None or row["stream_id"] != stream:
-                    stream, state, n = row["stream_id"], Fold(bridge, row if row.get(TIP) else None), 0
-                    if row.get(TIP):
-                        continue
                 before = state.ended
                 for kept in state.take(row):
                     n += 1
@@ -217,12 +337,11 @@ def written(log: DataFrame, bridge: Bridge) -> DataFrame:
                 if state.ended and not before:
                     out.append((whole, k, None, state.ended))
             for row in state.held if state else ():  # what waits keeps its own row, not the batch
-                held, k = row["at"]
-                row["at"] = (pa.RecordBatch.from_arrays([held.column(c).take(pa.array([k])) for c in names], schema=held.schema), 0)
+                row["at"] = (_alone(*row["at"]), 0)
             yield from _taken(out, whole.schema)
 
     events = [T.StructField("out_seq", T.LongType()), T.StructField("event", T.StringType())]
-    return rows.mapInArrow(run, T.StructType([log.schema[c] for c in names] + events))
+    return _stretched(rows, states).mapInArrow(run, T.StructType([rows.schema[c] for c in names] + events))
 
 
 def _taken(rows: list[tuple[pa.RecordBatch, int, int | None, str]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ENDING: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir. Where it names none, a folder of this machine, which only a local master's tasks reach: others must name one."""
@@ -16,7 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
         if not named and not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("executors share no folder: set spark.checkpoint.dir")
         context.setCheckpointDir(named or f"file://{tempfile.gettempdir()}/streamchain-checkpoints")
-    return context.getCheckpointDir()
+    folder = context.getCheckpointDir()
+    if folder not in _ENDING:  # Spark's own folder of this application: what was cut goes when it ends
+        _ENDING.add(folder)
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return folder
 
 
 def own_folder(spark: SparkSession, name: str) -> str:

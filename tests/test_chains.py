@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,28 @@ def test_fold_in_tasks_is_the_fold(spark, config):
     assert planner.form(config) == "fold"
 
 
+@pytest.mark.parametrize("config", [*CONFIGS[:3], CONFIGS[5]])
+def test_stretches_give_what_one_fold_gives(spark, config):
+    """Rows that a buffer carries over a border, counters that run on, ends, and a stream without name."""
+    rows = random_log(4, streams=3)
+    log = spark.createDataFrame(rows, SCHEMA).withColumn("more", F.concat(F.lit("m"), "seq")).withColumn("stream_id", F.when(F.col("stream_id") != "2", F.col("stream_id")))
+    events = lambda df: sorted((str(r.stream_id), str(r.out_seq), r.seq, r.more, r.event) for r in df.collect())
+    whole = chain.written(log, config)
+    assert events(chain.written(log, config, stretch=7)) == events(whole)
+    assert sorted((r.stream_id or "2", r.seq) for r in whole.filter("event = 'written'").collect()) == by_hand(rows, config)
+
+
+def test_a_hash_linked_stream_is_spread_over_tasks(spark, monkeypatch):
+    """Stretches of a valid chain are folded once, whatever their number, and no shuffle is by stream alone."""
+    log = spark.createDataFrame([("s", q, q, f"h{q}", f"h{q - 1}") for q in range(1, 201)], "stream_id string, seq long, height long, hash string, prev_hash string").withColumn("block_type", F.lit(0)).withColumn("shard_id", F.lit(0).cast("long"))
+    rounds, left = [], chain._left
+    monkeypatch.setattr(chain, "_left", lambda *a: rounds.append(1) or left(*a))
+    out = chain.written(log, CONFIGS[0], stretch=10)
+    assert len(rounds) == 1 and [r.seq for r in out.orderBy("out_seq").collect()] == list(range(1, 201))
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", out._jdf.queryExecution().executedPlan().toString())
+    assert keys and all("__n" in k for k in keys)
+
+
 def _in_order(rows, stream, config):
     fold = Fold(config)
     return [(stream, kept["seq"]) for row in as_dicts(rows, stream) for kept in fold.take(row)]
