@@ -16,7 +16,7 @@ from .operators.verify import VERIFIERS, Verifier
 from .plans import planner, programs
 from .sources import datasource, logstore
 from .sources import decode as decoders
-from .sources.adapters import CELL, chain_log, conv_log, doc_log, event_log, inputs, noisy_log, numbered, payload_log, redundant, shard_masks
+from .sources.adapters import CELL, chain_log, conv_log, doc_log, event_log, inputs, noisy_log, numbered, payload_log, redundant, shard_masks, stored
 from .sources.checkpoint import exists, own_folder
 from .sources.derived_sql import CHAIN, CLASS, CONV, DOCS, EVENT, INPUTS, LAGGED, NOISY, REASON, REDUNDANT
 
@@ -344,8 +344,11 @@ pos as (select * from log where seq = 1 union all
   select n.* from pos p join log n on n.stream_id = p.stream_id and n.seq = (select min(seq) from log m where m.stream_id = p.stream_id and m.seq > p.seq and m.height > p.height and m.prev_hash = p.hash))
 select cast(stream_id as varchar) as stream_id, seq from pos""")
 def chain_hash_linked(spark, d):
-    both = inputs(spark, d).filter("height % 7 <> 1 or height < 200")
-    log = numbered(both.drop("seq"), ["height", "input_id"], F.expr(f"height div {CELL}"))
+    def make(spark, d):
+        both = inputs(spark, d).filter("height % 7 <> 1 or height < 200")
+        return numbered(both.drop("seq"), ["height", "input_id"], F.expr(f"height div {CELL}"))
+
+    log = stored(spark, d, "linked_log", make)
     return planner.extract(log, Bridge(Verifier(check_hashes=True)))
 
 

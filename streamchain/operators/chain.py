@@ -283,17 +283,17 @@ def written(log: DataFrame, bridge: Bridge, stretch: int = FOLDED) -> DataFrame:
     rows = (log.filter(~F.col(TIP)).drop(TIP) if tips is not None else log).withColumn("__n", F.expr(f"seq div {stretch}"))
     names = [c for c in rows.columns if c != "__n"]
     fields = [f for f in FIELDS if f in names]
-    tip = F.to_json(F.struct("seq", *fields))
+    tip = F.struct("seq", *fields)
     key = F.when(F.col("height").isNotNull(), order_key(F.col("height"), F.col("block_type"), F.col("shard_id")))
     if "corrupted" in names:
         key = F.when(~F.coalesce("corrupted", F.lit(False)), key)
     parts = rows.groupBy("stream_id", "__n").agg(F.max(F.when(key.isNotNull(), F.struct(key.alias("key"), tip.alias("tip")))).alias("top"))
     along = Window.partitionBy("stream_id").orderBy("__n")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("stream_id", "__n", (F.row_number().over(along) == 1).alias("first"), F.max("top").over(earlier)["tip"].alias("guess"))
+    parts = parts.select("stream_id", "__n", (F.row_number().over(along) == 1).alias("first"), F.to_json(F.max("top").over(earlier)["tip"]).alias("guess"))
     begun = F.lit(None).cast("string")
     if tips is not None:
-        parts, begun = on_keys(parts, tips.select("stream_id", tip.alias("begun")), ["stream_id"]), F.col("begun")
+        parts, begun = on_keys(parts, tips.select("stream_id", F.to_json(tip).alias("begun")), ["stream_id"]), F.col("begun")
     states = cut(parts.select("stream_id", "__n", "first", F.when(F.col("first"), begun).otherwise(F.col("guess")).alias("state"), F.lit(0).cast("long").alias("base")))
     if not states.filter("not first").isEmpty():
         # with a buffer, states carry rows over that are given out as they are; else the rules' columns are enough
