@@ -92,8 +92,8 @@ def test_a_hash_linked_stream_is_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(chain, "_left", lambda *a: rounds.append(1) or left(*a))
     out = chain.written(log, CONFIGS[0], stretch=10)
     assert len(rounds) == 1 and [r.seq for r in out.orderBy("out_seq").collect()] == list(range(1, 201))
-    keys = re.findall(r"hashpartitioning\(([^)]*)\)", out._jdf.queryExecution().executedPlan().toString())
-    assert keys and all("__n" in k for k in keys)
+    keys = re.findall(r"hashpartitioning\(([^)]*)\), REPARTITION", out._jdf.queryExecution().executedPlan().toString())
+    assert len(keys) == 1 and "__n" in keys[0]
 
 
 def _in_order(rows, stream, config):
