@@ -22,8 +22,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What may stand before a line's words: comment leaders and box borders are nothing but ASCII punctuation and spaces.
 _LEADER = r"\n[\x01-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]*"
 COPYRIGHT_LINE = _LEADER + r"(copyright |\(c\) |© |all rights reserved)[^\n]*"
-#: Only lines with a year, a copyright sign or a placeholder: in wrapped texts, others may be prose that goes on with 'copyright notice ...'.
-COPYRIGHT_NOTICE = _LEADER + r"(copyright [^\n]*([0-9]{4}|\(c\)|©|<[^>\n]{0,80}>|\[[^\]\n]{0,80}\])|\(c\) |© |all rights reserved)[^\n]*"
+_BLANK, _WORD = r"[\x01-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f]*", r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]"
+#: Only lines with a year, a copyright sign or a placeholder: in wrapped texts, others may be prose that goes on with 'copyright notice ...'. One or two more lines go with it that end its paragraph. For texts whose line feeds are doubled, so that what follows a notice still begins with one.
+COPYRIGHT_NOTICE = _LEADER + r"(copyright [^\n]*([0-9]{4}|\(c\)|©|<[^>\n]{0,80}>|\[[^\]\n]{0,80}\])|\(c\) |© |all rights reserved)[^\n]*" + rf"((\n\n[^\n]*{_WORD}[^\n]*){{1,2}}\n\n{_BLANK}\n)?"
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 #: Where every notice holds this, other lines need no digest.
 NOTICE_WORD = "licen"
@@ -32,6 +33,8 @@ NOTICE_WORD = "licen"
 def canonical(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
     """ASCII lower case, without lines that start with a copyright mark (a pattern), single spaces for punctuation, and one spelling."""
     text = F.concat(F.lit("\n"), F.translate(text, _UPPER, _LOWER))
+    if left_out == COPYRIGHT_NOTICE:
+        text = F.concat(F.replace(text, F.lit("\n"), F.lit("\n\n")), F.lit("\n\n"))
     text = F.regexp_replace(text, left_out, "\n")
     text = F.regexp_replace(text, PUNCTUATION, " ")
     for other, one in SPELLINGS:
@@ -57,7 +60,8 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
     an empty table gives none; other columns are not read. ``license_id`` is null without a
     match, ``notices`` the sorted distinct ids, comma-joined, or empty. A text that matches
     nothing without all lines that start with a copyright mark is looked up once more without
-    those alone that are surely notices (COPYRIGHT_NOTICE), so wrapping does not matter.
+    those alone that are surely notices (COPYRIGHT_NOTICE), so wrapping does not matter; nor does
+    a holder that takes up to two lines more, if a blank line follows.
 
     The known digests are as many as ``known`` has entries, whatever the documents are. Up to
     FEW_KNOWN they are broadcast to the hash joins on whole texts, and looked up as a literal

@@ -10,7 +10,10 @@ def _quoted(text: str) -> str:
 
 
 def _canonical(text: str, left_out: str = COPYRIGHT_LINE) -> str:
-    out = f"regexp_replace(translate(chr(10) || {text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {_quoted(left_out)}, chr(10), 'g')"
+    out = f"translate(chr(10) || {text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    if left_out == COPYRIGHT_NOTICE:
+        out = f"replace({out}, chr(10), chr(10) || chr(10)) || chr(10) || chr(10)"
+    out = f"regexp_replace({out}, {_quoted(left_out)}, chr(10), 'g')"
     out = f"regexp_replace({out}, {_quoted(PUNCTUATION)}, ' ', 'g')"
     for other, one in SPELLINGS:
         out = f"replace({out}, {_quoted(other)}, {_quoted(one)})"

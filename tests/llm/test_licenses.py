@@ -38,6 +38,14 @@ def test_every_text_however_it_is_wrapped_and_commented(spark):
     assert {r.doc_id: r.license_id for r in licenses.scan(spark, data.plain_docs(spark, rows)).collect()} == want
 
 
+def test_holders_of_several_lines(spark):
+    mit = next(t for i, k, t in licenses.KNOWN if (i, k) == ("MIT", "text"))
+    wrapped = "\n".join(x for line in mit.split("\n") for x in (textwrap.wrap(line, 40) or [""]))
+    rows = [(k, text.replace("<year> <holder>", holder)) for text in (mit,) for k, holder in enumerate(("2019 A long company name,\nInc. and its affiliates", "2019 One\n  and two\n  and three", "2020\nSomeone"))]
+    rows.append((3, wrapped.replace("<year> <holder>", "2021 The Society of\nAuthors")))
+    assert {r.doc_id: r.license_id for r in licenses.scan(spark, data.plain_docs(spark, rows)).collect()} == dict.fromkeys(range(4), "MIT")
+
+
 def test_sql_finds_the_same(spark, tmp_path):
     import duckdb
 
