@@ -102,6 +102,17 @@ class Fold:
         if not self.ended:
             yield from self._unload()
 
+    def unload(self) -> Iterator[dict]:
+        """The rows of the buffer that fit by now, without a row of the log."""
+        if not self.ended:
+            yield from self._unload()
+
+    def move(self, tip: dict) -> None:
+        """The output's tip is this row, unless it is no higher: someone else has written it."""
+        if self.tip is None or block_key(tip) > block_key(self.tip):
+            self.tip = {**dict.fromkeys(("seq", *FIELDS)), **tip}
+            self._check_tip()
+
     def _check_tip(self) -> None:
         b = self.bridge
         if self.tip is not None and any(k is not None and block_key(self.tip) >= k for k in (b.last_block, b.end_block)):
