@@ -109,24 +109,24 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, least: int = 8, clusters: int = 4, slack: float = 0.6) -> Model:
-    """Learn from docs (doc_id, text, lang): rows with all three, ``per_language`` documents a language and about ``sample`` in all.
+    """Learn from docs (doc_id, text, lang): rows with text and lang, whatever their ids, ``per_language`` documents a language and about ``sample`` in all.
 
     Every language is learned. The sample is bounded a language: the documents whose hashed ids
-    are least, fewer of each if there are many languages, but ``least`` at least. Languages are
-    counted over all rows; then the rows whose hash lies below a share that holds twice the
+    and texts are least, repeated ones once, fewer of each if there are many languages, but ``least`` at least. Languages are
+    counted over all rows (distinct ones, to some percent); then the rows whose hash lies below a share that holds twice the
     wanted number are ranked, so no language gathers in one task, and the texts of the sample
     are vectorised in tasks, whole and cut to the length of each class (LENGTHS). A language's
     floor for a class is ``slack`` times the likeness that all but a hundredth of its sample
     reach when cut to so few letters; a longer class's floor is no lower than a shorter one's.
     """
-    labelled = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("doc_id is not null and text is not null and lang is not null")
-    known = labelled.groupBy("lang").count()
+    labelled = docs.select(F.xxhash64(F.col("doc_id").cast("long"), "text", "lang").alias("row_key"), "text", "lang").filter("text is not null and lang is not null")
+    known = labelled.groupBy("lang").agg(F.approx_count_distinct("row_key").alias("count"))
     many = known.count()
     each = max(least, min(per_language, sample // max(1, many)))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    few = labelled.select("doc_id", "lang").join(known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id"))
-    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("doc_id").distinct()
+    place = F.pmod("row_key", F.lit(1 << 40))
+    few = labelled.select("row_key", "lang").join(known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count")).select("row_key", "lang").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "row_key"))
+    chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("row_key").distinct()
 
     def vectors(batches):
         for batch in chunks(batches, limit=4 << 20):
@@ -134,13 +134,13 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
             for k in (len(LENGTHS), *range(len(LENGTHS))):  # whole texts, and then cut ones
                 some = column if k == len(LENGTHS) else [cut_to(t, max(LENGTHS[k], 4)) for t in column]
                 found, letters = counts(some)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(np.full(len(some), k), pa.int32()), pa.array(letters), pa.array([zlib.compress(r.astype("<u2").tobytes(), 1) for r in np.minimum(found, 65535)], pa.binary())], ["doc_id", "lang", "cut", "letters", "counts"])
+                yield pa.RecordBatch.from_arrays([batch.column("row_key"), batch.column("lang"), pa.array(np.full(len(some), k), pa.int32()), pa.array(letters), pa.array([zlib.compress(r.astype("<u2").tobytes(), 1) for r in np.minimum(found, 65535)], pa.binary())], ["row_key", "lang", "cut", "letters", "counts"])
 
     if each * many <= FEW_IDS:
         chosen = F.broadcast(chosen)
-    rows = labelled.join(chosen, "doc_id", "left_semi").mapInArrow(vectors, "doc_id long, lang string, cut int, letters long, counts binary")
-    rows = rows.filter("letters > 0").dropDuplicates(["doc_id", "cut"]).collect()
-    rows = sorted(rows, key=lambda r: (r.cut, r.doc_id))
+    rows = labelled.join(chosen, "row_key", "left_semi").mapInArrow(vectors, "row_key long, lang string, cut int, letters long, counts binary")
+    rows = rows.filter("letters > 0").dropDuplicates(["row_key", "cut"]).collect()
+    rows = sorted(rows, key=lambda r: (r.cut, r.row_key))
     languages = sorted({r["lang"] for r in rows})
     if not rows:
         return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros((0, len(LENGTHS))))

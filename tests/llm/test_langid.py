@@ -120,3 +120,14 @@ def test_against_plain_vectors(spark):
     floors = {lang: sorted(got[d].score for d in known if known[d] == lang)[0] for lang in words}
     for d in known:
         assert not got[d].rejected or got[d].score < floors[known[d]]
+
+
+def test_ids_and_repeated_rows_take_no_language_away(spark):
+    english, german = "the of and river stone where night little".split(), "der die und fluss stein wo nacht kleine".split()
+    rows = [(k, data.prose(k, 60, english), "en", None, None) for k in range(20)] + [(k, data.prose(100 + k, 60, german), "de", None, None) for k in range(20)]
+    rows += [(None, data.prose(200 + k, 60, ["ilha", "noite", "pedra", "pequena", "quando"]), "pt", None, None) for k in range(20)]
+    rows += [(5, data.prose(300, 60, ["yksi", "kaksi", "kolme"]), "fi", None, None)] * 3000 + [(6, data.prose(301, 60, ["yksi", "kaksi", "kolme"]), "fi", None, None)]
+    model = langid.fit(spark, spark.createDataFrame(rows, data.SCHEMA))
+    assert model.languages == ["de", "en", "fi", "pt"]
+    asked = [(1, data.prose(900, 30, english), None, None, None), (2, data.prose(901, 30, german), None, None, None), (3, "pedra e noite quando ilha pequena", None, None, None)]
+    assert {r.doc_id: r.lang_pred for r in langid.predict_rows(spark.createDataFrame(asked, data.SCHEMA), model).collect()} == {1: "en", 2: "de", 3: "pt"}
