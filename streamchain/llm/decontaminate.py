@@ -12,7 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrow import _packed, _parts, chunks, freed, release, rolling, rolling_at, split_words, texts, word_hashes
+from .arrow import _packed, _parts, chunks, release, rolling, rolling_at, split_words, texts, word_hashes
+from .components import cut
 
 #: Maps A-Z to a-z, and each ASCII character that is neither letter nor digit to a space.
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() and not chr(c).isupper() else c + 32 if chr(c).isupper() and c < 0x80 else 0x20 for c in range(256))
@@ -21,9 +22,6 @@ RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 _TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
 #: Places of windows that are gone through side by side.
 _LANE = 256
-#: Bits of the table of blocks that large benchmarks are filtered with: the power of two next above so many a block, between bounds (32 MB at most).
-_BITS_A_BLOCK, _LEAST_BITS, _MOST_BITS = 8, 16, 28
-_SLICES = 64
 
 
 def split(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -44,13 +42,14 @@ class Tables:
 
     The search looks at the last two words of the place where a window could end. A block that
     no window holds lets it jump on by almost a window, one that some hold by as far as the
-    nearest of them needs; where it ends windows, the hash of all words selects those that are
-    compared, byte by byte.
+    nearest of them needs; where it ends windows, it selects their bucket, and in a bucket,
+    ordered by the hash of all words, those of the same hash are compared, byte by byte.
     """
 
     size: int
     blocks: np.ndarray
     shifts: np.ndarray
+    buckets: np.ndarray  # of each block: where the windows begin that it ends, and, after the last, their number
     hashes: np.ndarray
     items: np.ndarray  # of each hash: number of the item
     places: np.ndarray  # and of its first word in ``text``, which ``at`` finds
@@ -75,13 +74,25 @@ class Tables:
             at, stop = at[on], stop[on]
         return np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
+    def _place(self, own: np.ndarray, bucket: np.ndarray, before) -> np.ndarray:
+        """Of each hash, the first place in its bucket whose hash isn't before it: halved until none is left."""
+        low, high = self.buckets[bucket], self.buckets[bucket + 1]
+        while (on := low < high).any():
+            half = (low + high) // 2
+            less = on & before(self.hashes[np.minimum(half, len(self.hashes) - 1)], own)
+            low, high = np.where(less, half + 1, low), np.where(on & ~less, half, high)
+        return low
+
     def find(self, words: pa.Array, hash_: np.ndarray, first: np.ndarray):
         """(first word, number of the item) of each occurrence."""
         if len(hash_) < self.size:
             return
-        begins = self.ends(_blocks(hash_, self.size), first) - self.size + 1
+        block = _blocks(hash_, self.size)
+        begins = self.ends(block, first) - self.size + 1
         own = rolling_at(hash_, begins, self.size)
-        low, high = np.searchsorted(self.hashes, own), np.searchsorted(self.hashes, own, side="right")
+        bucket = np.searchsorted(self.blocks, block[begins + self.size - 1])
+        low = self._place(own, bucket, np.less)
+        high = self._place(own, bucket, np.less_equal)
         for begin, a, b in zip(begins[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
             window = _joined(words, begin, self.size)
             for k in range(a, b):
@@ -116,17 +127,19 @@ def build(items: pa.Array, size: int) -> list[Tables]:
     out = []
     for m, (begins, item) in _windows(first, size).items():
         own = rolling_at(hash_, begins, m)
-        order = np.lexsort((begins, item, own))
+        block = _blocks(hash_, m)
+        order = np.lexsort((begins, item, own, block[begins + m - 1]))
         own, item, places = own[order], item[order], begins[order]
         # an item's repeated window is one; of windows with one hash, all others stay, to be compared
         kept = np.array([k == 0 or own[k] != own[k - 1] or item[k] != item[k - 1] or text[at[places[k]] : at[places[k] + m]] != text[at[places[k - 1]] : at[places[k - 1] + m]] for k in range(len(own))])
-        block = _blocks(hash_, m)
         held = np.concatenate([block[begins + j] for j in range(min(1, m - 1), m)])
         shift = np.repeat(np.arange(m - 1 - min(1, m - 1), -1, -1, dtype=np.uint8), len(begins))
         order = np.lexsort((shift, held))
         held, shift = held[order], shift[order]
         new = np.concatenate(([True], held[1:] != held[:-1]))
-        out.append(Tables(m, held[new], shift[new].astype(np.int64), own[kept], item[kept], places[kept], text, at))
+        ended = block[places[kept] + m - 1]
+        buckets = np.append(np.searchsorted(ended, held[new]), len(ended))
+        out.append(Tables(m, held[new], shift[new].astype(np.int64), buckets, own[kept], item[kept], places[kept], text, at))
     return out
 
 
@@ -145,109 +158,98 @@ def _verdict(doc, n: int, spans: list[tuple[int, int]], items: set[str]) -> tupl
     return doc, n, covered, len(names), hashlib.sha256(",".join(names).encode("utf-8", "surrogatepass")).hexdigest(), covered > 0
 
 
+def _found(batches, sent):
+    """Chunks of documents with their offsets of words, and the spans and items of each that has any, by its place in the chunk."""
+    names, tables = sent.value
+    for batch in chunks(batches):
+        first, words = split(texts(batch.column("text")))
+        hash_ = word_hashes(words)
+        spans, found = defaultdict(list), defaultdict(set)
+        for t in tables:
+            for begin, item in t.find(words, hash_, first):
+                doc = int(np.searchsorted(first, begin, side="right")) - 1
+                spans[doc].append((begin - int(first[doc]), begin - int(first[doc]) + t.size))
+                found[doc].add(names[item])
+        yield batch, first, spans, found
+
+
 def _search(sent):
     def run(batches):
-        names, tables = sent.value
-        for batch in chunks(batches):
-            first, words = split(texts(batch.column("text")))
-            hash_ = word_hashes(words)
-            spans, found = defaultdict(list), defaultdict(set)
-            for t in tables:
-                for begin, item in t.find(words, hash_, first):
-                    doc = int(np.searchsorted(first, begin, side="right")) - 1
-                    spans[doc].append((begin, begin + t.size))
-                    found[doc].add(names[item])
+        for batch, first, spans, found in _found(batches, sent):
             n = np.diff(first).tolist()
             yield _result([_verdict(doc, n[k], spans.get(k, []), found.get(k, set())) for k, doc in enumerate(batch.column("doc_id").to_pylist())])
 
     return run
 
 
-_WINDOW_SQL = "row_key binary, size int, begin int, hash long, body binary"
+def _keys(column: pa.Array) -> list[bytes]:
+    return [hashlib.md5(t).digest() for t in column.cast(pa.large_binary()).to_pylist()]
 
 
-def _far(docs: DataFrame, items: DataFrame, size: int, held: int) -> DataFrame:
-    """The same for benchmarks that are too large to send: windows whose blocks are all in a bit table of the benchmark's are joined with its own by hash, and then compared."""
-    spark = docs.sparkSession
-    bits = min(_MOST_BITS, max(_LEAST_BITS, (held // 6 * _BITS_A_BLOCK).bit_length()))
-    part = (1 << bits) // _SLICES
+_HITS = "row_key binary, spans array<struct<begin:int,end:int>>, items array<string>"
 
-    def item_windows(batches):
-        for batch in chunks(batches, "body"):
-            first, words = split(texts(batch.column("body")))
-            hash_ = word_hashes(words)
-            item = batch.column("item")
-            for m, (begins, of) in _windows(first, size).items():
-                for k in range(0, len(begins), 1 << 14):
-                    some = begins[k : k + (1 << 14)]
-                    columns = [item.take(pa.array(of[k : k + (1 << 14)])), pa.array(np.full(len(some), m), pa.int32()), pa.array(rolling_at(hash_, some, m).view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["item", "size", "hash", "body"])
-
-    def marked(batches):
-        """Which bits the blocks of these items set, in slices; and the lengths of windows that there are."""
-        table, sizes = np.zeros(1 << bits >> 3, np.uint8), set()
+
+def _hits(sent):
+    """The texts that a part of the benchmark hits, by their digests."""
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches):
+        for batch, _, spans, found in _found(batches, sent):
+            hit = sorted(spans)
+            own = [[{"begin": a, "end": b} for a, b in spans[d]] for d in hit]
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(texts(batch.column("text")).take(pa.array(hit, pa.int64()))), pa.binary()), pa.array(own, kind), pa.array([sorted(found[d]) for d in hit], pa.list_(pa.string()))], ["row_key", "spans", "items"])
+
+    return run
+
+
+def _pieces(size: int, most: int):
+    """Items in pieces of so many bytes or a little more, that share ``size`` - 1 words with the next: all windows of an item lie in its pieces."""
+
+    def run(batches):
         for batch in chunks(batches, "body"):
-            first, words = split(texts(batch.column("body")))
-            hash_ = word_hashes(words)
-            for m, (begins, _) in _windows(first, size).items():
-                sizes.add(m)
-                block = _blocks(hash_, m)
-                for j in range(min(1, m - 1), m):
-                    bit = np.unique(block[begins + j] & np.uint64((1 << bits) - 1)).astype(np.int64)
-                    np.bitwise_or.at(table, bit >> 3, (128 >> (bit & 7)).astype(np.uint8))
-        for k in range(_SLICES):
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([table[k * part >> 3 : (k + 1) * part >> 3].tobytes()]), pa.array([sorted(sizes)], pa.list_(pa.int32()))], ["slice", "bits", "sizes"])
-
-    @freed
-    def united(key, rows):
-        out = np.zeros(part // 8, np.uint8)
-        for x in rows.column("bits").to_pylist():
-            out |= np.frombuffer(x, np.uint8)
-        sizes = sorted({m for own in rows.column("sizes").to_pylist() for m in own})
-        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()]), pa.array([sizes], pa.list_(pa.int32()))], names=["slice", "bits", "sizes"])
-
-    shape = "slice int, bits binary, sizes array<int>"
-    slices = sorted(items.select("body").mapInArrow(marked, shape).groupBy("slice").applyInArrow(united, shape).collect())
-    sent = spark.sparkContext.broadcast((b"".join(bytes(r.bits) for r in slices), sorted({m for r in slices for m in r.sizes})))
-
-    def doc_windows(batches):
-        data, sizes = sent.value
-        table = np.frombuffer(data, np.uint8)
-        for batch in chunks(batches):
-            column = texts(batch.column("text"))
+            column = texts(batch.column("body"))
             first, words = split(column)
-            hash_ = word_hashes(words)
-            doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            left = first[doc + 1] - np.arange(len(hash_)) if len(hash_) else np.zeros(0, np.int64)
-            keys = [hashlib.md5(t).digest() for t in column.cast(pa.large_binary()).to_pylist()]
-            for m in sizes:
-                if len(hash_) < m:
-                    continue
-                at = _blocks(hash_, m) & np.uint64((1 << bits) - 1)
-                there = (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7)).astype(np.uint8)) & 1).astype(np.int64)
-                sums = np.concatenate(([0], np.cumsum(there)))
-                lead = min(1, m - 1)
-                begins = np.flatnonzero((left[: len(hash_) - m + 1] >= m) & (sums[m:] - sums[lead : len(sums) - m + lead] == m - lead))
-                for k in range(0, len(begins), 1 << 14):
-                    some = begins[k : k + (1 << 14)]
-                    columns = [pa.array([keys[d] for d in doc[some]], pa.binary()), pa.array(np.full(len(some), m), pa.int32()), pa.array((some - first[doc[some]]).astype(np.int32)), pa.array(rolling_at(hash_, some, m).view(np.int64)), pa.array([_joined(words, int(b), m) for b in some], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["row_key", "size", "begin", "hash", "body"])
+            ends = np.concatenate(([0], np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64) + 1)))
+            names = batch.column("item").to_pylist()
+            for k in range(len(names)):
+                begin, end = int(first[k]), int(first[k + 1])
+                while begin < end:
+                    upto = min(end, max(begin + size, int(np.searchsorted(ends, ends[begin] + most))))
+                    yield pa.RecordBatch.from_arrays([pa.array([names[k]]), pa.array([_joined(words, begin, upto - begin).decode("utf-8", "surrogatepass")])], ["item", "body"])
+                    begin = end if upto == end else upto - size + 1
+
+    return run
+
+
+def _by_parts(docs: DataFrame, items: DataFrame, size: int, held: int, most_bytes: int) -> DataFrame:
+    """The same for benchmarks whose tables are too large to send at once: a pass over the documents for each part, which sends that part's tables alone."""
+    spark = docs.sparkSession
+    parts = -(-2 * held // most_bytes)  # on average half full, so that hashed pieces overfill none
+    pieces = items.mapInArrow(_pieces(size, max(1, most_bytes // 16)), "item string, body string").distinct()
+    pieces = cut(pieces.withColumn("part", F.pmod(F.xxhash64("item", "body"), F.lit(parts))).repartitionByRange("part"))
+    hits = None
+    for part in range(parts):
+        few = pieces.filter(F.col("part") == part).collect()
+        if not few:
+            continue
+        sent = spark.sparkContext.broadcast(([r.item for r in few], build(pa.array([r.body for r in few], pa.large_string()), size)))
+        own = cut(docs.mapInArrow(_hits(sent), _HITS).dropDuplicates(["row_key"]))
+        sent.unpersist()
+        hits = own if hits is None else hits.unionByName(own)
 
     def counted(batches):
         for batch in chunks(batches):
             column = texts(batch.column("text"))
-            first, _ = split(column)
-            keys = [hashlib.md5(t).digest() for t in column.cast(pa.large_binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "n_words", "row_key"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(split(column)[0]), pa.int64()), pa.array(_keys(column), pa.binary())], ["doc_id", "n_words", "row_key"])
 
     def judge(batches):
         for batch in batches:
-            yield _result([_verdict(r["doc_id"], r["n_words"], [(s["begin"], s["begin"] + s["size"]) for s in r["spans"] or ()], set(r["items"] or ())) for r in batch.to_pylist()])
+            yield _result([_verdict(r["doc_id"], r["n_words"], [(s["begin"], s["end"]) for s in r["spans"] or ()], set(r["items"] or ())) for r in batch.to_pylist()])
             release()
 
-    own = items.mapInArrow(item_windows, "item string, size int, hash long, body binary").distinct()
-    asked = docs.select("text").mapInArrow(doc_windows, _WINDOW_SQL).distinct()
-    hits = asked.join(own, ["size", "hash", "body"]).groupBy("row_key").agg(F.collect_set(F.struct("begin", "size")).alias("spans"), F.collect_set("item").alias("items"))
+    if hits is None:
+        hits = spark.createDataFrame([], _HITS)
+    hits = hits.groupBy("row_key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
     return docs.mapInArrow(counted, "doc_id long, n_words long, row_key binary").join(hits, "row_key", "left").select("doc_id", "n_words", "spans", "items").mapInArrow(judge, RESULT)
 
 
@@ -261,14 +263,15 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, si
 
     Up to ``most_bytes`` of items, their search tables are built once and sent to the tasks
     (about 40 bytes a word): the documents are read once and nothing is shuffled. A larger
-    benchmark stays distributed: its blocks become bits of a table of 32 MB at most, and only
-    windows of documents all of whose blocks are set there are joined with its windows.
+    benchmark is dealt into parts of half that on average, long items in pieces that overlap;
+    each part's tables are sent and searched alike, one part after another, and only what is
+    hit is kept of a pass. So such a benchmark costs a pass over the documents for each 2 MB.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).filter("item is not null and body is not null")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held = items.agg(F.sum(F.octet_length("body") + 16)).first()[0] or 0
     if held > most_bytes:
-        return _far(docs, items, size, held)
+        return _by_parts(docs, items, size, held, most_bytes)
     few = items.collect()
     tables = build(pa.array([r.body for r in few], pa.large_string()), size)
     return docs.mapInArrow(_search(spark.sparkContext.broadcast(([r.item for r in few], tables))), RESULT)

@@ -56,10 +56,29 @@ def test_random_passages(spark):
     few = ["a", "b", "c", "D."]
     items = [(k, data.prose(k, rnd.randint(1, 14), few)) for k in range(40)]
     rows = [(k, data.prose(1000 + k, rnd.randint(0, 80), few)) for k in range(80)]
-    for size, most in ((10, 1 << 20), (5, 10), (2, 1 << 20), (2, 10), (1, 1 << 20), (1, 10)):
+    for size, most in ((10, 1 << 20), (5, 300), (2, 1 << 20), (2, 300), (1, 1 << 20), (1, 300)):  # 300 bytes: some nine parts
         assert got(spark, data.plain_docs(spark, rows), items, size=size, most_bytes=most) == brute(rows, items, size), (size, most)
 
 
+def test_long_items_are_searched_in_pieces(spark):
+    few = ["a", "b", "c", "D.", "e e"]
+    items = [(1, data.prose(1, 3000, few)), (2, data.prose(2, 9, few)), (3, "a b"), (4, None), (1, data.prose(1, 3000, few))]
+    rows = [(k, data.prose(50 + k, 120, few)) for k in range(20)] + [(100, " ".join(items[0][1].split()[1490:1530])), (100, None), (None, "x a b y"), (None, "x a b y"), (7, "")]
+    assert got(spark, data.plain_docs(spark, rows), items, most_bytes=3000) == brute(rows, items)
+
+
+def test_a_bucket_holds_the_windows_that_its_block_ends():
+    import numpy as np
+    import pyarrow as pa
+
+    for t in decontaminate.build(pa.array([data.prose(k, 40, ["a", "b", "c"]) for k in range(6)], pa.large_string()), 10):
+        first, words = decontaminate.split(pa.array([t.text.decode()], pa.large_string()))
+        block = decontaminate._blocks(decontaminate.word_hashes(words), t.size)
+        for k, (a, b) in enumerate(zip(t.buckets[:-1], t.buckets[1:], strict=True)):
+            assert (block[t.places[a:b] + t.size - 1] == t.blocks[k]).all() and (b > a) == (t.shifts[k] == 0)
+            assert (np.diff(t.hashes[a:b].astype(object)) >= 0).all()
+
+
 def test_tables_of_a_full_load_are_small():
     import pickle
 
