@@ -6,7 +6,7 @@ result is written as Parquet and read again as the next one's docs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamchain.llm import decontaminate, jaccard, langid, packing, pii
@@ -26,9 +26,20 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter("not rejected").select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a row_key, a hash of id and text: by it verdicts come back to their own rows, whether ids are null, repeated or neither."""
-    return docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text"))
+def keyed(docs: DataFrame, key: Column | None = None) -> DataFrame:
+    """The rows with a row_key, a hash of id and text: by it verdicts come back to their own rows, whether ids are null, repeated or neither.
+
+    Different rows that share a key are told apart by a second hash, which then is their key: so
+    two documents are taken for one only where both hashes, 128 bits, are the same. Keys that
+    are shared are looked for by a shuffle of the hashes alone; as a rule there are none.
+    """
+    docs = docs.select(*COLUMNS).withColumn("row_key", F.xxhash64("doc_id", "text") if key is None else key)
+    second = F.xxhash64("text", "doc_id", F.lit(1))
+    shared = docs.select("row_key", second.alias("second")).groupBy("row_key").agg(F.min("second").alias("least"), F.max("second").alias("most"))
+    shared = cut(shared.filter("least < most").select("row_key", F.lit(True).alias("shared")))
+    if shared.isEmpty():
+        return docs
+    return docs.join(shared, "row_key", "left").withColumn("row_key", F.when(F.col("shared"), second).otherwise(F.col("row_key"))).drop("shared")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
