@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from streamchain.llm import decontaminate, jaccard
 
@@ -74,3 +76,13 @@ def test_verdicts_stay_on_their_rows_where_ids_are_null_or_repeated(spark, tmp_p
     either = [x for x in kept if x[0] == 30]
     assert len(either) == 1 and either[0] in rows
     assert [x for x in kept if x[0] != 30] == sorted([(3, base), (7, other), (12, clean), (12, None), (None, base), (None, base), (5, "one two"), (5, "three")], key=str)
+
+
+def test_rows_that_share_a_key_are_told_apart(spark):
+    docs = data.hard_docs(spark)
+    rows = corpus_pipeline.keyed(docs, key=F.coalesce(F.length("text"), F.lit(0)).cast("long")).collect()
+    assert sorted(str(r[:2]) for r in rows) == sorted(str(r[:2]) for r in data.hard_rows())
+    of = {}
+    for r in rows:
+        of.setdefault(r.row_key, set()).add((r.doc_id, r.text))
+    assert all(len(x) == 1 for x in of.values()) and len(of) == len({(r.doc_id, r.text) for r in rows})
