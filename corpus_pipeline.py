@@ -39,7 +39,7 @@ def keyed(docs: DataFrame, key: Column | None = None) -> DataFrame:
     shared = cut(shared.filter("least < most").select("row_key", F.lit(True).alias("shared")))
     if shared.isEmpty():
         return docs
-    return docs.join(shared, "row_key", "left").withColumn("row_key", F.when(F.col("shared"), second).otherwise(F.col("row_key"))).drop("shared")
+    return docs.join(shared, "row_key", "left").withColumn("row_key", F.when(F.col("shared"), second).otherwise(F.col("row_key"))).select(*COLUMNS, "row_key")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
