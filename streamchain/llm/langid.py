@@ -58,7 +58,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(length > 0, length, 1)
 
 
-#: Ids of a sample that may be broadcast.
+#: Rows of a sample, or languages, that may be broadcast.
 FEW_IDS = 1_000_000
 #: Letters at which length classes begin; likeness falls with fewer letters, and so does its floor.
 LENGTHS = (0, 8, 16, 32, 64, 128, 256, 512)
@@ -124,7 +124,7 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
     many = known.count()
     each = max(least, min(per_language, sample // max(1, many)))
     place = F.pmod("row_key", F.lit(1 << 40))
-    few = labelled.select("row_key", "lang").join(known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count")).select("row_key", "lang").distinct()
+    few = labelled.select("row_key", "lang").join(F.broadcast(known) if many <= FEW_IDS else known, "lang").filter(place < F.lit(2.0 * each * (1 << 40)) / F.col("count")).select("row_key", "lang").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(place, "row_key"))
     chosen = few.withColumn("rank", rank).filter(F.col("rank") <= each).select("row_key").distinct()
 
