@@ -50,6 +50,21 @@ def write_figures(writes: DataFrame) -> DataFrame:
     return writes.rollup("status", "block_type").agg(F.count("*").alias("writes"), F.max("seq").alias("last_seq"), F.max_by("height", "seq").alias("last_height")).filter("status is not null")
 
 
+def observed(value: Column, edges: list[float], among: dict[str, Column] | None = None) -> list[Column]:
+    """Figures of rows (seq, height) for ``DataFrame.observe``, which takes them in the pass that writes: writes, bytes, last_seq, last_height and, for each upper edge of a size and none (see ``histogram``), le_0, le_1, ...
+
+    ``among`` names kinds of rows, by their conditions: each figure is given for each kind, as
+    kind.figure, since observations have no groups. Without rows, sums and last ones are null.
+    """
+    out = []
+    for name, holds in (among or {"": F.lit(True)}).items():
+        prefix_ = f"{name}." if name else ""
+        own = lambda c, holds=holds: F.when(holds, c)
+        out += [F.count_if(holds).alias(f"{prefix_}writes"), F.sum(own(value)).alias(f"{prefix_}bytes"), F.max(own(F.col("seq"))).alias(f"{prefix_}last_seq"), F.max_by("height", own(F.col("seq"))).alias(f"{prefix_}last_height")]
+        out += [F.count_if(holds & (value <= edge)).alias(f"{prefix_}le_{i}") for i, edge in enumerate(edges)] + [F.count_if(holds).alias(f"{prefix_}le_{len(edges)}")]
+    return out
+
+
 def input_gauges(log: DataFrame) -> DataFrame:
     """By stream: bytes read, what the log has deleted and knows, and the seq and height that a reader of all of it has come to."""
     return log.groupBy("stream_id").agg(

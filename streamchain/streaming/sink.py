@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
-def append(rows: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Start writing to ``path``. A batch owns a folder named for it, which a repeated batch overwrites with the same rows."""
+def append(rows: DataFrame, path: str, checkpoint: str, once: bool = True, figures: list[Column] | None = None, told: Callable[[int, dict], None] | None = None) -> StreamingQuery:
+    """Start writing to ``path``. A batch owns a folder named for it, which a repeated batch overwrites with the same rows.
+
+    ``figures`` (see ``operators.metrics.observed``) are taken of each batch in the pass that
+    writes it, and handed to ``told`` with the batch's number once it is written; a repeated
+    batch is told again, so figures are kept by number.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        seen = Observation() if figures else None
+        (batch.observe(seen, *figures) if figures else batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if figures and told:
+            told(batch_id, seen.get)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()

@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from streamchain.operators import chain, merge
+from streamchain.operators import chain, merge, metrics
 from streamchain.operators.chain import Bridge
 from streamchain.operators.tolerance import Tolerances
 from streamchain.operators.verify import Verifier
@@ -140,3 +140,21 @@ def test_silence_by_subject(spark, tmp_path):
         assert all(r.silent_ms >= 1000 for r in found)
     finally:
         query.stop()
+
+
+def test_figures_of_the_pass_that_writes(spark, tmp_path):
+    rows = spark.range(1, 301).selectExpr("'s' as stream_id", "id as seq", "id div 3 as height", "cast(id % 3 as int) as block_type", "pow(id % 17, 4) as bytes")
+    for k in range(3):
+        rows.filter(F.col("seq") % 3 == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    edges, told = metrics.exponential(10, 20_000, 5), {}
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    kinds = {str(k): F.col("block_type") == k for k in range(4)}
+    append(source, f"{tmp_path}/out", f"{tmp_path}/checkpoint", figures=metrics.observed(F.col("bytes"), edges, kinds), told=told.__setitem__).awaitTermination()
+    assert len(told) == 3 and spark.read.parquet(f"{tmp_path}/out").count() == 300
+    want = {(r.block_type, r.le): r.n for r in metrics.histogram(rows, F.col("bytes"), ["block_type"], edges).collect()}
+    assert {(k, i): sum(t[f"{k}.le_{i}"] for t in told.values()) for k in range(3) for i in range(6)} == want
+    for r in metrics.write_figures(rows.withColumn("status", F.lit("OK"))).filter("block_type is not null").collect():
+        own = [t for t in told.values() if t[f"{r.block_type}.writes"]]
+        assert sum(t[f"{r.block_type}.writes"] for t in own) == r.writes
+        assert max((t[f"{r.block_type}.last_seq"], t[f"{r.block_type}.last_height"]) for t in own) == (r.last_seq, r.last_height)
+    assert all(t["3.writes"] == 0 and t["3.bytes"] is None for t in told.values())
