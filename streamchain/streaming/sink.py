@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -26,6 +27,16 @@ def append(rows: DataFrame, path: str, checkpoint: str, once: bool = True, figur
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
 
 
+def stop_between(query: StreamingQuery, seconds: float = 60.0) -> bool:
+    """Stop a query while no batch runs, so that no task is killed with its state store open; False if a batch ran all that time and was broken off."""
+    until = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.02)
+    idle = not (query.isActive and query.status["isTriggerActive"])
+    query.stop()
+    return idle
+
+
 class Silence(StreamingQueryListener):
     """Calls back when a query has gone so many triggers without a row."""
 

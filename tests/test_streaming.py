@@ -12,7 +12,7 @@ from streamchain.operators.verify import Verifier
 from streamchain.streaming import chain as live
 from streamchain.streaming import merge as live_merge
 from streamchain.streaming import silence
-from streamchain.streaming.sink import append
+from streamchain.streaming.sink import append, stop_between
 
 from .test_chains import SCHEMA, random_log
 
@@ -68,7 +68,7 @@ def test_the_output_of_another_writer_lets_held_rows_out_by_a_timer(spark, tmp_p
         put("tips", [("s", 9, 2, 0, 0)])  # nothing more comes from the log
         assert sorted((r.stream_id, r.seq, r.out_seq) for r in waits(query, f"{tmp_path}/out", 3, spark)) == [("s", 1, 1), ("s", 2, 2), ("t", 1, 1)]
     finally:
-        query.stop()
+        assert stop_between(query)
 
 
 def test_a_live_chain_goes_on_from_a_table_of_tips(spark, tmp_path):
@@ -123,7 +123,7 @@ def test_a_silent_input_is_not_waited_for(spark, tmp_path):
     try:
         assert sorted((r.height, r.input_id) for r in waits(query, f"{tmp_path}/out", 5, spark)) == [(h, 0) for h in range(1, 6)]
     finally:
-        query.stop()
+        assert stop_between(query)
 
 
 def test_silence_by_subject(spark, tmp_path):
@@ -139,7 +139,7 @@ def test_silence_by_subject(spark, tmp_path):
         assert {(r.stream_id, r.subject, r.read_seq, r.known_seq) for r in found} == {("s", "quiet", 2, 7), (None, "new", 0, 4)}
         assert all(r.silent_ms >= 1000 for r in found)
     finally:
-        query.stop()
+        assert stop_between(query)
 
 
 def test_figures_of_the_pass_that_writes(spark, tmp_path):
