@@ -55,6 +55,47 @@ TEXTS = (
     ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty.\n\nYou should have received a copy of the CC0 Public Domain Dedication along with this software. If not, see <http://creativecommons.org/publicdomain/zero/1.0/>."),
 )
 
+#: Digests (see ``licenses.digest``, with either kind of line left out) of long texts as published, whole and without what follows their terms. Fixed values.
+DIGESTS = (
+    ("Apache-2.0", "0d5838e6f6e5a374e58d608af5c01bc6a67cf18552dd7b346e5aef652b808ee9"),
+    ("Apache-2.0", "adf220ee02537f83220e088f4488ca0e7557d614fac1cc48967b41d13911d6e0"),
+    ("Apache-2.0", "0933e9fdf25f8a4aced10e10246650350123e13b939182f69b5ec6730ce2d793"),
+    ("Apache-2.0", "9446b99128ec9c3946adbb681853599f3a5f01a69d6c0762a9d0ab699868d801"),
+    ("Artistic-1.0-Perl", "f273930184a9b8de03336e9ae5d74bef291165524044f55455ee5117f494811a"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+    ("CC0-1.0", "cccf7894e1b9f4ba9f97728bf0c5baf9e07bc2ac93da7a51556451b1fb2b868e"),
+    ("GFDL-1.2", "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f"),
+    ("GFDL-1.2", "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b"),
+    ("GFDL-1.3", "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480"),
+    ("GFDL-1.3", "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "d98bca1875592c382caba655043aec268528bc17c9d7c0a9e892b953378effa6"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-1.0", "9679cb8f8a7c25e849b925136d793d1bec010b8b9270e6ba898e2cefcb3e1f6d"),
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821"),
+    ("GPL-2.0", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999"),
+    ("GPL-2.0", "e1270b653c300290e7c039142bccb8776f9b5d14e8a05bc4e87dc7d1614a3b34"),
+    ("GPL-3.0", "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),
+    ("GPL-3.0", "868c1e600def196be5dd1320b950766073091019680fa4d672c4b6f5a7bd4831"),
+    ("GPL-3.0", "3dcf77ad8c25248618918aaff1de8a2cb80cea6ca922ef4a7a389cca96a7560b"),
+    ("GPL-3.0", "7300741b7882c4cee1198306545302285397b5dbcfa263d41588b8b85e01aefd"),
+    ("LGPL-2.0", "e2c319279ddf282349927826fd110bdb5b471edc3a726a66fe333c8184a4b135"),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908"),
+    ("LGPL-2.0", "a07313094d4e63b099417491ebc80c933bf85c36d5afddbf13be9a11457c8513"),
+    ("LGPL-2.0", "504542bce5421b0f5a7e63ddb55443ccb300b27a65ba6bfc1370fed16a3af260"),
+    ("LGPL-2.1", "13cd11e9ccd3aae212d64d9b0f62b3a67f21019c6a65212e582b2cbbeb91cb70"),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891"),
+    ("LGPL-2.1", "bfe8e5dc6cef43d0c4777d9c1891f596159cda682ef40545ad2105f66b9746f1"),
+    ("LGPL-2.1", "48d2010e70a815a564f914b0c7c1e80d7a6843793348fed3684c957112fe0aa4"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("LGPL-3.0", "11a7eabf884f5575b70a6cff6628e05126a0a629a3b4fb202a995d21f65452b8"),
+    ("MPL-1.1", "fcb579371133afd771fed87cd5d8c6dc5648746c9945d4adf08ec5c79aba5c61"),
+    ("MPL-1.1", "cde502723475871fa8202e9364da5099cbc19700ddffc9b6da43c91023761c56"),
+    ("MPL-2.0", "9e79a7d513376f6fa1500e4df4f6276c6e7e61c5c3e28dcdb1acee24033acc56"),
+    ("MPL-2.0", "d93233202a0668a0f31517049a3528a401f8f1f11163fb748b48624e00a39a1c"),
+)
+
 #: Notices of one line.
 NOTICES = (
     ("MIT", "Released under the MIT License."),

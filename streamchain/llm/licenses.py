@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .license_texts import NOTICES, TEXTS
+from .license_texts import DIGESTS, NOTICES, TEXTS
 
 #: Spellings that count as one, in words between single spaces. Fixed values.
 SPELLINGS = (
@@ -13,8 +15,10 @@ SPELLINGS = (
     ("recognis", "recogniz"), ("favour", "favor"), ("copyright owner", "copyright holder"), ("acknowledgement", "acknowledgment"), ("per cent", "percent"), ("https ", "http "),
 )
 
-#: What is known unless a caller says otherwise: (id, kind, text).
-KNOWN = (*((i, "text", t) for i, t in TEXTS), *((i, "notice", t) for i, t in NOTICES))
+#: What is known unless a caller says otherwise: (id, kind, text, or the digest of one).
+KNOWN = (*((i, "text", t) for i, t in TEXTS), *((i, "digest", d) for i, d in DIGESTS), *((i, "notice", t) for i, t in NOTICES))
+#: Without any of these, in lower case, a text has no line that either pattern leaves out.
+MARKS = ("copyright", "(c)", "©", "all rights reserved")
 #: Digests that may be broadcast, or held as a literal map.
 FEW_KNOWN = 10_000
 
@@ -47,9 +51,11 @@ def digest(text: Column, left_out: str = COPYRIGHT_LINE) -> Column:
 
 
 def known_digests(spark: SparkSession, known=KNOWN, left_out: str = COPYRIGHT_LINE) -> DataFrame:
-    """license_id, kind and digest of the known texts, made with the same expressions as those of documents."""
+    """license_id, kind and digest of the known texts, made with the same expressions as those of documents; digests of whole texts are taken as they are."""
     rows = [F.struct(F.lit(i).alias("license_id"), F.lit(k).alias("kind"), F.lit(t).alias("body")) for i, k, t in known]
-    table = spark.range(1).select(F.explode(F.array(*rows).cast("array<struct<license_id:string,kind:string,body:string>>")).alias("k")).select("k.license_id", "k.kind", digest(F.col("k.body"), left_out).alias("known"))
+    table = spark.range(1).select(F.explode(F.array(*rows).cast("array<struct<license_id:string,kind:string,body:string>>")).alias("k"))
+    ready = F.col("k.kind") == "digest"
+    table = table.select("k.license_id", F.when(ready, "text").otherwise(F.col("k.kind")).alias("kind"), F.when(ready, F.col("k.body")).otherwise(digest(F.col("k.body"), left_out)).alias("known"))
     return table.groupBy("kind", "known").agg(F.min("license_id").alias("license_id"))
 
 
@@ -61,7 +67,9 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
     match, ``notices`` the sorted distinct ids, comma-joined, or empty. A text that matches
     nothing without all lines that start with a copyright mark is looked up once more without
     those alone that are surely notices (COPYRIGHT_NOTICE), so wrapping does not matter; nor does
-    a holder that takes up to two lines more, if a blank line follows.
+    a holder that takes up to two lines more, if a blank line follows. Texts are compared whole: a
+    file that goes on after its license isn't found. The second digest is made only of texts that
+    the first doesn't find and that hold a copyright mark; of others it would be the same.
 
     The known digests are as many as ``known`` has entries, whatever the documents are. Up to
     FEW_KNOWN they are broadcast to the hash joins on whole texts, and looked up as a literal
@@ -83,6 +91,8 @@ def scan(spark: SparkSession, docs: DataFrame, known=KNOWN) -> DataFrame:
         lines = F.filter(lines, lambda x: F.contains(F.lower(x), F.lit(NOTICE_WORD)))
     found = F.array_compact(F.transform(lines, lambda x: F.try_element_at(by, digest(x))))
     notices = F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("notices")
-    docs = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest(F.col("text"), COPYRIGHT_NOTICE).alias("wrapped"), notices)
-    docs = docs.join(sent(whole), "digest", "left").join(sent(wrapped), "wrapped", "left")
+    docs = docs.select("doc_id", "text", digest(F.col("text")).alias("digest"), notices).join(sent(whole), "digest", "left")
+    marked = reduce(Column.__or__, [F.contains(F.lower("text"), F.lit(m)) for m in MARKS])
+    again = F.when(F.col("plain").isNull(), F.when(marked, digest(F.col("text"), COPYRIGHT_NOTICE)).otherwise(F.col("digest")))
+    docs = docs.select("doc_id", "digest", "plain", "notices", again.alias("wrapped")).join(sent(wrapped), "wrapped", "left")
     return docs.select("doc_id", "digest", F.coalesce("plain", "other").alias("license_id"), "notices")

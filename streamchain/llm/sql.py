@@ -24,8 +24,8 @@ _KNOWN = ", ".join(f"({_quoted(i)}, {_quoted(k)}, {_quoted(t)})" for i, k, t in
 
 LICENSES = f"""
 with text as (select * from (values {_KNOWN}) as k(license_id, kind, body)),
-known as (select kind, sha256({_canonical("body")}) as known, min(license_id) as license_id from text group by 1, 2),
-wrapped as (select sha256({_canonical("body", COPYRIGHT_NOTICE)}) as known, min(license_id) as other from text where kind = 'text' group by 1),
+known as (select if(kind = 'digest', 'text', kind) as kind, if(kind = 'digest', body, sha256({_canonical("body")})) as known, min(license_id) as license_id from text group by 1, 2),
+wrapped as (select if(kind = 'digest', body, sha256({_canonical("body", COPYRIGHT_NOTICE)})) as known, min(license_id) as other from text where kind <> 'notice' group by 1),
 doc as (select row_number() over () as r, doc_id, coalesce("text", '') as body from documents),
 line as (select r, unnest(string_split(body, chr(10))) as l from doc),
 noted as (

@@ -1,4 +1,5 @@
 import textwrap
+from pathlib import Path
 
 import pytest
 
@@ -7,6 +8,8 @@ from streamchain.llm.license_texts import TEXTS
 
 from . import data
 
+COMMON = Path("/usr/share/common-licenses")
+
 
 def test_whole_texts_and_notices(spark):
     mit = next(t for i, k, t in licenses.KNOWN if (i, k) == ("MIT", "text"))
@@ -71,3 +74,33 @@ def test_notices_of_other_words(spark):
     known = (("CC0-1.0", "notice", "Dedicated to the public domain."), ("MIT", "notice", "MIT License."))
     rows = [(1, "a\n# dedicated to the PUBLIC domain\nb"), (2, "MIT Licence"), (3, "a\n\nb")]
     assert sorted((r.doc_id, r.notices) for r in licenses.scan(spark, data.plain_docs(spark, rows), known=known).collect()) == [(1, "CC0-1.0"), (2, "MIT"), (3, "")]
+
+
+LONG = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+
+
+@pytest.mark.skipif(not COMMON.is_dir(), reason="the texts lie on some systems alone")
+def test_long_texts_by_their_digests(spark):
+    rows, want = [], {}
+    for name, license_id in LONG.items():
+        if not (COMMON / name).is_file():
+            continue
+        text = (COMMON / name).read_text()
+        forms = [text, "\n".join("# " + line for line in text.split("\n")), text.replace("   Copyright [yyyy] [name of copyright owner]", "   Copyright 2021 Someone"), text.upper().replace("LICENSE", "LICENCE")]
+        end = "END OF TERMS AND CONDITIONS"
+        forms += [text[: text.index(end) + len(end)] + "\n\n"] if end in text else []
+        for form in forms:
+            want[len(rows)] = license_id
+            rows.append((len(rows), form))
+        want[len(rows)] = None
+        rows.append((len(rows), text[: len(text) // 2]))
+    assert {r.doc_id: r.license_id for r in licenses.scan(spark, data.plain_docs(spark, rows)).collect()} == want
+
+
+def test_digests_of_a_caller(spark):
+    docs = data.plain_docs(spark, [(1, "Some  terms.\nCopyright 2020 a"), (2, "Some terms, and more")])
+    own = {r.doc_id: r.digest for r in licenses.scan(spark, docs, known=()).collect()}
+    assert {r.doc_id: r.license_id for r in licenses.scan(spark, docs, known=[("own", "digest", own[1])]).collect()} == {1: "own", 2: None}
