@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import mmap
 import os
-import shutil
-import tempfile
 import uuid
 from collections import OrderedDict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlparse
 
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import own_folder
-from .arrow import ascii_lower, chunks, freed, mixed, split_words, texts, word_hashes
+from .arrow import ascii_lower, chunks, mixed, release, split_words, texts, word_hashes
 from .blocks import block_count, from_planes, planes, runs, table
 
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
@@ -24,15 +24,17 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 _WORD = np.uint64((1 << 48) - 1)
 #: Marks of a document's begin (a context) and end (a token); words hash to anything else but by chance.
 BEGIN, END = np.uint64(0x0B0B0B0B0B0B), np.uint64(0x0E0E0E0E0E0E)
-_SENT_SQL = "shard int, contexts binary, lengths binary, words binary, counts binary"
-_WORDS_SQL = "shard int, words binary, kinds binary, counts binary, hot binary, sums array<long>"
-_WORDS = {"shard": pa.int32(), "words": pa.binary(), "kinds": pa.binary(), "counts": pa.binary(), "hot": pa.binary(), "sums": pa.list_(pa.int64())}
+_SENT_SQL = "file int, shard int, contexts binary, lengths binary, words binary, counts binary"
+_WORDS_SQL = "file int, shard int, words binary, kinds binary, counts binary, hot binary, sums array<long>"
+_WORDS = {"file": pa.int32(), "shard": pa.int32(), "words": pa.binary(), "kinds": pa.binary(), "counts": pa.binary(), "hot": pa.binary(), "sums": pa.list_(pa.int64())}
 _SUMS_SQL = "part int, context long, sums array<long>"
 _SUMS = {"part": pa.int32(), "context": pa.int64(), "sums": pa.list_(pa.int64())}
-#: Contexts with a larger share of a sample's tokens are dealt out by the word that follows. They are at most as many as the share's inverse.
-HOT_SHARE, HOT_SAMPLE = 0.001, 32 << 20
-#: Files that a worker maps at a time.
-MAPS = 256
+#: Contexts with a larger share of a sample's tokens are dealt out by the word that follows: a thousandth, or HOT_SHARDS times what a shard has where shards are more, so that none of them fills a shard. They are at most as many as the share's inverse, and that is at most MOST_HOT.
+HOT_SHARE, HOT_SHARDS, MOST_HOT, HOT_SAMPLE = 0.001, 2, 200_000, 32 << 20
+#: Files of each kind of array, whatever the size: each holds the arrays of many shards.
+FILES = 1024
+#: Bytes of arrays that a worker keeps in memory if they can't be mapped where they lie.
+KEPT_BYTES = 256 << 20
 
 
 def _hash(words: pa.Array) -> np.ndarray:
@@ -65,6 +67,39 @@ def _wide(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def packed(keys: np.ndarray, *values: np.ndarray) -> bytes:
+    """Ascending keys and numbers for each, in as few bytes as the largest needs. Padded to whole words of 8 bytes."""
+    arrays = [v.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if not len(v) or int(v.max()) <= np.iinfo(t).max)) for v in values]
+    head = np.array([len(keys), len(values), *[a.itemsize for a in arrays]], "<u8")
+    data = b"".join(np.ascontiguousarray(a).tobytes() for a in (head, keys.astype("<u8"), *sorted(arrays, key=lambda a: -a.itemsize)))
+    return data + bytes(-len(data) % 8)
+
+
+class Written:
+    """A file that is written from front to end: sections by shard, then where each lies, then how many there are. It appears whole when it is closed, or not at all; a repeated task writes the same."""
+
+    def __init__(self, folder: Folder, name: str):
+        self.path, self.sections, self.at, self.part = folder.path(name), [], 0, None
+        if folder.mounted:
+            os.makedirs(os.path.dirname(self.path), exist_ok=True)
+            self.part = f"{self.path}.{uuid.uuid4().hex}"
+            self.out = open(self.part, "wb")
+        else:
+            system, at = folder.system(name)
+            self.out = system.open_output_stream(at)
+
+    def add(self, shard: int, data: bytes) -> None:
+        self.out.write(data)
+        self.sections.append((shard, self.at, len(data)))
+        self.at += len(data)
+
+    def close(self) -> None:
+        self.out.write(np.array([x for s in sorted(self.sections) for x in s] + [len(self.sections)], "<u8").tobytes())
+        self.out.close()
+        if self.part:
+            os.replace(self.part, self.path)
+
+
 class Folder:
     """A folder that all executors reach: a mounted path, or any place that Arrow's file systems open."""
 
@@ -72,54 +107,53 @@ class Folder:
         self.uri = uri
         self.mounted = urlparse(uri).scheme in ("", "file")
 
-    def _path(self, name: str) -> str:
+    def path(self, name: str) -> str:
         return os.path.join(urlparse(self.uri).path if self.mounted else self.uri, name)
 
-    def write(self, name: str, keys: np.ndarray, *values: np.ndarray) -> None:
-        """Ascending keys and numbers for each, in as few bytes as the largest needs, in one file. A repeated task writes the same; the file appears whole or not at all."""
-        arrays = [v.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if not len(v) or int(v.max()) <= np.iinfo(t).max)) for v in values]
-        head = np.array([len(keys), len(values), *[a.itemsize for a in arrays]], "<u8")
-        data = b"".join(np.ascontiguousarray(a).tobytes() for a in (head, keys.astype("<u8"), *sorted(arrays, key=lambda a: -a.itemsize)))
-        path = self._path(name)
-        if self.mounted:
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            part = f"{path}.{uuid.uuid4().hex}"
-            with open(part, "wb") as f:
-                f.write(data)
-            os.replace(part, path)
-        else:
-            from pyarrow import fs
+    def system(self, name: str):
+        from pyarrow import fs
+
+        return fs.FileSystem.from_uri(self.path(name))
 
-            system, at = fs.FileSystem.from_uri(path)
-            with system.open_output_stream(at) as f:
-                f.write(data)
 
-    def mapped(self, name: str) -> np.ndarray:
-        """The file as bytes in mapped memory; from a place that can't be mapped, a local copy without a name."""
-        path = self._path(name)
+class Stored:
+    """A written file. Where the folder is mounted it is mapped once, and sections are views of it; elsewhere a section is read by its range when it is asked for."""
+
+    def __init__(self, folder: Folder, name: str):
+        self.mounted = folder.mounted
         if self.mounted:
-            return np.memmap(path, np.uint8, "r")
-        from pyarrow import fs
+            with open(folder.path(name), "rb") as f:
+                self.data = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, trackfd=False), np.uint8)
+            size = len(self.data)
+        else:
+            system, at = folder.system(name)
+            self.file = system.open_input_file(at)
+            size = self.file.size()
+        many = int(self._range(size - 8, 8).view("<u8")[0])
+        index = self._range(size - 8 - 24 * many, 24 * many).view("<u8").reshape(-1, 3)
+        if int(index[:, 2].sum()) + 24 * many + 8 != size:
+            raise ValueError("a file of the model is not whole")
+        self.sections = {int(s): (int(b), int(n)) for s, b, n in index}
 
-        system, at = fs.FileSystem.from_uri(path)
-        with tempfile.TemporaryFile() as local, system.open_input_stream(at) as f:
-            shutil.copyfileobj(f, local)
-            local.flush()
-            return np.memmap(local, np.uint8, "r")
+    def _range(self, begin: int, count: int) -> np.ndarray:
+        return self.data[begin : begin + count] if self.mounted else np.frombuffer(self.file.read_at(count, begin), np.uint8)
+
+    def section(self, shard: int) -> np.ndarray:
+        return self._range(*self.sections[shard])
 
 
 class Sorted:
-    """Ascending keys of 64 bits and a few numbers for each, in one mapped file (see ``Folder.write``)."""
+    """Ascending keys of 64 bits and a few numbers for each, in one section (see ``packed``)."""
 
     def __init__(self, data: np.ndarray):
         n, many = data[:16].view("<u8").tolist()
         sizes = data[16 : 16 + 8 * many].view("<u8").tolist()
-        at = 16 + 8 * many
+        at, self.bytes = 16 + 8 * many, len(data)
         self.keys, at, self.values = data[at : at + 8 * n].view("<u8"), at + 8 * n, [None] * many
         for k in sorted(range(many), key=lambda k: -sizes[k]):
             self.values[k] = data[at : at + n * sizes[k]].view(f"<u{sizes[k]}")
             at += n * sizes[k]
-        if at != len(data):
+        if at + -at % 8 != len(data):
             raise ValueError("an array of the model is not whole")
 
     def find(self, wanted: np.ndarray) -> list[np.ndarray]:
@@ -137,6 +171,7 @@ class Model:
 
     folder: str
     shards: int
+    files: int
     tokens: int
     types: int
     continuations: int
@@ -146,7 +181,7 @@ class Model:
     #: Contexts that are dealt out by the next word, ascending, and their sums: tokens, and words that follow once, twice and more often.
     hot: np.ndarray
     hot_sums: np.ndarray
-    #: Shards that have bigrams, and shards that have tokens: as bits.
+    #: Files that have bigrams, and files that have tokens: as bits.
     with_bigrams: bytes
     with_tokens: bytes
 
@@ -173,6 +208,10 @@ def _bigram_shard(before: np.ndarray, token: np.ndarray, hot: np.ndarray, shards
     return _shard(np.where(_is_hot(before, hot), _bigram(before, token), before), shards)
 
 
+def hot_share(shards: int) -> float:
+    return max(min(HOT_SHARE, HOT_SHARDS / shards), 1 / MOST_HOT)
+
+
 def hot_contexts(docs: DataFrame, share: float = HOT_SHARE, sample: int = HOT_SAMPLE) -> np.ndarray:
     """Words that are such a share of a bounded sample's tokens, and the beginning, ascending. They only decide where bigrams are counted, never what is counted."""
 
@@ -182,7 +221,7 @@ def hot_contexts(docs: DataFrame, share: float = HOT_SHARE, sample: int = HOT_SA
             word, n = np.unique(before, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["context", "n"])
 
-    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    held, sample = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0, max(sample, int(300 / share))
     some = docs.select("text").sample(min(1.0, sample / held), 7) if held > sample else docs.select("text")
     counts = some.mapInArrow(counted, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
     many = counts.agg(F.sum("n")).first()[0] or 0
@@ -190,18 +229,42 @@ def hot_contexts(docs: DataFrame, share: float = HOT_SHARE, sample: int = HOT_SA
     return np.unique(np.array([int(BEGIN), *found], np.int64).astype(np.uint64))
 
 
-def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None = None, hot: np.ndarray | None = None) -> Model:
+def sections(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[dict]]]:
+    """(file, shard, its rows) of batches sorted by both: the rows of one shard are held at a time."""
+    at, rows = None, []
+    for batch in batches:
+        files, shards = (batch.column(c).to_numpy() for c in ("file", "shard"))
+        begins = np.flatnonzero(np.concatenate(([True], (files[1:] != files[:-1]) | (shards[1:] != shards[:-1])))) if len(files) else []
+        for b, e in zip(begins, [*begins[1:], len(files)], strict=False):
+            if at != (int(files[b]), int(shards[b])):
+                if rows:
+                    yield *at, rows
+                    release()
+                at, rows = (int(files[b]), int(shards[b])), []
+            rows += batch.slice(b, e - b).to_pylist()
+    if rows:
+        yield *at, rows
+
+
+def by_file(rows: DataFrame, files: int) -> DataFrame:
+    """A task a file, which gets its shards one after another."""
+    return rows.repartition(files, "file").sortWithinPartitions("file", "shard")
+
+
+def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None = None, hot: np.ndarray | None = None, files: int = FILES) -> Model:
     """Count the bigrams of the texts and write the model's arrays to ``folder``, which executors share.
 
     Tasks send each shard the distinct bigrams of a few MB of text in one row, grouped by the
     first word. Bigrams belong to the shard of their first word, but those of hot ones (which
-    the tokens of a sample tell) to that of both words, so that none gathers in one shard. A
-    shard sums its bigrams, writes their arrays, and passes on how many first words each second
-    word has, and how often it occurs. Sums over shards are made in Spark; the driver gets
-    those, the hot contexts' and which shards there are.
+    the tokens of a sample tell) to that of both words, so that none gathers in one shard.
+    Shards follow the text, files don't: a task writes a file, shard after shard, and holds one
+    of them. It sums a shard's bigrams, appends their arrays, and passes on how many first words
+    each second word has, and how often it occurs. Sums over shards are made in Spark; the driver
+    gets those, the hot contexts' and which files there are.
     """
     n = shards or block_count(docs)
-    hot = hot_contexts(docs) if hot is None else hot
+    files = min(n, files)
+    hot = hot_contexts(docs, hot_share(n)) if hot is None else hot
 
     def send(batches):
         for batch in chunks(batches, limit=16 << 20):
@@ -215,17 +278,16 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
             count = np.diff(np.append(new, len(token))).astype("<u4")
             token, before, shard = token[new], before[new], shard[new]
             begins = runs(shard)
-            rows: list[list] = [[] for _ in range(5)]
+            rows: list[list] = [[] for _ in range(6)]
             for b, e in zip(begins, np.append(begins[1:], len(shard)), strict=True):
                 first = runs(before[b:e])
                 lengths = np.diff(np.append(first, e - b)).astype("<u4")
-                for column, value in zip(rows, (int(shard[b]), _narrow(before[b:e][first]), planes(lengths), _narrow(token[b:e]), planes(count[b:e])), strict=True):
+                for column, value in zip(rows, (int(shard[b]) % files, int(shard[b]), _narrow(before[b:e][first]), planes(lengths), _narrow(token[b:e]), planes(count[b:e])), strict=True):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int32()), *(pa.array(r, pa.binary()) for r in rows[1:])], ["shard", "contexts", "lengths", "words", "counts"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(r, pa.int32()) for r in rows[:2]), *(pa.array(r, pa.binary()) for r in rows[2:])], ["file", "shard", "contexts", "lengths", "words", "counts"])
 
-    @freed
-    def merge(key, found):
-        rows, shard = found.to_pylist(), key[0].as_py()
+    def summed(shard, rows, bigrams, contexts):
+        """A shard's arrays go to its files; what the shards of its second words get, and its own sums, come back."""
         before = np.concatenate([np.repeat(_wide(r["contexts"]), from_planes(r["lengths"], "<u4")) for r in rows])
         token = np.concatenate([_wide(r["words"]) for r in rows])
         count = np.concatenate([from_planes(r["counts"], "<u4") for r in rows]).astype(np.int64)
@@ -233,15 +295,14 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
         before, token, count = before[order], token[order], count[order]
         new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (before[1:] != before[:-1]))))
         before, token, count = before[new], token[new], np.add.reduceat(count, new)
-        store = Folder(folder)
         bigram = _bigram(before, token)
         order = np.argsort(bigram)
-        store.write(f"bigrams-{shard}", bigram[order], count[order])
+        bigrams.add(shard, packed(bigram[order], count[order]))
         high = _kinds(count)
         first = runs(before)
         sums = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (count, count == 1, count == 2, count > 2)])
         own = _is_hot(before[first], hot)
-        store.write(f"contexts-{shard}", before[first][~own], *sums[:, ~own])
+        contexts.add(shard, packed(before[first][~own], *sums[:, ~own]))
         hot_rows = np.concatenate((before[first][own][None].view(np.int64), sums[:, own])).T
         order = np.argsort(token)
         token, count = token[order], count[order]
@@ -251,62 +312,89 @@ def train(spark: SparkSession, docs: DataFrame, folder: str, shards: int | None
         order = np.argsort(to, kind="stable")
         to, token, kinds, count = to[order], token[order], kinds[order].astype("<u8"), count[order].astype("<u8")
         begins = runs(to)
-        out = [(int(to[b]), _narrow(token[b:e]), planes(kinds[b:e]), planes(count[b:e]), None, None) for b, e in zip(begins, np.append(begins[1:], len(to)), strict=True)]
-        out.append((shard, b"", b"", b"", np.ascontiguousarray(hot_rows).tobytes(), high))
+        out = [(int(to[b]) % files, int(to[b]), _narrow(token[b:e]), planes(kinds[b:e]), planes(count[b:e]), None, None) for b, e in zip(begins, np.append(begins[1:], len(to)), strict=True)]
+        out.append((shard % files, shard, b"", b"", b"", np.ascontiguousarray(hot_rows).tobytes(), high))
         return table(_WORDS, out)
 
-    @freed
-    def close(key, found):
-        rows, shard = found.to_pylist(), key[0].as_py()
-        token = np.concatenate([_wide(r["words"]) for r in rows])
-        out = []
-        for r in rows:
-            if r["sums"] is not None:  # of this shard's bigrams
-                out.append((0, None, r["sums"]))
-                out.append((2, shard, []))
-                out += [(1, int(c), [int(x) for x in sums]) for c, *sums in np.frombuffer(r["hot"], np.int64).reshape(-1, 5)]
-        if len(token):
-            order = np.argsort(token)
-            new = runs(token[order])
-            kinds, count = (np.add.reduceat(np.concatenate([from_planes(r[c], "<u8") for r in rows])[order].astype(np.int64), new) for c in ("kinds", "counts"))
-            Folder(folder).write(f"tokens-{shard}", token[order][new], kinds, count)
-            out += [(3, shard, []), (4, None, [*_kinds(kinds), len(new), int(kinds.sum()), int(count.sum())])]
-        return table(_SUMS, out)
-
-    sent = docs.select("text").mapInArrow(send, _SENT_SQL)
-    told = sent.groupBy("shard").applyInArrow(merge, _WORDS_SQL).groupBy("shard").applyInArrow(close, _SUMS_SQL)
-    # contexts that aren't shard numbers are few; shard numbers become bits
-    place = F.when(F.col("part").isin(2, 3), F.floor(F.col("context") / 4096)).otherwise(F.col("context"))
-    some = told.groupBy("part", place.alias("place")).agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(8)], F.when(F.col("part").isin(2, 3), F.collect_set("context")).alias("shards")).collect()
+    def merge(batches):
+        file, open_files = None, []
+        for at, shard, rows in sections(batches):
+            if at != file:
+                for f in open_files:
+                    f.close()
+                file, open_files = at, [Written(Folder(folder), f"{kind}-{at}") for kind in ("bigrams", "contexts")]
+            yield from summed(shard, rows, *open_files).to_batches()
+        for f in open_files:
+            f.close()
+
+    def close(batches):
+        file, words = None, None
+        for at, shard, rows in sections(batches):
+            if at != file:
+                if words:
+                    words.close()
+                file, words = at, None
+            token = np.concatenate([_wide(r["words"]) for r in rows])
+            out = []
+            for r in rows:
+                if r["sums"] is not None:  # of this shard's bigrams
+                    out += [(0, None, r["sums"]), (2, at, [])]
+                    out += [(1, int(c), [int(x) for x in sums]) for c, *sums in np.frombuffer(r["hot"], np.int64).reshape(-1, 5)]
+            if len(token):
+                order = np.argsort(token)
+                new = runs(token[order])
+                kinds, count = (np.add.reduceat(np.concatenate([from_planes(r[c], "<u8") for r in rows])[order].astype(np.int64), new) for c in ("kinds", "counts"))
+                words = words or Written(Folder(folder), f"tokens-{at}")
+                words.add(shard, packed(token[order][new], kinds, count))
+                out += [(3, at, []), (4, None, [*_kinds(kinds), len(new), int(kinds.sum()), int(count.sum())])]
+            yield from table(_SUMS, out).to_batches()
+        if words:
+            words.close()
+
+    sent = by_file(docs.select("text").mapInArrow(send, _SENT_SQL), files).mapInArrow(merge, _WORDS_SQL)
+    told = by_file(sent, files).mapInArrow(close, _SUMS_SQL)
+    some = told.groupBy("part", "context").agg(*[F.sum(F.get("sums", F.lit(k))).alias(f"s{k}") for k in range(8)]).collect()
     high = next(([r[f"s{k}"] for k in range(5)] for r in some if r.part == 0), [0] * 5)
     low = next(([r[f"s{k}"] for k in range(8)] for r in some if r.part == 4), [0] * 8)
-    sums = {np.uint64(r.place): [r[f"s{k}"] for k in range(4)] for r in some if r.part == 1}
+    sums = {np.array(r.context, np.int64).view(np.uint64)[()]: [r[f"s{k}"] for k in range(4)] for r in some if r.part == 1}
     hot_sums = np.array([sums.get(c, [0] * 4) for c in hot], np.int64)
     bits = []
     for part in (2, 3):
-        there = np.zeros(n, bool)
-        there[[s for r in some if r.part == part for s in r.shards]] = True
+        there = np.zeros(files, bool)
+        there[[r.context for r in some if r.part == part]] = True
         bits.append(np.packbits(there).tobytes())
-    return Model(folder, n, low[7], low[5], low[6], discounts(high[:4]), discounts(low[:4]), (low[0], low[1], low[4]), hot, hot_sums, *bits)
+    return Model(folder, n, files, low[7], low[5], low[6], discounts(high[:4]), discounts(low[:4]), (low[0], low[1], low[4]), hot, hot_sums, *bits)
 
 
 class Scorer:
-    """log10 probabilities of tokens after tokens, from the mapped arrays; those of a shard are opened when they are asked for, and only the last ones stay open."""
-
-    def __init__(self, model: Model, maps: int = MAPS):
-        self.model, self.store, self.maps = model, Folder(model.folder), maps
-        self.open: OrderedDict[str, Sorted] = OrderedDict()
-        self.there = {kind: np.unpackbits(np.frombuffer(bits, np.uint8), count=model.shards).astype(bool) for kind, bits in (("bigrams", model.with_bigrams), ("contexts", model.with_bigrams), ("tokens", model.with_tokens))}
-
-    def _array(self, kind: str, shard: int) -> Sorted:
-        """A shard's array. One that training has written must be there."""
-        name = f"{kind}-{shard}"
-        if name not in self.open:
-            if len(self.open) >= self.maps:
-                self.open.popitem(last=False)
-            self.open[name] = Sorted(self.store.mapped(name))
-        self.open.move_to_end(name)
-        return self.open[name]
+    """log10 probabilities of tokens after tokens, from the mapped arrays. A file is opened once, when it is first asked for, and stays open; sections that had to be read are kept up to some bytes, the last used ones."""
+
+    def __init__(self, model: Model, kept: int = KEPT_BYTES):
+        self.model, self.store, self.most, self.kept_bytes = model, Folder(model.folder), kept, 0
+        self.files: dict[str, Stored] = {}
+        self.kept: OrderedDict[tuple[str, int], Sorted] = OrderedDict()
+        self.there = {kind: np.unpackbits(np.frombuffer(bits, np.uint8), count=model.files).astype(bool) for kind, bits in (("bigrams", model.with_bigrams), ("contexts", model.with_bigrams), ("tokens", model.with_tokens))}
+
+    def _array(self, kind: str, shard: int) -> Sorted | None:
+        """A shard's array, if it has one. A file that training has written must be there."""
+        file = shard % self.model.files
+        if not self.there[kind][file]:
+            return None
+        name = f"{kind}-{file}"
+        if name not in self.files:
+            self.files[name] = Stored(self.store, name)
+        found = self.files[name]
+        if shard not in found.sections:
+            return None
+        if found.mounted:
+            return Sorted(found.section(shard))
+        if (kind, shard) not in self.kept:
+            array = self.kept[kind, shard] = Sorted(found.section(shard))
+            self.kept_bytes += array.bytes
+            while self.kept_bytes > self.most and len(self.kept) > 1:
+                self.kept_bytes -= self.kept.popitem(last=False)[1].bytes
+        self.kept.move_to_end((kind, shard))
+        return self.kept[kind, shard]
 
     def _find(self, kind: str, many: int, wanted: np.ndarray, shard: np.ndarray) -> list[np.ndarray]:
         """Values of wanted keys. They are asked for in ascending order, each once, so that the pages of a file are passed once."""
@@ -318,8 +406,9 @@ class Scorer:
         out = [np.zeros(len(key), np.int64) for _ in range(many)]
         begins = runs(by)
         for b, e in zip(begins, [*begins[1:], len(by)], strict=False):
-            if self.there[kind][by[b]]:
-                for o, v in zip(out, self._array(kind, int(by[b])).find(key[b:e]), strict=True):
+            array = self._array(kind, int(by[b]))
+            if array is not None:
+                for o, v in zip(out, array.find(key[b:e]), strict=True):
                     o[b:e] = v
         back = np.empty(len(order), np.int64)
         back[order] = np.cumsum(new) - 1

@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from streamchain.llm import kneserney as kn
@@ -62,7 +63,6 @@ def test_against_the_formulas(spark):
 
 
 def test_neither_shards_nor_hot_contexts_matter(spark, tmp_path):
-    import numpy as np
     from pyspark.sql import functions as F
 
     docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
@@ -75,36 +75,77 @@ def test_neither_shards_nor_hot_contexts_matter(spark, tmp_path):
     assert scores[0] == pytest.approx(scores[1]) and scores[0] == pytest.approx(scores[2])
 
 
-def test_a_lost_array_is_an_error(spark, tmp_path):
-    from pyspark.errors import PythonException
+def _docs(spark):
     from pyspark.sql import functions as F
 
-    docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
+    return data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
+
+
+def test_a_lost_file_is_an_error(spark, tmp_path):
+    from pyspark.errors import PythonException
+
+    docs = _docs(spark)
     model = kn.train(spark, docs, f"file://{tmp_path}/m", 2)
     assert {p.name for p in (tmp_path / "m").iterdir()} == {f"{kind}-{k}" for kind in ("bigrams", "contexts", "tokens") for k in (0, 1)}
+    whole = (tmp_path / "m/bigrams-0").read_bytes()
+    (tmp_path / "m/bigrams-0").write_bytes(whole[:16] + whole[24:])
+    with pytest.raises(PythonException, match="not whole"):
+        kn.score(docs, model).collect()
+    (tmp_path / "m/bigrams-0").write_bytes(whole)
     (tmp_path / "m/bigrams-1").unlink()
     with pytest.raises(PythonException):
         kn.score(docs, model).collect()
 
 
-def test_counts_beyond_32_bits(tmp_path):
-    import numpy as np
+def test_files_are_few_whatever_the_shards_and_are_opened_once(spark, tmp_path, monkeypatch):
+    docs = _docs(spark)
+    model = kn.train(spark, docs, f"file://{tmp_path}/m", 50, files=3)
+    assert {p.name for p in (tmp_path / "m").iterdir()} == {f"{kind}-{k}" for kind in ("bigrams", "contexts", "tokens") for k in range(3)}
+    opened = []
 
-    store = kn.Folder(str(tmp_path))
-    store.write("a", np.array([3, 9], np.uint64), np.array([1, 1 << 40]), np.array([5, 6]))
-    assert [v.tolist() for v in kn.Sorted(store.mapped("a")).find(np.array([9, 4, 3], np.uint64))] == [[1 << 40, 0, 1], [6, 0, 5]]
-    store.write("b", np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    assert kn.Sorted(store.mapped("b")).find(np.array([9], np.uint64))[0].tolist() == [0]
+    class Counted(kn.Stored):
+        def __init__(self, folder, name):
+            opened.append(name)
+            super().__init__(folder, name)
 
+    monkeypatch.setattr(kn, "Stored", Counted)
+    scorer = kn.Scorer(model)
+    for k in range(6):
+        token, before, _ = kn.tokens(kn.texts(kn.pa.array([data.prose(k, 40)])))
+        scorer.log10(token, before)
+    assert len(opened) == len(set(opened)) <= 9
+    one = kn.train(spark, docs, f"file://{tmp_path}/one", 1)
+    assert [r.score for r in kn.score(docs, model).orderBy("doc_id").collect()] == pytest.approx([r.score for r in kn.score(docs, one).orderBy("doc_id").collect()])
 
-def test_few_maps_stay_open(spark, tmp_path):
-    from pyspark.sql import functions as F
 
-    docs = data.plain_docs(spark, [(k, data.prose(k, 40)) for k in range(20)]).withColumn("held_out", F.lit(False))
-    scorer = kn.Scorer(kn.train(spark, docs, f"{tmp_path}/m", 9), maps=2)
+def test_from_a_folder_that_is_not_mounted_sections_are_read_and_few_kept(spark, tmp_path, monkeypatch):
+    model = kn.train(spark, _docs(spark), f"file://{tmp_path}/m", 9, files=4)
     token, before, _ = kn.tokens(kn.texts(kn.pa.array([data.prose(3, 40)])))
-    few = scorer.log10(token, before)[0]
-    assert len(scorer.open) == 2 and few.tolist() == kn.Scorer(scorer.model).log10(token, before)[0].tolist()
+    want = kn.Scorer(model).log10(token, before)[0].tolist()
+    init = kn.Folder.__init__
+
+    def far(self, uri):
+        init(self, uri)
+        self.mounted = False
+
+    monkeypatch.setattr(kn.Folder, "__init__", far)
+    scorer = kn.Scorer(model, kept=1)
+    assert scorer.log10(token, before)[0].tolist() == want and len(scorer.kept) == 1
+    written = kn.Written(kn.Folder(f"file://{tmp_path}"), "w")
+    written.add(7, kn.packed(np.array([5], np.uint64), np.array([6])))
+    written.close()
+    assert kn.Sorted(kn.Stored(kn.Folder(f"file://{tmp_path}"), "w").section(7)).find(np.array([5], np.uint64))[0].tolist() == [6]
+
+
+def test_hot_contexts_follow_the_shards():
+    assert kn.hot_share(10) == kn.hot_share(1000) == kn.HOT_SHARE
+    assert kn.hot_share(50_000) == pytest.approx(kn.HOT_SHARDS / 50_000) and kn.hot_share(10**9) == 1 / kn.MOST_HOT
+
+
+def test_counts_beyond_32_bits():
+    find = lambda *a: [v.tolist() for v in kn.Sorted(np.frombuffer(kn.packed(*a[:-1]), np.uint8)).find(a[-1])]
+    assert find(np.array([3, 9], np.uint64), np.array([1, 1 << 40]), np.array([5, 6]), np.array([9, 4, 3], np.uint64)) == [[1 << 40, 0, 1], [6, 0, 5]]
+    assert find(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.array([9], np.uint64)) == [[0]]
 
 
 def test_nothing_to_learn(spark):
