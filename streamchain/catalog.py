@@ -503,6 +503,25 @@ def merge_counters(spark, d):
     return merge.merge_counts(both, programs.multi_bridge(both))
 
 
+#: Blocks of input b that can't be decoded, where input a has them too; and where chains begin.
+_CORRUPTED, _BEGIN = "input_id = 'b' and height % 3 = 2 and height % 11 = 0 and height % 7 <> 0", 400
+
+
+@query(f"""with recursive {REDUNDANT}, cand as (select *, {_CORRUPTED} as corrupted, row_number() over (partition by stream_id order by height, input_id, seq) as r from redundant),
+nxt as (select p.stream_id, p.r, min(m.r) as after from cand p join cand m on m.stream_id = p.stream_id and m.prev_hash = p.hash and m.height > p.height where not m.corrupted group by 1, 2),
+pos as (select stream_id, min(r) as r from cand where height = {_BEGIN} and not corrupted group by 1 union all select p.stream_id, after from pos p join nxt using (stream_id, r)),
+judged as (select c.*, p.r is not null as taken, lag(case when p.r is not null then c.r end ignore nulls) over (partition by c.stream_id order by c.r) as head_r from cand c left join pos p using (stream_id, r)),
+k as (select j.input_id, j.corrupted, j.taken, j.height, j.prev_hash, h.height as hh, h.hash as hx from judged j left join cand h on h.stream_id = j.stream_id and h.r = j.head_r)
+select input_id, count(*) as handled, count(*) filter (where corrupted) as corrupted, count(*) filter (where taken) as written,
+  count(*) filter (where not corrupted and not taken and case when hh is null then height < {_BEGIN} else height <= hh end) as low,
+  count(*) filter (where not corrupted and not taken and hh is null and height > {_BEGIN}) as high,
+  count(*) filter (where not corrupted and not taken and height > hh and prev_hash <> hx) as mismatch from k group by 1""")
+def merge_counters_from_start(spark, d):
+    both = redundant(spark, d).withColumn("corrupted", F.expr(_CORRUPTED))
+    chain = merge.merged(both.filter("not corrupted"), start_height=_BEGIN)
+    return merge.merge_counts(both, chain, start_height=_BEGIN)
+
+
 @query(f"""with recursive {EVENT}, cand as (select *, cast(height as varchar) as msg_id, row_number() over (partition by stream_id, height order by seq) as r from event_log),
 pos as (select stream_id, height, r, seq, ts from cand where r = 1
   union all select stream_id, height, r, seq, ts from (select c.stream_id, c.height, c.r, c.seq, c.ts, row_number() over (partition by c.stream_id, c.height order by c.r) as k from pos p join cand c on c.stream_id = p.stream_id and c.height = p.height and c.r > p.r and epoch_us(c.ts) - epoch_us(p.ts) >= 36000000000) x where k = 1)
@@ -556,11 +575,18 @@ req as (select m.stream_id, m.seq as req, m.msg_id, case m.seq % 5 when 0 then m
 requests as (select q.*, case q.req % 3 when 0 then '' when 1 then coalesce(p.msg_id, '') else 'x' end as pred_msg_id from req q left join m p on p.stream_id = q.stream_id and p.seq = q.pred_seq)"""
 
 
-def _write_requests(spark, d):
-    log = chain_log(spark, d)
-    m = log.select("stream_id", "seq", msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")).alias("msg_id"))
+def _with_ids(spark, d):
+    return chain_log(spark, d).select("stream_id", "seq", msgid.construct(F.col("height"), F.col("block_type"), F.col("shard_id")).alias("msg_id"))
+
+
+def _write_output(spark, d):
+    m = _with_ids(spark, d)
     top = m.groupBy("stream_id").agg((F.max("seq") - 5).alias("t"))
-    snap = m.join(top, "stream_id").filter("seq >= 10 and seq <= t and seq % 97 <> 0").drop("t")
+    return m.join(top, "stream_id").filter("seq >= 10 and seq <= t and seq % 97 <> 0").drop("t")
+
+
+def _write_requests(spark, d):
+    m, snap = _with_ids(spark, d), stored(spark, d, "write_output", _write_output)
     last = snap.groupBy("stream_id").agg(F.max("seq").alias("last_seq"))
     k = F.col("seq") % 5
     pred = F.when(k == 0, F.col("seq") - 1).when(k == 1, F.col("seq")).when(k == 2, F.greatest(F.col("seq") - 2, F.lit(0))).when(k == 3, F.col("last_seq")).otherwise(F.col("last_seq") + 3)

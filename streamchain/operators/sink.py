@@ -7,12 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.checkpoint import cut
+
 #: Streams whose bounds or resume points may be broadcast.
 FEW_STREAMS = 100_000
 
 
 def by_stream(log: DataFrame, points: DataFrame, most: int = FEW_STREAMS) -> DataFrame:
     """The log with its streams' points (a row a stream): broadcast if they are counted to be few, else by a shuffle of both."""
+    points = cut(points)  # made once, for the count and for the join
     few = points.limit(most + 1).count() <= most
     points = points.withColumnRenamed("stream_id", "of_")
     return log.join(F.broadcast(points) if few else points, F.col("stream_id").eqNullSafe(F.col("of_")), "left").drop("of_")
@@ -30,15 +33,14 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
 
     An empty pred_msg_id isn't enforced. An id that the output has (its last seq counts) is a
     duplicate if it is in its place, else a collision. Joins on keys, none of which can multiply a
-    request; the bounds are a row a stream, broadcast where these are few.
+    request: by id, and by the position after the predecessor. The predecessor itself matters where
+    it is the last row alone, so the bounds have it: a row a stream, broadcast where these are few.
     """
     own = output.select("stream_id", "seq", "msg_id")
-    bounds = own.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq"), F.max_by("msg_id", "seq").alias("last_id"))
+    last_row = F.max(F.struct("seq", "msg_id")).alias("last_row")
+    bounds = own.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), last_row).select("stream_id", "first_seq", F.col("last_row.seq").alias("last_seq"), F.col("last_row.msg_id").alias("last_id"))
     known = own.groupBy("stream_id", "msg_id").agg(F.max("seq").alias("known_seq"))
-    # what stands at a position and right after it, as one row of the output's positions
-    after = own.select("stream_id", (F.col("seq") - 1).alias("pred_seq"), F.col("msg_id").alias("place_id"), F.lit(None).cast("string").alias("before_id"))
-    at = own.select("stream_id", F.col("seq").alias("pred_seq"), F.lit(None).cast("string").alias("place_id"), F.col("msg_id").alias("before_id"))
-    places = after.unionByName(at).groupBy("stream_id", "pred_seq").agg(F.max("place_id").alias("place_id"), F.max("before_id").alias("before_id"))
+    places = own.groupBy("stream_id", (F.col("seq") - 1).alias("pred_seq")).agg(F.max("msg_id").alias("place_id"))
     r = by_stream(on_keys(on_keys(requests, known, ["stream_id", "msg_id"]), places, ["stream_id", "pred_seq"]), bounds)
     pred, last, free = F.col("pred_seq"), F.coalesce("last_seq", F.lit(0)), F.col("pred_msg_id") == ""
     rules = [
@@ -50,7 +52,7 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
         ((pred + 1 <= last) & (F.col("place_id") == F.col("msg_id")), "OK", "duplicate"),
         ((pred == 0) & ~free, "WrongPredecessor", "collision"),
         (pred == 0, "TemporarilyUnavailable", "error"),
-        ((pred == last) & ~free & F.col("before_id").isNull(), "RemovedPredecessor", "desync"),
+        ((pred == last) & ~free & F.col("last_id").isNull(), "RemovedPredecessor", "desync"),
         ((pred == last) & ~free, "WrongPredecessor", "collision"),
         (pred == last, "TemporarilyUnavailable", "error"),
         (pred > last, "WrongPredecessor", "collision"),
