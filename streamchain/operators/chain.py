@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+from bisect import insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,7 @@ from ..functions.msgid import order_key
 from ..schema import REASON_CLASS, SHARD
 from ..sources.checkpoint import cut
 from . import prefix
-from .sink import on_keys
+from .sink import FEW_STREAMS, by_stream, on_keys
 from .tolerance import Counts, Tolerances
 from .verify import FIELDS, Verifier
 
@@ -84,12 +85,17 @@ def block_key(row: dict) -> tuple[int, int, int]:
     return row["height"], row["block_type"], row["shard_id"] if row["block_type"] == SHARD else 0
 
 
+def _turn(row: dict) -> tuple[tuple[int, int, int], int]:
+    return block_key(row), row["seq"]
+
+
 class Fold:
     """State of one stream: the tip, the buffer and the counters. ``take`` gives the rows that a row lets out."""
 
     def __init__(self, bridge: Bridge, tip: dict | None = None):
         self.bridge, self.tip = bridge, tip
-        self.held: list[dict] = []
+        self.held: list[dict] = []  # in the order of blocks, once a row is taken
+        self._settled: dict | None = None  # the tip that all of them are too high for
         self.counts = Counts(bridge.tolerances)
         self.ended: str | None = None
         self._check_tip()
@@ -119,20 +125,32 @@ class Fold:
             self.ended = "terminal"
 
     def _unload(self) -> Iterator[dict]:
-        """One pass over the lowest rows of the buffer: those that fit are written, those too high stay, others go."""
-        held = sorted(self.held, key=lambda r: (block_key(r), r["seq"]))[: self.bridge.buffer]
-        self.held = []
-        for k, row in enumerate(held):
-            if self.tip is None:
-                continue
+        """One pass over the lowest rows of the buffer: those that fit are written, those too high stay, others go.
+
+        Rows that come in are too high for the tip, so a pass is due where it has moved alone; and
+        where heights have no gaps, it ends at the first row that is further off than the next.
+        """
+        if self.tip is None:
+            self.held = []
+            return
+        if self._settled is None:
+            self.held.sort(key=_turn)
+        del self.held[self.bridge.buffer :]
+        if self._settled is self.tip:
+            return
+        held, kept, k = self.held, [], 0
+        while k < len(held) and not self.bridge.verifier.beyond(self.tip, held[k]):
+            row, k = held[k], k + 1
             reason = self._reason(self.tip, row)
             if reason == "OK":
                 yield from self._write(row)
                 if self.ended:
-                    self.held += held[k + 1 :]
+                    held[:k] = kept
                     return
             elif REASON_CLASS[reason] == "high":
-                self.held.append(row)
+                kept.append(row)
+        held[:k] = kept
+        self._settled = self.tip
 
     def _reason(self, last: dict | None, row: dict) -> str:
         return self.bridge.verifier.reason(last, row)
@@ -155,7 +173,7 @@ class Fold:
             self.counts.take("ok")
             return self._write(row)
         if verdict == "high" and self.bridge.buffer:
-            self.held.append(row)
+            insort(self.held, row, key=_turn)
         return self._count(verdict)
 
     def _first(self, row: dict) -> str:
@@ -199,8 +217,10 @@ def with_tips(log: DataFrame, tips: DataFrame) -> DataFrame:
     return log.withColumn(TIP, F.lit(False)).unionByName(own, allowMissingColumns=True)
 
 
-#: Seqs of a stretch of a stream, which a task folds at a time.
+#: Rows of a stretch of a stream, which a task folds at a time.
 FOLDED = 1 << 17
+#: A larger buffer isn't passed on between stretches: its streams are folded as wholes.
+PASSED_ON = 1 << 10
 _STATE = "__state"
 
 
@@ -210,10 +230,10 @@ def _frozen(fold: Fold) -> tuple[str, str]:
     core = {"tip": plain.pop(0) if fold.tip else None, "held": plain, "counts": fold.counts.now, "ended": fold.ended}
     whole = []
     for row in fold.held:
-        batch, k = row["at"]
+        batch, k = row["at"]  # a row of it
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema) as out:
-            out.write_batch(_alone(batch, k))
+            out.write_batch(_some(batch, [k]))
         whole.append(base64.b64encode(sink.getvalue()).decode())
     return json.dumps(core), json.dumps({**core, "whole": whole})
 
@@ -231,8 +251,21 @@ def _thawed(bridge: Bridge, text: str | None) -> Fold:
     return fold
 
 
-def _alone(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([c.take(pa.array([k])) for c in batch.columns], schema=batch.schema)
+def _some(batch: pa.RecordBatch, places: list[int]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c.take(pa.array(places, pa.int64())) for c in batch.columns], schema=batch.schema)
+
+
+def _detach(held: list[dict], batch: pa.RecordBatch) -> None:
+    """What waits keeps its own rows, not the batch; nor others' rows, once most of those that it was kept with have gone."""
+    kept: dict[int, list[dict]] = {}
+    for row in held:
+        kept.setdefault(id(row["at"][0]), []).append(row)
+    for rows in kept.values():
+        of = rows[0]["at"][0]
+        if of is batch or of.num_rows > 2 * len(rows):
+            own = _some(of, [row["at"][1] for row in rows])
+            for k, row in enumerate(rows):
+                row["at"] = (own, k)
 
 
 def _stretched(rows: DataFrame, states: DataFrame) -> DataFrame:
@@ -268,8 +301,7 @@ def _left(rows: DataFrame, states: DataFrame, bridge: Bridge) -> DataFrame:
                     entered = _frozen(fold)[0]
                 else:
                     many += sum(1 for _ in fold.take({**dict.fromkeys(FIELDS), **own, "at": (whole, k)}))
-            for row in fold.held if fold else ():
-                row["at"] = (_alone(*row["at"]), 0)
+            _detach(fold.held if fold else [], whole)
         if fold is not None:
             yield leave(schema)
 
@@ -281,46 +313,68 @@ def written(log: DataFrame, bridge: Bridge, stretch: int = FOLDED) -> DataFrame:
     """The rows of the log that ``bridge`` lets out, with all their columns, out_seq (the place in the output) and event ("written"); and a row for the end of a stream's output (event "desync" or "terminal").
 
     Each decision needs the state that the rows before have left: tip, buffer and counters. A
-    stream is cut into stretches of seqs, which tasks fold side by side, each entered with a
-    guess: the highest block before it as the tip. What a stretch is left with must be what the
-    next one was entered with; those where it differs are folded again with it, until all
-    agree. So a log that is nearly a chain is folded about once on all cores, and in the worst
-    case stretch after stretch. Then rows are given out. A task keeps a state, never a stretch.
+    stream of more than so many rows is cut into stretches of as many (up to twice that), which
+    tasks fold side by side, each entered with a guess: the highest block before it as the tip.
+    What a stretch is left with must be what the next one was entered with; those where it differs
+    are folded again with it, as long as that at least halves their number. Then rows are given
+    out: where stretches still disagree, a stream's rows from the first of these on in one task.
+    So a log that is nearly a chain is folded about once on all cores, and one that never falls in
+    step with a guess twice, stream by stream. A task keeps a state, never a stretch. Streams are
+    not cut where the buffer is larger than ``PASSED_ON``.
 
     Rows without a block count as corrupted. A row marked as a tip (see ``with_tips``) is where
     its stream's output stands; it isn't given out. The row of an end is the one at which it came.
     """
     tips = log.filter(TIP) if TIP in log.columns else None
-    rows = (log.filter(~F.col(TIP)).drop(TIP) if tips is not None else log).withColumn("__n", F.expr(f"seq div {stretch}"))
-    names = [c for c in rows.columns if c != "__n"]
+    rows = log.filter(~F.col(TIP)).drop(TIP) if tips is not None else log
+    names = rows.columns
     fields = [f for f in FIELDS if f in names]
     tip = F.struct("seq", *fields)
+    cell = F.expr(f"seq div {stretch}").alias("__cell") if bridge.buffer <= PASSED_ON else F.lit(0).cast("long").alias("__cell")
     key = F.when(F.col("height").isNotNull(), order_key(F.col("height"), F.col("block_type"), F.col("shard_id")))
     if "corrupted" in names:
         key = F.when(~F.coalesce("corrupted", F.lit(False)), key)
-    parts = rows.groupBy("stream_id", "__n").agg(F.max(F.when(key.isNotNull(), F.struct(key.alias("key"), tip.alias("tip")))).alias("top"))
+    parts = rows.groupBy("stream_id", cell).agg(F.max(F.when(key.isNotNull(), F.struct(key.alias("key"), tip.alias("tip")))).alias("top"), F.count("*").alias("many"))
+    by_cell = Window.partitionBy("stream_id").orderBy("__cell")
+    earlier = by_cell.rowsBetween(Window.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("many").over(earlier), F.lit(0)) / stretch).cast("long")
+    cells = cut(parts.select("stream_id", "__cell", place.alias("__n"), F.to_json(F.max("top").over(earlier)["tip"]).alias("guess")))
+    parts = cells.groupBy("stream_id", "__n").agg(F.min_by("guess", "__cell").alias("guess"))
     along = Window.partitionBy("stream_id").orderBy("__n")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("stream_id", "__n", (F.row_number().over(along) == 1).alias("first"), F.to_json(F.max("top").over(earlier)["tip"]).alias("guess"))
+    parts = parts.select("stream_id", "__n", (F.row_number().over(along) == 1).alias("first"), "guess")
     begun = F.lit(None).cast("string")
     if tips is not None:
         parts, begun = on_keys(parts, tips.select("stream_id", F.to_json(tip).alias("begun")), ["stream_id"]), F.col("begun")
     states = cut(parts.select("stream_id", "__n", "first", F.when(F.col("first"), begun).otherwise(F.col("guess")).alias("state"), F.lit(0).cast("long").alias("base")))
-    if not states.filter("not first").isEmpty():
-        # with a buffer, states carry rows over that are given out as they are; else the rules' columns are enough
-        needed = rows if bridge.buffer else rows.select(*[c for c in ("stream_id", "seq", "__n", *fields, "corrupted") if c in rows.columns])
-        left = cut(_left(needed, states, bridge))
-        while True:
-            after = left.select("*", F.lag("core").over(along).alias("before"), F.lag("whole").over(along).alias("state"), F.row_number().over(along).alias("k"))
-            again = cut(after.filter("k > 1 and not (entered <=> before)").select("stream_id", "__n", "state", F.lit(0).cast("long").alias("base")))
-            if again.isEmpty():
-                break
-            anew = _left(on_keys(needed, again, ["stream_id", "__n"], "left_semi"), again, bridge)
-            left = cut(on_keys(left, again, ["stream_id", "__n"], "left_anti").unionByName(anew))
-        states = _entered(left, states, along)
+    many = states.filter("not first").count()
+    if not many:
+        return _given(rows.withColumn("__n", F.lit(0).cast("long")), states, bridge, names)
+    rows = rows.withColumn("__cell", cell)
+    rows = on_keys(rows, _few(cells.filter("__n > 0").select("stream_id", "__cell", "__n")), ["stream_id", "__cell"]).drop("__cell").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    # with a buffer, states carry rows over that are given out as they are; else the rules' columns are enough
+    needed = rows if bridge.buffer else rows.select(*[c for c in ("stream_id", "seq", "__n", *fields, "corrupted") if c in rows.columns])
+    left = cut(_left(needed, states, bridge))
+    while True:
+        after = left.select("*", F.lag("core").over(along).alias("before"), F.lag("whole").over(along).alias("state"), F.row_number().over(along).alias("k"))
+        again = cut(after.filter("k > 1 and not (entered <=> before)").select("stream_id", "__n", "state", F.lit(0).cast("long").alias("base")))
+        wrong = again.count()
+        if 2 * wrong > many or not wrong:
+            break
+        anew = _left(on_keys(needed, _few(again.select("stream_id", "__n")), ["stream_id", "__n"], "left_semi"), again, bridge)
+        left, many = cut(on_keys(left, again, ["stream_id", "__n"], "left_anti").unionByName(anew)), wrong
+    states = _entered(left, states, along)
+    if wrong:
+        since = cut(again.groupBy("stream_id").agg(F.min("__n").alias("since")))
+        states = by_stream(states, since).filter("since is null or __n <= since").drop("since")
+        rows = by_stream(rows, since).withColumn("__n", F.least("__n", "since")).drop("since")
     return _given(rows, states, bridge, names)
 
 
+def _few(keys: DataFrame) -> DataFrame:
+    """Keys of stretches, broadcast if they are counted to be few."""
+    return F.broadcast(keys) if keys.limit(FEW_STREAMS + 1).count() <= FEW_STREAMS else keys
+
+
 def _entered(left: DataFrame, states: DataFrame, along) -> DataFrame:
     """Each stretch's true entering state, and how many rows are written before it."""
     after = left.select("stream_id", "__n", F.lag("whole").over(along).alias("whole"), F.coalesce(F.sum("many").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
@@ -347,9 +401,8 @@ def _given(rows: DataFrame, states: DataFrame, bridge: Bridge, names: list[str])
                     out.append((*kept["at"], n, "written"))
                 if state.ended and not before:
                     out.append((whole, k, None, state.ended))
-            for row in state.held if state else ():  # what waits keeps its own row, not the batch
-                row["at"] = (_alone(*row["at"]), 0)
             yield from _taken(out, whole.schema)
+            _detach(state.held if state else [], whole)
 
     events = [T.StructField("out_seq", T.LongType()), T.StructField("event", T.StringType())]
     return _stretched(rows, states).mapInArrow(run, T.StructType([rows.schema[c] for c in names] + events))

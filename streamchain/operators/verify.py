@@ -103,6 +103,10 @@ class Verifier:
                 return "LowShard" if row["shard_id"] < needed else "ShardGap"
         return "ShardHashConflict" if self.check_hashes and self._differ(row["hash"], last["hash"]) else "OK"
 
+    def beyond(self, last: dict, row: dict) -> bool:
+        """Whether a row that the filter lets pass is too high by its height alone, as all higher ones are then."""
+        return not self.allow_gaps and row["height"] - last["height"] > 1
+
     def _passes(self, shard: int) -> bool:
         f = self.shard_filter
         return f is None or (shard < len(f) and f[shard])
@@ -132,6 +136,9 @@ class Transparent(Verifier):
     def reason(self, last: dict | None, row: dict) -> str:
         return "OK"
 
+    def beyond(self, last: dict, row: dict) -> bool:
+        return False
+
 
 #: By payload format (see sources.decode).
 VERIFIERS = {

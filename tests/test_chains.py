@@ -300,3 +300,42 @@ def test_small_buffers_and_limits_against_plain_rules(seed):
             out += [r["seq"] for r in fold.take({"seq": q, "height": h, "block_type": 0, "shard_id": 0, "corrupted": bad})]
             ended = q if fold.ended and not was else ended
         assert (out, ended) == plain_reorder(rows, size, wrong)
+
+
+@pytest.mark.parametrize("n", [500, 2000])
+def test_a_large_buffer_is_not_gone_through_for_every_row(n, monkeypatch):
+    """Rows that wait are judged when the tip comes to them, not again and again."""
+    asked = []
+    plain = Verifier.reason
+    monkeypatch.setattr(Verifier, "reason", lambda self, last, row: asked.append(1) or plain(self, last, row))
+    fold = Fold(Bridge(Verifier(allow_gaps=False), buffer=10**6))
+    rows = [{"seq": q, "height": h, "block_type": 0, "shard_id": 0} for q, h in enumerate([0, *range(n, 1, -1), 1], 1)]
+    out = [r["height"] for row in rows for r in fold.take(row)]
+    assert out == list(range(n + 1)) and len(asked) <= 4 * n
+
+
+def _few_and_many(monkeypatch):
+    calls = []
+    left = chain._left
+    monkeypatch.setattr(chain, "_left", lambda *args: calls.append(1) or left(*args))
+    return calls
+
+
+@pytest.mark.parametrize("config", [CONFIGS[0], CONFIGS[1], Bridge(Verifier(allow_gaps=False), buffer=10**6), Bridge(Verifier(shard_filter=(True, False)))])
+def test_short_streams_are_not_cut(spark, monkeypatch, config):
+    """Streams whose few rows lie far apart are folded at once."""
+    calls = _few_and_many(monkeypatch)
+    rows = [(r[0], r[1] * 1000, *r[2:]) for r in random_log(4)]
+    got = chain.written(spark.createDataFrame(rows, SCHEMA), config, stretch=500).filter("event = 'written'").collect()
+    assert sorted((r.stream_id, r.seq) for r in got) == by_hand(rows, config) and not calls
+
+
+@pytest.mark.parametrize("config", [CONFIGS[0], Bridge(Verifier(check_hashes=True), last_block=(7, 0, 0)), Bridge(Verifier(allow_gaps=False), buffer=3)])
+def test_a_chain_that_is_stuck_is_folded_twice(spark, monkeypatch, config):
+    """Guesses that never hold don't make a round for every stretch."""
+    calls = _few_and_many(monkeypatch)
+    rows = [(s, q, q if q != 40 else 90, 0, 0, f"h{q}", f"h{q - 1 - (q == 40)}", None, False) for s in "01" for q in range(1, 200)]
+    got = chain.written(spark.createDataFrame(rows, SCHEMA), config, stretch=8).filter("event = 'written'").collect()
+    assert sorted((r.stream_id, r.seq) for r in got) == by_hand(rows, config) and len(calls) <= 3
+    outs = {s: [r.seq for r in sorted(got, key=lambda r: r.out_seq) if r.stream_id == s] for s in "01"}
+    assert outs["0"] == outs["1"] and [r.out_seq for r in got if r.stream_id == "0"] and {r.out_seq for r in got} == set(range(1, len(outs["0"]) + 1))
