@@ -14,21 +14,18 @@ _MOST = "18446744073709551615"
 
 def _unsigned(text: Column) -> Column:
     """A decimal(20,0), or null beyond 64 bits; the form is checked before."""
-    number = F.expr("null").cast("decimal(20,0)")
-    stripped = F.regexp_replace(text, "^0+(?=[0-9])", "")
-    fits = F.length(stripped) <= 20
-    value = F.when(fits, stripped.try_cast("decimal(20,0)"))
-    return F.when(value <= F.lit(_MOST).cast("decimal(20,0)"), value).otherwise(number)
+    number = text.try_cast("decimal(38,0)")
+    return F.when(number <= F.lit(_MOST).cast("decimal(20,0)"), number.try_cast("decimal(20,0)"))
 
 
 def parse(text: Column) -> Column:
     """struct<height, block_type, shard_id, error>: digits alone are an announcement, with a dot and digits a shard; anything else, or beyond 64 bits, is an error."""
     text = F.coalesce(text, F.lit(""))
     formed = text.rlike(_FORM)
-    height = F.when(formed, _unsigned(F.regexp_extract(text, _FORM, 1)))
-    part = F.regexp_extract(text, _FORM, 2)
+    height = F.when(formed, _unsigned(F.substring_index(text, ".", 1)))
+    part = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise("")
     shard = F.when(formed & (part != ""), _unsigned(part))
-    bad = ~formed | height.isNull() | ((part != "") & shard.isNull())
+    bad = height.isNull() | ((part != "") & shard.isNull())
     return F.struct(
         F.when(~bad, height).alias("height"),
         F.when(~bad, F.when(part == "", ANNOUNCEMENT).otherwise(SHARD)).cast("int").alias("block_type"),

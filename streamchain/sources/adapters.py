@@ -8,16 +8,22 @@ from pyspark.sql.types import StructType
 
 from ..functions.msgid import construct
 from ..operators import prefix
-from ..operators.sink import on_keys
+from ..operators.sink import FEW_STREAMS
 from ..schema import MESSAGE_ID
 from . import files
-from .checkpoint import exists, own_folder
+from .checkpoint import cut, exists, own_folder
 from .decode import encode
 
 STREAMS = 8
 #: Heights of a cell, whose rows are ranked together.
-CELL = 1 << 12
+CELL = 1 << 17
+#: Days of a cell.
+DAYS = 16
+#: Rows that a task ranks and writes, about.
+PLACED = 1 << 20
 _LOG = ("stream_id", "seq", "height", "block_type", "shard_id", "hash", "prev_hash", "ts")
+#: What is stored of them: hashes are made of heights where they are asked for.
+_HELD = ("stream_id", "seq", "height", "block_type", "shard_id", "before", "ts")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,14 +31,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as announcements and their lines as shards, with the columns that order rows of one place."""
+    """Orders as announcements and their lines as shards, with the order before in their stream and the columns that order rows of one place."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    digest = lambda c: F.md5(c.cast("string").cast("binary"))
     heads = orders.select("o_orderkey", (F.col("o_custkey") % STREAMS).alias("stream_id"), "o_orderdate")
     heads = prefix.previous(heads, {"before": "o_orderkey"}, order="o_orderkey")
-    heads = heads.select("o_orderkey", "stream_id", "o_orderdate", digest(F.col("o_orderkey")).alias("hash"), F.coalesce(digest(F.col("before")), F.lit("")).alias("prev_hash"))
     zero = [F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0.0).alias("k3")]
-    common = ["stream_id", F.col("o_orderkey").alias("height"), "hash", "prev_hash"]
+    common = ["stream_id", F.col("o_orderkey").alias("height"), "before"]
     announced = heads.select(*common, F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"), F.col("o_orderdate").alias("ts"), *zero)
     shards = lines.join(heads, lines.l_orderkey == heads.o_orderkey).select(
         *common, F.lit(1).alias("block_type"), F.col("l_linenumber").cast("long").alias("shard_id"), F.col("l_shipdate").alias("ts"),
@@ -46,25 +50,33 @@ def numbered(rows: DataFrame, order: list[str], cell: Column) -> DataFrame:
 
     ``cell``: a whole number that doesn't fall along the order. Rows are counted by cell, the
     counts are summed up over cells, and only within a cell are rows ranked: no window holds a
-    stream.
+    stream. Rows move once, by cell (a struct, in which nulls are equal), to as many tasks as
+    their number asks for; where cells begin is broadcast if they are few.
     """
-    rows = rows.withColumn("cell", cell)
-    counts = rows.groupBy("stream_id", "cell").count()
-    begins = prefix.before(counts, {"begin": ("sum", F.col("count"))}, order="cell").select("stream_id", "cell", "begin")
-    rank = F.row_number().over(Window.partitionBy("stream_id", "cell").orderBy(*order))
-    ranked = on_keys(rows.withColumn("rank", rank), begins, ["stream_id", "cell"], "inner")
-    return ranked.withColumn("seq", F.coalesce("begin", F.lit(0)).cast("long") + F.col("rank")).drop("cell", "begin", "rank")
+    rows = rows.withColumn("__cell", F.struct("stream_id", cell.alias("n")))
+    counts = rows.groupBy("__cell").count().select("__cell.stream_id", F.col("__cell.n").alias("n"), "count")
+    begins = cut(prefix.before(counts, {"begin": ("sum", F.col("count"))}, order="n").select(F.struct("stream_id", "n").alias("of_cell"), "begin", "count"))
+    many, total = begins.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // PLACED))
+    begins = begins.drop("count")
+    rank = F.row_number().over(Window.partitionBy("__cell").orderBy(*order))
+    ranked = rows.repartition(tasks, "__cell").withColumn("rank", rank)
+    ranked = ranked.join(F.broadcast(begins) if many <= FEW_STREAMS else begins, F.col("__cell") == F.col("of_cell"))
+    return ranked.withColumn("seq", F.coalesce("begin", F.lit(0)).cast("long") + F.col("rank")).drop("__cell", "of_cell", "begin", "rank")
 
 
 _STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """The log that ``make`` gives, written once a session below the shared folder, by stream and segment of seqs, and scanned from there."""
+    """The log that ``make`` gives, written once a session below the shared folder, by stream, and scanned from there.
+
+    Its tasks should hold ranges of seqs, as those of ``numbered`` and of scans of such logs do: rows don't move to be written.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED or not exists(spark, f"{_STORED[key][0]}/_SUCCESS"):
         log, path = make(spark, sf_dir), f"{own_folder(spark, 'logs')}/{name}"
-        files.write(log, path)
+        files.write(log, path, placed=True)
         _STORED[key] = path, log.schema
     path, schema = _STORED[key]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -72,22 +84,34 @@ def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
 
 def _chain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["height", "block_type", "ts", "shard_id", "k1", "k2", "k3"]
-    return numbered(_rows(spark, sf_dir), order, F.expr(f"height div {CELL}")).select(*_LOG)
+    return numbered(_rows(spark, sf_dir), order, F.expr(f"height div {CELL}")).select(*_HELD)
+
+
+def hashed(log: DataFrame) -> DataFrame:
+    """A stored log with its hashes: what moves rows about may do so before."""
+    digest = lambda c: F.md5(F.col(c).cast("string").cast("binary"))
+    rows = log.withColumn("hash", digest("height")).withColumn("prev_hash", F.coalesce(digest("before"), F.lit("")))
+    return rows.select(*_LOG, *[c for c in log.columns if c not in _HELD])
+
+
+def chain_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain log without its hashes."""
+    return stored(spark, sf_dir, "chain_log", _chain_log)
 
 
 def chain_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks in their own order: nearly a valid chain."""
-    return stored(spark, sf_dir, "chain_log", _chain_log)
+    return hashed(chain_held(spark, sf_dir))
 
 
 def _noisy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = ["ts", "height", "block_type", "shard_id", "k1", "k2", "k3"]
-    return numbered(_rows(spark, sf_dir), order, F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))).select(*_LOG)
+    return numbered(_rows(spark, sf_dir), order, F.expr(f"datediff(cast(ts as date), date '1970-01-01') div {DAYS}")).select(*_HELD)
 
 
 def noisy_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same rows in the order of their times: far from a chain."""
-    return stored(spark, sf_dir, "noisy_log", _noisy_log)
+    return hashed(stored(spark, sf_dir, "noisy_log", _noisy_log))
 
 
 def payload_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:

@@ -16,7 +16,8 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def write(log: DataFrame, path: str, segment: int = 1 << 20, mode: str = "errorifexists") -> None:
-    """One file a stream and segment of seqs."""
-    placed = log.withColumn("segment", F.floor(F.col("seq") / segment).cast("long"))
-    placed.repartition("stream_id", "segment").sortWithinPartitions("stream_id", "seq").drop("segment").write.mode(mode).partitionBy("stream_id").parquet(path)
+def write(log: DataFrame, path: str, segment: int = 1 << 20, mode: str = "errorifexists", placed: bool = False) -> None:
+    """One file a stream and segment of seqs; or, where rows are ``placed`` already, a stream and task."""
+    if not placed:
+        log = log.withColumn("segment", F.expr(f"seq div {segment}")).repartition("stream_id", "segment").drop("segment")
+    log.sortWithinPartitions("stream_id", "seq").write.mode(mode).partitionBy("stream_id").parquet(path)
