@@ -24,6 +24,11 @@ def _joined(kind: str, carry: Column, local: Column) -> Column:
     return {"max": F.greatest, "min": F.least, "last": F.coalesce}[kind](local, carry)
 
 
+def place(order: str) -> Column:
+    """A row's place in its stream as a number: rows without one come first."""
+    return F.coalesce(F.col(order), F.lit(-(1 << 63)))
+
+
 def segmented(log: DataFrame, order: str = "seq", segment: int = SEGMENT, by: tuple[str, ...] = ("stream_id",)) -> DataFrame:
     """The rows with their segment (the keys and its number). ``before`` uses it where it is there, and leaves it: passes over one log then share its partitioning."""
     return log.withColumn("__segment", F.struct(*by, F.expr(f"{order} div {segment}").alias("n")))

@@ -10,6 +10,7 @@ from ..functions.msgid import parse
 from ..sources.decode import decode
 from ..sources.checkpoint import cut
 from . import prefix
+from .sink import by_stream
 
 
 def between(log: DataFrame, start: int | None = None, end: int | None = None, subjects: list[str] | None = None) -> DataFrame:
@@ -21,11 +22,11 @@ def between(log: DataFrame, start: int | None = None, end: int | None = None, su
     return log.filter(matches_subject(F.col("subject"), subjects)) if subjects else log
 
 
-def until_time(log: DataFrame, end, segment: int = prefix.SEGMENT) -> DataFrame:
-    """Rows of each stream before its first row at or after ``end``, whatever the later ones' times are."""
+def until_time(log: DataFrame, end) -> DataFrame:
+    """Rows of each stream before its first row at or after ``end``, whatever the later ones' times are; rows don't move."""
     over = F.coalesce(F.col("ts") >= F.lit(end), F.lit(False))
-    rows = prefix.before(log, {"over": ("max", F.when(over, 1))}, segment=segment)
-    return rows.filter(F.col("over").isNull() & ~over).drop("over")
+    rows = by_stream(log, log.filter(over).groupBy("stream_id").agg(F.min(prefix.place("seq")).alias("over")))
+    return rows.filter(F.col("over").isNull() | (prefix.place("seq") < F.col("over"))).drop("over")
 
 
 def get(log: DataFrame, seq: int) -> DataFrame:

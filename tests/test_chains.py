@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from streamchain.operators import chain, prefix, verify
+from streamchain.operators import chain, prefix, scan, verify
 from streamchain.operators.chain import Anchor, Bridge, Fold
 from streamchain.operators.tolerance import Counts, Tolerances, counters, first_desync
 from streamchain.operators.verify import Verifier
@@ -349,3 +349,19 @@ def test_stored_logs_hold_no_hashes_and_their_rows_move_once(spark, sf):
     by_cell = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "cell" in line]
     assert not {"hash", "prev_hash"} & set(made.columns) and len(by_cell) == 1
     assert {"hash", "prev_hash"} < set(adapters.noisy_log(spark, sf).columns)
+
+
+def _moves(df):
+    """Exchanges of a plan that move rows between tasks."""
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def _places(df):
+    return sorted((str(r.stream_id), str(r.seq)) for r in df.select("stream_id", "seq").collect())
+
+
+def test_a_log_isnt_moved_to_be_cut_at_a_time(spark):
+    rows = [(s, q, t) for s in ("a", None) for q, t in ((None, 0), (1, None), (2, 5), (3, 9), (4, 1), (5, 9))] + [("low", 1, 1), ("high", None, 9), ("high", 1, 1)]
+    out = scan.until_time(spark.createDataFrame(rows, "stream_id string, seq long, ts long"), 9)
+    assert not _moves(out)
+    assert _places(out) == sorted([(str(s), str(q)) for s in ("a", None) for q in (None, 1, 2)] + [("low", "1")])
