@@ -440,13 +440,13 @@ def take_while(chain: DataFrame, last_block: tuple[int, int, int] | None = None,
     return chain
 
 
-def anchored(log: DataFrame, anchor: Anchor, segment: int = prefix.SEGMENT) -> DataFrame:
-    """The log from where an empty output may begin: from the anchor block's first row, after the pre-anchor, or from the anchor seq."""
+def anchored(log: DataFrame, anchor: Anchor) -> DataFrame:
+    """The log from where an empty output may begin: from the anchor block's first row, after the pre-anchor, or from the anchor seq. Rows don't move."""
     if anchor.seq is not None:
         return log.filter(F.col("seq") >= anchor.seq)
     key = order_key(F.col("height"), F.col("block_type"), F.col("shard_id"))
     block = anchor.block or anchor.after
     literal = order_key(F.lit(block[0]).cast("long"), F.lit(block[1]), F.lit(block[2]).cast("long"))
     meets = (key == literal) if anchor.block else ((F.col("block_type") == 0) & (key > literal))
-    rows = prefix.before(log, {"begun": ("max", F.when(meets, 1))}, segment=segment)
-    return rows.filter(F.col("begun").isNotNull() | F.coalesce(meets, F.lit(False))).drop("begun")
+    rows = by_stream(log, log.filter(meets).groupBy("stream_id").agg(F.min(prefix.place("seq")).alias("begun")))
+    return rows.filter(prefix.place("seq") >= F.col("begun")).drop("begun")

@@ -365,3 +365,12 @@ def test_a_log_isnt_moved_to_be_cut_at_a_time(spark):
     out = scan.until_time(spark.createDataFrame(rows, "stream_id string, seq long, ts long"), 9)
     assert not _moves(out)
     assert _places(out) == sorted([(str(s), str(q)) for s in ("a", None) for q in (None, 1, 2)] + [("low", "1")])
+
+
+def test_a_log_isnt_moved_to_be_anchored(spark):
+    rows = [(s, q, h, k, 0) for s in ("a", None) for q, h, k in ((None, 1, 0), (1, None, 0), (2, 5, 1), (3, 5, 0), (4, 2, 0), (5, 5, 0))] + [("none", 1, 1, 0, 0)]
+    log = spark.createDataFrame(rows, "stream_id string, seq long, height long, block_type int, shard_id long")
+    for anchor in (chain.Anchor(block=(5, 0, 0)), chain.Anchor(after=(4, 0, 0))):
+        out = chain.anchored(log, anchor)
+        assert not _moves(out)
+        assert _places(out) == sorted((str(s), str(q)) for s in ("a", None) for q in (3, 4, 5))
