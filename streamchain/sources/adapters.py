@@ -159,9 +159,9 @@ def shard_masks(log: DataFrame) -> DataFrame:
     return ids.select("stream_id", "height", mask.alias("shard_mask"))
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two redundant inputs with holes: "a" lacks heights divisible by 3, "b" those divisible by 5."""
-    log = chain_log(spark, sf_dir).filter("block_type = 0")
+def inputs(log: DataFrame) -> DataFrame:
+    """Two redundant inputs with holes, of the blocks of a log: "a" lacks heights divisible by 3, "b" those divisible by 5."""
+    log = log.filter("block_type = 0")
     a = log.filter("height % 3 <> 0").withColumn("input_id", F.lit("a"))
     return a.unionByName(log.filter("height % 5 <> 0").withColumn("input_id", F.lit("b")))
 

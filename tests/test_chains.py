@@ -374,3 +374,12 @@ def test_a_log_isnt_moved_to_be_anchored(spark):
         out = chain.anchored(log, anchor)
         assert not _moves(out)
         assert _places(out) == sorted((str(s), str(q)) for s in ("a", None) for q in (3, 4, 5))
+
+
+def test_hashes_are_made_after_a_linked_log_is_stored(spark, sf):
+    from streamchain import catalog
+    from streamchain.sources import adapters
+
+    catalog.queries()["chain_hash_linked"](spark, sf)
+    path, schema = adapters._STORED[spark.sparkContext.applicationId, sf, "linked_log"]
+    assert "before" in schema.names and not {"hash", "prev_hash"} & set(schema.names)
