@@ -33,15 +33,22 @@ def classify_writes(requests: DataFrame, output: DataFrame) -> DataFrame:
 
     An empty pred_msg_id isn't enforced. An id that the output has (its last seq counts) is a
     duplicate if it is in its place, else a collision. Joins on keys, none of which can multiply a
-    request: by id, and by the position after the predecessor. The predecessor itself matters where
-    it is the last row alone, so the bounds have it: a row a stream, broadcast where these are few.
+    request: by id; and by the position after the predecessor, which only requests of unknown ids
+    within the output's bounds are moved for. The predecessor itself matters where it is the last
+    row alone, so the bounds have it: a row a stream, broadcast where these are few.
     """
     own = output.select("stream_id", "seq", "msg_id")
     last_row = F.max(F.struct("seq", "msg_id")).alias("last_row")
     bounds = own.groupBy("stream_id").agg(F.min("seq").alias("first_seq"), last_row).select("stream_id", "first_seq", F.col("last_row.seq").alias("last_seq"), F.col("last_row.msg_id").alias("last_id"))
     known = own.groupBy("stream_id", "msg_id").agg(F.max("seq").alias("known_seq"))
+    r = cut(by_stream(on_keys(requests, known, ["stream_id", "msg_id"]), bounds))
+    asks = F.coalesce(F.col("known_seq").isNull() & (F.col("pred_seq") + 1 >= F.col("first_seq")) & (F.col("pred_seq") + 1 <= F.col("last_seq")), F.lit(False))
+    wanted = r.filter(asks).select("stream_id", (F.col("pred_seq") + 1).alias("seq"))
+    if wanted.limit(FEW_STREAMS + 1).count() <= FEW_STREAMS:
+        own = on_keys(own, F.broadcast(wanted), ["stream_id", "seq"], "left_semi")
     places = own.groupBy("stream_id", (F.col("seq") - 1).alias("pred_seq")).agg(F.max("msg_id").alias("place_id"))
-    r = by_stream(on_keys(on_keys(requests, known, ["stream_id", "msg_id"]), places, ["stream_id", "pred_seq"]), bounds)
+    placed = on_keys(r.filter(asks), places, ["stream_id", "pred_seq"])
+    r = placed.unionByName(r.filter(~asks).withColumn("place_id", F.lit(None).cast("string")))
     pred, last, free = F.col("pred_seq"), F.coalesce("last_seq", F.lit(0)), F.col("pred_msg_id") == ""
     rules = [
         (F.col("known_seq") == pred + 1, "OK", "duplicate"),

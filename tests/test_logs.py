@@ -183,3 +183,15 @@ def test_histogram_edges(spark):
     got = {r.le: r.n for r in metrics.histogram(t, F.col("v"), [], [10.0, 20.0]).collect()}
     assert got == {0: 2, 1: 4, 2: 5}
     assert metrics.linear(1, 2, 3) == [1, 3, 5] and metrics.exponential(1, 100, 3) == pytest.approx([1, 10, 100])
+
+
+def test_only_writes_that_ask_for_a_place_are_moved_for_it(spark):
+    """Requests of known ids, and those at or beyond the end, would all meet in the place after the last row."""
+    rows = [(s, q, f"{q}") for s in ("s", None) for q in range(1, 201)]
+    out = spark.createDataFrame(rows, "stream_id string, seq long, msg_id string")
+    requests = spark.createDataFrame([(s, m, q, "") for s in ("s", None) for q, m in [(200, f"n{k}") for k in range(300)] + [(k, f"{k + 1}") for k in range(200)] + [(5, "other")]], "stream_id string, msg_id string, pred_seq long, pred_msg_id string")
+    got = sink.classify_writes(requests, out)
+    counts = {(r.stream_id, r.outcome, r.status): r["count"] for r in got.groupBy("stream_id", "outcome", "status").count().collect()}
+    assert counts == {(s, *k): n for s in ("s", None) for k, n in {("OK", "success"): 300, ("OK", "duplicate"): 200, ("Collision", "collision"): 1}.items()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan  # those that ask for no place pass beside the join
