@@ -55,17 +55,20 @@ def deduplicate_within(log: DataFrame, seconds: float = 120.0, segment: int = pr
     return rows.filter("opens_").unionByName(late).select(*log.columns, "msg_id")
 
 
+#: What a candidate's turn in its chain depends on, and its stream.
+TURN = ("stream_id", "height", "input_id", "seq")
 #: Heights of a segment of candidates, each walked in a task of its own.
 STRETCH = 1 << 16
 
 
-def merged(inputs: DataFrame, start_height: int = 0, contiguous: bool = False, hash_ci: bool = False, stretch: int = STRETCH, segment: int = prefix.SEGMENT) -> DataFrame:
+def merged(inputs: DataFrame, start_height: int = 0, contiguous: bool = False, hash_ci: bool = False, stretch: int = STRETCH, segment: int = prefix.SEGMENT, columns: tuple[str, ...] | None = None) -> DataFrame:
     """One chain from several inputs (input_id): candidates come by (height, input_id, seq), and one is taken if it is higher than the head and its prev_hash is the head's hash.
 
     Others are passed over, so where an input has a bad block, the next input's good one is
     taken. The first candidate begins the chain; with a ``start_height``, the first one of that
     height. ``contiguous`` takes no block but that of the next height; ``hash_ci`` compares
     hashes in lower case. A missing hash is an empty one; rows without height don't count.
+    ``columns`` (stream_id and height among them): those that are given out, if not all; others don't move.
 
     What may follow a head depends on its height and hash alone. So each (height, hash) has one
     successor, which a prefix pass over heights by hash finds; heights are cut into stretches,
@@ -73,8 +76,9 @@ def merged(inputs: DataFrame, start_height: int = 0, contiguous: bool = False, h
     by doubled steps (rows of entries only), and then each stretch gives its rows on the path.
     """
     folded = (lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))) if hash_ci else (lambda c: F.coalesce(F.col(c), F.lit("")))
-    names = inputs.columns
-    rows = inputs.filter(F.col("height") >= start_height).withColumns({"__hash": folded("hash"), "__prev": folded("prev_hash")})
+    names = list(columns or inputs.columns)
+    moved = dict.fromkeys((*names, "height", "input_id", "seq"))
+    rows = inputs.filter(F.col("height") >= start_height).select(*moved, folded("hash").alias("__hash"), folded("prev_hash").alias("__prev"))
     steps = first_per(rows, ["stream_id", "height", "__prev"], ["input_id", "seq"])  # all of one head's first followers at a height
     first = rows.filter(F.col("height") == start_height) if start_height else rows
     first = first_per(first, ["stream_id"], ["height", "input_id", "seq"])
@@ -192,7 +196,7 @@ def merge_counts(inputs: DataFrame, chain: DataFrame, start_height: int = 0, con
     marked as corrupted, or without height, have no block to judge.
     """
     folded = (lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))) if hash_ci else (lambda c: F.coalesce(F.col(c), F.lit("")))
-    turn = ["stream_id", "height", "input_id", "seq"]
+    turn = TURN
     bad = F.col("height").isNull() | (F.coalesce("corrupted", F.lit(False)) if "corrupted" in inputs.columns else F.lit(False))
     taken = chain.select(F.struct(*turn).alias("turn_"), F.lit(True).alias("taken_"))
     rows = inputs.withColumn("bad_", bad).withColumn("turn_", F.struct(*turn)).join(taken, "turn_", "left")

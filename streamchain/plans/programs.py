@@ -62,8 +62,8 @@ def validate(log: DataFrame, start_seq: int = 0, contiguous: bool = False, hash_
     return verify.first_violation(log.filter(F.col("seq") >= start_seq), contiguous=contiguous, hash_ci=hash_ci)
 
 
-def multi_bridge(inputs: DataFrame, start_height: int = 0) -> DataFrame:
-    return merge.merged(inputs, start_height)
+def multi_bridge(inputs: DataFrame, start_height: int = 0, columns: tuple[str, ...] | None = None) -> DataFrame:
+    return merge.merged(inputs, start_height, columns=columns)
 
 
 def shrink(log: DataFrame, limit_bytes: int) -> DataFrame:

@@ -195,3 +195,13 @@ def test_only_writes_that_ask_for_a_place_are_moved_for_it(spark):
     assert counts == {(s, *k): n for s in ("s", None) for k, n in {("OK", "success"): 300, ("OK", "duplicate"): 200, ("Collision", "collision"): 1}.items()}
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan  # those that ask for no place pass beside the join
+
+
+def test_a_merge_moves_what_it_gives_out(spark):
+    rows = [(s, i, h, f"h{h}", f"h{h - 1}", h, "wide") for s in ("s", None) for i in "ab" for h in range(1, 9)]
+    t = spark.createDataFrame(rows, f"{MERGE}, rest string")
+    out = merge.merged(t, columns=merge.TURN, stretch=2, segment=3)
+    assert out.columns == list(merge.TURN)
+    assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, (tuple(r) for r in merge.merged(t).select(*merge.TURN).collect())))
+    counts = merge.merge_counts(t, out, segment=3)
+    assert sorted((r.input_id, r.handled, r.written, r.low) for r in counts.collect()) == [("a", 16, 16, 0), ("b", 16, 0, 16)]
