@@ -150,27 +150,31 @@ def _held(rows: DataFrame) -> DataFrame:
     )
 
 
-def append(rows: DataFrame, path: str, at: int | None = None, segment: int = SEGMENT) -> int:
+def append(rows: DataFrame, path: str, at: int | None = None, segment: int = SEGMENT, adding: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Add rows (stream_id, seq and more) that follow the heads of their streams, as commit ``at`` or later; the store's version then.
 
     In each stream the first seq is one above the last one written, and none is missing. Where
     another writer has taken the number, its rows are looked at: if streams of ours have moved
     on, nothing is written and Conflict is raised, and the caller verifies its rows again (see
-    ``written``); else the next number is tried. No rows make no commit.
+    ``written``); else the next number is tried. No rows make no commit. ``adding`` gives the rows
+    columns that are made of their others: they are stored too, but not moved to their segments.
     """
     spark = rows.sparkSession
     at = version(spark, path) if at is None else at
     batch = uuid.uuid4().hex
     own = f"{path}/rows/{batch}"
     placed = rows.withColumn("segment", F.expr(f"seq div {segment}")).withColumn("stream", stream_key(F.col("stream_id")))
-    placed.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "seq").write.partitionBy(*_PLACE).parquet(own)
-    names = T.StructType([*rows.schema.fields, T.StructField("segment", T.LongType()), T.StructField("stream", T.StringType())])
+    placed = placed.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "seq")
+    placed = adding(placed) if adding else placed
+    placed.write.partitionBy(*_PLACE).parquet(own)
+    schema = placed.drop(*_PLACE).schema
+    names = T.StructType([*schema.fields, T.StructField("segment", T.LongType()), T.StructField("stream", T.StringType())])
     _held(spark.read.schema(names).parquet(own)).write.parquet(f"{path}/segments/{batch}")
     fresh = spark.read.parquet(f"{path}/segments/{batch}").groupBy("stream_id").agg(F.min("first_seq").alias("begin"), F.max("last_seq").alias("end"), F.sum("msgs").alias("msgs"))
     if fresh.isEmpty():
         _drop(spark, path, batch)
         return at
-    commit = json.dumps({"kind": "rows", "batch": batch, "segment": segment, "schema": rows.schema.jsonValue()})
+    commit = json.dumps({"kind": "rows", "batch": batch, "segment": segment, "schema": schema.jsonValue()})
     while True:
         last = heads(spark, path, at)
         known = on_keys(fresh, last, ["stream_id"]) if last is not None else fresh.withColumn("last_seq", F.lit(None).cast("long"))

@@ -141,3 +141,20 @@ def test_a_live_log_and_its_restart(spark, stored, tmp_path):
     late = spark.readStream.format("streamlog").option("startingCommit", 2).load(stored)
     append_stream(late, f"{out}2", f"{tmp_path}/checkpoint2").awaitTermination()
     assert rows_of(spark.read.parquet(f"{out}2").drop("batch")) == rows_of(log_of(spark, seqs=range(41, 50)))
+
+
+def test_columns_made_of_others_are_stored_but_not_moved(spark, tmp_path):
+    path, seen = f"file://{tmp_path}/log", []
+
+    def adding(rows):
+        seen.append(rows._jdf.queryExecution().executedPlan().toString())
+        return rows.withColumn("hash", F.md5(F.col("seq").cast("string").cast("binary"))).drop("shard_id")
+
+    logstore.append(log_of(spark, seqs=range(1, 25)), path, segment=8, adding=adding)
+    logstore.append(log_of(spark, seqs=range(25, 41)), path, segment=8, adding=adding)
+    got = logstore.read(spark, path)
+    assert got.columns == ["stream_id", "seq", "height", "block_type", "bytes", "hash"]
+    assert rows_of(got) == rows_of(log_of(spark).withColumn("hash", F.md5(F.col("seq").cast("string").cast("binary"))).select(*got.columns))
+    assert len(seen) == 2 and all("Exchange" in plan and "md5" not in plan for plan in seen)
+    datasource.register(spark)
+    assert rows_of(spark.read.format("streamlog").load(path)) == rows_of(got)
