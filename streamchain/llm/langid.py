@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -108,6 +109,12 @@ def _clusters(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def _counted(some: list) -> Iterator[np.ndarray]:
+    """Counts of the rows of a sample, ROWS at a time: what is made of them is eight times as wide, or more."""
+    for i in range(0, len(some), ROWS):
+        yield np.stack([np.frombuffer(zlib.decompress(r["counts"]), "<u2") for r in some[i : i + ROWS]])
+
+
 def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language: int = 600, least: int = 8, clusters: int = 4, slack: float = 0.6) -> Model:
     """Learn from docs (doc_id, text, lang): rows with text and lang, whatever their ids, ``per_language`` documents a language and about ``sample`` in all.
 
@@ -144,19 +151,25 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = 2400, per_language:
     languages = sorted({r["lang"] for r in rows})
     if not rows:
         return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, np.int64), np.zeros((0, len(LENGTHS))))
-    found = lambda some: np.stack([np.frombuffer(zlib.decompress(r["counts"]), "<u2") for r in some])
     whole = [r for r in rows if r.cut == len(LENGTHS)]
-    have = found(whole)
-    idf = np.log((1 + len(whole)) / (1 + (have > 0).sum(axis=0))) + 1
-    unit = _unit(np.log1p(have) * idf).astype(np.float32)
+    idf = np.log((1 + len(whole)) / (1 + sum((held > 0).sum(axis=0) for held in _counted(whole)))) + 1
     lang = np.array([languages.index(r["lang"]) for r in whole])
+    unit = np.empty((len(whole), DIMENSIONS), np.float32)
+    for k, held in enumerate(_counted(whole)):
+        unit[k * ROWS : (k + 1) * ROWS] = _unit(np.log1p(held) * idf)
     parts = [_clusters(unit[lang == k], clusters) for k in range(len(languages))]
-    floor = np.zeros((len(languages), len(LENGTHS)))
+    del unit
+    likeness: dict[tuple[int, int], list[np.ndarray]] = {}
     for c in range(len(LENGTHS)):
         some = [r for r in rows if r.cut == c]
-        short, of = _unit(np.log1p(found(some)) * idf), np.array([languages.index(r["lang"]) for r in some])
-        for k in range(len(languages)):
-            floor[k, c] = slack * float(np.quantile((short[of == k] @ parts[k].T).max(axis=1), 0.01))
+        of = np.array([languages.index(r["lang"]) for r in some])
+        for i, held in enumerate(_counted(some)):
+            short, own = _unit(np.log1p(held) * idf), of[i * ROWS : (i + 1) * ROWS]
+            for k in np.unique(own).tolist():
+                likeness.setdefault((k, c), []).append((short[own == k] @ parts[k].T).max(axis=1))
+    floor = np.zeros((len(languages), len(LENGTHS)))
+    for (k, c), found in likeness.items():
+        floor[k, c] = slack * float(np.quantile(np.concatenate(found), 0.01))
     return Model(languages, idf.astype(np.float32), np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.maximum.accumulate(floor, axis=1))
 
 
