@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
-from itertools import chain
 from string import punctuation
 
 import numpy as np
@@ -17,11 +17,10 @@ from pyspark.sql.window import Window
 
 from .arrow import chunks, texts
 from .components import cut
-from .packing import ENCODED, _gather, load_tokenizer
+from .packing import CHUNK_BYTES, Known, _gather, known_to_worker, load_tokenizer
 
 RESULT = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"
-CHUNK_BYTES = 10 << 20
 #: Bits for a piece's number among those of its length.
 _RANK = 44
 
@@ -66,19 +65,14 @@ def _halves(units: pa.Array) -> pa.Array:
     return pa.concat_arrays([stem, tail])
 
 
-def encoded(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in a row by a byte-level tokenizer, an end id after each; and where each text begins (one entry more than texts). Each distinct stretch of the chunk is encoded once."""
+def encoded(tokenizer, column: pa.Array, end_id: int, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row by a byte-level tokenizer, an end id after each; and where each text begins (one entry more than texts). Each distinct stretch that isn't known from earlier chunks is encoded once."""
     first, units = spaced(column)
     coded = units.dictionary_encode()
     parts = _halves(coded.dictionary).dictionary_encode()
-    stems, flat, sizes = parts.dictionary, [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for k in range(0, len(stems), ENCODED):
-        found = [e.ids for e in tokenizer.encode_batch_fast(stems.slice(k, ENCODED).to_pylist(), add_special_tokens=False)]
-        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes[-1].sum())))
-    flat, sizes = np.concatenate(flat), np.concatenate(sizes)
+    flat, begins, sizes = (known or Known()).encode(tokenizer, parts.dictionary)
     part = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(2, -1).T.ravel()
-    flat, sizes = _gather(flat, (np.cumsum(sizes) - sizes)[part], sizes[part]), sizes[part].reshape(-1, 2).sum(1)
+    flat, sizes = _gather(flat, begins[part], sizes[part]), sizes[part].reshape(-1, 2).sum(1)
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     ids = _gather(flat, (np.cumsum(sizes) - sizes)[code], sizes[code])
     bounds = np.concatenate(([0], np.cumsum(sizes[code])))[first]
@@ -213,11 +207,14 @@ def slots(plan: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 
 
 def _pieces(tokenizer_path: str, capacity: int, end_id: int):
+    this = uuid.uuid4().hex
+
     def run(batches):
         tokenizer = load_tokenizer(tokenizer_path)
+        known = known_to_worker(this)
         seen, part = np.zeros(capacity + 1, np.int64), TaskContext.get().partitionId()
         for batch in chunks(batches, limit=CHUNK_BYTES):
-            ids, at = encoded(tokenizer, texts(batch.column("text")), end_id)
+            ids, at = encoded(tokenizer, texts(batch.column("text")), end_id, known)
             n = np.diff(at)
             count = -(-n // capacity)
             doc = np.repeat(np.arange(len(n)), count)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
+from functools import lru_cache
 from itertools import chain
 from string import punctuation
 
@@ -16,8 +18,8 @@ from pyspark.sql import DataFrame
 from .arrow import ascii_lower, chunks, split_words, texts
 
 RESULT = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Text bytes of a chunk (the larger, the fewer words are encoded again), and words that are encoded at a time.
-CHUNK_BYTES, ENCODED = 10 << 20, 1 << 13
+#: Text bytes of a chunk, words that are encoded at a time, and bytes of words and ids that a worker keeps for the chunks and tasks that follow.
+CHUNK_BYTES, ENCODED, KNOWN_BYTES = 8 << 20, 1 << 13, 32 << 20
 _TYPES = (pa.int64(),) * 7
 _NAMES = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
@@ -51,24 +53,54 @@ def _units(words: pa.Array) -> tuple[pa.Array, pa.Array]:
     return stem, pc.if_else(cut, pc.replace_substring_regex(words, "^.*[^[:punct:]]", ""), "")
 
 
-def encoded(tokenizer, column: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+class Known:
+    """Texts that were encoded, and their ids: what later chunks have in common with them isn't encoded again. Before it exceeds ``most`` bytes, all is forgotten but the chunk at hand."""
+
+    def __init__(self, most: int = KNOWN_BYTES):
+        self.most = most
+        self.forget()
+
+    def forget(self) -> None:
+        self.units, self.flat, self.sizes = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(0, np.int32)
+
+    def encode(self, tokenizer, units: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a row, where those of each of these distinct units begin in them, and how many they are."""
+        if self.units.nbytes + self.flat.nbytes + self.sizes.nbytes + units.nbytes > self.most:
+            self.forget()
+        at = pc.index_in(units, value_set=self.units)
+        fresh = units.filter(at.is_null())
+        flat, sizes = [self.flat], [self.sizes]
+        for k in range(0, len(fresh), ENCODED):
+            pieces = [e.ids for e in tokenizer.encode_batch_fast(fresh.slice(k, ENCODED).to_pylist(), add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, pieces), np.int32, len(pieces)))
+            flat.append(np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes[-1].sum())))
+        at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = len(self.units) + np.arange(len(fresh))
+        self.units, self.flat, self.sizes = pa.concat_arrays([self.units, fresh]), np.concatenate(flat), np.concatenate(sizes)
+        sizes = self.sizes.astype(np.int64)
+        return self.flat, (np.cumsum(sizes) - sizes)[at], sizes[at]
+
+
+@lru_cache(1)
+def known_to_worker(run: str) -> Known:
+    """What a worker's tasks of this run have encoded so far; another run begins anew."""
+    return Known()
+
+
+def encoded(tokenizer, column: pa.Array, end_id: int, known: Known | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row, an end id after each; and where each text begins (one entry more than texts).
 
     The tokenizer never joins characters across ASCII white space, and drops it. So each
-    distinct word of the chunk is encoded once and the ids of a text are its words' ids.
+    distinct word that isn't known from earlier chunks is encoded once and the ids of a text are
+    its words' ids.
     """
     first, words = split_words(column)
     coded = words.dictionary_encode()
     parts = pa.concat_arrays(_units(coded.dictionary)).dictionary_encode()
-    units, flat, sizes = parts.dictionary, [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for k in range(0, len(units), ENCODED):
-        pieces = [e.ids for e in tokenizer.encode_batch_fast(units.slice(k, ENCODED).to_pylist(), add_special_tokens=False)]
-        sizes.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-        flat.append(np.fromiter(chain.from_iterable(pieces), np.uint32, int(sizes[-1].sum())))
-    flat, sizes = np.concatenate(flat), np.concatenate(sizes)
+    flat, begins, sizes = (known or Known()).encode(tokenizer, parts.dictionary)
     # units -> distinct words (a stem and a tail each) -> words -> texts
     unit = parts.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(2, -1).T.ravel()
-    flat, sizes = _gather(flat, (np.cumsum(sizes) - sizes)[unit], sizes[unit]), sizes[unit].reshape(-1, 2).sum(1)
+    flat, sizes = _gather(flat, begins[unit], sizes[unit]), sizes[unit].reshape(-1, 2).sum(1)
     code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     ids = _gather(flat, (np.cumsum(sizes) - sizes)[code], sizes[code])
     bounds = np.concatenate(([0], np.cumsum(sizes[code])))[first]
@@ -183,11 +215,14 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int
     task. Window ids hold the partition's number in their upper bits.
     """
 
+    this = uuid.uuid4().hex
+
     def run(batches):
         tokenizer = load_tokenizer(tokenizer_path)
+        known = known_to_worker(this)
         packer = Packer(capacity, most_open, TaskContext.get().partitionId() << 32)
         for batch in chunks(batches, limit=CHUNK_BYTES):
-            ids, at = encoded(tokenizer, texts(batch.column("text")), end_id)
+            ids, at = encoded(tokenizer, texts(batch.column("text")), end_id, known)
             for k, doc in enumerate(batch.column("doc_id").to_pylist()):
                 packer.add(doc, ids[at[k] : at[k + 1]].copy())
             yield packer.take_rows()

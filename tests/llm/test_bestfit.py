@@ -107,3 +107,15 @@ def test_exact_complements_come_first():
     assert bestfit.patterns(counts, 10) == [((9, 1), 1), ((7, 3), 1), ((4, 2), 1)]
     held = bestfit.Lengths(np.bincount([3, 3, 2], minlength=11))
     assert held.exact(6) == (3, 3) and held.exact(8) == (3, 3, 2) and held.exact(9) == () and held.exact(4) == ()
+
+
+def test_stretches_of_earlier_chunks_are_not_encoded_again():
+    from .test_packing import Counting
+
+    counting, known = Counting(PATH), bestfit.Known()
+    column = pa.array(["some words, some more", "", "naïve ß\n x"], pa.large_string())
+    bestfit.encoded(counting, column, 0, known)
+    before = counting.seen
+    ids, at = bestfit.encoded(counting, column, 0, known)
+    plain, places = bestfit.encoded(counting.inner, column, 0)
+    assert counting.seen == before and ids.tolist() == plain.tolist() and at.tolist() == places.tolist()

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from streamchain.llm import packing
@@ -77,3 +78,40 @@ def test_level_of_least_squares():
     assert [int(x) for x in np.flatnonzero(p.level)] == [6, 8]
     p.add(3, np.arange(2))
     assert [int(x) for x in np.flatnonzero(p.level)] == [6] and len(p.rows) == 3  # 8 + 2 is full
+
+
+class Counting:
+    """A tokenizer that tells how many texts it was given."""
+
+    def __init__(self, path):
+        self.inner, self.seen = packing.load_tokenizer(path), 0
+
+    def encode_batch_fast(self, texts, **more):
+        self.seen += len(texts)
+        return self.inner.encode_batch_fast(texts, **more)
+
+
+def test_words_of_earlier_chunks_are_not_encoded_again():
+    first, second = (pa.array(t, pa.large_string()) for t in (["some words, some more", "", "naïve ß"], ["more some words", "new <|endoftext|> ß"]))
+    counting, known = Counting(PATH), packing.Known()
+    packing.encoded(counting, first, 1, known)
+    before = counting.seen
+    ids, at = packing.encoded(counting, second, 1, known)
+    assert counting.seen - before == 2  # of the second chunk, only these are new: new, <|endoftext|>
+    plain, places = packing.encoded(counting.inner, second, 1)
+    assert ids.tolist() == plain.tolist() and at.tolist() == places.tolist()
+
+
+def test_known_words_are_bounded_and_change_nothing():
+    tokenizer = packing.load_tokenizer(PATH)
+    for most in (0, 60, 400, 1 << 20):
+        known = packing.Known(most)
+        for k in range(12):
+            column = pa.array([f"word{k} word{k + 1}, shared {k}.{k} {'x' * k}", None, ""][: 1 + k % 3], pa.large_string()).fill_null("")
+            got, plain = packing.encoded(tokenizer, column, 1, known), packing.encoded(tokenizer, column, 1)
+            assert all(a.tolist() == b.tolist() for a, b in zip(got, plain, strict=True))
+            assert known.units.nbytes + known.flat.nbytes + known.sizes.nbytes <= most + 400
+
+
+def test_another_run_begins_anew():
+    assert packing.known_to_worker("a") is packing.known_to_worker("a") and packing.known_to_worker("b") is not packing.known_to_worker("a")
