@@ -33,12 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as announcements and their lines as shards, with the order before in their stream and the columns that order rows of one place."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    tasks = -(-lines.count() // PLACED)
     heads = orders.select("o_orderkey", (F.col("o_custkey") % STREAMS).alias("stream_id"), "o_orderdate")
     heads = prefix.previous(heads, {"before": "o_orderkey"}, order="o_orderkey")
     zero = [F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"), F.lit(0.0).alias("k3")]
     common = ["stream_id", F.col("o_orderkey").alias("height"), "before"]
     announced = heads.select(*common, F.lit(0).alias("block_type"), F.lit(0).cast("long").alias("shard_id"), F.col("o_orderdate").alias("ts"), *zero)
-    shards = lines.join(heads, lines.l_orderkey == heads.o_orderkey).select(
+    ordered = heads
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):  # a task of the join sorts so many lines at most, however many there are
+        lines, ordered = lines.repartition(tasks, "l_orderkey"), heads.repartition(tasks, "o_orderkey")
+    shards = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey")).select(
         *common, F.lit(1).alias("block_type"), F.col("l_linenumber").cast("long").alias("shard_id"), F.col("l_shipdate").alias("ts"),
         F.col("l_partkey").cast("long").alias("k1"), F.col("l_suppkey").cast("long").alias("k2"), F.col("l_extendedprice").alias("k3"),
     )

@@ -205,3 +205,15 @@ def test_a_merge_moves_what_it_gives_out(spark):
     assert sorted(map(str, (tuple(r) for r in out.collect()))) == sorted(map(str, (tuple(r) for r in merge.merged(t).select(*merge.TURN).collect())))
     counts = merge.merge_counts(t, out, segment=3)
     assert sorted((r.input_id, r.handled, r.written, r.low) for r in counts.collect()) == [("a", 16, 16, 0), ("b", 16, 0, 16)]
+
+
+def test_tasks_of_the_join_of_lines_follow_their_number(spark, sf, monkeypatch):
+    from streamchain.sources import adapters
+
+    plain = sorted(map(tuple, adapters._rows(spark, sf).collect()), key=str)
+    monkeypatch.setattr(adapters, "PLACED", 100)
+    dealt = adapters._rows(spark, sf)
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-lines // 100)})" in plan and "REPARTITION_BY_NUM" in plan
+    assert sorted(map(tuple, dealt.collect()), key=str) == plain
