@@ -122,8 +122,8 @@ def payload_log(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """The blocks of the chain log as messages with payloads of a format, a hundredth of them broken; most have a message id."""
 
     def make(spark: SparkSession, sf_dir: str) -> DataFrame:
-        blocks = chain_log(spark, sf_dir)
-        sent = encode(blocks if kind == "proto_zstd" else blocks.filter("block_type = 0"), kind)
+        blocks = chain_log(spark, sf_dir).drop("ts")
+        sent = encode(blocks if kind == "proto_zstd" else blocks.filter("block_type = 0"), kind, without=("hash", "prev_hash"))
         data = F.when(F.col("seq") % 100 == 0, F.lit(b"\x07x")).otherwise(F.col("data")).alias("data")
         id_ = construct(F.col("height"), F.col("block_type"), F.col("shard_id"))
         held = F.when(F.col("seq") % 5 != 0, F.create_map(F.lit(MESSAGE_ID), F.array(id_))).otherwise(F.create_map().cast("map<string,array<string>>"))
