@@ -15,6 +15,18 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 
+#: Segments of a stream below twice this number have a folder each.
+FINE = 32
+
+
+def width(segment: int, most: int) -> int:
+    """How many segments share the folder that begins with this one: from the 64th on two, from the 128th on four, and so on, ``most`` at most, so that a log of n segments has some 32 log2(n) folders, or one for ``most``."""
+    out = 1
+    while 2 * out <= most and segment >= 2 * FINE * out:
+        out *= 2
+    return out
+
+
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
 
@@ -33,7 +45,7 @@ def commits(path: str) -> list[dict]:
 
 @dataclass
 class Segment(InputPartition):
-    """Files of one segment of one stream in one commit; ``floor``: the first seq that retention has left."""
+    """Files of one folder of one stream in one commit, with the segment that it begins with; ``floor``: the first seq that retention has left."""
 
     files: list[str]
     number: int = 0
@@ -70,7 +82,7 @@ def _read(path: str, schema: T.StructType, part: Segment) -> Iterator[pa.RecordB
 class LogSource(DataSource):
     """A log that ``logstore.append`` wrote. Option ``path`` (or load's argument): the store, on a file system that Arrow opens.
 
-    A batch read makes a partition of each segment and takes over comparisons of seq, by which
+    A batch read makes a partition of each folder of segments and takes over comparisons of seq, by which
     whole segments and row groups are skipped; rows below a stream's retained tail are left
     out. A stream starts with commit ``startingCommit`` (0 if not given); its offset is the
     number of commits, of which each adds the next seqs of its streams in one step, so that an
@@ -120,7 +132,7 @@ class LogReader(DataSourceReader):
                     floors[stream] = max(floor, floors.get(stream, floor))
         out = []
         for c, stream, part in _segments(self.path, [c for c in found if c["kind"] == "rows"]):
-            low, high = part.number * c["segment"], (part.number + 1) * c["segment"] - 1
+            low, high = part.number * c["segment"], (part.number + width(part.number, c.get("folder", 1))) * c["segment"] - 1
             part.floor, part.bounds = floors.get(stream), self.bounds
             wanted = all({">=": high >= v, ">": high > v, "<=": low <= v, "<": low < v, "=": low <= v <= high}[sign] for sign, v in self.bounds)
             if wanted and (part.floor is None or high >= part.floor):

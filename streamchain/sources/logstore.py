@@ -1,8 +1,9 @@
 """Logs stored by segments of seqs, appended to by expected last seq, with a table of what each segment holds.
 
 A store is a folder. Each append is a folder of Parquet rows below ``rows``, partitioned by
-segment and stream, and one of what its segments hold below ``segments``; it is part of the log
-once a commit names it. Commits are numbered from 0 on, and one is made only where none of its
+stream and by segment, or by several segments where a stream has many, so that listings stay
+small, and one of what its segments hold below ``segments``; it is part of the log once a commit
+names it. Commits are numbered from 0 on, and one is made only where none of its
 number exists: of several writers one wins each number, and the others see what it added. This
 needs a file system whose rename is atomic and doesn't replace a file, or a local one. The
 driver handles commits alone; rows, heads and segments stay tables.
@@ -27,8 +28,9 @@ from ..operators.seek import outcome
 from ..operators.sink import FEW_STREAMS, by_stream, on_keys
 from .adapters import numbered
 from .checkpoint import cut
+from .datasource import FINE
 
-#: Seqs of a segment.
+#: Seqs of a segment; smaller segments share folders of as many seqs at most.
 SEGMENT = 1 << 16
 _PLACE = ["segment", "stream"]
 
@@ -89,6 +91,15 @@ def stream_key(stream: Column) -> Column:
     return F.hex(F.xxhash64(stream))
 
 
+def _folder(segment: Column, most: int) -> Column:
+    """The first segment of the folder that holds a segment: ``datasource.width`` of them lie in one."""
+    width, one = F.lit(1), 2
+    while one <= most:
+        width = F.when(segment >= FINE * one, one).otherwise(width)
+        one *= 2
+    return (segment - segment % width).cast("long")
+
+
 def _folders(path: str, kind: str, found: list[dict]) -> list[str]:
     return [f"{path}/{kind}/{c['batch']}" for c in found if c["kind"] == ("floors" if kind == "floors" else "rows")]
 
@@ -102,15 +113,18 @@ def _floors(spark: SparkSession, path: str, found: list[dict]) -> DataFrame | No
 
 
 def read(spark: SparkSession, path: str, upto: int | None = None, only: DataFrame | None = None) -> DataFrame:
-    """The rows of the log, as the first ``upto`` commits leave it; of those segments only, if given (segment, stream): the scan then reads their folders alone."""
+    """The rows of the log, as the first ``upto`` commits leave it; of those segments only, if given (segment, stream): the scan then reads folders that hold them alone."""
     found = commits(spark, path, upto)
     schema = T.StructType.fromJson(next(c["schema"] for c in found if c["kind"] == "rows"))
     placed = T.StructType([*schema.fields, T.StructField("segment", T.LongType()), T.StructField("stream", T.StringType())])
-    parts = [spark.read.schema(placed).option("basePath", folder).parquet(folder) for folder in _folders(path, "rows", found)]
+    made = [c for c in found if c["kind"] == "rows"]
+    parts = [spark.read.schema(placed).option("basePath", folder).parquet(folder) for folder in _folders(path, "rows", made)]
     if only is not None:
         wanted = only.select(*_PLACE).distinct().filter(F.col("segment") > -(1 << 62))  # a comparison, without which Spark doesn't prune folders by a join
-        wanted = F.broadcast(wanted) if only.limit(FEW_STREAMS + 1).count() <= FEW_STREAMS else wanted
-        parts = [p.join(wanted, _PLACE, "left_semi") for p in parts]
+        few = only.limit(FEW_STREAMS + 1).count() <= FEW_STREAMS
+        own = [wanted.withColumn("__own", F.col("segment")).withColumn("segment", _folder(F.col("segment"), c.get("folder", 1))) for c in made]
+        own = [F.broadcast(w) if few else w for w in own]
+        parts = [p.withColumn("__own", F.expr(f"seq div {c['segment']}")).join(w, [*_PLACE, "__own"], "left_semi") for p, w, c in zip(parts, own, made, strict=True)]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -162,19 +176,20 @@ def append(rows: DataFrame, path: str, at: int | None = None, segment: int = SEG
     spark = rows.sparkSession
     at = version(spark, path) if at is None else at
     batch = uuid.uuid4().hex
-    own = f"{path}/rows/{batch}"
-    placed = rows.withColumn("segment", F.expr(f"seq div {segment}")).withColumn("stream", stream_key(F.col("stream_id")))
+    own, folder = f"{path}/rows/{batch}", max(1, SEGMENT // segment)
+    number = F.expr(f"seq div {segment}")
+    placed = rows.withColumn("segment", _folder(number, folder)).withColumn("stream", stream_key(F.col("stream_id")))
     placed = placed.repartition(*_PLACE).sortWithinPartitions(*_PLACE, "seq")
     placed = adding(placed) if adding else placed
     placed.write.partitionBy(*_PLACE).parquet(own)
     schema = placed.drop(*_PLACE).schema
     names = T.StructType([*schema.fields, T.StructField("segment", T.LongType()), T.StructField("stream", T.StringType())])
-    _held(spark.read.schema(names).parquet(own)).write.parquet(f"{path}/segments/{batch}")
+    _held(spark.read.schema(names).parquet(own).withColumn("segment", number)).write.parquet(f"{path}/segments/{batch}")
     fresh = spark.read.parquet(f"{path}/segments/{batch}").groupBy("stream_id").agg(F.min("first_seq").alias("begin"), F.max("last_seq").alias("end"), F.sum("msgs").alias("msgs"))
     if fresh.isEmpty():
         _drop(spark, path, batch)
         return at
-    commit = json.dumps({"kind": "rows", "batch": batch, "segment": segment, "schema": schema.jsonValue()})
+    commit = json.dumps({"kind": "rows", "batch": batch, "segment": segment, "folder": folder, "schema": schema.jsonValue()})
     while True:
         last = heads(spark, path, at)
         known = on_keys(fresh, last, ["stream_id"]) if last is not None else fresh.withColumn("last_seq", F.lit(None).cast("long"))
@@ -289,7 +304,7 @@ def shrink(spark: SparkSession, path: str, most_bytes: int) -> int:
 
 
 def purge(spark: SparkSession, path: str) -> int:
-    """Remove folders of segments that lie below their stream's floor as a whole; how many. Readers of earlier versions lose them."""
+    """Remove folders that lie below their stream's floor as a whole; how many. Readers of earlier versions lose them."""
     found = commits(spark, path)
     floors = _floors(spark, path, found)
     if floors is None:
@@ -297,7 +312,8 @@ def purge(spark: SparkSession, path: str) -> int:
     gone = 0
     for c in found:
         if c["kind"] == "rows":
-            held = spark.read.parquet(f"{path}/segments/{c['batch']}")
+            held = spark.read.parquet(f"{path}/segments/{c['batch']}").withColumn("segment", _folder(F.col("segment"), c.get("folder", 1)))
+            held = held.groupBy(*_PLACE, "stream_id").agg(F.max("last_seq").alias("last_seq"))
             for r in by_stream(held, floors).filter("last_seq < floor").select(*_PLACE).toLocalIterator():
                 at, system = _path(spark, f"{path}/rows/{c['batch']}/segment={r['segment']}/stream={r['stream']}")
                 gone += bool(system.delete(at, True))

@@ -158,3 +158,31 @@ def test_columns_made_of_others_are_stored_but_not_moved(spark, tmp_path):
     assert len(seen) == 2 and all("Exchange" in plan and "md5" not in plan for plan in seen)
     datasource.register(spark)
     assert rows_of(spark.read.format("streamlog").load(path)) == rows_of(got)
+
+
+def test_many_segments_share_folders(spark, tmp_path):
+    """Folders, and with them what listings send to the driver, grow by the logarithm of the number of segments; each segment is still read alone."""
+    path, log = f"file://{tmp_path}/log", log_of(spark, ("s", None), range(1, 3001))
+    logstore.append(log.filter("seq <= 1003"), path, segment=2)
+    logstore.append(log.filter("seq > 1003"), path, segment=2)
+    folders = [x for x in (tmp_path / "log/rows").glob("*/segment=*/stream=*")]
+    assert len(folders) < 2 * 32 * 7  # of 1501 segments in two streams
+    for n in range(3000):
+        begin = n - n % datasource.width(n, 1 << 15)
+        assert datasource.width(begin, 1 << 15) == datasource.width(n, 1 << 15) and begin <= n
+    assert {f.parent.name for f in folders} == {f"segment={n - n % datasource.width(n, 1 << 15)}" for n in range(1501)}
+    held = logstore.segments(spark, path)
+    assert held.count() == 2 * 1501 and held.agg(F.max("msgs")).first()[0] == 2
+    only = held.filter("segment in (0, 70, 501, 1499)")
+    assert rows_of(logstore.read(spark, path, only=only)) == rows_of(log.filter("seq div 2 in (0, 70, 501, 1499)"))
+    assert rows_of(logstore.seek_block(spark, path, 7000, start=5)) == rows_of(seek.seek_block(log, 7000, start=5))
+    datasource.register(spark)
+    source = lambda: spark.read.format("streamlog").load(path)
+    assert rows_of(source().filter("seq >= 1001 and seq < 1010")) == rows_of(log.filter("seq >= 1001 and seq < 1010"))
+    for most in (20_333, 5_001):
+        want = rows_of(retention.newest_bytes(log, most, F.col("bytes")))
+        logstore.shrink(spark, path, most)
+        assert rows_of(logstore.read(spark, path)) == want == rows_of(source())
+    gone = logstore.purge(spark, path)
+    assert 0 < gone < len(folders) and rows_of(logstore.read(spark, path)) == want
+    assert len(list((tmp_path / "log/rows").glob("*/segment=*/stream=*"))) == len(folders) - gone
