@@ -246,6 +246,69 @@ def test_a_merge_moves_what_it_gives_out(spark):
     assert sorted((r.input_id, r.handled, r.written, r.low) for r in counts.collect()) == [("a", 16, 16, 0), ("b", 16, 0, 16)]
 
 
+def judged_by_hand(rows, start=0, contiguous=False):
+    """Counts by input of rows as MERGE has them, with corrupted."""
+    from collections import Counter
+
+    counts, heads = Counter(), {}
+    for r in sorted(rows, key=lambda r: (r[2] is not None, r[2], r[1], r[5])):
+        head = heads.get(r[0])
+        if r[2] is None or r[6]:
+            kind = "corrupted"
+        elif head is None:
+            kind = "low" if r[2] < start else "high" if start and r[2] > start else "written"
+        elif r[2] <= head[2]:
+            kind = "low"
+        elif contiguous and r[2] > head[2] + 1:
+            kind = "high"
+        else:
+            kind = "written" if (r[4] or "") == (head[3] or "") else "mismatch"
+        if kind == "written":
+            heads[r[0]] = r
+        counts[r[1], kind] += 1
+        counts[r[1], "handled"] += 1
+    return dict(counts)
+
+
+@pytest.mark.parametrize(("stretch", "start", "contiguous", "few"), [(3, 0, False, 100), (4, 5, False, 0), (5, 0, True, 100)])
+def test_rows_of_a_merge_are_counted_as_it_is_walked(spark, monkeypatch, stretch, start, contiguous, few):
+    """Hashes come back at other heights, streams begin late or not at all, rows are corrupted or have no height, and turns repeat."""
+    import random
+
+    rnd = random.Random(stretch)
+    rows = []
+    for s in ("s", "t", None):
+        for q in range(150):
+            h = 2 + q // 8 + (9 if s == "t" else 0)
+            x, prev = rnd.choice((f"h{h}", f"h{h}", f"h{h}", f"h{h % 4}", None)), rnd.choice((f"h{h - 1}", f"h{h - 1}", f"h{h - 2}", f"h{h % 4}", ""))
+            rows.append((s, rnd.choice("ab"), rnd.choice((h, h, h, h, h, h, None)), x, prev, q, rnd.choice((False, False, False, True, None))))
+    rows.append(rows[40])
+    monkeypatch.setattr(merge, "FEW_STREAMS", few)
+    t = spark.createDataFrame(rows, f"{MERGE}, corrupted boolean")
+    got = merge.merge_counts(t, start_height=start, contiguous=contiguous, stretch=stretch, segment=7).collect()
+    want = judged_by_hand(rows, start, contiguous)
+    assert sum(n for (_, k), n in want.items() if k == "written") > 5
+    assert {(r.input_id, k): r[k] for r in got for k in ("handled", "corrupted", "written", "low", "high", "mismatch") if r[k]} == want
+
+
+def test_counting_a_merge_moves_its_blocks_once_a_pass_and_narrow(spark, sf):
+    from streamchain import catalog
+    from streamchain.sources import adapters
+
+    blocks = adapters.chain_held(spark, sf).filter("block_type = 0").count()
+
+    def moved():
+        context = spark.sparkContext
+        stages = context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(context._jvm.double, 0), context._jvm.java.util.ArrayList())
+        found = [stages.apply(k) for k in range(stages.size())]
+        return sum(s.shuffleWriteRecords() for s in found), sum(s.shuffleWriteBytes() for s in found)
+
+    records, size = moved()
+    catalog.queries()["merge_counters_from_start"](spark, sf).collect()
+    records, size = (now - then for now, then in zip(moved(), (records, size), strict=True))
+    assert records < 4 * blocks and size < 100 * blocks  # two hashes alone are 64 bytes, and these took some 6 moves
+
+
 def test_tasks_of_the_join_of_lines_follow_their_number(spark, sf, monkeypatch):
     from streamchain.sources import adapters
 
