@@ -104,7 +104,7 @@ def _judged(inputs: DataFrame, bad: Column, names: list[str], start_height: int,
     folded = (lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))) if hash_ci else (lambda c: F.coalesce(F.col(c), F.lit("")))
     rows = placed(inputs.filter("height is not null"), stretch).withColumn("__bad", bad)
     kept = {"stream_id": F.col("stream_id"), "n": F.col("__segment.n"), "height": F.col("height"), "__hash": folded("hash"), "__prev": folded("prev_hash")}
-    turn = ("__segment", "height", "input_id", "seq")
+    turn = ("__segment", "height", "input_id", "seq", "hash", "prev_hash")  # all passes must see rows of one turn in the same order
     stream = inputs.schema["stream_id"]
     fields = lambda *named: T.StructType([stream, *[T.StructField(c, T.StringType() if c.endswith("hash") else T.LongType()) for c in named]])
     fits = (lambda h, height: h == height - 1) if contiguous else (lambda h, height: h < height)

@@ -306,7 +306,7 @@ def test_counting_a_merge_moves_its_blocks_once_a_pass_and_narrow(spark, sf):
     records, size = moved()
     catalog.queries()["merge_counters_from_start"](spark, sf).collect()
     records, size = (now - then for now, then in zip(moved(), (records, size), strict=True))
-    assert records < 4 * blocks and size < 100 * blocks  # two hashes alone are 64 bytes, and these took some 6 moves
+    assert records < 4 * blocks and size < 100 * blocks  # two hashes alone are 64 bytes a candidate
 
 
 def test_tasks_of_the_join_of_lines_follow_their_number(spark, sf, monkeypatch):
